@@ -200,9 +200,220 @@ def oracle_queries() -> dict[str, str]:
         "f9_price_guest_night": _feature_sql("price_per_guest_per_night"),
         "feature_table": with_chain("SELECT * FROM features", features=True),
     }
+    q.update(quality_queries())
+    q.update(split_metric_queries())
     for step, name in (("c1", "c1_distinct"), ("c2", "c2_target_present"),
                        ("c3", "c3_low_missing_drop"), ("c4", "c4_adult_words"),
                        ("c5", "c5_numeric_parse"), ("c6", "c6_month_standardise"),
                        ("c7", "c7_invalid_day")):
         q[name] = with_chain(f"SELECT * FROM {step}")
     return q
+
+
+# --- quality suite -------------------------------------------------------------
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(float(v)) if isinstance(v, float) else str(v)
+
+
+def suite_sql(t: str, types: dict, ctes: str) -> str:
+    """The 69-check suite over relation ``t`` (types: column -> Spark type name)."""
+    from quaybook.operators.quality import TYPE_NAMES, build_suite
+
+    def row(k, success, element, unexpected, percent, examples):
+        return (f"SELECT {k.check_id} AS check_id, {_sql_lit(k.expectation_type)} AS expectation_type, "
+                f"{_sql_lit(k.affected_field)} AS affected_field, {success} AS success, "
+                f"CAST({element} AS BIGINT) AS element_count, CAST({unexpected} AS BIGINT) AS unexpected_count, "
+                f"CAST({percent} AS DOUBLE) AS unexpected_percent, {examples} AS examples")
+
+    def examples(cond, col):
+        return (f"(SELECT coalesce(string_agg(v, '; ' ORDER BY v), '') FROM "
+                f"(SELECT DISTINCT CAST({col} AS VARCHAR) AS v FROM {t} WHERE {cond} ORDER BY v LIMIT 20))")
+
+    parts = []
+    n = f"(SELECT count(*) FROM {t})"
+    for k in build_suite():
+        c = k.column
+        if k.kind == "columns":
+            parts.append(row(k, "TRUE", "NULL", "NULL", "NULL", "''"))
+        elif k.kind == "compound_unique":
+            cols = ", ".join(k.column_list)
+            u = f"(SELECT coalesce(sum(m), 0) FROM (SELECT count(*) AS m FROM {t} GROUP BY {cols} HAVING count(*) > 1))"
+            parts.append(row(k, f"{u} = 0", n, u, f"100.0::DOUBLE * {u} / {n}", "''"))
+        elif k.kind == "unique":
+            dup = f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+            u = f"(SELECT coalesce(sum(m), 0) FROM (SELECT count(*) AS m FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+            parts.append(row(k, f"{u} = 0", n, u, f"100.0::DOUBLE * {u} / {n}",
+                             examples(f"{c} IN {dup}", c)))
+        elif k.kind == "type":
+            want = TYPE_NAMES[k.type_name]
+            have = types[c]
+            parts.append(row(k, "TRUE" if have == want else "FALSE", "NULL", "NULL", "NULL",
+                             "''" if have == want else _sql_lit(have)))
+        else:
+            if k.kind == "not_null":
+                bad = f"{c} IS NULL"
+            elif k.kind == "in_set":
+                vals = ", ".join(_sql_lit(v) for v in k.values)
+                bad = f"{c} IS NOT NULL AND NOT coalesce({c} IN ({vals}), false)"
+            elif k.kind == "between":
+                x = _numeric_text(c) if types[c] == "string" else f"CAST({c} AS DOUBLE)"
+                bad = f"{c} IS NOT NULL AND NOT coalesce({x} BETWEEN {k.min_value} AND {k.max_value}, false)"
+            elif k.kind == "regex":
+                bad = f"{c} IS NOT NULL AND NOT coalesce(regexp_matches({c}, {_sql_lit(k.regex)}), false)"
+            dom = "TRUE"
+            if k.condition is not None:
+                dom = f"coalesce({k.condition[0]} = {_sql_lit(k.condition[1])}, false)"
+            u = f"(SELECT count(*) FROM {t} WHERE ({dom}) AND ({bad}))"
+            e = f"(SELECT count(*) FROM {t} WHERE {dom})"
+            pct = "NULL" if k.kind == "not_null" else f"100.0::DOUBLE * {u} / NULLIF({e}, 0)"
+            ex = "''" if k.kind == "not_null" else examples(f"({dom}) AND ({bad})", c)
+            parts.append(row(k, f"{u} = 0", e, u, pct, ex))
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
+
+
+RAW_TYPES = {"booking_id": "bigint", "no_show": "double", "arrival_day": "double",
+             "checkout_day": "double", "num_children": "double", "num_adults": "string"}
+CLEAN_TYPES = {c: "bigint" for c in ("booking_id", "no_show", "arrival_day", "checkout_day",
+                                     "num_children", "num_adults")}
+
+
+def _types(known: dict) -> dict:
+    return {c: known.get(c, "string") for c in BOOKING_COLUMNS}
+
+
+def quality_queries() -> dict[str, str]:
+    fail_cols = "expectation_type, affected_field, unexpected_count, unexpected_percent, examples"
+    raw_suite = suite_sql("raw", _types(RAW_TYPES), clean_ctes())
+    clean_suite = suite_sql("c7", _types(CLEAN_TYPES), clean_ctes())
+    return {
+        "v11_suite_raw": raw_suite,
+        "v11_suite_clean": clean_suite,
+        "v12_failures_raw": f"SELECT {fail_cols} FROM ({raw_suite}) WHERE NOT success",
+        "v12_failures_clean": f"SELECT {fail_cols} FROM ({clean_suite}) WHERE NOT success",
+    }
+
+
+# --- split, metrics, curves ------------------------------------------------------
+def _scored_ctes() -> str:
+    return clean_ctes() + """,
+scored AS (SELECT booking_id, CAST(no_show AS INTEGER) AS label,
+                  ((booking_id * 7919) % 1000 + 200 * no_show) / 1200 AS score FROM c3)"""
+
+
+def _docs_ctes() -> str:
+    return """
+scored AS (SELECT l.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS score
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def _score_table_ctes(base: str) -> str:
+    return base + """,
+st AS (SELECT score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+       FROM scored WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY score),
+rt AS (SELECT score, pos, neg,
+              row_number() OVER (ORDER BY score DESC) - 1 AS row_index,
+              sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+              sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+              sum(pos) OVER () AS P, sum(neg) OVER () AS N
+       FROM st)"""
+
+
+_AUC = ("round(CAST(sum(pos * (N - fp + 0.5::DOUBLE * neg)) AS DOUBLE) / "
+        "(CAST(max(P) AS DOUBLE) * max(N)), 10)")
+_AP = "round(sum(pos * (CAST(tp AS DOUBLE) / (tp + fp))) / max(P), 10)"
+
+
+def _roc_sql(ctes: str) -> str:
+    return f"""WITH {ctes},
+nx AS (SELECT *, lead(pos) OVER (ORDER BY score DESC) AS np,
+                 lead(neg) OVER (ORDER BY score DESC) AS nn FROM rt),
+roc AS (
+  SELECT CAST(-1 AS BIGINT) AS point, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr,
+         'inf'::DOUBLE AS threshold FROM rt WHERE row_index = 0
+  UNION ALL
+  SELECT CAST(row_index AS BIGINT), CAST(fp AS DOUBLE) / NULLIF(N, 0),
+         CAST(tp AS DOUBLE) / NULLIF(P, 0), score
+  FROM nx WHERE row_index = 0 OR np IS NULL OR pos <> np OR neg <> nn)"""
+
+
+def _pr_sql(ctes: str) -> str:
+    return f"""WITH {ctes},
+pr AS (
+  SELECT CAST(row_index AS BIGINT) AS point,
+         coalesce(CAST(tp AS DOUBLE) / NULLIF(P, 0), 1.0::DOUBLE) AS recall,
+         coalesce(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0::DOUBLE) AS precision,
+         score AS threshold FROM rt
+  UNION ALL
+  SELECT CAST(-1 AS BIGINT), 0.0::DOUBLE, 1.0::DOUBLE, CAST(NULL AS DOUBLE) FROM rt WHERE row_index = 0)"""
+
+
+def _split_ctes() -> str:
+    return clean_ctes() + """,
+lab AS (SELECT *, CAST(no_show AS INTEGER) AS label FROM c7),
+rk AS (SELECT booking_id, label,
+              row_number() OVER (PARTITION BY label
+                                 ORDER BY md5(CAST(booking_id AS VARCHAR) || ':42'), booking_id)
+                AS rank_in_class,
+              count(*) OVER (PARTITION BY label) AS nc, count(*) OVER () AS n
+       FROM lab),
+sp AS (SELECT *, CAST(round(ceil(0.2::DOUBLE * n) * nc / n) AS BIGINT) AS quota FROM rk)"""
+
+
+def split_metric_queries() -> dict[str, str]:
+    sc = _score_table_ctes(_scored_ctes())
+    docs = _score_table_ctes(_docs_ctes())
+    cal_probs = ", ".join(str(i / 25) for i in range(26))
+    p = 0.5
+    metric_sql = f"""WITH {sc},
+rows_m AS (
+  SELECT round(avg(power(score - label, 2)), 10) AS test_brier_score,
+         round(-avg(label * ln(least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16))
+               + (1 - label) * ln(1 - least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16))), 10)
+           AS test_log_loss,
+         round(avg(CASE WHEN (score > {p}) = (label = 1) THEN 1.0 ELSE 0.0 END)::DOUBLE, 10) AS test_accuracy,
+         count(*) FILTER (WHERE score > {p} AND label = 1) AS tp,
+         count(*) FILTER (WHERE score > {p} AND label = 0) AS fp,
+         count(*) FILTER (WHERE score <= {p} AND label = 1) AS fn
+  FROM scored),
+rank_m AS (SELECT {_AUC} AS test_roc_auc, {_AP} AS test_average_precision FROM rt)
+SELECT test_roc_auc, test_average_precision, test_brier_score, test_log_loss, test_accuracy,
+       round(coalesce(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0), 10) AS test_precision,
+       round(coalesce(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0), 10) AS test_recall,
+       round(coalesce(CAST(2 * tp AS DOUBLE) / NULLIF(2 * tp + fp + fn, 0), 0.0), 10) AS test_f1
+FROM rows_m, rank_m"""
+    return {
+        "s2_split": f"WITH {_split_ctes()}\nSELECT booking_id, label, rank_in_class, "
+                    "rank_in_class <= quota AS is_test FROM sp",
+        "s3_folds": f"WITH {_split_ctes()}\nSELECT booking_id, "
+                    "CAST((rank_in_class - quota - 1) % 5 AS INTEGER) AS fold "
+                    "FROM sp WHERE rank_in_class > quota",
+        "s3_folds_all_rows": f"WITH {_split_ctes()}\nSELECT booking_id, label, "
+                             "CAST((rank_in_class - 1) % 5 AS INTEGER) AS fold FROM sp",
+        "e1_predict_class": f"WITH {_scored_ctes()}\nSELECT booking_id, label, score, "
+                            f"CAST(score > {p} AS INTEGER) AS prediction FROM scored",
+        "e3_auc": f"WITH {sc}\nSELECT {_AUC} AS roc_auc FROM rt",
+        "e4_avg_precision": f"WITH {sc}\nSELECT {_AP} AS average_precision FROM rt",
+        "e11_metrics": metric_sql,
+        "e_confusion_counts": f"""WITH {_scored_ctes()}
+SELECT count(*) FILTER (WHERE score > {p} AND label = 1) AS tp,
+       count(*) FILTER (WHERE score > {p} AND label = 0) AS fp,
+       count(*) FILTER (WHERE score <= {p} AND label = 1) AS fn,
+       count(*) FILTER (WHERE score <= {p} AND label = 0) AS tn FROM scored""",
+        "r10_roc": _roc_sql(sc) + "\nSELECT * FROM roc",
+        "r11_roc_guide": _roc_sql(sc) + "\nSELECT fpr, tpr, threshold FROM roc "
+                                        "ORDER BY abs(tpr - 0.6), point LIMIT 1",
+        "r12_pr": _pr_sql(sc) + "\nSELECT * FROM pr",
+        "r13_pr_guide": _pr_sql(sc) + "\nSELECT recall, precision, threshold FROM pr "
+                                      "ORDER BY abs(recall - 0.6), coalesce(threshold, 'inf'::DOUBLE) LIMIT 1",
+        "r14_calibration": f"""WITH {_scored_ctes()},
+edges AS (SELECT quantile_cont(score, [{cal_probs}]) AS e FROM scored),
+inner_edges AS (SELECT unnest(e[2:25]) AS edge FROM edges),
+binned AS (SELECT s.*, (SELECT count(*) FROM inner_edges WHERE edge < s.score) AS bin FROM scored s)
+SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(avg(score), 10) AS mean_predicted,
+       round(avg(CAST(label AS DOUBLE)), 10) AS observed_rate
+FROM binned GROUP BY bin""",
+        "e3_auc_doc_length_quality": f"WITH {docs}\nSELECT {_AUC} AS roc_auc FROM rt",
+        "r10_roc_doc_length_quality": _roc_sql(docs) + "\nSELECT * FROM roc",
+    }

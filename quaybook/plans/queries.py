@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quaybook.config import DEFAULT
 from quaybook.operators import clean as C
 from quaybook.operators import features as FE
+from quaybook.plans.stages import materialize
 from quaybook.sources.bookings import derive_raw_bookings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,8 @@ def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean(raw(spark, sf_dir), DEFAULT)
+    """The cleaned booking table, written at the stage boundary."""
+    return materialize(C.clean(raw(spark, sf_dir), DEFAULT))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,3 +91,80 @@ QUERIES: dict[str, Query] = {
     "f9_price_guest_night": _feature_query("price_per_guest_per_night"),
     "feature_table": featured,
 }
+
+from quaybook.operators import quality as Q  # noqa: E402
+
+QUERIES.update({
+    "v11_suite_raw": lambda s, d: Q.run_suite(raw(s, d)),
+    "v11_suite_clean": lambda s, d: Q.run_suite(cleaned(s, d)),
+    "v12_failures_raw": lambda s, d: Q.failures(Q.run_suite(raw(s, d))),
+    "v12_failures_clean": lambda s, d: Q.failures(Q.run_suite(cleaned(s, d))),
+})
+
+from quaybook.operators import curves as R  # noqa: E402
+from quaybook.operators import metrics as M  # noqa: E402
+from quaybook.operators import split as S  # noqa: E402
+
+
+def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic scores on the rows left after C1-C3 (stand-in for model
+    output, which SQL cannot reproduce)."""
+    base = materialize(cleaned_until(spark, sf_dir, "c3"))
+    return base.select(
+        "booking_id",
+        F.col("no_show").cast("int").alias("label"),
+        (((F.col("booking_id") * 7919) % 1000 + 200 * F.col("no_show")) / 1200).alias("score"))
+
+
+def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.score_table(scored_fixture(spark, sf_dir))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaned(spark, sf_dir).withColumn("label", F.col("no_show").cast("int"))
+
+
+def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.stratified_split(labelled(spark, sf_dir))
+
+
+def doc_length_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document length as a score for the quality label (labels joined to
+    documents on doc_id; both sides are large, so this is a shuffle join
+    unless AQE measures one side small)."""
+    from quaybook.sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return (labels.join(docs, "doc_id")
+            .select("doc_id", F.col("quality").alias("label"),
+                    F.col("n_chars").cast("double").alias("score")))
+
+
+def _roc(s, d):
+    return R.roc_points(score_table(s, d))
+
+
+def _pr(s, d):
+    return R.pr_points(score_table(s, d))
+
+
+QUERIES.update({
+    "s2_split": lambda s, d: split_frame(s, d).select(
+        "booking_id", "label", "rank_in_class", "is_test"),
+    "s3_folds": lambda s, d: split_frame(s, d).where(~F.col("is_test")).select(
+        "booking_id", "fold"),
+    "s3_folds_all_rows": lambda s, d: S.assign_folds(labelled(s, d)).select(
+        "booking_id", "label", "fold"),
+    "e1_predict_class": lambda s, d: M.predict_class(scored_fixture(s, d)),
+    "e3_auc": lambda s, d: M.roc_auc(score_table(s, d)),
+    "e4_avg_precision": lambda s, d: M.average_precision(score_table(s, d)),
+    "e11_metrics": lambda s, d: M.metric_set(score_table(s, d)),
+    "e_confusion_counts": lambda s, d: M.confusion_counts(score_table(s, d)),
+    "r10_roc": _roc,
+    "r11_roc_guide": lambda s, d: R.roc_guide_point(_roc(s, d)),
+    "r12_pr": _pr,
+    "r13_pr_guide": lambda s, d: R.pr_guide_point(_pr(s, d)),
+    "r14_calibration": lambda s, d: R.calibration_curve(scored_fixture(s, d)),
+    "e3_auc_doc_length_quality": lambda s, d: M.roc_auc(M.score_table(doc_length_scores(s, d))),
+    "r10_roc_doc_length_quality": lambda s, d: R.roc_points(M.score_table(doc_length_scores(s, d))),
+})
