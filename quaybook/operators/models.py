@@ -141,10 +141,11 @@ def candidate_grid(candidates=CANDIDATES, families=MODEL_FAMILIES) -> list[dict]
 
 def grid_table(spark: SparkSession, grid: list[dict]) -> DataFrame:
     """The grid as rows (candidate_id, candidate, model_type, params map)."""
-    rows = [(g["candidate_id"], g["candidate"], g["estimator"]["type"],
-             {k: str(v) for k, v in g["params"].items()}) for g in grid]
+    rows = [(g["candidate_id"], g["candidate"], g["preprocessing"]["type"],
+             g["estimator"]["type"], {k: str(v) for k, v in g["params"].items()}) for g in grid]
     return spark.createDataFrame(
-        rows, "candidate_id int, candidate string, model_type string, params map<string,string>")
+        rows, "candidate_id int, candidate string, preprocessor string, model_type string, "
+              "params map<string,string>")
 
 
 def probability_of_one(df: DataFrame, out: str = "score") -> DataFrame:

@@ -41,7 +41,10 @@ def quantile_edges(df: DataFrame, col: str, n_buckets: int,
 
 def add_bucket(df: DataFrame, col: str, edges: list[float], out: str = "bucket") -> DataFrame:
     """Range bucket of ``col`` by literal edges (binary search, JVM side)."""
-    splits = [-INF] + [e for e in edges if e not in (-INF, INF)] + [INF]
+    inner = [e for e in edges if e not in (-INF, INF)]
+    if not inner:
+        return df.withColumn(out, F.lit(0))
+    splits = [-INF] + inner + [INF]
     tmp = f"__{out}_in"
     bucketizer = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return (bucketizer.transform(df.withColumn(tmp, F.col(col).cast("double")))
