@@ -202,6 +202,7 @@ def oracle_queries() -> dict[str, str]:
     }
     q.update(quality_queries())
     q.update(split_metric_queries())
+    q.update(model_prep_queries())
     for step, name in (("c1", "c1_distinct"), ("c2", "c2_target_present"),
                        ("c3", "c3_low_missing_drop"), ("c4", "c4_adult_words"),
                        ("c5", "c5_numeric_parse"), ("c6", "c6_month_standardise"),
@@ -350,8 +351,8 @@ pr AS (
 
 
 def _split_ctes() -> str:
-    return clean_ctes() + """,
-lab AS (SELECT *, CAST(no_show AS INTEGER) AS label FROM c7),
+    return clean_ctes() + "," + features_cte() + """,
+lab AS (SELECT *, CAST(no_show AS INTEGER) AS label FROM features),
 rk AS (SELECT booking_id, label,
               row_number() OVER (PARTITION BY label
                                  ORDER BY md5(CAST(booking_id AS VARCHAR) || ':42'), booking_id)
@@ -417,3 +418,30 @@ FROM binned GROUP BY bin""",
         "e3_auc_doc_length_quality": f"WITH {docs}\nSELECT {_AUC} AS roc_auc FROM rt",
         "r10_roc_doc_length_quality": _roc_sql(docs) + "\nSELECT * FROM roc",
     }
+
+
+def model_prep_queries() -> dict[str, str]:
+    from quaybook.config import CATEGORICAL_FEATURES
+    train = f"WITH {_split_ctes()},\ntr AS (SELECT lab.* FROM lab JOIN sp USING (booking_id) WHERE sp.rank_in_class > sp.quota)"
+    cat_parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'missing') AS category FROM tr"
+        for c in CATEGORICAL_FEATURES)
+    feats = with_chain("SELECT * FROM features", features=True)
+    return {
+        "m6_class_weights": f"""{train}
+SELECT label AS class, count(*) AS rows,
+       CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight
+FROM tr GROUP BY label""",
+        "p3_category_index": f"""{train},
+cats AS (SELECT DISTINCT feature, category FROM ({cat_parts}))
+SELECT feature, category,
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY category) - 1 AS INTEGER) AS category_index
+FROM cats""",
+        "r3_dataset_summary": f"""WITH f AS ({feats})
+SELECT 'rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM f
+UNION ALL SELECT 'columns', CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM f)) AS VARCHAR)
+UNION ALL SELECT 'target column', 'no_show'""",
+        "r8_target_distribution": f"""WITH f AS ({feats})
+SELECT 'Show' AS booking_outcome, count(*) FILTER (WHERE no_show = 0) AS bookings FROM f
+UNION ALL SELECT 'No-show', count(*) FILTER (WHERE no_show = 1) FROM f""",
+    }

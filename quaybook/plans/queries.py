@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quaybook.config import DEFAULT
 from quaybook.operators import clean as C
 from quaybook.operators import features as FE
-from quaybook.plans.stages import materialize
+from quaybook.plans.stages import materialize, stage_table
 from quaybook.sources.bookings import derive_raw_bookings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,8 @@ CLEAN_STEPS = (
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_raw_bookings(spark, sf_dir)
+    """The raw booking table, ingested once per session and source."""
+    return stage_table(spark, ("raw_bookings", sf_dir), lambda: derive_raw_bookings(spark, sf_dir))
 
 
 def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
@@ -42,7 +43,8 @@ def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned booking table, written at the stage boundary."""
-    return materialize(C.clean(raw(spark, sf_dir), DEFAULT))
+    return stage_table(spark, ("cleaned_bookings", sf_dir),
+                       lambda: C.clean(raw(spark, sf_dir), DEFAULT))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +111,7 @@ from quaybook.operators import split as S  # noqa: E402
 def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic scores on the rows left after C1-C3 (stand-in for model
     output, which SQL cannot reproduce)."""
-    base = materialize(cleaned_until(spark, sf_dir, "c3"))
+    base = stage_table(spark, ("after_c3", sf_dir), lambda: cleaned_until(spark, sf_dir, "c3"))
     return base.select(
         "booking_id",
         F.col("no_show").cast("int").alias("label"),
@@ -121,7 +123,8 @@ def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).withColumn("label", F.col("no_show").cast("int"))
+    """The feature table with the target as an integer label (S1 keeps it)."""
+    return featured(spark, sf_dir).withColumn("label", F.col("no_show").cast("int"))
 
 
 def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,3 +171,30 @@ QUERIES.update({
     "e3_auc_doc_length_quality": lambda s, d: M.roc_auc(M.score_table(doc_length_scores(s, d))),
     "r10_roc_doc_length_quality": lambda s, d: R.roc_points(M.score_table(doc_length_scores(s, d))),
 })
+
+from quaybook.operators import prep as P  # noqa: E402
+from quaybook.operators import report as RP  # noqa: E402
+
+
+def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_frame(spark, sf_dir).where(~F.col("is_test"))
+
+
+def category_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(feature, category, index) of the category indexer fitted on the
+    training rows (alphabetical order; NULL category filled as 'missing')."""
+    from pyspark.ml.feature import StringIndexer
+    train = P.fill_missing_categories(train_rows(spark, sf_dir))
+    cats = list(P.CATEGORICAL_FEATURES)
+    model = StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
+                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    return spark.createDataFrame(P.category_index(model, cats),
+                                 "feature string, category string, category_index int")
+
+
+QUERIES.update({
+    "m6_class_weights": lambda s, d: P.class_weight_table(train_rows(s, d)),
+    "p3_category_index": category_index_table,
+    "r3_dataset_summary": lambda s, d: RP.dataset_summary(featured(s, d), "no_show"),
+    "r8_target_distribution": lambda s, d: RP.target_distribution(featured(s, d), "no_show"),
+})

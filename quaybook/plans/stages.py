@@ -17,3 +17,16 @@ from quaybook.session import ensure_checkpoint_dir
 def materialize(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_STAGES: dict[tuple, DataFrame] = {}
+
+
+def stage_table(spark, key: tuple, build) -> DataFrame:
+    """A stage output written once per session and reused by every later
+    query of that session, like a table persisted between pipeline stages.
+    ``key`` names the stage and its inputs (for example the source folder)."""
+    full = (spark.sparkContext.applicationId,) + tuple(key)
+    if full not in _STAGES:
+        _STAGES[full] = materialize(build())
+    return _STAGES[full]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quaybook.config import MONTH_NAMES
-from quaybook.sources.tables import read_table
+from quaybook.sources.tables import read_table, spread
 
 RAW_SCHEMA = T.StructType([
     T.StructField("booking_id", T.LongType()),
@@ -132,8 +132,9 @@ def derive_raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast join only when the customer side is measured small, and splits a
     hot customer key with its skew-join handling.
     """
-    orders = read_table(spark, sf_dir, "orders")
-    customer = read_table(spark, sf_dir, "customer")
+    orders = spread(read_table(spark, sf_dir, "orders")
+                    .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"))
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return spark.sql(raw_bookings_sql("{orders}", "{customer}"),
                      orders=orders, customer=customer)
 
