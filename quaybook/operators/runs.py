@@ -91,16 +91,4 @@ def pipeline_summary(spark: SparkSession, *, experiment: str, best_cv_score: flo
     return df.withColumn("best_params", stringify_mapping(F.col("best_params")))
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """JSON sink for small result frames."""
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """I4: CSV sink with a header (failure reports)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Overwrite a whole table."""
-    df.write.mode("overwrite").parquet(path)
+from quaybook.sources.sinks import write_csv, write_json, write_parquet  # noqa: E402,F401
