@@ -113,6 +113,21 @@ def build_suite(columns=BOOKING_COLUMNS) -> list[Check]:
     return [Check(check_id=i, **s) for i, s in enumerate(specs, 1)]
 
 
+def table_suite(columns, key: str | None = None) -> list[Check]:
+    """A suite for any table: column order, full-row uniqueness, key
+    uniqueness (when a key is named) and not-null for every column."""
+    specs: list[dict] = [
+        dict(kind="columns", expectation_type=COLUMNS_MATCH_ORDERED_LIST, column_list=tuple(columns)),
+        dict(kind="compound_unique", expectation_type=COMPOUND_COLUMNS_UNIQUE,
+             column_list=tuple(columns)),
+    ]
+    if key is not None:
+        specs.append(dict(kind="unique", expectation_type=COLUMN_VALUES_UNIQUE, column=key))
+    specs += [dict(kind="not_null", expectation_type=COLUMN_VALUES_NOT_NULL, column=c)
+              for c in columns]
+    return [Check(check_id=i, **s) for i, s in enumerate(specs, 1)]
+
+
 # --- compile -------------------------------------------------------------------
 def _as_number(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):

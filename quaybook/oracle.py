@@ -203,6 +203,7 @@ def oracle_queries() -> dict[str, str]:
     q.update(quality_queries())
     q.update(split_metric_queries())
     q.update(model_prep_queries())
+    q.update(given_table_queries())
     for step, name in (("c1", "c1_distinct"), ("c2", "c2_target_present"),
                        ("c3", "c3_low_missing_drop"), ("c4", "c4_adult_words"),
                        ("c5", "c5_numeric_parse"), ("c6", "c6_month_standardise"),
@@ -218,8 +219,9 @@ def _sql_lit(v) -> str:
     return repr(float(v)) if isinstance(v, float) else str(v)
 
 
-def suite_sql(t: str, types: dict, ctes: str) -> str:
-    """The 69-check suite over relation ``t`` (types: column -> Spark type name)."""
+def suite_sql(t: str, types: dict, ctes: str, suite=None) -> str:
+    """A check suite (default: the 69 booking checks) over relation ``t``
+    (types: column -> Spark type name)."""
     from quaybook.operators.quality import TYPE_NAMES, build_suite
 
     def row(k, success, element, unexpected, percent, examples):
@@ -234,7 +236,7 @@ def suite_sql(t: str, types: dict, ctes: str) -> str:
 
     parts = []
     n = f"(SELECT count(*) FROM {t})"
-    for k in build_suite():
+    for k in (suite if suite is not None else build_suite()):
         c = k.column
         if k.kind == "columns":
             parts.append(row(k, "TRUE", "NULL", "NULL", "NULL", "''"))
@@ -271,7 +273,7 @@ def suite_sql(t: str, types: dict, ctes: str) -> str:
             pct = "NULL" if k.kind == "not_null" else f"100.0::DOUBLE * {u} / NULLIF({e}, 0)"
             ex = "''" if k.kind == "not_null" else examples(f"({dom}) AND ({bad})", c)
             parts.append(row(k, f"{u} = 0", e, u, pct, ex))
-    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(parts)
+    return (f"WITH {ctes}\n" if ctes else "") + "\nUNION ALL\n".join(parts)
 
 
 RAW_TYPES = {"booking_id": "bigint", "no_show": "double", "arrival_day": "double",
@@ -445,3 +447,14 @@ UNION ALL SELECT 'target column', 'no_show'""",
 SELECT 'Show' AS booking_outcome, count(*) FILTER (WHERE no_show = 0) AS bookings FROM f
 UNION ALL SELECT 'No-show', count(*) FILTER (WHERE no_show = 1) FROM f""",
     }
+
+
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def given_table_queries() -> dict[str, str]:
+    from quaybook.operators.quality import table_suite
+    return {
+        "c3a_missing_profile_events": missing_profile_sql("events", EVENT_COLUMNS),
+        "v11_suite_events": suite_sql("events", {}, "", table_suite(EVENT_COLUMNS, "event_id")),
+    }

@@ -198,3 +198,15 @@ QUERIES.update({
     "r3_dataset_summary": lambda s, d: RP.dataset_summary(featured(s, d), "no_show"),
     "r8_target_distribution": lambda s, d: RP.target_distribution(featured(s, d), "no_show"),
 })
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quaybook.sources.tables import read_table
+    return read_table(spark, sf_dir, "events")
+
+
+QUERIES.update({
+    "c3a_missing_profile_events": lambda s, d: C.missing_profile(events(s, d)),
+    "v11_suite_events": lambda s, d: Q.run_suite(
+        events(s, d), Q.table_suite(events(s, d).columns, "event_id")),
+})

@@ -4,7 +4,9 @@ The original pipeline hands cleaned and feature tables between stages as
 files. Here a stage boundary is a reliable checkpoint into the session's
 ``spark.checkpoint.dir`` (a shared folder on a cluster): it cuts lineage, so
 an executor lost later recomputes from the written table instead of from
-the raw scan, and it keeps downstream plans short.
+the raw scan, and it keeps downstream plans short. An eager reliable
+checkpoint computes its input once (the write job itself); measured on the
+test tables it is cheaper than a parquet round trip.
 """
 
 from __future__ import annotations
