@@ -22,5 +22,9 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """I4: CSV with a header (failure reports)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """I4: CSV with a header (failure reports). Values keep their outer
+    whitespace (the writer trims it by default, and examples such as
+    ' April ' are the point of the report)."""
+    (df.coalesce(1).write.mode("overwrite").option("header", True)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
