@@ -22,18 +22,22 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, _OUTER_WS, "")
 
 
+# Marker put after every non-letter that is not a plain space, so that
+# ``initcap`` (which only starts words after spaces) starts a word there too.
+_MARK = "\u0000 "
+
+
 def title_case(c: Column) -> Column:
     """Python-style title case: the first letter of every run of letters is
-    upper case, every other letter lower case ('MAY-x' -> 'May-X').
+    upper case, every other letter lower case ('MAY-x' -> 'May-X',
+    '1st' -> '1St').
 
-    Spark's ``initcap`` only starts words after spaces, so this walks the
-    characters with a higher-order function instead; it stays JVM-side.
+    Built from ``lower``, ``regexp_replace`` and ``initcap`` so it stays in
+    generated code: a marker and a space go after each non-letter, ``initcap``
+    capitalises the letter that follows, and the marker is removed again.
     """
-    chars = F.split(c, "")
-    return F.when(c.isNull(), None).otherwise(F.array_join(
-        F.transform(chars, lambda ch, i: F.when(
-            (i == 0) | ~F.get(chars, i - 1).rlike(r"\p{L}"), F.upper(ch)
-        ).otherwise(F.lower(ch))), ""))
+    marked = F.regexp_replace(F.lower(c), r"([^\p{L} ])", "$1" + _MARK)
+    return F.regexp_replace(F.initcap(marked), _MARK, "")
 
 
 def finite_double(c: Column) -> Column:
