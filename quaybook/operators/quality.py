@@ -31,7 +31,6 @@ from quaybook.config import (BOOKING_COLUMNS, BRANCHES, COUNTRIES, DAYS_IN_MONTH
                              FIRST_TIME_VALUES, GUEST_COUNT_RANGE, INTEGER_COLUMNS,
                              MAX_EXAMPLES, MONTH_NAMES, PLATFORMS, PRICE_CHECK_REGEX,
                              ROOMS, STRING_COLUMNS, TARGET_VALUES)
-from quaybook.functions.text import parse_number_text
 
 # The check type names of the original suite.
 COLUMNS_MATCH_ORDERED_LIST = "expect_table_columns_to_match_ordered_list"
@@ -129,39 +128,69 @@ def table_suite(columns, key: str | None = None) -> list[Check]:
 
 
 # --- compile -------------------------------------------------------------------
-def _as_number(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return parse_number_text(c)
-    return c.cast("double")
+# Each row-level check compiles to Spark SQL expression text, turned into a
+# Column with one ``F.expr`` call: the plan is the same as with the Column
+# API, but building a 69-check suite takes a few dozen driver-to-JVM calls
+# instead of tens of thousands.
+_NUMBER_TEXT = r"^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$"
+_OUTER_WS = r"^\\s+|\\s+$"
 
 
-def _row_rule(check: Check, types: dict) -> tuple[Column, Column | None, Column]:
-    """(unexpected, domain or None for all rows, example value) for a
-    row-level check. Unexpected is never NULL."""
-    c = F.col(check.column)
-    present = c.isNotNull()
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(float(v)) + "D"
+
+
+def _number_sql(col: str, dtype: T.DataType) -> str:
+    """Numeric value of a column; text goes through the strict parse."""
+    if not isinstance(dtype, T.StringType):
+        return f"CAST({col} AS DOUBLE)"
+    t = f"regexp_replace({col}, '{_OUTER_WS}', '')"
+    d = f"try_cast({t} AS DOUBLE)"
+    return (f"(CASE WHEN {t} RLIKE '{_NUMBER_TEXT}' AND NOT isnan({d}) "
+            f"AND abs({d}) != double('inf') THEN {d} END)")
+
+
+def _row_rule_sql(check: Check, types: dict) -> tuple[str, str | None, str]:
+    """(unexpected, domain or None for all rows, example value) as SQL text
+    for a row-level check. Unexpected is never NULL."""
+    c = _q(check.column)
     if check.kind == "not_null":
-        return c.isNull(), None, F.lit(None).cast("string")
+        return f"{c} IS NULL", None, "CAST(NULL AS STRING)"
+    value = f"CAST({c} AS STRING)"
     if check.kind == "in_set":
         if isinstance(types[check.column], T.StringType):
-            ok = c.isin(*check.values)
+            vals = ", ".join(_lit(str(v)) for v in check.values)
+            ok = f"{c} IN ({vals})"
         else:
-            ok = c.cast("double").isin(*[float(v) for v in check.values])
-        return present & ~F.coalesce(ok, F.lit(False)), None, c.cast("string")
+            vals = ", ".join(_lit(float(v)) for v in check.values)
+            ok = f"CAST({c} AS DOUBLE) IN ({vals})"
+        return f"{c} IS NOT NULL AND NOT coalesce({ok}, false)", None, value
     if check.kind == "between":
-        x = _as_number(c, types[check.column])
-        ok = F.coalesce(x.between(check.min_value, check.max_value), F.lit(False))
+        x = _number_sql(c, types[check.column])
+        ok = f"coalesce({x} BETWEEN {check.min_value} AND {check.max_value}, false)"
+        bad = f"{c} IS NOT NULL AND NOT {ok}"
         if check.condition is None:
-            return present & ~ok, None, c.cast("string")
+            return bad, None, value
         cond_col, cond_val = check.condition
-        domain = F.coalesce(F.col(cond_col) == F.lit(cond_val), F.lit(False))
-        return domain & present & ~ok, domain, c.cast("string")
+        domain = f"coalesce({_q(cond_col)} = {_lit(cond_val)}, false)"
+        return f"{domain} AND {bad}", domain, value
     if check.kind == "regex":
-        ok = F.coalesce(c.cast("string").rlike(check.regex), F.lit(False))
-        return present & ~ok, None, c.cast("string")
+        ok = f"coalesce(CAST({c} AS STRING) RLIKE {_lit(check.regex)}, false)"
+        return f"{c} IS NOT NULL AND NOT {ok}", None, value
     raise ValueError(check.kind)
 
 
+def _row_rule(check: Check, types: dict) -> tuple[Column, Column | None, Column]:
+    unexpected, domain, value = _row_rule_sql(check, types)
+    return F.expr(unexpected), (F.expr(domain) if domain else None), F.expr(value)
+
+
 ROW_KINDS = ("not_null", "in_set", "between", "regex")
 
 
@@ -178,14 +207,15 @@ def _examples(df: DataFrame, checks: list[Check], types: dict) -> DataFrame:
     check, ordered by value text and joined with '; '."""
     row_checks = [k for k in checks if k.kind in ROW_KINDS and k.kind != "not_null"
                   and k.column in types]
-    pairs = [F.when(_row_rule(k, types)[0],
-                    F.struct(F.lit(k.check_id).alias("check_id"),
-                             _row_rule(k, types)[2].alias("value")))
-             for k in row_checks]
+    pairs = []
+    for k in row_checks:
+        unexpected, _, value = _row_rule_sql(k, types)
+        pairs.append(f"CASE WHEN {unexpected} THEN named_struct('check_id', {k.check_id}, "
+                     f"'value', {value}) END")
     parts = []
     if pairs:
-        parts.append(df.select(F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull()))
-                               .alias("p")).select("p.check_id", "p.value"))
+        violations = F.expr(f"filter(array({', '.join(pairs)}), x -> x IS NOT NULL)")
+        parts.append(df.select(F.explode(violations).alias("p")).select("p.check_id", "p.value"))
     for k in checks:
         if k.kind == "unique" and k.column in types:
             parts.append(_dup_members(df, [k.column], True)
@@ -207,67 +237,61 @@ def run_suite(df: DataFrame, checks: list[Check] | None = None,
     unexpected_percent (V14) and examples (V15)."""
     checks = checks if checks is not None else build_suite()
     types = {f.name: f.dataType for f in df.schema.fields}
-    rows = F.count(F.lit(1))
-    aggs = [rows.alias("__rows")]
+    # Every row-level check is one count_if of a single global aggregate.
+    aggs = ["count(1) AS __rows"]
     for k in checks:
         if k.kind in ROW_KINDS and k.column in types:
-            unexpected, domain, _ = _row_rule(k, types)
-            aggs.append(F.count_if(unexpected).alias(f"__u{k.check_id}"))
+            unexpected, domain, _ = _row_rule_sql(k, types)
+            aggs.append(f"count_if({unexpected}) AS __u{k.check_id}")
             if domain is not None:
-                aggs.append(F.count_if(domain).alias(f"__e{k.check_id}"))
-    stats = df.agg(*aggs)
+                aggs.append(f"count_if({domain}) AS __e{k.check_id}")
+    stats = df.selectExpr(*aggs)
     for k in checks:
         if k.kind in ("unique", "compound_unique"):
             cols = list(k.column_list or (k.column,))
             if all(c in types for c in cols):
                 dup = _dup_members(df, cols, skip_nulls=k.kind == "unique")
-                stats = stats.withColumn(f"__u{k.check_id}", dup.agg(
-                    F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar())
+                stats = stats.withColumn(f"__u{k.check_id}", dup.selectExpr(
+                    "CAST(coalesce(sum(n), 0) AS BIGINT)").scalar())
 
     entries = []
     for k in checks:
-        element = unexpected = percent = None
-        success = None
-        note = F.lit("")
+        element = unexpected = percent = "NULL"
+        note = "''"
         if k.kind == "columns":
-            success = F.lit(list(df.columns) == list(k.column_list))
+            success = str(list(df.columns) == list(k.column_list)).lower()
         elif k.kind == "type":
             want = TYPE_NAMES.get(k.type_name, k.type_name)
             have = types[k.column].simpleString() if k.column in types else None
-            success = F.lit(have == want)
+            success = str(have == want).lower()
             if have != want:
-                note = F.lit(have or "missing column")
+                note = _lit(have or "missing column")
         elif k.column is not None and k.column not in types:
-            success = F.lit(False)
-            note = F.lit("missing column")
-        elif k.kind in ROW_KINDS or k.kind in ("unique", "compound_unique"):
-            unexpected = F.col(f"__u{k.check_id}")
+            success = "false"
+            note = _lit("missing column")
+        else:
+            unexpected = f"__u{k.check_id}"
             has_domain = k.kind == "between" and k.condition is not None
-            element = F.col(f"__e{k.check_id}") if has_domain else F.col("__rows")
-            success = unexpected == 0
+            element = f"__e{k.check_id}" if has_domain else "__rows"
+            success = f"{unexpected} = 0"
             if k.kind != "not_null":
-                percent = F.try_divide(F.lit(100.0) * unexpected, element)
-        entries.append(F.struct(
-            F.lit(k.check_id).alias("check_id"),
-            F.lit(k.expectation_type).alias("expectation_type"),
-            F.lit(k.affected_field).alias("affected_field"),
-            success.alias("success"),
-            (element if element is not None else F.lit(None)).cast("bigint").alias("element_count"),
-            (unexpected if unexpected is not None else F.lit(None)).cast("bigint")
-            .alias("unexpected_count"),
-            (percent if percent is not None else F.lit(None)).cast("double")
-            .alias("unexpected_percent"),
-            note.alias("note"),
-        ))
-    results = stats.select(F.inline(F.array(*entries)))
+                percent = f"try_divide(100.0D * {unexpected}, {element})"
+        entries.append(
+            f"named_struct('check_id', {k.check_id}, "
+            f"'expectation_type', {_lit(k.expectation_type)}, "
+            f"'affected_field', {_lit(k.affected_field)}, 'success', {success}, "
+            f"'element_count', CAST({element} AS BIGINT), "
+            f"'unexpected_count', CAST({unexpected} AS BIGINT), "
+            f"'unexpected_percent', CAST({percent} AS DOUBLE), 'note', {note})")
+    results = stats.selectExpr(f"inline(array({', '.join(entries)}))")
     if not with_examples:
-        return results.withColumn("examples", F.col("note")).drop("note")
+        return results.withColumnRenamed("note", "examples")
     ex = _examples(df, checks, types)
     # At most one example row per check: a broadcast side bounded by the suite size.
     return (results.join(F.broadcast(ex), "check_id", "left")
-            .withColumn("examples", F.when(F.col("note") != "", F.col("note"))
-                        .otherwise(F.coalesce(F.col("examples"), F.lit(""))))
-            .drop("note"))
+            .selectExpr("check_id", "expectation_type", "affected_field", "success",
+                        "element_count", "unexpected_count", "unexpected_percent",
+                        "CASE WHEN note != '' THEN note ELSE coalesce(examples, '') END AS examples"))
 
 
 def failures(results: DataFrame) -> DataFrame:
