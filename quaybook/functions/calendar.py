@@ -13,13 +13,14 @@ from quaybook.config import DAYS_IN_MONTH, MONTH_NAMES, REFERENCE_YEAR
 _DAYS_BEFORE = (0,) + tuple(accumulate(DAYS_IN_MONTH))[:-1]
 
 
+def _sql(v) -> str:
+    return "'" + v + "'" if isinstance(v, str) else str(v)
+
+
 def _lookup(key: Column, pairs) -> Column:
-    """CASE lookup on a literal table; NULL for keys not in it."""
-    out = None
-    for k, v in pairs:
-        out = (F.when(key == F.lit(k), F.lit(v)) if out is None
-               else out.when(key == F.lit(k), F.lit(v)))
-    return out
+    """Lookup in a literal map; NULL for keys not in it (and for NULL)."""
+    entries = ", ".join(f"{_sql(k)}, {_sql(v)}" for k, v in pairs)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def month_number(month_name: Column) -> Column:
