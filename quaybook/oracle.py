@@ -71,7 +71,7 @@ def clean_ctes() -> str:
         f"coalesce(CAST(n_{c} AS DOUBLE) / NULLIF(n, 0) > 0 AND "
         f"CAST(n_{c} AS DOUBLE) / NULLIF(n, 0) < {MISSING_DROP_THRESHOLD}, false) AS q_{c}"
         for c in cols)
-    drop_any = " OR ".join(f"(q_{c} AND {c} IS NULL)" for c in cols)
+    drop_any = " OR ".join(f"((SELECT q_{c} FROM c3_flags) AND {c} IS NULL)" for c in cols)
     c5 = []
     for c in cols:
         if c == "booking_id":
@@ -97,7 +97,7 @@ c1 AS (SELECT DISTINCT * FROM raw),
 c2 AS (SELECT * FROM c1 WHERE no_show IS NOT NULL),
 c3_stats AS (SELECT count(*) AS n, {null_counts} FROM c2),
 c3_flags AS (SELECT {flags} FROM c3_stats),
-c3 AS (SELECT {", ".join("c2." + c for c in cols)} FROM c2, c3_flags WHERE NOT ({drop_any})),
+c3 AS (SELECT * FROM c2 WHERE NOT ({drop_any})),
 c4 AS (SELECT * REPLACE (CASE WHEN lower(num_adults) = 'one' THEN '1'
                               WHEN lower(num_adults) = 'two' THEN '2'
                               ELSE lower(num_adults) END AS num_adults) FROM c3),
@@ -381,11 +381,13 @@ rows_m AS (
          count(*) FILTER (WHERE score <= {p} AND label = 1) AS fn
   FROM scored),
 rank_m AS (SELECT {_AUC} AS test_roc_auc, {_AP} AS test_average_precision FROM rt)
-SELECT test_roc_auc, test_average_precision, test_brier_score, test_log_loss, test_accuracy,
+SELECT (SELECT test_roc_auc FROM rank_m) AS test_roc_auc,
+       (SELECT test_average_precision FROM rank_m) AS test_average_precision,
+       test_brier_score, test_log_loss, test_accuracy,
        round(coalesce(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0), 10) AS test_precision,
        round(coalesce(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0), 10) AS test_recall,
        round(coalesce(CAST(2 * tp AS DOUBLE) / NULLIF(2 * tp + fp + fn, 0), 0.0), 10) AS test_f1
-FROM rows_m, rank_m"""
+FROM rows_m"""
     return {
         "s2_split": f"WITH {_split_ctes()}\nSELECT booking_id, label, rank_in_class, "
                     "rank_in_class <= quota AS is_test FROM sp",

@@ -104,3 +104,9 @@ def test_no_unpartitioned_window_over_data(spark):
     # Windows run per bucket; the only unpartitioned ones are on the bucket table.
     assert "Window" in plan
     assert "BroadcastExchange" in plan or "BroadcastHashJoin" in plan
+
+
+def test_s1_features_and_target(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, 0.0, "b")], "booking_id bigint, no_show double, branch string")
+    out = S.features_and_target(df)
+    assert "no_show" not in out.columns and [r.label for r in out.collect()] == [1, 0]
