@@ -49,10 +49,13 @@ def _r(c: Column) -> Column:
     return F.round(c, METRIC_DIGITS)
 
 
-def _auc(t: str = "") -> Column:
+def _auc() -> Column:
+    """Sum over distinct scores of pos x (negatives below + half the tied
+    negatives), over P x N."""
     pos, neg, fp = F.col("pos"), F.col("neg"), F.col("fp")
-    P, N = F.first("P"), F.first("N")
-    return F.try_divide(F.sum(pos * (F.col("N") - fp + 0.5 * neg)).cast("double"), P * N)
+    # P x N in double: as 64-bit integers it overflows past 9.2e18 pairs.
+    return F.try_divide(F.sum(pos * (F.col("N") - fp + 0.5 * neg)).cast("double"),
+                        F.first("P").cast("double") * F.first("N"))
 
 
 def _ap() -> Column:

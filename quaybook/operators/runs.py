@@ -91,4 +91,4 @@ def pipeline_summary(spark: SparkSession, *, experiment: str, best_cv_score: flo
     return df.withColumn("best_params", stringify_mapping(F.col("best_params")))
 
 
-from quaybook.sources.sinks import write_csv, write_json, write_parquet  # noqa: E402,F401
+from quaybook.sources.sinks import write_json  # noqa: E402,F401  (used by the experiment chain)

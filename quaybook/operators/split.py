@@ -75,7 +75,9 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking
     """
     ranked = rank_in_class(df, label, id_col, seed, n_buckets)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("total_rows"))
-    quota = F.round(n_test * F.col("class_rows") / F.col("total_rows")).cast("bigint")
+    # In double: n_test x class_rows overflows 64-bit integers past ~3e9 rows.
+    quota = F.round(n_test.cast("double") * F.col("class_rows")
+                    / F.col("total_rows")).cast("bigint")
     r = F.col("rank_in_class")
     return (ranked.withColumn("test_quota", quota)
             .withColumn("is_test", r <= F.col("test_quota"))

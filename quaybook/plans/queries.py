@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quaybook.config import DEFAULT
 from quaybook.operators import clean as C
 from quaybook.operators import features as FE
-from quaybook.plans.stages import materialize, stage_table
+from quaybook.plans.stages import stage_table
 from quaybook.sources.bookings import derive_raw_bookings
 
 Query = Callable[[SparkSession, str], DataFrame]
