@@ -42,6 +42,9 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
     keyed = df.withColumns({
         "__key": key,
         "__bucket": F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int"),
+        # Last tie-breaker: rows that share an id still get a fixed order, so a
+        # recomputed task ranks them the same way.
+        "__row_hash": F.xxhash64(*[F.col(c) for c in df.columns]),
     })
     counts = keyed.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(label).orderBy("__bucket").rowsBetween(
@@ -55,10 +58,10 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
         F.sum("__n").over(whole_class).alias("class_rows"),
         F.sum("__n").over(whole_table).alias("total_rows"),
     )
-    within = Window.partitionBy(label, "__bucket").orderBy("__key", id_col)
+    within = Window.partitionBy(label, "__bucket").orderBy("__key", id_col, "__row_hash")
     return (keyed.join(F.broadcast(offsets), [label, "__bucket"])
             .withColumn("rank_in_class", F.col("__offset") + F.row_number().over(within))
-            .drop("__key", "__bucket", "__offset"))
+            .drop("__key", "__bucket", "__offset", "__row_hash"))
 
 
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking_id",
