@@ -204,6 +204,7 @@ def oracle_queries() -> dict[str, str]:
     q.update(split_metric_queries())
     q.update(model_prep_queries())
     q.update(given_table_queries())
+    q.update(check_kind_queries())
     for step, name in (("c1", "c1_distinct"), ("c2", "c2_target_present"),
                        ("c3", "c3_low_missing_drop"), ("c4", "c4_adult_words"),
                        ("c5", "c5_numeric_parse"), ("c6", "c6_month_standardise"),
@@ -460,3 +461,11 @@ def given_table_queries() -> dict[str, str]:
         "c3a_missing_profile_events": missing_profile_sql("events", EVENT_COLUMNS),
         "v11_suite_events": suite_sql("events", {}, "", table_suite(EVENT_COLUMNS, "event_id")),
     }
+
+
+def check_kind_queries() -> dict[str, str]:
+    from quaybook.operators.quality import build_suite
+    from quaybook.plans.queries import CHECK_KIND_QUERIES
+    return {name: suite_sql("raw", _types(RAW_TYPES), clean_ctes(),
+                            [k for k in build_suite() if k.kind in kinds])
+            for name, kinds in CHECK_KIND_QUERIES.items()}

@@ -210,3 +210,24 @@ QUERIES.update({
     "v11_suite_events": lambda s, d: Q.run_suite(
         events(s, d), Q.table_suite(events(s, d).columns, "event_id")),
 })
+
+# One query per check kind (V2-V9) on the raw table.
+CHECK_KIND_QUERIES = {
+    "v2_compound_unique": ("compound_unique",),
+    "v3_column_unique": ("unique",),
+    "v4_not_null": ("not_null",),
+    "v5_column_types": ("type",),
+    "v6_value_in_set": ("in_set",),
+    "v7_v8_value_between": ("between",),
+    "v9_price_regex": ("regex",),
+}
+
+
+def _kind_query(kinds):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        suite = [k for k in Q.build_suite() if k.kind in kinds]
+        return Q.run_suite(raw(spark, sf_dir), suite)
+    return q
+
+
+QUERIES.update({name: _kind_query(kinds) for name, kinds in CHECK_KIND_QUERIES.items()})
