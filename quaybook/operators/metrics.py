@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.config import LOG_LOSS_EPS
-from quaybook.plans.prefix import DEFAULT_BUCKETS, running_totals
+from quaybook.plans.prefix import DEFAULT_BUCKETS, quantile_edges, running_totals
 
 THRESHOLD = 0.5
 METRIC_DIGITS = 10
@@ -35,11 +35,12 @@ def score_table(scored: DataFrame, label: str = "label", score: str = "score",
     """Distinct scores (descending) with pos/neg counts, running tp/fp and
     the totals P/N. Columns: score, pos, neg, bucket, row_index, tp, fp, P, N."""
     y = F.col(label).cast("int")
-    per = (scored.where(F.col(score).isNotNull() & y.isNotNull())
-           .groupBy(F.col(score).cast("double").alias("score"))
-           .agg(F.sum(y).cast("bigint").alias("pos"),
-                F.sum(1 - y).cast("bigint").alias("neg")))
-    t = running_totals(per, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
+    rows = (scored.where(F.col(score).isNotNull() & y.isNotNull())
+            .select(F.col(score).cast("double").alias("score"), y.alias("y")))
+    per = rows.groupBy("score").agg(F.sum("y").cast("bigint").alias("pos"),
+                                    F.sum(1 - F.col("y")).cast("bigint").alias("neg"))
+    t = running_totals(per, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets,
+                       edges=quantile_edges(rows, "score", n_buckets))
     return t.select("score", "pos", "neg", "bucket", "row_index",
                     F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))

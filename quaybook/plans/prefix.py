@@ -53,15 +53,20 @@ def add_bucket(df: DataFrame, col: str, edges: list[float], out: str = "bucket")
 
 def running_totals(per_value: DataFrame, order_col: str, sum_cols: list[str],
                    descending: bool = True, n_buckets: int = DEFAULT_BUCKETS,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", edges: list[float] | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` over ``per_value`` ordered by
     ``order_col`` (one row per distinct ``order_col`` expected), plus the
     grand totals as ``total_<col>``.
 
     Adds ``cum_<col>`` for each column and ``row_index`` (0-based position in
     the order) so callers can find neighbours with an equi-join.
+
+    ``edges`` may come from the rows before grouping (a sketch aggregate with
+    no shuffle): row-weighted edges put at most about n / n_buckets rows, and
+    so at most that many distinct values, in each bucket.
     """
-    edges = quantile_edges(per_value, order_col, n_buckets)
+    if edges is None:
+        edges = quantile_edges(per_value, order_col, n_buckets)
     b = add_bucket(per_value, order_col, edges)
     totals = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("__rows"),
                                      *[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
@@ -105,8 +110,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     (the 'linear' rule of the common numeric libraries), computed from
     distributed running counts. Only the needed order statistics (two per
     probability) reach the driver."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, col, ["n"], descending=False, n_buckets=n_buckets)
+    present = df.where(F.col(col).isNotNull())
+    counts = present.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, col, ["n"], descending=False, n_buckets=n_buckets,
+                            edges=quantile_edges(present, col, n_buckets))
     total_row = ranked.select(F.max("total_n")).first()
     n = total_row[0] if total_row is not None else None
     if not n:
