@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from quaybook.config import CV_FOLDS, SEED, TEST_SIZE
 
 DEFAULT_KEY_BUCKETS = 4096  # three hex digits
+DEFAULT_MAX_BUCKET_ROWS = 2_000_000  # rows one rank task may hold
+DEFAULT_SUB_BITS = 6  # hot id groups are cut into up to 64 sub-buckets
 
 
 def features_and_target(df: DataFrame, target: str = "no_show",
@@ -34,9 +36,29 @@ def order_key(id_col: str, seed: int = SEED):
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
+def _prefix_offsets(counts: DataFrame, part: list[str], order: list[str]) -> DataFrame:
+    """Exclusive running sum of ``__n`` in ``order`` within ``part`` (small
+    tables only: bucket, group or sub-bucket counts)."""
+    earlier = Window.partitionBy(*part).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return counts.withColumn("__off", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+
+
 def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
-                  n_buckets: int = DEFAULT_KEY_BUCKETS) -> DataFrame:
-    """Adds ``rank_in_class`` (1-based), ``class_rows`` and ``total_rows``."""
+                  n_buckets: int = DEFAULT_KEY_BUCKETS,
+                  max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS,
+                  sub_bits: int = DEFAULT_SUB_BITS) -> DataFrame:
+    """Adds ``rank_in_class`` (1-based), ``class_rows`` and ``total_rows``.
+
+    Order within a class: md5 key, then id, then a hash of the whole row.
+    Rows are ranked inside (class, key bucket) windows plus the bucket's
+    offset. A bucket holding more than ``max_bucket_rows`` rows can only be
+    hot because many rows share one id (the key is uniform over ids); such
+    buckets are ranked one level further down: per (key, id) group offsets,
+    then ``2**sub_bits`` sub-buckets on the top bits of the row hash (which
+    follow the row-hash order), so one id holding a third of all rows is
+    still spread over many tasks.
+    """
     hex_digits = max(1, (n_buckets - 1).bit_length() // 4)
     key = order_key(id_col, seed)
     keyed = df.withColumns({
@@ -47,27 +69,44 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
         "__row_hash": F.xxhash64(*[F.col(c) for c in df.columns]),
     })
     counts = keyed.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(label).orderBy("__bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
     whole_class = Window.partitionBy(label)
     whole_table = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # A table of at most (number of classes) x n_buckets rows.
-    offsets = counts.select(
-        label, "__bucket",
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(whole_class).alias("class_rows"),
-        F.sum("__n").over(whole_table).alias("total_rows"),
-    )
+    offsets = (_prefix_offsets(counts, [label], ["__bucket"])
+               .select(label, "__bucket", F.col("__off").alias("__offset"),
+                       (F.col("__n") > max_bucket_rows).alias("__hot"),
+                       F.sum("__n").over(whole_class).alias("class_rows"),
+                       F.sum("__n").over(whole_table).alias("total_rows")))
+    rows = keyed.join(F.broadcast(offsets), [label, "__bucket"])
+    out_cols = [*df.columns, "class_rows", "total_rows", "rank_in_class"]
+
     within = Window.partitionBy(label, "__bucket").orderBy("__key", id_col, "__row_hash")
-    return (keyed.join(F.broadcast(offsets), [label, "__bucket"])
-            .withColumn("rank_in_class", F.col("__offset") + F.row_number().over(within))
-            .drop("__key", "__bucket", "__offset", "__row_hash"))
+    normal = (rows.where(~F.col("__hot"))
+              .withColumn("rank_in_class", F.col("__offset") + F.row_number().over(within)))
+
+    # Hot buckets: (key, id) group offsets inside the bucket, then row-hash
+    # sub-bucket offsets inside the group; both tables are small.
+    hot = rows.where(F.col("__hot")).withColumn(
+        "__sub", F.shiftrightunsigned(F.col("__row_hash"), 64 - sub_bits)
+        .bitwiseXOR(F.lit(1 << (sub_bits - 1))))
+    group = [label, "__bucket", "__key", id_col]
+    groups = _prefix_offsets(hot.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")),
+                             [label, "__bucket"], ["__key", id_col])
+    subs = _prefix_offsets(hot.groupBy(*group, "__sub").agg(F.count(F.lit(1)).alias("__n")),
+                           group, ["__sub"])
+    in_sub = Window.partitionBy(*group, "__sub").orderBy("__row_hash")
+    hot_ranked = (hot.join(groups.select(*group, F.col("__off").alias("__goff")), group)
+                  .join(subs.select(*group, "__sub", F.col("__off").alias("__soff")),
+                        [*group, "__sub"])
+                  .withColumn("rank_in_class", F.col("__offset") + F.col("__goff")
+                              + F.col("__soff") + F.row_number().over(in_sub)))
+    return normal.select(*out_cols).unionByName(hot_ranked.select(*out_cols))
 
 
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking_id",
                      test_size: float = TEST_SIZE, seed: int = SEED,
-                     folds: int = CV_FOLDS,
-                     n_buckets: int = DEFAULT_KEY_BUCKETS) -> DataFrame:
+                     folds: int = CV_FOLDS, n_buckets: int = DEFAULT_KEY_BUCKETS,
+                     max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
     """S2 (+S3): adds ``is_test`` and, for training rows, ``fold``.
 
     Test size is ``ceil(test_size * n)`` spread over classes in proportion:
@@ -76,7 +115,7 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking
     that follow are dealt round-robin into ``folds`` folds, so fold sizes
     differ by at most one per class.
     """
-    ranked = rank_in_class(df, label, id_col, seed, n_buckets)
+    ranked = rank_in_class(df, label, id_col, seed, n_buckets, max_bucket_rows)
     n_test = F.ceil(F.lit(float(test_size)) * F.col("total_rows"))
     # In double: n_test x class_rows overflows 64-bit integers past ~3e9 rows.
     quota = F.round(n_test.cast("double") * F.col("class_rows")

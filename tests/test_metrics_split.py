@@ -110,3 +110,29 @@ def test_s1_features_and_target(spark):
     df = spark.createDataFrame([(1, 1.0, "a"), (2, 0.0, "b")], "booking_id bigint, no_show double, branch string")
     out = S.features_and_target(df)
     assert "no_show" not in out.columns and [r.label for r in out.collect()] == [1, 0]
+
+
+def test_hot_id_is_spread_and_ranked_exactly(spark):
+    from pyspark.sql import Window
+    # 40 % of the rows share booking_id 7 (copies that differ in another column).
+    rows = [(7 if i % 5 < 2 else 1000 + i, i % 2, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "booking_id bigint, label int, v double")
+    got = S.rank_in_class(df, "label", "booking_id", n_buckets=16, max_bucket_rows=50)
+    key = S.order_key("booking_id")
+    rh = F.xxhash64(*[F.col(c) for c in df.columns])
+    brute = df.withColumn("want", F.row_number().over(
+        Window.partitionBy("label").orderBy(key, "booking_id", rh)))
+    joined = got.join(brute, ["booking_id", "label", "v"])
+    assert joined.count() == 3000
+    assert joined.where("rank_in_class != want").count() == 0
+    # the hot group is cut into many sub-buckets, not one task
+    subs = df.where("booking_id = 7").select(
+        F.shiftrightunsigned(rh, 58).alias("s")).distinct().count()
+    assert subs > 16
+
+
+def test_split_unchanged_when_nothing_is_hot(spark):
+    base = labelled(spark, SF01)
+    a = S.stratified_split(base).select("booking_id", "rank_in_class")
+    b = S.stratified_split(base, max_bucket_rows=1).select("booking_id", "rank_in_class")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
