@@ -33,10 +33,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only
-    when the session has none (local runs and tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``. Only a local-mode
+    session without one gets a scratch folder (tests, single-machine runs);
+    on a cluster a machine-local folder would not survive an executor loss,
+    so the setting is required there."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a shared folder (for example "
+                               "on the cluster file system); stage tables are written there.")
         configured = tempfile.mkdtemp(prefix="quaybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
