@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quaybook.config import LOG_LOSS_EPS
 from quaybook.plans.prefix import DEFAULT_BUCKETS, quantile_edges, running_totals
+from quaybook.plans.stages import materialize
 
 THRESHOLD = 0.5
 METRIC_DIGITS = 10
@@ -33,7 +34,12 @@ def predict_class(scored: DataFrame, score: str = "score", out: str = "predictio
 def score_table(scored: DataFrame, label: str = "label", score: str = "score",
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Distinct scores (descending) with pos/neg counts, running tp/fp and
-    the totals P/N. Columns: score, pos, neg, bucket, row_index, tp, fp, P, N."""
+    the totals P/N. Columns: score, pos, neg, bucket, row_index, tp, fp, P, N.
+
+    The table is written once (a checkpoint in ``spark.checkpoint.dir``):
+    the curves read it several times (points, start/end point, neighbour
+    join), and those branches prune different columns, so Spark would not
+    reuse one computation for them."""
     y = F.col(label).cast("int")
     rows = (scored.where(F.col(score).isNotNull() & y.isNotNull())
             .select(F.col(score).cast("double").alias("score"), y.alias("y")))
@@ -41,9 +47,9 @@ def score_table(scored: DataFrame, label: str = "label", score: str = "score",
                                     F.sum(1 - F.col("y")).cast("bigint").alias("neg"))
     t = running_totals(per, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets,
                        edges=quantile_edges(rows, "score", n_buckets))
-    return t.select("score", "pos", "neg", "bucket", "row_index",
-                    F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                    F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))
+    return materialize(t.select("score", "pos", "neg", "bucket", "row_index",
+                                F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                                F.col("total_pos").alias("P"), F.col("total_neg").alias("N")))
 
 
 def _r(c: Column) -> Column:
