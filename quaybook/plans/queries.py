@@ -128,7 +128,10 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.stratified_split(labelled(spark, sf_dir))
+    """The feature table with split and fold ids, written once per session
+    (the experiment chain writes it the same way)."""
+    return stage_table(spark, ("split", sf_dir),
+                       lambda: S.stratified_split(labelled(spark, sf_dir)))
 
 
 def doc_length_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
