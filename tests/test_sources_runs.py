@@ -47,3 +47,14 @@ def test_cv_table_param_columns(spark):
             "param_model__learning_rate", "param_model"} <= set(t.columns)
     row = t.where("candidate_id = 0").first()
     assert row.param_model__learning_rate is None and row.param_model__n_estimators == "100"
+
+
+def test_chain_runner_writes_every_stage(spark, scratch):
+    from quaybook.plans.run import run_chain
+    out = run_chain(spark, os.path.join(scratch, "run"), given_dir=SF001, with_model=False)
+    assert spark.read.parquet(out["features"]).count() == 1483
+    res = spark.read.json(os.path.join(scratch, "run", "validation", "raw_results"))
+    assert res.count() == 69
+    fail = spark.read.option("header", True).csv(
+        os.path.join(scratch, "run", "validation", "cleaned_failures"))
+    assert fail.count() >= 1
