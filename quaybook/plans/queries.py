@@ -40,19 +40,36 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_table(spark, ("raw_bookings", sf_dir), lambda: derive_raw_bookings(spark, sf_dir))
 
 
-def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
-    df = raw(spark, sf_dir)
-    for name, fn in CLEAN_STEPS:
+ROW_LOCAL_FROM = "c4"  # C4-C7 are row-local projections
+
+
+def _steps(df: DataFrame, steps, until: str) -> DataFrame:
+    for name, fn in steps:
         df = fn(df)
-        if name == step:
+        if name == until:
             return df
-    raise ValueError(step)
+    raise ValueError(until)
+
+
+def after_c3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left after C1-C3 (the two passes that need the whole table),
+    written once per session; the row-local C4-C7 start from here."""
+    return stage_table(spark, ("after_c3", sf_dir),
+                       lambda: _steps(raw(spark, sf_dir), CLEAN_STEPS, "c3"))
+
+
+def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
+    names = [n for n, _ in CLEAN_STEPS]
+    if names.index(step) < names.index(ROW_LOCAL_FROM):
+        return _steps(raw(spark, sf_dir), CLEAN_STEPS, step)
+    row_local = CLEAN_STEPS[names.index(ROW_LOCAL_FROM):]
+    return _steps(after_c3(spark, sf_dir), row_local, step)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned booking table, written at the stage boundary."""
+    """The cleaned booking table (C1-C7), written at the stage boundary."""
     return stage_table(spark, ("cleaned_bookings", sf_dir),
-                       lambda: C.clean(raw(spark, sf_dir), DEFAULT))
+                       lambda: cleaned_until(spark, sf_dir, "c7"))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +131,7 @@ QUERIES.update({
 def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic scores on the rows left after C1-C3 (stand-in for model
     output, which SQL cannot reproduce)."""
-    base = stage_table(spark, ("after_c3", sf_dir), lambda: cleaned_until(spark, sf_dir, "c3"))
+    base = after_c3(spark, sf_dir)
     return base.select(
         "booking_id",
         F.col("no_show").cast("int").alias("label"),
