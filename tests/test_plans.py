@@ -35,3 +35,13 @@ def test_c1_is_one_shuffle_with_partial_aggregation(spark):
     plan = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("HashAggregate(") == 2
+
+
+def test_examples_are_group_limited_on_both_sides_of_the_shuffle(spark):
+    df = raw(spark, SF001)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ex = Q._examples(df, Q.build_suite(), types)
+    ex.collect()
+    plan = ex._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # a partial limit before the exchange and a final one after it
+    assert plan.count("WindowGroupLimit") >= 2
