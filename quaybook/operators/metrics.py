@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quaybook.config import LOG_LOSS_EPS
 from quaybook.plans.prefix import DEFAULT_BUCKETS, quantile_edges, running_totals
-from quaybook.plans.stages import materialize
+from quaybook.plans.stages import write_stage
 
 THRESHOLD = 0.5
 METRIC_DIGITS = 10
@@ -31,15 +31,13 @@ def predict_class(scored: DataFrame, score: str = "score", out: str = "predictio
     return scored.withColumn(out, (F.col(score) > F.lit(threshold)).cast("int"))
 
 
-def score_table(scored: DataFrame, label: str = "label", score: str = "score",
+def score_rows(scored: DataFrame, label: str = "label", score: str = "score",
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Distinct scores (descending) with pos/neg counts, running tp/fp and
     the totals P/N. Columns: score, pos, neg, bucket, row_index, tp, fp, P, N.
 
-    The table is written once (a checkpoint in ``spark.checkpoint.dir``):
-    the curves read it several times (points, start/end point, neighbour
-    join), and those branches prune different columns, so Spark would not
-    reuse one computation for them."""
+    A row with a null score or label cannot be ranked; ``dropped_scores``
+    counts those rows."""
     y = F.col(label).cast("int")
     rows = (scored.where(F.col(score).isNotNull() & y.isNotNull())
             .select(F.col(score).cast("double").alias("score"), y.alias("y")))
@@ -47,9 +45,24 @@ def score_table(scored: DataFrame, label: str = "label", score: str = "score",
                                     F.sum(1 - F.col("y")).cast("bigint").alias("neg"))
     t = running_totals(per, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets,
                        edges=quantile_edges(rows, "score", n_buckets))
-    return materialize(t.select("score", "pos", "neg", "bucket", "row_index",
-                                F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                                F.col("total_pos").alias("P"), F.col("total_neg").alias("N")))
+    return t.select("score", "pos", "neg", "bucket", "row_index",
+                    F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                    F.col("total_pos").alias("P"), F.col("total_neg").alias("N"))
+
+
+def score_table(scored: DataFrame, label: str = "label", score: str = "score",
+                n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``score_rows`` written once as a stage: the metrics and curves read
+    it several times and prune different columns, so Spark would not reuse
+    one computation for them."""
+    return write_stage(score_rows(scored, label, score, n_buckets), "scores")
+
+
+def dropped_scores(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Rows that ``score_rows`` leaves out, by reason."""
+    return scored.agg(
+        F.count_if(F.col(score).isNull()).alias("null_score"),
+        F.count_if(F.col(score).isNotNull() & F.col(label).cast("int").isNull()).alias("null_label"))
 
 
 def _r(c: Column) -> Column:

@@ -17,7 +17,7 @@ from quaybook.operators import models as MD
 from quaybook.operators import report as RP
 from quaybook.operators import runs as L
 from quaybook.operators import split as S
-from quaybook.plans.stages import materialize
+from quaybook.plans.stages import write_stage
 
 
 def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = None,
@@ -28,14 +28,14 @@ def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = Non
     spark = features.sparkSession
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     labelled = features.withColumn("label", F.col(target).cast("int"))
-    split = materialize(S.stratified_split(labelled, id_col=id_col, test_size=test_size))
+    split = write_stage(S.stratified_split(labelled, id_col=id_col, test_size=test_size), "split")
     train, test = S.train_test(split)
     grid = grid if grid is not None else MD.candidate_grid()
     cv = MD.grid_search(train, grid, parallelism=parallelism)
     best = MD.select_best(cv)
     entry = next(g for g in grid if g["candidate_id"] == best["candidate_id"])
     model = K.calibrate(train, entry)
-    scored = materialize(model.predict_proba(test).select(id_col, "label", "score"))
+    scored = write_stage(model.predict_proba(test).select(id_col, "label", "score"), "scored")
     metrics = M.evaluate(scored).first().asDict()
     model_path = L.persist_model(model, root)
     K.save_manifest(spark, model_path, {"folds": len(model.pipelines), "entry": {

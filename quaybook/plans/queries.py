@@ -20,7 +20,7 @@ from quaybook.operators import report as RP
 from quaybook.operators import split as S
 from quaybook.plans.stages import stage_table
 from quaybook.sources.bookings import derive_raw_bookings
-from quaybook.sources.tables import read_table
+from quaybook.sources.tables import read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,9 +35,16 @@ CLEAN_STEPS = (
 )
 
 
+def _stage(spark: SparkSession, name: str, sf_dir: str, build,
+           tables: tuple[str, ...] = ("orders", "customer")) -> DataFrame:
+    """A stage of the given tables, rebuilt when their files change."""
+    return stage_table(spark, (name, sf_dir), build,
+                       tuple(table_path(sf_dir, t) for t in tables))
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw booking table, ingested once per session and source."""
-    return stage_table(spark, ("raw_bookings", sf_dir), lambda: derive_raw_bookings(spark, sf_dir))
+    return _stage(spark, "raw_bookings", sf_dir, lambda: derive_raw_bookings(spark, sf_dir))
 
 
 ROW_LOCAL_FROM = "c4"  # C4-C7 are row-local projections
@@ -54,8 +61,8 @@ def _steps(df: DataFrame, steps, until: str) -> DataFrame:
 def after_c3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows left after C1-C3 (the two passes that need the whole table),
     written once per session; the row-local C4-C7 start from here."""
-    return stage_table(spark, ("after_c3", sf_dir),
-                       lambda: _steps(raw(spark, sf_dir), CLEAN_STEPS, "c3"))
+    return _stage(spark, "after_c3", sf_dir,
+                  lambda: _steps(raw(spark, sf_dir), CLEAN_STEPS, "c3"))
 
 
 def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
@@ -68,8 +75,8 @@ def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned booking table (C1-C7), written at the stage boundary."""
-    return stage_table(spark, ("cleaned_bookings", sf_dir),
-                       lambda: cleaned_until(spark, sf_dir, "c7"))
+    return _stage(spark, "cleaned_bookings", sf_dir,
+                  lambda: cleaned_until(spark, sf_dir, "c7"))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +146,9 @@ def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.score_table(scored_fixture(spark, sf_dir))
+    """The fixture's score table, written once per session."""
+    return _stage(spark, "scores", sf_dir,
+                  lambda: M.score_rows(scored_fixture(spark, sf_dir)))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +159,8 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with split and fold ids, written once per session
     (the experiment chain writes it the same way)."""
-    return stage_table(spark, ("split", sf_dir),
-                       lambda: S.stratified_split(labelled(spark, sf_dir)))
+    return _stage(spark, "split", sf_dir,
+                  lambda: S.stratified_split(labelled(spark, sf_dir)))
 
 
 def doc_length_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +174,12 @@ def doc_length_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_chars").cast("double").alias("score")))
 
 
+def doc_score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage(spark, "doc_scores", sf_dir,
+                  lambda: M.score_rows(doc_length_scores(spark, sf_dir)),
+                  ("documents", "labels"))
+
+
 def _roc(s, d):
     return R.roc_points(score_table(s, d))
 
@@ -190,8 +205,8 @@ QUERIES.update({
     "r12_pr": _pr,
     "r13_pr_guide": lambda s, d: R.pr_guide_point(_pr(s, d)),
     "r14_calibration": lambda s, d: R.calibration_curve(scored_fixture(s, d)),
-    "e3_auc_doc_length_quality": lambda s, d: M.roc_auc(M.score_table(doc_length_scores(s, d))),
-    "r10_roc_doc_length_quality": lambda s, d: R.roc_points(M.score_table(doc_length_scores(s, d))),
+    "e3_auc_doc_length_quality": lambda s, d: M.roc_auc(doc_score_table(s, d)),
+    "r10_roc_doc_length_quality": lambda s, d: R.roc_points(doc_score_table(s, d)),
 })
 
 

@@ -20,7 +20,7 @@ from quaybook.operators import clean as C
 from quaybook.operators import features as FE
 from quaybook.operators import models as MD
 from quaybook.operators import quality as Q
-from quaybook.plans.stages import materialize
+from quaybook.plans.stages import write_stage
 from quaybook.sources import sinks
 from quaybook.sources.bookings import derive_raw_bookings, read_raw_bookings
 
@@ -36,8 +36,8 @@ def run_chain(spark: SparkSession, out: str, raw_path: str | None = None,
         raw = derive_raw_bookings(spark, given_dir)
     else:
         raise ValueError("give raw_path or given_dir")
-    raw = materialize(raw)
-    cleaned = materialize(C.clean(raw, DEFAULT))
+    raw = write_stage(raw, "raw")
+    cleaned = write_stage(C.clean(raw, DEFAULT), "cleaned")
     sinks.write_parquet(cleaned, os.path.join(out, "cleaned"))
     for name, table in (("raw", raw), ("cleaned", cleaned)):
         results = Q.run_suite(table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,10 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     so the setting is required there."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local" and "local[n]" run executors inside the driver; "local-cluster"
+        # does not, and counts as a cluster.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("Set spark.checkpoint.dir to a shared folder (for example "
                                "on the cluster file system); stage tables are written there.")
         configured = tempfile.mkdtemp(prefix="quaybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if spark._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
