@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.llm import packing
+from quaybook.llm import packing, token_counts
 from quaybook.sources.tables import read_table
 
 
@@ -30,8 +30,14 @@ def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
+    "op7_token_counts": op7_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
