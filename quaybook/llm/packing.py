@@ -43,7 +43,7 @@ from quaybook.llm.common import pick, prepare
 SEQ_LEN = 1024
 CELL_TOKENS = 1 << 22
 BLOCK_CHARS = 1 << 20  # texts are split into words this much at a time
-CACHE_SEGMENTS = 150_000  # of each of the two cache generations
+CACHE_SEGMENTS = 400_000  # of each of the two cache generations
 CACHE_LEN = 48  # longer segments aren't kept
 PARTITION_BITS = 36
 
