@@ -98,8 +98,10 @@ class PieceCounter:
             while 0 <= (end := text.find(" ", end)) and text[end - 1] in (" ", SEPARATOR):
                 end += 1
             end = len(text) if end < 0 else end
-            # The space at a later block's start is the one the library adds.
-            total += self.of_texts([text[at if at == 0 else at + 1:end]])[0]
+            # The space at a later block's start is the one the library adds;
+            # a block that is this space alone counts as one piece.
+            block = text[at if at == 0 else at + 1:end]
+            total += self.of_texts([block])[0] if block else 1
             at = end
         return total
 
