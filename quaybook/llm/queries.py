@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.llm import packing, token_counts
+from quaybook.llm import decontaminate, packing, token_counts
 from quaybook.sources.tables import read_table
 
 
@@ -35,9 +35,44 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model)
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.document_hits(read_table(spark, sf_dir, "documents"),
+                                        read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_winnowing": op8_winnowing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # Brute force: every window of every document against every item's.
+    "op8_winnowing": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT r, item, i, n FROM dw JOIN bw USING (n, win)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""",
+}
