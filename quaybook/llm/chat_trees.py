@@ -1,10 +1,10 @@
 """Conversations from reply trees, in DataFrame functions.
 
 Messages form trees: a message answers its ``parent``. Paths are found by
-iterative self-joins that double their reach (pointer jumping): after round r
-every message knows an ancestor up to 2**r steps above it and how far away it
-is, so a tree of depth d takes log2(d) joins and a long chain costs rows, not
-arrays of its prefixes.
+iterative self-joins that double their reach (binary lifting): table r has the
+ancestor 2**r steps above each message that is at least that deep, so a tree
+of depth d takes log2(d) joins and a long chain costs rows, not arrays of its
+prefixes.
 
 * A branch is a root-to-leaf path; its score is the sum of its messages'
   scores, which the same joins carry along. Branches of a tree are ranked by
@@ -63,72 +63,75 @@ def reply_chain(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role
                     F.lit(0.0).alias("score"), "role", "text"))
 
 
-def _jumps(messages: DataFrame) -> list[DataFrame]:
-    """Stage r: (tree, node, up, far, worth): the ancestor 2**r steps up, or
-    the root if that is nearer; how many steps; the sum of the scores on the
-    way, the node's own included and the ancestor's not. Roots point at
-    themselves. The last stage reaches all roots."""
-    m = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-    known = m.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    first = m.join(known, ["tree", "parent"], "left").select(
-        "tree", "node", F.when(F.col("there"), F.col("parent")).otherwise(F.col("node")).alias("up"),
-        F.when(F.col("there"), 1).otherwise(0).cast("long").alias("far"),
-        F.when(F.col("there"), F.col("score")).otherwise(0.0).alias("worth"))
-    stages = [write_stage(first, "jump")]
-    n = None
-    for _ in range(MAX_ROUNDS):
-        now = stages[-1]
-        above = now.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
-                           F.col("far").alias("far2"), F.col("worth").alias("worth2"))
-        new = write_stage(now.join(above, ["tree", "up"]).select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("far") + F.col("far2")).alias("far"),
-            (F.col("worth") + F.col("worth2")).alias("worth")), "jump")
-        stages.append(new)
-        # Settled when no node got further; nodes on a cycle always do, by
-        # the same doubling, so they are told by their number.
-        moved = new.where(F.col("far") >= 2 ** len(stages) // 2).count()
-        if moved == 0 or moved == n:
+def _lifts(messages: DataFrame) -> list[DataFrame]:
+    """Table r: (tree, node, up, worth) of the messages that have an ancestor
+    2**r steps up, with the sum of the scores from the node up to, not with,
+    that ancestor. Tables shrink with r: only messages at least that deep are
+    in it. Messages under a reply cycle never run out of ancestors; the round
+    that loses no row has only those left, and ends the list."""
+    m = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("worth"))
+    known = m.select("tree", F.col("node").alias("parent"))
+    tables = [write_stage(m.join(known, ["tree", "parent"], "left_semi")
+                          .select("tree", "node", F.col("parent").alias("up"), "worth"), "lift")]
+    n = tables[0].count()
+    while n and len(tables) < MAX_ROUNDS:
+        below, above = tables[-1], tables[-1].select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
+                                                     F.col("worth").alias("worth2"))
+        new = write_stage(below.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("worth") + F.col("worth2")).alias("worth")), "lift")
+        before, n = n, new.count()
+        if n in (0, before):
             break
-        n = moved
-    return stages
+        tables.append(new)
+    return tables
+
+
+def _to_roots(nodes: DataFrame, tables: list[DataFrame], messages: DataFrame) -> DataFrame:
+    """(tree, node, root, depth, total) of the nodes (tree, node) that a root
+    reaches: from the longest jump to the shortest, each is taken if there."""
+    now = nodes.select("tree", "node", F.col("node").alias("at"), F.lit(0).cast("long").alias("depth"), F.lit(0.0).alias("total"))
+    for r in range(len(tables) - 1, -1, -1):
+        step = tables[r].select("tree", F.col("node").alias("at"), "up", "worth")
+        now = now.join(step, ["tree", "at"], "left").select(
+            "tree", "node", F.coalesce("up", "at").alias("at"),
+            (F.col("depth") + F.when(F.col("up").isNull(), 0).otherwise(2 ** r)).alias("depth"),
+            (F.col("total") + F.coalesce("worth", F.lit(0.0))).alias("total"))
+    with_parent = tables[0].select("tree", F.col("node").alias("at"))
+    own = messages.select("tree", F.col("node").alias("at"), F.coalesce("score", F.lit(0.0)).alias("own"))
+    return (now.join(with_parent, ["tree", "at"], "left_anti").join(own, ["tree", "at"])
+            .select("tree", "node", F.col("at").alias("root"), "depth", (F.col("total") + F.col("own")).alias("total")))
 
 
 def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
-    """(tree, branch, place, node): the messages of the ``top`` best branches
-    of each tree, place 0 being the root. Trees are told apart null-safely."""
+    """(tree, root, branch, place, node): the messages of the ``top`` best
+    branches of each tree, place 0 being the root. Null tree ids are one tree."""
     m = messages.withColumn("tree", F.struct(F.col("tree").alias("id")))
-    stages = _jumps(m)
-    last = stages[-1]
-    roots = stages[0].where(F.col("far") == 0).select("tree", F.col("node").alias("up"))
-    reached = last.join(roots, ["tree", "up"], "left_semi")
-    inner = m.select("tree", F.col("parent").alias("node")).distinct()
-    leaves = reached.join(inner, ["tree", "node"], "left_anti")
-    own = m.select("tree", F.col("node").alias("up"), F.coalesce("score", F.lit(0.0)).alias("root_score"))
-    rank = Window.partitionBy("tree", "up").orderBy(F.desc("total"), F.desc("far"), "node")
-    best = (leaves.join(own, ["tree", "up"]).withColumn("total", F.col("worth") + F.col("root_score"))
-            .withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= top))
-    # Segments of chosen paths: (low end, length); each round halves those longer than its jump.
-    path = best.select("tree", F.col("up").alias("root"), "branch", "node", F.lit(0).cast("long").alias("from"),
-                       F.col("far").alias("place"), F.col("far").alias("depth"))
-    for r in range(len(stages) - 2, -1, -1):
-        step = stages[r].select("tree", "node", F.col("up").alias("mid"), F.col("far").alias("jump"))
+    tables = _lifts(m)
+    inner = tables[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = _to_roots(m.select("tree", "node").join(inner, ["tree", "node"], "left_anti"), tables, m)
+    rank = Window.partitionBy("tree", "root").orderBy(F.desc("total"), F.desc("depth"), "node")
+    best = leaves.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= top)
+    # Segments of chosen paths by their low end. Each round cuts those longer than its jump in two.
+    path = write_stage(best.select("tree", "root", "branch", "node", F.lit(0).cast("long").alias("from"),
+                                   F.col("depth").alias("place")), "path")
+    for r in range(len(tables) - 1, -1, -1):
+        step = tables[r].select("tree", "node", F.col("up").alias("mid"))
+        middle = F.col("place") - 2 ** r
         path = write_stage(
-            path.join(step, ["tree", "node"])
-            .withColumn("cut", (F.col("jump") > 0) & (F.col("place") - F.col("jump") >= F.col("from")) & (F.col("place") > F.col("from")))
-            .select("tree", "root", "branch", "depth", F.explode(F.when(F.col("cut"), F.array(
-                F.struct(F.col("node"), (F.col("place") - F.col("jump") + 1).alias("from"), F.col("place")),
-                F.struct(F.col("mid").alias("node"), F.col("from"), (F.col("place") - F.col("jump")).alias("place"))))
+            path.join(step, ["tree", "node"], "left")
+            .select("tree", "root", "branch", F.explode(F.when(middle >= F.col("from"), F.array(
+                F.struct(F.col("node"), (middle + 1).alias("from"), F.col("place")),
+                F.struct(F.col("mid").alias("node"), F.col("from"), middle.alias("place"))))
                 .otherwise(F.array(F.struct("node", "from", "place")))).alias("s"))
-            .select("tree", "root", "branch", "depth", "s.node", "s.from", "s.place"), "path")
+            .select("tree", "root", "branch", "s.node", "s.from", "s.place"), "path")
     return path.select(F.col("tree.id").alias("tree"), "root", "branch", "place", "node")
 
 
 def orphans(messages: DataFrame) -> DataFrame:
     """(tree, node) of messages that no root reaches (reply cycles)."""
     m = messages.withColumn("tree", F.struct(F.col("tree").alias("id")))
-    stages = _jumps(m)
-    roots = stages[0].where(F.col("far") == 0).select("tree", F.col("node").alias("up"))
-    return stages[-1].join(roots, ["tree", "up"], "left_anti").select(F.col("tree.id").alias("tree"), "node")
+    reached = _to_roots(m.select("tree", "node"), _lifts(m), m)
+    return m.select("tree", "node").join(reached, ["tree", "node"], "left_anti").select(F.col("tree.id").alias("tree"), "node")
 
 
 def _turn(role: Column, text: Column) -> Column:
