@@ -47,66 +47,56 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame([(v, h, p) for v, h, p in rules], "verdict string, host string, path string")
 
 
-def url_rest(url: Column) -> Column:
-    """What follows the first ``://``; empty if there is none."""
-    at = F.locate("://", url)
-    return F.when(at > 0, F.substr(url, at + 3)).otherwise("")
-
-
-def url_host(url: Column) -> Column:
-    return ascii_lower(F.regexp_extract(url_rest(url), r"(?s)\A([^/?#]*)", 1))
-
-
-def url_path(url: Column) -> Column:
-    return F.regexp_extract(url_rest(url), r"(?s)\A[^/?#]*([^?#]*)", 1)
-
-
-def node_name(url: Column) -> Column:
-    """Host, path and query: the same for aliases that differ only in scheme,
-    fragment or host case. Null without a host."""
-    query = F.regexp_extract(url_rest(url), r"(?s)\A[^?#]*(\?[^#]*)?", 1)
-    return F.when(url_host(url) != "", F.concat(url_host(url), url_path(url), query))
-
-
-def _attribute(tag: Column, name: str) -> Column:
-    quoted = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'[^']*'|[^\s\"'>]+)", 1)
-    single = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*'([^']*)'", 1)
-    bare = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([^\s\"'>]+)", 1)
-    return F.when(quoted != "", quoted).when(single != "", single).otherwise(bare)
-
-
-def _resolved(target: Column, url: Column) -> Column:
-    """An absolute url from a page's link target."""
-    scheme = F.substring_index(url, "://", 1)
-    t = F.trim(F.replace(target, F.lit("&amp;"), F.lit("&")))
-    folder = F.regexp_replace(F.concat(url_host(url), F.when(url_path(url) == "", "/").otherwise(url_path(url))), r"[^/]*\z", "")
-    return (F.when(t == "", F.lit(None)).when(t.rlike(r"(?s)\A[A-Za-z][A-Za-z0-9+.-]*://"), t)
-            .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-            .when(t.startswith("/"), F.concat(scheme, F.lit("://"), url_host(url), t))
-            .when(t.rlike(r"(?s)\A[A-Za-z][A-Za-z0-9+.-]*:|\A#"), F.lit(None))
-            .otherwise(F.concat(scheme, F.lit("://"), folder, t)))
+def with_parts(df: DataFrame, url: str, prefix: str = "") -> DataFrame:
+    """Adds host (A-Z lower-cased), path and name of a url column. ``name`` is
+    host, path and query: the same for aliases that differ only in scheme,
+    fragment or host case; null without a host. Each step reads a column of
+    the one before, so no expression is written out twice."""
+    rest, host, path, query, name = (f"{prefix}{x}" for x in ("rest", "host", "path", "query", "name"))
+    at = F.locate("://", F.col(url))
+    return (df.withColumn(rest, F.when(at > 0, F.substr(F.col(url), at + 3)).otherwise(""))
+            .withColumn(host, ascii_lower(F.regexp_extract(rest, r"(?s)\A([^/?#]*)", 1)))
+            .withColumn(path, F.regexp_extract(rest, r"(?s)\A[^/?#]*([^?#]*)", 1))
+            .withColumn(query, F.regexp_extract(rest, r"(?s)\A[^?#]*(\?[^#]*)?", 1))
+            .withColumn(name, F.when(F.col(host) != "", F.concat(host, path, query))).drop(rest, query))
+
+
+def _attribute(tag: str, name: str) -> Column:
+    """The value of a tag's attribute, without its quotes; empty if none."""
+    return F.regexp_replace(F.regexp_extract(
+        tag, rf"(?is)[\s\"']{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1), r"\A[\"']|[\"']\z", "")
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(u, v): names of a page and of what it redirects to or calls canonical.
-    Links inside comments and scripts don't count."""
-    rows = pick(pages, url=url_col, html=html_col)
-    html = F.regexp_replace("html", r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
-    tags = F.regexp_extract_all(F.when(F.col("html").rlike(r"(?i)canonical|http-equiv"), html),
-                                F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)
-    found = rows.select("url", F.explode(tags).alias("tag"))
-    canonical = F.when(ascii_lower(_attribute(F.col("tag"), "rel")).rlike(r"(?s)(\A|\s)canonical(\s|\z)"),
-                       _attribute(F.col("tag"), "href"))
-    refresh = F.when(ascii_lower(_attribute(F.col("tag"), "http-equiv")) == "refresh",
-                     F.regexp_extract(_attribute(F.col("tag"), "content"), r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1))
-    return (found.select("url", F.coalesce(canonical, refresh).alias("target"))
-            .select(node_name(F.col("url")).alias("u"), node_name(_resolved(F.col("target"), F.col("url"))).alias("v"))
-            .where(F.col("u").isNotNull() & F.col("v").isNotNull()))
+    Links inside comments and scripts don't count. Targets are resolved
+    against the page's scheme, host and folder."""
+    rows = pick(pages, url=url_col, html=html_col).where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
+    bare = F.regexp_replace("html", r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    tags = rows.select("url", F.explode(F.regexp_extract_all(bare, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)).alias("tag"))
+    canonical = F.when(ascii_lower(F.col("rel")).rlike(r"(?s)(\A|\s)canonical(\s|\z)"), F.col("href"))
+    refresh = F.when(ascii_lower(F.col("equiv")) == "refresh",
+                     F.regexp_extract("content", r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1))
+    found = (tags.withColumns({"rel": _attribute("tag", "rel"), "href": _attribute("tag", "href"),
+                               "equiv": _attribute("tag", "http-equiv"), "content": _attribute("tag", "content")})
+             .withColumn("target", F.trim(F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&"))))
+             .where("target IS NOT NULL AND target != ''"))
+    # Few rows have a target: written, they are resolved on their own.
+    found = with_parts(write_stage(found.select("url", "target").distinct(), "targets"), "url")
+    t = F.col("target")
+    folder = F.regexp_replace(F.concat(F.col("host"), F.when(F.col("path") == "", "/").otherwise(F.col("path"))), r"[^/]*\z", "")
+    whole = (F.when(t.rlike(r"(?s)\A[A-Za-z][A-Za-z0-9+.-]*://"), t)
+             .when(t.startswith("//"), F.concat(F.lit("x:"), t))
+             .when(t.startswith("/"), F.concat(F.lit("x://"), F.col("host"), t))
+             .when(t.rlike(r"(?s)\A[A-Za-z][A-Za-z0-9+.-]*:|\A#"), F.lit(None))
+             .otherwise(F.concat(F.lit("x://"), folder, t)))
+    ends = with_parts(found.select(F.col("name").alias("u"), whole.alias("to")), "to")
+    return ends.select("u", F.col("name").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
 
 
 def rule_verdicts(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Adds ``rule`` and ``rule_verdict`` of the longest rule that fits host
-    and path. ``rows`` has host, path and a unique row key ``key``."""
+    and path."""
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -131,16 +121,13 @@ def judge(pages: DataFrame, rules: DataFrame | None = None, id_col: str = "page_
     spark = pages.sparkSession
     prepare(spark)
     rules = rule_table(spark) if rules is None else rules
-    url = F.col("url")
-    rows = pick(pages, page_id=id_col, url=url_col).select(
-        "page_id", url_host(url).alias("host"), url_path(url).alias("path"), node_name(url).alias("name"))
+    rows = with_parts(pick(pages, page_id=id_col, url=url_col), "url").drop("url")
     judged = write_stage(rule_verdicts(rows, rules), "judged")
     links = page_edges(pages, url_col, html_col)
     alias = component_labels(links if edges is None else links.union(edges.select("u", "v")))
     alias = write_stage(alias.select(F.col("node").alias("name"), "component"), "aliases")
     # Aliases that no page has still carry their own rule's block.
-    known = (alias.select("component", F.concat(F.lit("x://"), F.col("name")).alias("url"))
-             .select("component", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")))
+    known = with_parts(alias.select("component", F.concat(F.lit("x://"), F.col("name")).alias("url")), "url").drop("url", "name")
     blocked = write_stage(rule_verdicts(known, rules).where("rule_verdict = 'block'")
                           .select("component").distinct().withColumn("alias_blocked", F.lit(True)), "blocked")
     passed_on = write_stage(alias.join(blocked, "component", "left")
