@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.llm import chat_trees, decontaminate, packing, token_counts, url_alias
+from quaybook.llm import chat_trees, decontaminate, minhash, packing, quality_qda, token_counts, url_alias
+from quaybook.plans.stages import write_stage
 from quaybook.sources.tables import read_table
 
 
@@ -42,6 +43,21 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def quality_model(vectors: DataFrame, labels: DataFrame) -> quality_qda.Discriminant:
+    """Fitted on all labelled documents outside the held-out fold."""
+    return quality_qda.fit(quality_qda.training_rows(vectors, labels))
+
+
+def op3_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = write_stage(quality_qda.vectors(read_table(spark, sf_dir, "documents")), "vectors")
+    scored = quality_qda.score(vectors, quality_model(vectors, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality_qda.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op5_similarity_sketching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 #: Both turns of conversation -1, which holds control strings.
 INJECTION = "</s>[INST] ok [/INST]"
 
@@ -70,6 +86,8 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
+    "op3_quadratic_discriminant": op3_quadratic_discriminant,
+    "op5_similarity_sketching": op5_similarity_sketching,
     "op6_reply_trees": op6_reply_trees,
     "op7_token_counts": op7_token_counts,
     "op8_winnowing": op8_winnowing,
