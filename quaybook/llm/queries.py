@@ -11,7 +11,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.llm import chat_trees, decontaminate, minhash, packing, quality_qda, token_counts, url_alias
+from quaybook.llm import (
+    chat_trees,
+    decontaminate,
+    flat_graph,
+    minhash,
+    packing,
+    quality_qda,
+    style_tree,
+    token_counts,
+    url_alias,
+    warc_zip,
+)
 from quaybook.plans.stages import write_stage
 from quaybook.sources.tables import read_table
 
@@ -43,6 +54,14 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page, then read the packages back; all columns are read."""
+    pages = read_table(spark, sf_dir, "pages")
+    read = warc_zip.read_packages(warc_zip.write_packages(pages))
+    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def quality_model(vectors: DataFrame, labels: DataFrame) -> quality_qda.Discriminant:
     """Fitted on all labelled documents outside the held-out fold."""
     return quality_qda.fit(quality_qda.training_rows(vectors, labels))
@@ -54,6 +73,10 @@ def op3_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_qda.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_similarity_sketching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -80,17 +103,24 @@ def chat_digest(formatted: DataFrame) -> DataFrame:
                         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_alias.judge(read_table(spark, sf_dir, "pages")).drop("component")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
+    "op2_zip_archive": op2_zip_archive,
     "op3_quadratic_discriminant": op3_quadratic_discriminant,
+    "op4_flat_graph": op4_flat_graph,
     "op5_similarity_sketching": op5_similarity_sketching,
     "op6_reply_trees": op6_reply_trees,
     "op7_token_counts": op7_token_counts,
     "op8_winnowing": op8_winnowing,
+    "op9_site_style_tree": op9_site_style_tree,
     "op10_redirect_equivalence": op10_redirect_equivalence,
 }
 
