@@ -23,6 +23,7 @@ import itertools
 import math
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -55,24 +56,32 @@ CANDIDATES = (
     {"name": "xgboost_preprocessor_v1", "preprocessing": {"type": "preprocessor_v1"},
      "model": "xgboost"},
 )
-REQUIRED_MODEL_KEYS = ("estimator", "search_grid")
+@dataclass(frozen=True)
+class ModelFamily:
+    """M1: what a candidate trains. A family can't exist without the kind of
+    its estimator and a grid to search."""
+
+    kind: str
+    grid: dict
+    fixed: dict
+
+    @classmethod
+    def of(cls, name: str, families=None) -> "ModelFamily":
+        conf = (MODEL_FAMILIES if families is None else families).get(name) or {}
+        estimator, grid = conf.get("estimator") or {}, conf.get("search_grid")
+        lacking = [part for part, there in (("an estimator kind", estimator.get("type")), ("a search grid", grid)) if not there]
+        if lacking:
+            raise ValueError(f"model family {name!r} has no {' and no '.join(lacking)}")
+        return cls(estimator["type"], grid, estimator.get("params", {}))
 
 
 def select_candidate_configs(candidates=CANDIDATES, families=MODEL_FAMILIES) -> list[dict]:
-    """M1: the model config of each candidate; missing pieces -> ValueError."""
-    out = []
-    for cand in candidates:
-        name = cand["model"]
-        if name not in families:
-            raise ValueError(f"Missing model hyperparameters for '{name}'.")
-        conf = families[name]
-        missing = [k for k in REQUIRED_MODEL_KEYS if k not in conf]
-        if missing:
-            raise ValueError(f"Missing model hyperparameter keys for '{name}': {missing}")
-        if "type" not in conf["estimator"]:
-            raise ValueError(f"Missing estimator type for '{name}'.")
-        out.append(conf)
-    return out
+    """M1: the model config of each candidate, in order; each must make a
+    whole ``ModelFamily``."""
+    names = [c["model"] for c in candidates]
+    for name in set(names):
+        ModelFamily.of(name, families)
+    return [families[name] for name in names]
 
 
 def _leaves_to_depth(leaves: int) -> int:
@@ -115,11 +124,10 @@ MODEL_REGISTRY = {"RandomForestClassifier": _rf, "LGBMClassifier": _leafwise,
 
 def build_model(estimator: dict, params: dict | None = None, label: str = "label"):
     """M2-M5: a Spark estimator for the named model type; unknown -> ValueError."""
-    kind = estimator.get("type")
-    if kind not in MODEL_REGISTRY:
-        raise ValueError(f"Unsupported model type: {kind}. "
-                         f"Expected one of: {sorted(MODEL_REGISTRY)}")
-    return MODEL_REGISTRY[kind](params or {}, estimator.get("params", {}), label)
+    make = MODEL_REGISTRY.get(estimator.get("type"))
+    if make is None:
+        raise ValueError(f"no Spark estimator stands for {estimator.get('type')!r}; there are {', '.join(MODEL_REGISTRY)}")
+    return make(params or {}, estimator.get("params", {}), label)
 
 
 def expand_grid(grid: dict) -> list[dict]:

@@ -37,9 +37,8 @@ def fill_missing_categories(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFra
 
 
 def passthrough_features(transformed, all_features=ALL_FEATURES) -> list[str]:
-    """P5: features not in ``transformed``, original order kept."""
-    skip = set(transformed)
-    return [f for f in all_features if f not in skip]
+    """P5: what no stage transforms, in the order of ``all_features``."""
+    return sorted(set(all_features).difference(transformed), key=list(all_features).index)
 
 
 # --- M6 -----------------------------------------------------------------------
@@ -114,9 +113,9 @@ def preprocessor_v1(numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES,
     numeric = list(numeric)
     categorical = list(categorical)
     select = ["*"]
-    select += [f"coalesce(CAST({c} AS STRING), '{MISSING_CATEGORY}') AS {c}__cat" for c in categorical]
-    select += [f"CAST({c} AS DOUBLE) AS {c}__num" for c in numeric]
-    select += [f"CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END AS {c}__missing" for c in numeric]
+    select += [f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical]
+    select += [f"CAST(`{c}` AS DOUBLE) AS `{c}__num`" for c in numeric]
+    select += [f"CASE WHEN `{c}` IS NULL THEN 1.0 ELSE 0.0 END AS `{c}__missing`" for c in numeric]
     stages = [
         SQLTransformer(statement=f"SELECT {', '.join(select)} FROM __THIS__"),
         Imputer(strategy="median", inputCols=[f"{c}__num" for c in numeric],
@@ -141,10 +140,10 @@ PREPROCESSORS = {"preprocessor_v1": preprocessor_v1}
 
 def build_preprocessor(config: dict, **kwargs) -> list:
     """Preprocessor stages by name; unknown name -> ValueError."""
-    kind = config.get("type")
-    if kind not in PREPROCESSORS:
-        raise ValueError(f"Unsupported preprocessing type: {kind}")
-    return PREPROCESSORS[kind](**kwargs)
+    make = PREPROCESSORS.get(config.get("type"))
+    if make is None:
+        raise ValueError(f"no preprocessor is called {config.get('type')!r}; there are {', '.join(PREPROCESSORS)}")
+    return make(**kwargs)
 
 
 def category_index(indexer_model, categorical=CATEGORICAL_FEATURES) -> list[tuple]:

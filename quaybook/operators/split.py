@@ -33,7 +33,26 @@ def features_and_target(df: DataFrame, target: str = "no_show",
 
 
 def order_key(id_col: str, seed: int = SEED):
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    """md5 of ``<id>:<seed>``; a null id counts as an empty one."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
+
+
+def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
+    """Per class of (label, __n): class_rows, total_rows and test_quota. The
+    quotas are largest-remainder shares of ``ceil(test_size * n)`` rows, so
+    they add up to it; equal remainders go to the smaller label. In decimals,
+    because n_test x class_rows overflows 64-bit integers past ~3e9 rows."""
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    classes = (counts.groupBy(label).agg(F.sum("__n").alias("class_rows"))
+               .withColumn("total_rows", F.sum("class_rows").over(whole))
+               .withColumn("__test", F.ceil(F.lit(float(test_size)) * F.col("total_rows")).cast("decimal(19,0)")))
+    classes = classes.withColumn("__share", F.col("__test") * F.col("class_rows").cast("decimal(19,0)"))
+    classes = (classes.withColumn("__rest", F.expr("__share % cast(total_rows AS decimal(19,0))"))
+               .withColumn("__floor", F.expr("__share div cast(total_rows AS decimal(19,0))").cast("long")))
+    by_rest = Window.orderBy(F.desc("__rest"), label)  # one row per class
+    left = F.col("__test").cast("long") - F.sum("__floor").over(whole)
+    return classes.withColumn("test_quota", F.col("__floor") + (F.row_number().over(by_rest) <= left).cast("long")).select(
+        label, "class_rows", "total_rows", "test_quota")
 
 
 def _prefix_offsets(counts: DataFrame, part: list[str], order: list[str]) -> DataFrame:
@@ -47,8 +66,10 @@ def _prefix_offsets(counts: DataFrame, part: list[str], order: list[str]) -> Dat
 def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
                   n_buckets: int = DEFAULT_KEY_BUCKETS,
                   max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS,
-                  sub_bits: int = DEFAULT_SUB_BITS) -> DataFrame:
-    """Adds ``rank_in_class`` (1-based), ``class_rows`` and ``total_rows``.
+                  sub_bits: int = DEFAULT_SUB_BITS, test_size: float = TEST_SIZE) -> DataFrame:
+    """Adds ``rank_in_class`` (1-based), ``class_rows``, ``total_rows`` and
+    ``test_quota``. Rows with a null label are a class of their own, and null
+    ids are ranked like any other id, so no row is lost.
 
     Order within a class: md5 key, then id, then a hash of the whole row.
     Rows are ranked inside (class, key bucket) windows plus the bucket's
@@ -63,22 +84,23 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
     key = order_key(id_col, seed)
     keyed = df.withColumns({
         "__key": key,
+        # Structs compare null-safely in joins and windows.
+        "__label": F.struct(F.col(label).alias("v")),
+        "__id": F.struct(F.col(id_col).alias("v")),
         "__bucket": F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int"),
         # Last tie-breaker: rows that share an id still get a fixed order, so a
         # recomputed task ranks them the same way.
         "__row_hash": F.xxhash64(*[F.col(c) for c in df.columns]),
     })
+    label, id_col, out_cols = "__label", "__id", [*df.columns, "class_rows", "total_rows", "test_quota", "rank_in_class"]
     counts = keyed.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    whole_class = Window.partitionBy(label)
-    whole_table = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # A table of at most (number of classes) x n_buckets rows.
     offsets = (_prefix_offsets(counts, [label], ["__bucket"])
                .select(label, "__bucket", F.col("__off").alias("__offset"),
-                       (F.col("__n") > max_bucket_rows).alias("__hot"),
-                       F.sum("__n").over(whole_class).alias("class_rows"),
-                       F.sum("__n").over(whole_table).alias("total_rows")))
-    rows = keyed.join(F.broadcast(offsets), [label, "__bucket"])
-    out_cols = [*df.columns, "class_rows", "total_rows", "rank_in_class"]
+                       (F.col("__n") > max_bucket_rows).alias("__hot"))
+               .join(class_quotas(counts, label, test_size), label))
+    # Spark broadcasts it if its size allows (many classes may not).
+    rows = keyed.join(offsets, [label, "__bucket"])
 
     within = Window.partitionBy(label, "__bucket").orderBy("__key", id_col, "__row_hash")
     normal = (rows.where(~F.col("__hot"))
@@ -109,19 +131,15 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking
                      max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
     """S2 (+S3): adds ``is_test`` and, for training rows, ``fold``.
 
-    Test size is ``ceil(test_size * n)`` spread over classes in proportion:
-    class quota ``round(ceil(test_size * n) * n_c / n)``. Within a class the
+    Exactly ``ceil(test_size * n)`` rows are test rows, spread over classes by
+    largest-remainder shares (``class_quotas``). Within a class the
     first ``quota`` rows of the key order are test rows; the training rows
     that follow are dealt round-robin into ``folds`` folds, so fold sizes
     differ by at most one per class.
     """
-    ranked = rank_in_class(df, label, id_col, seed, n_buckets, max_bucket_rows)
-    n_test = F.ceil(F.lit(float(test_size)) * F.col("total_rows"))
-    # In double: n_test x class_rows overflows 64-bit integers past ~3e9 rows.
-    quota = F.round(n_test.cast("double") * F.col("class_rows")
-                    / F.col("total_rows")).cast("bigint")
+    ranked = rank_in_class(df, label, id_col, seed, n_buckets, max_bucket_rows, test_size=test_size)
     r = F.col("rank_in_class")
-    return (ranked.withColumn("test_quota", quota)
+    return (ranked
             .withColumn("is_test", r <= F.col("test_quota"))
             .withColumn("fold", F.when(~F.col("is_test"),
                                        ((r - F.col("test_quota") - 1) % folds).cast("int")))
@@ -140,4 +158,4 @@ def assign_folds(df: DataFrame, label: str = "label", id_col: str = "booking_id"
     ``(rank_in_class - 1) % folds``."""
     ranked = rank_in_class(df, label, id_col, seed, n_buckets)
     return (ranked.withColumn("fold", ((F.col("rank_in_class") - 1) % folds).cast("int"))
-            .drop("class_rows", "total_rows"))
+            .drop("class_rows", "total_rows", "test_quota"))

@@ -362,7 +362,11 @@ rk AS (SELECT booking_id, label,
                 AS rank_in_class,
               count(*) OVER (PARTITION BY label) AS nc, count(*) OVER () AS n
        FROM lab),
-sp AS (SELECT *, CAST(round(ceil(0.2::DOUBLE * n) * nc / n) AS BIGINT) AS quota FROM rk)"""
+cl AS (SELECT DISTINCT label, nc, n, CAST(ceil(0.2::DOUBLE * n) AS HUGEINT) AS t FROM rk),
+fl AS (SELECT label, t, t * nc // n AS whole, t * nc % n AS rest FROM cl),
+qu AS (SELECT label, CAST(whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+                                  <= t - sum(whole) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM fl),
+sp AS (SELECT rk.*, qu.quota FROM rk JOIN qu USING (label))"""
 
 
 def split_metric_queries() -> dict[str, str]:

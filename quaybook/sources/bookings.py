@@ -39,6 +39,13 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
+#: Text formats: numbers that C5 parses stay text until then, so that the
+#: checks see what can't be parsed and ``numeric_parse_rejects`` counts it.
+TEXT_SCHEMA = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in ("arrival_day", "checkout_day", "num_children") else f.dataType)
+    for f in RAW_SCHEMA.fields])
+
+
 def _month_table(alias: str) -> str:
     """A 12-row inline table (idx, name): month names by 0-based index."""
     rows = ", ".join(f"({i}, '{m}')" for i, m in enumerate(MONTH_NAMES))
@@ -147,11 +154,14 @@ def read_raw_bookings(spark: SparkSession, path: str, fmt: str = "parquet",
     partitioning options (``partitionColumn='booking_id'``, ``lowerBound``,
     ``upperBound``, ``numPartitions``) so the read is split across tasks.
     """
-    reader = spark.read.options(**options)
     if fmt == "jdbc":
-        return reader.format("jdbc").load()
+        options = {"table": options.pop("dbtable", path), "num_partitions": int(options.pop("numPartitions", 8)), **options}
+        return read_raw_bookings_jdbc(spark, options.pop("url"), options.pop("table"), options.pop("num_partitions"),
+                                      properties=options)
+    reader = spark.read.options(**options)
     if fmt == "csv":
         reader = reader.option("header", "true")
+        return reader.schema(TEXT_SCHEMA).format(fmt).load(path)
     return reader.schema(RAW_SCHEMA).format(fmt).load(path)
 
 
@@ -172,4 +182,4 @@ def read_raw_bookings_jdbc(spark: SparkSession, url: str, table: str,
         df = spark.read.jdbc(url, table, column=id_col, lowerBound=int(bounds["lo"]),
                              upperBound=int(bounds["hi"]) + 1,
                              numPartitions=num_partitions, properties=props)
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    return df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
