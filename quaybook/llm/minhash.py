@@ -19,7 +19,10 @@ the Jaccard similarity like that of sampling without replacement.
    nothing left to find and takes no further part.
 3. After ``STAR_ROUNDS`` rounds, the groups that are still in several
    components have all their remaining pairs between different components
-   verified, so no link between components is lost.
+   verified, so no link between components is lost. Up to ``SMALL_GROUP``
+   members that is a join (at most that many pairs a member); larger groups
+   are cut into blocks of members, each pair of blocks is compared on the full
+   sets inside one task, and only links that merge components leave the task.
 4. A candidate pair is dropped before verification only if its sketches agree
    in so few coordinates that a linked pair would show it with probability
    below 1e-9, or if the set sizes alone rule the link out. All others are
@@ -41,6 +44,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,6 +61,8 @@ T = BANDS * BAND_ROWS
 #: (binomial tail; sampling without replacement is tighter).
 LEAST_AGREEMENT = 74
 STAR_ROUNDS = 2
+SMALL_GROUP = 32
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1_024, 2_000_000  # of a block, about
 BLOCK_BYTES = 1 << 21  # texts are hashed this much at a time
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -199,14 +205,18 @@ def sketch_documents(rows: DataFrame) -> DataFrame:
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
-    """(cls, full_set) of rows (cls, text)."""
+    """(cls, full_set) of rows (cls, text); texts of other classes that share
+    the id (repeated ids) are left out."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _blocks(batches):
+            sets = [s.view(np.int64).tobytes() for s in shingle_sets(texts)]
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.int64()),
-                pa.array([s.view(np.int64).tobytes() for s in shingle_sets(texts)], pa.binary())], names=["cls", "full_set"])
+                pa.array(keys, pa.int64()), pa.array(sets, pa.binary()),
+                pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary())],
+                names=["cls", "full_set", "full"])
 
-    return rows.select("cls", "text").mapInArrow(make, "cls long, full_set binary")
+    made = rows.select("cls", "text").mapInArrow(make, "cls long, full_set binary, full binary")
+    return made.where(F.xxhash64("full") == F.col("cls")).select("cls", "full_set")
 
 
 def _filtered(pairs: DataFrame, info: DataFrame) -> DataFrame:
@@ -247,6 +257,54 @@ def _verified(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     return write_stage(full.select("a", "b", "fa", "fb").mapInArrow(linked, "a long, b long"), "links")
 
 
+def _block_links(big: DataFrame, info: DataFrame, sources: DataFrame) -> DataFrame:
+    """Links (a, b) that merge components of large groups. ``big``: (band,
+    bucket, cls, comp, parts); a pair is compared in its first common band."""
+    big = write_stage(big, "big")
+    taking = big.select("cls").distinct()
+    sets = write_stage(_set_rows(sources.join(taking, "cls", "left_semi")), "sets")
+    rows = (big.join(info.select("cls", "low", "bands", "n_shingles"), "cls").join(sets, "cls")
+            .withColumn("part", F.pmod(F.xxhash64("cls", "band"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
+    columns = ("band", "bucket", "i", "j", "part", "cls", "comp", "n_shingles", "low", "bands", "full_set")
+    found = rows.select(*columns).groupBy("band", "bucket", "i", "j").applyInPandas(_compare_blocks, "a long, b long")
+    return write_stage(found, "links")
+
+
+def _compare_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The links between two blocks of one group (or inside one, i = j) that
+    merge components, each by exact intersection of the full sets."""
+    band, i, j = int(key[0]), int(key[2]), int(key[3])
+    rows = rows.drop_duplicates("cls").sort_values("cls")
+    cls, comp = rows["cls"].to_numpy(), rows["comp"].to_numpy()
+    size, part = rows["n_shingles"].to_numpy(), rows["part"].to_numpy()
+    low = np.frombuffer(b"".join(rows["low"]), dtype=np.uint8).reshape(-1, T)
+    bands = np.stack([np.asarray(b, dtype=np.int64) for b in rows["bands"]])
+    values, codes = np.unique(np.concatenate([np.frombuffer(s, dtype=np.int64) for s in rows["full_set"]]), return_inverse=True)
+    codes = np.split(codes, np.cumsum(size)[:-1])
+    _, comp = np.unique(comp, return_inverse=True)  # merged as links are found
+    has = np.zeros(len(values), dtype=bool)
+    right = np.flatnonzero(part == j)
+    links = []
+    for x in np.flatnonzero(part == i):
+        y = right[right > x] if i == j else right
+        y = y[(comp[y] != comp[x]) & (LINK[0] * np.minimum(size[y], size[x]) >= LINK[1] * np.maximum(size[y], size[x]))]
+        y = y[(low[y] == low[x]).sum(axis=1) >= LEAST_AGREEMENT]
+        y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
+        if not len(y):
+            continue
+        has[codes[x]] = True
+        common = np.add.reduceat(has[np.concatenate([codes[k] for k in y])].astype(np.int64),
+                                 np.concatenate(([0], np.cumsum(size[y])[:-1])))
+        has[codes[x]] = False
+        for k in y[LINK[0] * common >= LINK[1] * (size[x] + size[y] - common)]:
+            if comp[k] != comp[x]:
+                comp[comp == comp[k]] = comp[x]
+                links.append((min(cls[x], cls[k]), max(cls[x], cls[k])))
+    return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+
 def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The (band, bucket, cls, comp, popular) rows of groups that lie in more
     than one component."""
@@ -282,9 +340,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, labels, tried = None, None, None
     for r in range(STAR_ROUNDS + 1):
         left = write_stage(_unresolved(members, labels), "open")
+        new = []
         if r < STAR_ROUNDS:
             pairs = _star_pairs(left, r)
         else:
+            sized = left.join(info.select("cls", "n_shingles"), "cls").groupBy("band", "bucket").agg(
+                F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"))
+            left = left.join(sized, ["band", "bucket"])
+            parts = F.ceil(F.greatest(F.col("size") / BLOCK_MEMBERS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+            new.append(_block_links(left.where(F.col("size") > SMALL_GROUP).select(
+                "band", "bucket", "cls", "comp", parts.alias("parts")), info, sources))
+            left = left.where(F.col("size") <= SMALL_GROUP)
             x, y = left.alias("x"), left.alias("y")
             pairs = (x.join(y, ["band", "bucket"]).where("x.comp < y.comp")
                      .select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")))
@@ -292,12 +358,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = write_stage(pairs, "candidates")
-        if pairs.isEmpty():
-            break
-        tried = pairs if tried is None else tried.union(pairs)
-        found = _verified(_filtered(pairs, info), sources)
-        links = found if links is None else links.union(found)
-        labels = write_stage(component_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+        if not pairs.isEmpty():
+            tried = pairs if tried is None else tried.union(pairs)
+            new.append(_verified(_filtered(pairs, info), sources))
+        for found in new:
+            links = found if links is None else links.union(found)
+        if new:
+            labels = write_stage(component_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
     return _result(made, info, labels)
 
 

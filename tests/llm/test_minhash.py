@@ -108,3 +108,30 @@ def test_hashes_do_not_depend_on_the_block():
     a = M.shingle_sets([b"one two three four five six", b"x", b"", b"One TWO three\tfour\nfive six"])
     b = M.shingle_sets([b"one two three four five six"])
     assert (a[0] == b[0]).all() and (a[0] == a[3]).all() and len(a[1]) == 1 and len(a[2]) == 0
+
+
+def test_large_groups_in_blocks(spark, monkeypatch):
+    """Near misses with a few links that no star finds, over many blocks."""
+    monkeypatch.setattr(M, "SMALL_GROUP", 3)
+    monkeypatch.setattr(M, "BLOCK_MEMBERS", 16)
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(400)]
+    docs = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(9):
+            w[rng.randrange(400)] = f"z{rng.randint(0, 10**6)}"
+        docs.append((1000 + i, " ".join(w)))
+        if i % 15 == 0:
+            docs.append((3000 + i, " ".join([*w, "and", "some", "more"])))
+    assert run(spark, docs) == brute(docs)
+
+
+def test_repeated_id_with_different_texts(spark):
+    rng = random.Random(6)
+    words = [f"q{rng.randint(0, 9999)}" for _ in range(300)]
+    near, other = [*words[:299], "end"], [f"o{i}" for i in range(300)]
+    docs = [(1, " ".join(words)), (1, " ".join(other)), (2, " ".join(near)), (3, " ".join([*other[:299], "end"]))]
+    rows = M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 1}
+    assert all(r.n_shingles == 296 for r in rows)
