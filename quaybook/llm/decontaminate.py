@@ -18,7 +18,8 @@ every shared span of at least ``window`` words shares a kept fingerprint.
    Hash collisions end here: only equal words count.
 
 An item of fewer than ``window`` words is a window of its own length n: for
-each such n all n-grams are fingerprints (k = n, runs of 1).
+each such n all n-grams are fingerprints (k = n, runs of 1). Hashes depend on
+their k, so the fingerprints of all lengths go through one join together.
 
 Hits are extended once per distinct text, whatever the number of copies, and
 results are joined back to the rows. Null and empty texts (of documents or
@@ -66,10 +67,10 @@ def _steps(n: int) -> list[int]:
 
 def with_grams(df: DataFrame, words: str, k: int, out: str) -> DataFrame:
     """Adds hashes of all runs of k words. A run is hashed from two shorter
-    ones that cover it."""
-    df = df.withColumn(out, F.transform(words, lambda w: F.xxhash64(w)) if k == 1 else F.col(words))
+    ones that cover it, and with k, so that lengths don't meet."""
+    df = df.withColumn(out, F.transform(words, lambda w: F.xxhash64(w, F.lit(k))) if k == 1 else F.col(words))
     for shift in _steps(k):
-        df = df.withColumn(out, _paired(F.col(out), shift, lambda a, b: F.xxhash64(a, b)))
+        df = df.withColumn(out, _paired(F.col(out), shift, lambda a, b: F.xxhash64(a, b, F.lit(k))))
     return df
 
 
@@ -81,27 +82,46 @@ def with_least(df: DataFrame, values: str, run: int, out: str) -> DataFrame:
     return df.withColumn(out, F.array_distinct(out))
 
 
-def _profiles(items: DataFrame, window: int, gram: int) -> list[tuple[int, int, Column]]:
-    """(k, run, which items) for long items and for each shorter length that
-    occurs; at most ``window`` entries come to the driver."""
-    n = F.col("n_item")
-    short = sorted(r.n_item for r in items.where(n < window).select("n_item").distinct().collect())
-    return [(gram, window - gram + 1, n >= window)] + [(k, 1, n == k) for k in short]
+def _profiles(items: DataFrame, window: int, gram: int) -> list[tuple[int, int]]:
+    """(k, run) for long items, and for each shorter length that occurs; at
+    most ``window`` entries come to the driver."""
+    short = sorted(r.n_item for r in items.where(F.col("n_item") < window).select("n_item").distinct().collect())
+    return [(gram, window - gram + 1)] + [(k, 1) for k in short]
 
 
-def _spots(items: DataFrame, k: int) -> DataFrame:
-    """(gram, item_id, at) of every k-gram of the items."""
-    return (with_grams(items, "item_words", k, "grams")
-            .select("item_id", F.posexplode("grams").alias("at", "gram")))
+def _kept(df: DataFrame, words: str, profiles: list[tuple[int, int]]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with the fingerprints of each profile, and their columns."""
+    for i, (k, run) in enumerate(profiles):
+        df = with_least(with_grams(df, words, k, "grams"), "grams", run, f"kept{i}")
+    return df.drop("grams"), [F.col(f"kept{i}") for i in range(len(profiles))]
 
 
-def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFrame, window: int, k: int) -> DataFrame:
+def _placed(df: DataFrame, words: str, profiles: list[tuple[int, int]]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with (at, gram) of every k-gram for each profile's k, and their columns."""
+    for i, (k, _) in enumerate(profiles):
+        df = with_grams(df, words, k, f"grams{i}")
+    return df, [F.transform(f"grams{i}", lambda g, at: F.struct(at.alias("at"), g.alias("gram")))
+                for i in range(len(profiles))]
+
+
+def _own(columns: list[Column], profiles: list[tuple[int, int]], window: int) -> Column:
+    """Of an item, the column of its own profile."""
+    out = F.when(F.col("n_item") >= window, columns[0])
+    for (k, _), column in zip(profiles[1:], columns[1:], strict=True):
+        out = out.when(F.col("n_item") == k, column)
+    return out
+
+
+def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFrame, window: int,
+             profiles: list[tuple[int, int]]) -> DataFrame:
     """(text_key, item_id, pos) of every word of the texts that lies in an
     occurrence of a window of one of the items. ``grams``: (text_key, gram)
     that both sides kept; each is extended over its diagonal."""
-    places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode("grams").alias("pos", "gram"))
+    placed, columns = _placed(texts, "words", profiles)
+    places = (placed.select("text_key", F.explode(F.concat(*columns)).alias("p")).select("text_key", F.col("p.at").alias("pos"), "p.gram")
               .join(grams, ["text_key", "gram"], "left_semi"))
-    diagonals = places.join(spots, "gram").select("text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
+    diagonals = write_stage(places.join(spots, "gram").select(
+        "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "diagonals")
     size = F.least(F.col("n_item"), F.lit(window))
     # The part of the item that lies inside the text on this diagonal.
     first = F.greatest(-F.col("shift"), F.lit(0))
@@ -132,25 +152,20 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     profiles = _profiles(items, window, gram)
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn(
         "text_key", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    marked = rows.withColumn("words", words_of(F.col("text")))
-    for i, (k, run, _) in enumerate(profiles):
-        marked = with_least(with_grams(marked, "words", k, "grams"), "grams", run, f"kept{i}")
+    marked, kept = _kept(rows.withColumn("words", words_of(F.col("text"))), "words", profiles)
     marked = write_stage(marked.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"),
-                                       *[f"kept{i}" for i in range(len(profiles))]), "marked")
-    hits = None
-    for i, (k, run, which) in enumerate(profiles):
-        chosen = items.where(which)
-        marks = write_stage(with_least(with_grams(chosen, "item_words", k, "grams"), "grams", run, "kept")
-                            .select(F.explode("kept").alias("gram")).distinct(), "marks")
-        grams = write_stage(marked.select("text_key", F.explode(f"kept{i}").alias("gram"))
-                            .join(marks, "gram", "left_semi").distinct(), "hit-grams")
-        keys = write_stage(grams.select("text_key").distinct(), "hit-keys")
-        texts = write_stage(rows.join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
-                            .select("text_key", words_of(F.col("text")).alias("words")), "hit-texts")
-        spots = write_stage(_spots(chosen, k).join(marks, "gram", "left_semi"), "spots")
-        part = _covered(texts, items, spots, grams, window, k)
-        hits = part if hits is None else hits.union(part)
-    hits = write_stage(hits, "covered")
+                                       F.concat(*kept).alias("kept")), "marked")
+    chosen, kept = _kept(items, "item_words", profiles)
+    marks = write_stage(chosen.select(F.explode(_own(kept, profiles, window)).alias("gram")).distinct(), "marks")
+    grams = write_stage(marked.select("text_key", F.explode("kept").alias("gram"))
+                        .join(marks, "gram", "left_semi").distinct(), "hit-grams")
+    keys = write_stage(grams.select("text_key").distinct(), "hit-keys")
+    texts = write_stage(rows.join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
+                        .select("text_key", words_of(F.col("text")).alias("words")), "hit-texts")
+    placed, columns = _placed(items, "item_words", profiles)
+    spots = write_stage(placed.select("item_id", F.explode(_own(columns, profiles, window)).alias("p"))
+                        .select("item_id", "p.at", "p.gram").join(marks, "gram", "left_semi"), "spots")
+    hits = write_stage(_covered(texts, items, spots, grams, window, profiles), "covered")
     counts = hits.groupBy("text_key").agg(F.countDistinct("pos").alias("n_hit"))
     named = hits.select("text_key", "item_id").distinct().groupBy("text_key").agg(
         F.array_sort(F.collect_list("item_id")).alias("items"))
