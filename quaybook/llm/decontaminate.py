@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.llm.common import ascii_lower, pick, prepare
-from quaybook.plans.stages import write_stage
+from quaybook.plans.stages import new_stage_path, write_stage
 
 WINDOW = 13
 GRAM = 8
@@ -101,7 +101,8 @@ def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFr
     that both sides kept; each is extended over its diagonal."""
     places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode("grams").alias("pos", "gram"))
               .join(grams, ["text_key", "gram"], "left_semi"))
-    diagonals = places.join(spots, "gram").select("text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
+    diagonals = write_stage(places.join(spots, "gram").select(
+        "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "diagonals")
     size = F.least(F.col("n_item"), F.lit(window))
     # The part of the item that lies inside the text on this diagonal.
     first = F.greatest(-F.col("shift"), F.lit(0))
@@ -137,7 +138,8 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         marked = with_least(with_grams(marked, "words", k, "grams"), "grams", run, f"kept{i}")
     marked = write_stage(marked.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"),
                                        *[f"kept{i}" for i in range(len(profiles))]), "marked")
-    hits = None
+    # Each length appends its hits to one table, so no plan holds them all.
+    covered = new_stage_path(docs.sparkSession, "covered")
     for i, (k, run, which) in enumerate(profiles):
         chosen = items.where(which)
         marks = write_stage(with_least(with_grams(chosen, "item_words", k, "grams"), "grams", run, "kept")
@@ -149,8 +151,8 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
                             .select("text_key", words_of(F.col("text")).alias("words")), "hit-texts")
         spots = write_stage(_spots(chosen, k).join(marks, "gram", "left_semi"), "spots")
         part = _covered(texts, items, spots, grams, window, k)
-        hits = part if hits is None else hits.union(part)
-    hits = write_stage(hits, "covered")
+        part.write.mode("append").parquet(covered)
+    hits = docs.sparkSession.read.schema(part.schema).parquet(covered)
     counts = hits.groupBy("text_key").agg(F.countDistinct("pos").alias("n_hit"))
     named = hits.select("text_key", "item_id").distinct().groupBy("text_key").agg(
         F.array_sort(F.collect_list("item_id")).alias("items"))
