@@ -90,17 +90,19 @@ def _profiles(items: DataFrame, window: int, gram: int) -> list[tuple[int, int,
 
 
 def _spots(items: DataFrame, k: int) -> DataFrame:
-    """(gram, item_id, at) of every k-gram of the items."""
+    """(gram, item_id, at) of every k-gram of the items. Of a plain explode
+    the planner infers a filter on the array, which it pushes below the steps
+    that make it, written out many times over; of an outer one it doesn't."""
     return (with_grams(items, "item_words", k, "grams")
-            .select("item_id", F.posexplode("grams").alias("at", "gram")))
+            .select("item_id", F.posexplode_outer("grams").alias("at", "gram")).where("gram IS NOT NULL"))
 
 
 def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFrame, window: int, k: int) -> DataFrame:
     """(text_key, item_id, pos) of every word of the texts that lies in an
     occurrence of a window of one of the items. ``grams``: (text_key, gram)
     that both sides kept; each is extended over its diagonal."""
-    places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode("grams").alias("pos", "gram"))
-              .join(grams, ["text_key", "gram"], "left_semi"))
+    places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode_outer("grams").alias("pos", "gram"))
+              .where("gram IS NOT NULL").join(grams, ["text_key", "gram"], "left_semi"))
     diagonals = write_stage(places.join(spots, "gram").select(
         "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "diagonals")
     size = F.least(F.col("n_item"), F.lit(window))
@@ -117,7 +119,7 @@ def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFr
     covered = F.flatten(F.transform("starts", lambda i: F.sequence(
         F.col("place") + i, F.col("place") + i + F.col("size") - 1)))
     return (lined.withColumn("starts", starts).where(F.size("starts") > 0)
-            .select("text_key", "item_id", F.explode(F.array_distinct(covered)).alias("pos")))
+            .select("text_key", "item_id", F.explode_outer(F.array_distinct(covered)).alias("pos")).where("pos IS NOT NULL"))
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
@@ -143,7 +145,7 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     for i, (k, run, which) in enumerate(profiles):
         chosen = items.where(which)
         marks = write_stage(with_least(with_grams(chosen, "item_words", k, "grams"), "grams", run, "kept")
-                            .select(F.explode("kept").alias("gram")).distinct(), "marks")
+                            .select(F.explode_outer("kept").alias("gram")).where("gram IS NOT NULL").distinct(), "marks")
         grams = write_stage(marked.select("text_key", F.explode(f"kept{i}").alias("gram"))
                             .join(marks, "gram", "left_semi").distinct(), "hit-grams")
         keys = write_stage(grams.select("text_key").distinct(), "hit-keys")
