@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from quaybook.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "2m"  # of an Arrow batch; a longer row comes alone
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the session ready for these operators: the shared folder is known
+    """Make the session ready for these operators: the shared folder is known,
+    Arrow batches of whole texts are bounded by bytes and not only by rows,
     and the executors can import this package (its source files are sent to
     them once per application)."""
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -63,7 +63,7 @@ LEAST_AGREEMENT = 74
 STAR_ROUNDS = 2
 SMALL_GROUP = 32
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1_024, 2_000_000  # of a block, about
-BLOCK_BYTES = 1 << 21  # texts are hashed this much at a time
+BLOCK_BYTES = 1 << 19  # texts are hashed this much at a time
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
