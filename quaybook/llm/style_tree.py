@@ -44,6 +44,7 @@ from quaybook.plans.stages import write_stage
 
 MIN_PAGES = 8
 LEAST_IMPORTANCE = 0.3  # of 1: relative entropy below which a node repeats itself
+BY_PATH, BY_NAME = 1, 2  # what makes a node noise: its entropy, its presentation
 
 # What HTML and common practice reserve for parts outside the article.
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"))
@@ -67,10 +68,11 @@ HOST = re.compile(r"\A[^:]*://([^/?#]*)", re.S)
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "kept", "children", "parts")
+    __slots__ = ("tag", "path", "noise", "kept", "holds", "children", "parts")
 
-    def __init__(self, tag: str, path: str, noise: bool, kept: bool):
+    def __init__(self, tag: str, path: str, noise: int, kept: bool):
         self.tag, self.path, self.noise, self.kept = tag, path, noise, kept
+        self.holds = False  # an article
         self.children: list[str] = []
         self.parts: list[str] = []
 
@@ -86,11 +88,11 @@ def _presentation(tag: str, attributes: str) -> tuple[str, bool]:
     return f"{tag}.{found.get('class', '')}#{re.sub(r'[0-9]+', '0', found.get('id', ''))}", noise
 
 
-def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], list[tuple[str, int, int]]]:
-    """(text blocks of the article, (path, style digest, text digest) of every
-    node that isn't noise by its presentation)."""
-    stack = [Node("", "", False, False)]
-    nodes: list[tuple[str, int, int]] = []
+def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], list[tuple[str, int, int, bool]]]:
+    """(text blocks of the article, (path, style digest, text digest, whether
+    it holds an article) of every node that isn't noise by its presentation)."""
+    stack = [Node("", "", 0, False)]
+    nodes: list[tuple[str, int, int, bool]] = []
     blocks: list[str] = []
     line: list[str] = []
     at = 0
@@ -115,9 +117,9 @@ def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], li
         if not node.noise:
             content = SPACE.sub(" ", "".join(node.parts)).strip()
             if not node.kept:
-                nodes.append((node.path, zlib.crc32(" ".join(node.children).encode()), zlib.crc32(content.encode())))
-            if stack and not node.kept:
-                stack[-1].parts.append(content)
+                nodes.append((node.path, zlib.crc32(" ".join(node.children).encode()), zlib.crc32(content.encode()), node.holds))
+            stack[-1].parts.append(content)
+            stack[-1].holds |= node.holds or node.kept
 
     for m in TOKEN.finditer(page):
         if m.start() < at:
@@ -159,7 +161,10 @@ def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], li
             noise = False
         # Inside an article only presentation removes a node; its own parts differ from page to page.
         path = top.path + "/" + name if not top.kept else top.path
-        noise = top.noise or noise or (not kept and path in noise_paths)
+        if kept and not top.kept and top.noise == BY_PATH:  # entropy stops at the article
+            noise = BY_NAME if noise else 0
+        else:
+            noise = max(top.noise, BY_NAME if noise else BY_PATH if not kept and path in noise_paths else 0)
         top.children.append(name)
         stack.append(Node(tag, path, noise, kept))
     text_of(page[at:] if at < len(page) else "")
@@ -176,15 +181,16 @@ def host_of(url: str | None) -> str:
 
 def style_nodes(pages: DataFrame) -> DataFrame:
     """(host, path, kind, digest, n): how many pages of a host have the node
-    with this style (kind 0) or this text (kind 1). Summed in the task first."""
+    with this style (kind 0) or this text (kind 1), or with an article in it
+    (kind 2). Summed in the task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[tuple, int] = {}
             for url, page in zip(batch.column(0), batch.column(1), strict=True):
                 host = host_of(url.as_py())
                 seen = set()
-                for path, style, text in walk(page.as_py() or "")[1]:
-                    for kind, digest in ((0, style), (1, text)):
+                for path, style, text, holds in walk(page.as_py() or "")[1]:
+                    for kind, digest in ((0, style), (1, text), (2, 0))[:2 + holds]:
                         key = (host, path, kind, digest)
                         if key not in seen:
                             seen.add(key)
@@ -198,19 +204,22 @@ def style_nodes(pages: DataFrame) -> DataFrame:
 
 
 def importances(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, presentation, content): relative entropies in 0..1."""
+    """(host, path, pages, presentation, content, holds): relative entropies in
+    0..1, and whether an article lies in the node on any page."""
     counts = style_nodes(pages).groupBy("host", "path", "kind", "digest").agg(F.sum("n").alias("n"))
     # entropy = ln(N) - sum(n ln n) / N, relative to ln(N)
     per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     relative = F.when(F.col("pages") > 1, 1 - F.col("nlogn") / (F.col("pages") * F.log(F.col("pages")))).otherwise(1.0)
     return (per.withColumn("e", relative).groupBy("host", "path")
             .agg(F.max("pages").alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("e"))).alias("presentation"),
-                 F.max(F.when(F.col("kind") == 1, F.col("e"))).alias("content")))
+                 F.max(F.when(F.col("kind") == 1, F.col("e"))).alias("content"),
+                 F.max(F.col("kind") == 2).alias("holds")))
 
 
 def noise_table(pages: DataFrame, least: float = LEAST_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, paths): the branches of each host whose importance is low."""
-    low = importances(pages).where((F.col("pages") >= min_pages) & (F.greatest("presentation", "content") < least))
+    """(host, paths): the branches of each host whose importance is low and
+    that hold no article."""
+    low = importances(pages).where((F.col("pages") >= min_pages) & (F.greatest("presentation", "content") < least) & ~F.col("holds"))
     return low.groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 

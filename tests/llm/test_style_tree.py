@@ -51,3 +51,21 @@ def test_repeated_branches_go(spark):
         got.setdefault(r.page_id, r.text)
     assert got[3] == "Story 3 of many\nsame line" and got[101] == "Only here" and got[200] == "t" and got[201] == ""
     assert S.main_text(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_large_hosts(spark):
+    """Most hosts of sf0.1 have enough pages for the tree."""
+    pages = {r.page_id: r.html for r in read_table(spark, "/root/testdata/sf0.1", "pages").collect()}
+    rows = op9_site_style_tree(spark, "/root/testdata/sf0.1").collect()
+    assert len(rows) == len(pages) and not [r.page_id for r in rows if r.text != reference(pages[r.page_id])]
+
+
+def test_articles_in_one_template_stay(spark):
+    page = ("<html><body><div class=q7>Welcome</div><div class=wrap><article><h1>Title {0}</h1><p>Story {0}</p></article></div>"
+            "</body></html>")
+    rows = [(i, f"http://h.x/{i}", page.format(i), 0) for i in range(30)]
+    rows += [(100 + i, f"http://h.x/no/{i}", "<html><body><div class=wrap>Nothing here</div></body></html>", 0) for i in range(900)]
+    got = {r.page_id: r.text for r in S.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [got[i] for i in range(30)] == [f"Title {i}\nStory {i}" for i in range(30)]
+    wrap = "<div class=wrap><article>a</article>b</div>"
+    assert S.walk(wrap, frozenset(n[0] for n in S.walk(wrap)[1]))[0] == ["a"]
