@@ -4,21 +4,27 @@
    only classes are indexed. Vectors that are null, zero or hold null or
    non-finite components take no part.
 2. Cluster centres are fitted on a bounded sample (``SAMPLE``, by hash of the
-   id). Every class goes to its ``OVERLAP`` nearest clusters, so shards
-   overlap. A cluster with more than ``SHARD`` members is cut by hash into
-   parts, so one dense cluster never fills a task.
+   id). Every class goes to its nearest cluster. A cluster with more than
+   ``SHARD`` members is cut by hash into parts, so one dense cluster never fills
+   a task. A part is a shard.
 3. In each shard a graph is built: candidates are a vector's nearest in the
    shard, and robust pruning drops a candidate that lies nearer to a kept
-   neighbour than to the vector (factor ``ALPHA``), up to ``DEGREE``. The
-   adjacency lists of a vector from all its shards are united.
-4. Search, block of queries by block: from the shard's medoid a beam walks
-   greedily towards each query over the united lists; once it is in range, the
-   range is expanded: the neighbours of every vector in range are looked at
-   until none is new. Queries of a cluster visit all its parts.
-5. Every hit is verified by the cosine in double precision. A pair is counted
-   in one place only (the smallest cluster that both have), so no pair is
-   emitted: a task returns a count per query and, for the components, one edge
-   from each vector to the root of its local tree.
+   neighbour than to the vector (factor ``ALPHA``), up to ``DEGREE``.
+4. Search inside a shard, block of queries by block: from the shard's medoid a
+   beam walks greedily towards each query; once it is in range, the range is
+   expanded: the neighbours of every vector in range are looked at until none
+   is new.
+5. Between shards there are no graph edges: two shards are compared block by
+   block wherever a link is possible. A vector at distance s beyond the plane
+   halfway between its centre and another one is at least asin(s) away from all
+   that other cluster's members, so only clusters with s <= sin(acos(0.9)) for
+   some member can hold a neighbour. No other pair of shards is left out. For
+   vectors without cluster structure the bound spares little, and the work is
+   the square of the table.
+6. Every hit is verified by the cosine in double precision. A pair of vectors
+   meets in one place only, so no pair is emitted: a task returns a count per
+   vector and, for the components, one edge from each vector to the root of its
+   local tree.
 
 ``audit`` measures the recall of links against brute force for a sample of
 queries, in blocks.
@@ -47,7 +53,6 @@ LINK = 0.9
 SAMPLE = 20_000  # vectors that centres are fitted on
 SHARD = 3_000  # members of a shard, about
 MAX_CLUSTERS = 2_048  # so the centres' size is bounded; larger clusters are cut into parts
-OVERLAP = 2
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 BEAM, MAX_HOPS = 32, 200
 QUERY_BLOCK = 512  # queries that walk together
@@ -78,7 +83,7 @@ def _matrix(column) -> np.ndarray:
 
 def fit_centres(classes: DataFrame, n: int, dim: int) -> np.ndarray:
     """Centres of a few rounds of spherical k-means on a bounded sample."""
-    k = int(min(MAX_CLUSTERS, max(1, math.ceil(n * OVERLAP / SHARD))))
+    k = int(min(MAX_CLUSTERS, max(1, math.ceil(n / SHARD))))
     sample = classes.where(F.octet_length("vec") == 8 * dim)
     if n > SAMPLE:
         sample = sample.where(F.pmod(F.xxhash64("cls"), F.lit(10**6)) < int(10**6 * min(1.0, SAMPLE / n)))
@@ -95,18 +100,24 @@ def fit_centres(classes: DataFrame, n: int, dim: int) -> np.ndarray:
 
 
 def assign(classes: DataFrame, centres: np.ndarray, dim: int) -> DataFrame:
-    """(cls, n, vec, clusters): the nearest clusters of each class, sorted."""
+    """(cls, n, vec, cluster): the nearest cluster of each class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = np.argsort(-(_matrix(batch.column(2).to_pylist()) @ centres.T), axis=1, kind="stable")[:, :OVERLAP]
-            clusters = pa.array(np.sort(near, axis=1).tolist(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), clusters],
-                                             names=["cls", "n", "vec", "clusters"])
+            if batch.num_rows:
+                near = (_matrix(batch.column(2).to_pylist()) @ centres.T).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(near, pa.int32())],
+                                                 names=["cls", "n", "vec", "cluster"])
 
     return (classes.where(F.octet_length("vec") == 8 * dim).select("cls", "n", "vec")
-            .mapInArrow(run, "cls long, n long, vec binary, clusters array<int>"))
+            .mapInArrow(run, "cls long, n long, vec binary, cluster int"))
+
+
+def reachable(x: np.ndarray, centres: np.ndarray, home: int, link: float = LINK) -> np.ndarray:
+    """The clusters that can hold a neighbour of any row of x, whose nearest
+    centre is ``home``."""
+    apart = np.linalg.norm(centres - centres[home], axis=1)
+    beyond = (x @ centres[home])[:, None] - x @ centres.T
+    return np.flatnonzero((beyond <= (math.sqrt(1 - link * link) + 1e-9) * apart + 1e-12).any(axis=0))
 
 
 def robust_prune(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alpha: float = ALPHA) -> list[np.ndarray]:
@@ -200,13 +211,6 @@ def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoids: n
     return np.nonzero(hits)
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("cls")
-    ids = pdf["cls"].to_numpy()
-    lists = robust_prune(_matrix(list(pdf["vec"])))
-    return pd.DataFrame({"cls": ids, "near": [ids[a].tolist() for a in lists]})
-
-
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least reachable node of each of n nodes, by repeated minimums."""
     label = np.arange(n)
@@ -220,49 +224,48 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _search(key, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    """Counts and tree edges of one block of queries in one part."""
-    out = {"cls": [], "n_links": [], "root": []}
-    if not len(index) or not len(queries):
-        return pd.DataFrame(out).astype("int64")
-    index, queries = index.sort_values("cls"), queries.sort_values("cls")
-    ids, copies, x = index["cls"].to_numpy(), index["n"].to_numpy(), _matrix(list(index["vec"]))
-    # The united lists, as far as they lead to members of this part.
-    lists = [np.array(sorted(set(a.tolist()) if a is not None else ()), dtype=np.int64) for a in index["near"]]
-    owner, to = _flat(lists)
-    place = np.searchsorted(ids, to)
-    inside = (place < len(ids)) & (ids[np.minimum(place, len(ids) - 1)] == to)
-    source = np.repeat(np.arange(len(ids)), np.diff(owner))[inside]
-    place = place[inside]
+def _inside(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts and tree edges of the links inside one shard, by its graph."""
+    pdf = pdf.sort_values("cls")
+    ids, copies, x = pdf["cls"].to_numpy(), pdf["n"].to_numpy(), _matrix(list(pdf["vec"]))
+    lists = robust_prune(x)
+    owner, place = _flat(lists)
+    source = np.repeat(np.arange(len(ids)), np.diff(owner))
     # Edges lead both ways, so that what is near to a hub is reached from it.
     both = np.unique(np.concatenate([source * len(ids) + place, place * len(ids) + source]))
     source, place = both // len(ids), both % len(ids)
     starts = np.concatenate(([0], np.cumsum(np.bincount(source, minlength=len(ids)))))
     medoids = _entries(x, starts, place)
-    mine = np.array([list(c) for c in index["clusters"]])
-    cluster = key[0]
-    for at in range(0, len(queries), QUERY_BLOCK):
-        block = queries.iloc[at:at + QUERY_BLOCK]
-        q_ids = block["cls"].to_numpy()
-        row, hit = range_search(x, starts, place, medoids, _matrix(list(block["vec"])))
-        other = q_ids[row] != ids[hit]
+    links, tree = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+    for at in range(0, len(ids), QUERY_BLOCK):
+        row, hit = range_search(x, starts, place, medoids, x[at:at + QUERY_BLOCK])
+        row += at
+        other = row != hit
         row, hit = row[other], hit[other]
-        # The smallest cluster that both have counts the pair.
-        theirs = np.array([list(c) for c in block["clusters"]])[row]
-        common = np.where((theirs[:, :, None] == mine[hit][:, None, :]), theirs[:, :, None], 2**31 - 1).min(axis=(1, 2), initial=2**31 - 1)
-        counted = common == cluster
-        out["cls"] += q_ids.tolist()
-        out["n_links"] += np.bincount(row[counted], weights=copies[hit[counted]], minlength=len(q_ids)).astype(np.int64).tolist()
-        # One edge for each query and member: to the root of its tree here.
-        nodes, inverse = np.unique(np.concatenate([q_ids[row], ids[hit]]), return_inverse=True)
-        root = nodes[_roots(len(nodes), inverse[:len(row)], inverse[len(row):])] if len(nodes) else nodes
-        tree = dict(zip(nodes.tolist(), root.tolist(), strict=True))
-        out["root"] += [tree.pop(i, i) for i in q_ids.tolist()]
-        for node, r in tree.items():
-            out["cls"].append(node)
-            out["n_links"].append(0)
-            out["root"].append(r)
-    return pd.DataFrame(out).astype("int64")
+        links += np.bincount(row, weights=copies[hit], minlength=len(ids)).astype(np.int64)
+        tree = _roots(len(ids), np.concatenate([row, np.arange(len(ids))]), np.concatenate([hit, tree]))
+    return pd.DataFrame({"cls": ids, "n_links": links, "root": ids[tree]})
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts and tree edges of the links between two shards."""
+    for batch in batches:
+        for pair in batch.to_pylist():
+            ids, copies = (np.concatenate([np.frombuffer(pair[k + side], dtype=np.int64) for side in "ab"]) for k in ("cls_", "n_"))
+            n = len(pair["cls_a"]) // 8
+            x = np.frombuffer(pair["vec_a"], dtype=np.float64).reshape(n, -1)
+            y = np.frombuffer(pair["vec_b"], dtype=np.float64).reshape(len(ids) - n, -1)
+            links, tree = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+            for at in range(0, n, QUERY_BLOCK):
+                row, hit = np.nonzero(x[at:at + QUERY_BLOCK] @ y.T >= LINK)
+                if len(row):
+                    row, hit = row + at, hit + n
+                    links += np.bincount(row, weights=copies[hit], minlength=len(ids)).astype(np.int64)
+                    links += np.bincount(hit, weights=copies[row], minlength=len(ids)).astype(np.int64)
+                    tree = _roots(len(ids), np.concatenate([row, np.arange(len(ids))]), np.concatenate([hit, tree]))
+            some = links > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[tree[some]])],
+                                             names=["cls", "n_links", "root"])
 
 
 def _entries(x: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -312,23 +315,29 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str
 def _links(classes: DataFrame, dim: int, n: int) -> DataFrame:
     """(cls, n_links, root) of the classes of one vector length, from all shards."""
     centres = fit_centres(classes, n, dim)
-    members = write_stage(assign(classes, centres, dim).select(
-        "cls", "n", "vec", "clusters", F.explode("clusters").alias("cluster")), "members")
+    members = write_stage(assign(classes, centres, dim), "members")
     sizes = members.groupBy("cluster").count().select(
         "cluster", F.ceil(F.col("count") / F.lit(SHARD)).cast("int").alias("parts"))  # one row per cluster
-    members = members.join(F.broadcast(sizes), "cluster").withColumn(
-        "part", F.pmod(F.xxhash64("cls", "cluster"), F.col("parts")).cast("int"))
-    graph = members.select("cluster", "part", "cls", "vec").groupBy("cluster", "part").applyInPandas(
-        _build, "cls long, near array<long>")
-    united = write_stage(graph.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    members = write_stage(members.join(united, "cls", "left"), "indexed")
-    index = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    queries = members.select("cls", "vec", "clusters", "cluster", F.col("part").alias("block"),
-                             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    keys = ("cluster", "part", "block")
-    found = (queries.groupBy(*keys).cogroup(index.select(*keys, "cls", "n", "vec", "clusters", "near").groupBy(*keys))
-             .applyInPandas(_search, "cls long, n_links long, root long"))
-    return write_stage(found, "searched")
+    members = write_stage(members.join(F.broadcast(sizes), "cluster").withColumn(
+        "part", F.pmod(F.xxhash64("cls", "cluster"), F.col("parts")).cast("int")), "indexed")
+
+    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        reached = reachable(_matrix(list(pdf["vec"])), centres, int(key[0])).tolist()
+        return pd.DataFrame({"cluster": [key[0]], "shard": [int(key[0]) << 32 | int(key[1])], "reached": [reached],
+                             "cls": [pdf["cls"].to_numpy().tobytes()], "n": [pdf["n"].to_numpy().tobytes()],
+                             "vec": [b"".join(pdf["vec"])]})
+
+    grouped = members.select("cluster", "part", "cls", "n", "vec").groupBy("cluster", "part")
+    inside = write_stage(grouped.applyInPandas(_inside, "cls long, n_links long, root long"), "inside")
+    shards = write_stage(grouped.applyInPandas(
+        pack, "cluster int, shard long, reached array<int>, cls binary, n binary, vec binary"), "shards")
+    # Pairs of shards, one row each; either end of a link reaches the other's cluster.
+    pairs = (shards.select(F.col("shard").alias("a"), F.explode("reached").alias("cluster"))
+             .join(shards.select("cluster", F.col("shard").alias("b")), "cluster").where("a < b").select("a", "b"))
+    for side in "ab":
+        pairs = pairs.join(shards.select(F.col("shard").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", "vec")]), side)
+    across = pairs.drop("a", "b").mapInArrow(_across, "cls long, n_links long, root long")
+    return inside.unionByName(write_stage(across, "across"))
 
 
 def audit(embeddings: DataFrame, result: DataFrame, every: int = 20, id_col: str = "vec_id",

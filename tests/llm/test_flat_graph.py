@@ -54,3 +54,19 @@ def test_empty_and_lonely(spark):
     assert G.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = G.near_duplicates(spark.createDataFrame([(4, [1.0, 0.0], 0, 0)], SCHEMA)).collect()
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in rows] == [(4, 0, 4, True)]
+
+
+def test_no_pair_of_clusters_is_left_out(spark, monkeypatch):
+    """Links just above the threshold between vectors spread over many clusters."""
+    monkeypatch.setattr(G, "SHARD", 40)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(700):
+        x, y = rng.normal(0, 1, (2, 64))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        rows += [(2 * i, x.tolist()), (2 * i + 1, (0.905 * x + (1 - 0.905**2) ** 0.5 * y / np.linalg.norm(y)).tolist())]
+    rows = [(i, [float(np.float32(a)) for a in v]) for i, v in rows]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in G.near_duplicates(
+        spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA).repartition(3)).collect()}
+    assert got == {i: (1, i - i % 2) for i, _ in rows}
