@@ -8,7 +8,8 @@ one's documents, so every stage works on all that its predecessor kept and a
 lost executor costs no earlier stage.
 
 Null texts, repeated rows, empty tables and extra columns are handled as the
-operators say. Of repeated rows with the same id the second stage keeps one.
+operators say. Of repeated rows with the same id and text the second stage
+keeps one; different texts with one id, or with none, are different documents.
 """
 
 from __future__ import annotations

@@ -46,7 +46,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.llm.common import pick, prepare
@@ -176,8 +176,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
 
 
 def sketch_documents(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, full, bands, low) of rows (doc_id, text): the
-    digest of the set, a hash per band, and the low byte of each coordinate."""
+    """(doc_id, n_shingles, full, bands, low, key) of rows (doc_id, text): the
+    digest of the set, a hash per band, the low byte of each coordinate, and
+    the digest of the text."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = rows.schema["doc_id"].dataType
@@ -197,11 +198,12 @@ def sketch_documents(rows: DataFrame) -> DataFrame:
                 pa.array(ids, arrow_id), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([bands_of[i].tolist() if i in bands_of else None for i in range(len(sets))], pa.list_(pa.int64())),
-                pa.array([low_of[i].tobytes() if i in low_of else None for i in range(len(sets))], pa.binary())],
-                names=["doc_id", "n_shingles", "full", "bands", "low"])
+                pa.array([low_of[i].tobytes() if i in low_of else None for i in range(len(sets))], pa.binary()),
+                pa.array([hashlib.md5(t, usedforsecurity=False).digest() for t in texts], pa.binary())],
+                names=["doc_id", "n_shingles", "full", "bands", "low", "key"])
 
     return rows.mapInArrow(sketch, f"doc_id {id_type.simpleString()}, n_shingles long, full binary, "
-                                   "bands array<long>, low binary")
+                                   "bands array<long>, low binary, key binary")
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
@@ -319,6 +321,11 @@ def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
+    return _result(*_labelled(docs, id_col, text_col))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(the sketch of every row, the classes, the component of linked classes)."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc_id=id_col, text=text_col)
     made = write_stage(sketch_documents(rows), "sketches")
@@ -365,7 +372,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = found if links is None else links.union(found)
         if new:
             labels = write_stage(component_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
-    return _result(made, info, labels)
+    return made, info, labels
 
 
 def _star_pairs(left: DataFrame, r: int) -> DataFrame:
@@ -402,10 +409,22 @@ def _result(made: DataFrame, info: DataFrame, labels: DataFrame | None) -> DataF
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all their columns, whose document is the one that
-    stays of its group; of repeated rows with that id, one stays."""
-    found = near_duplicates(docs, id_col, text_col)
-    stays = write_stage(found.where("kept").select(F.col("doc_id").alias("__id"), "n_shingles").distinct(), "stays")
-    first = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in docs.columns if c != id_col])
-    kept = docs.join(stays.select("__id").distinct(), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    """The rows of ``docs``, all their columns, that stay: one of each component
+    of texts, whatever the ids. It has the component's least id (null only if
+    all are) and, of the texts with that id, the least digest. Texts without a
+    shingle are in no component; of repeated rows with the same id and text,
+    one stays."""
+    made, info, labels = _labelled(docs, id_col, text_col)
+    # By class first: a large group of copies is one row before any shuffle.
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    classes = (made.where("full IS NOT NULL").groupBy(F.xxhash64("full").alias("cls")).agg(F.min(order).alias("least"))
+               .withColumn("component", F.col("cls")))
+    if labels is not None:
+        classes = (classes.drop("component").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+                   .withColumn("component", F.coalesce("component", "cls")))
+    stays = (classes.groupBy("component").agg(F.min("least").alias("least")).select("least.doc_id", "least.key")
+             .union(made.where("full IS NULL").select("doc_id", "key").distinct()))
+    stays = write_stage(stays.toDF("__id", "__stay"), "stays")
+    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    kept = keyed.join(stays, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__stay")), "left_semi")
+    return kept.groupBy(id_col, "__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")

@@ -135,3 +135,16 @@ def test_repeated_id_with_different_texts(spark):
     rows = M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 1}
     assert all(r.n_shingles == 296 for r in rows)
+
+
+def test_keep_one_tells_texts_apart_by_content(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(60)) for _ in range(6)]
+    near = texts[4] + " end"
+    rows = ([(None, t, "x") for t in texts[:3]] + [(None, texts[0], "x")]  # null ids, one of them a copy
+            + [(7, texts[3], "x"), (7, texts[4], "x"), (7, texts[4], "x"), (8, near, "x"), (None, texts[4], "x")]  # one id, two texts
+            + [(9, texts[5], "x"), (None, "", "x"), (10, None, "x"), (11, "", "x")])
+    kept = M.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    want = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (9, texts[5]), (None, ""), (10, None), (11, "")]
+    assert kept.columns == ["doc_id", "text", "lang"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
