@@ -5,8 +5,8 @@ with its presentation (tag, class and id); on each page it has a style (the
 sequence of its children) and, near the leaves, content.
 
 * A node's presentation importance is the entropy of its styles over the
-  host's pages, its content importance that of its texts, both relative to
-  the number of pages that have it: templates repeat themselves, articles
+  host's different pages, its content importance that of its texts, both
+  relative to the number of pages that have it: templates repeat themselves, articles
   don't. Nodes that too few pages have (``MIN_PAGES``) are important.
 * A branch whose own node has low importance both ways is noise and removed
   from every page of the host.
@@ -15,12 +15,13 @@ sequence of its children) and, near the leaves, content.
   navigation, headers, footers, asides, forms, adverts, notices and comments
   are removed, and the article element is never noise.
 
-The tree is built by aggregation: each task sends a row per node of a host
-with digests of its styles and texts (at most one row per page and node), and
-counts per digest are summed before entropies. Nothing about a host is
-gathered in one task but its list of noise paths, and pages are never moved:
-the list is joined to the pages' hosts and Spark broadcasts it if its size
-allows.
+The tree is built by aggregation over the different pages of a host: rows with
+the same nodes and text are copies and count as one page, so a group of copies
+is no template. Each task sends the nodes of its different pages with digests
+of their styles and texts, and counts per digest are summed before entropies.
+Nothing about a host is gathered in one task but its list of noise paths, and
+pages are never moved: the list is joined to the pages' hosts and Spark
+broadcasts it if its size allows.
 
 Null and empty html gives an empty text; null urls belong to one host of their
 own. Repeated rows are extracted one by one. An empty input gives an empty
@@ -30,9 +31,11 @@ result.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -179,41 +182,52 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
-    """(host, path, kind, digest, n): how many pages of a host have the node
-    with this style (kind 0) or this text (kind 1), or with an article in it
-    (kind 2). Summed in the task first."""
+def page_nodes(pages: DataFrame) -> DataFrame:
+    """(host, page, nodes): the nodes of every row's page and a digest of them
+    and of its text, by which copies are known."""
+    node = pa.struct([("path", pa.string()), ("kind", pa.int32()), ("digest", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple, int] = {}
+            found: dict[tuple, list] = {}
             for url, page in zip(batch.column(0), batch.column(1), strict=True):
-                host = host_of(url.as_py())
-                seen = set()
-                for path, style, text, holds in walk(page.as_py() or "")[1]:
-                    for kind, digest in ((0, style), (1, text), (2, 0))[:2 + holds]:
-                        key = (host, path, kind, digest)
-                        if key not in seen:
-                            seen.add(key)
-                            counts[key] = counts.get(key, 0) + 1
-            keys = list(zip(*counts, strict=True)) or [(), (), (), ()]
+                blocks, nodes = walk(page.as_py() or "")
+                seen = {(n[0], kind, digest) for n in nodes
+                        for kind, digest in ((0, n[1]), (1, n[2]), (2, 0), (3, 0))[:3 + n[3]]}
+                nodes = sorted(seen)
+                key = blake2b(repr((blocks, nodes)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                found[host_of(url.as_py()), key] = nodes
+            flat = list(zip(*(n for nodes in found.values() for n in nodes), strict=True)) or [(), (), ()]
+            structs = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, node, strict=True)], fields=list(node))
+            starts = pa.array([0, *itertools.accumulate(map(len, found.values()))], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k, t) for k, t in zip(keys, (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)]
-                + [pa.array(counts.values(), pa.int64())], names=["host", "path", "kind", "digest", "n"])
+                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.binary()),
+                 pa.ListArray.from_arrays(starts, structs)], names=["host", "page", "nodes"])
+
+    return pages.select("url", "html").mapInArrow(
+        run, "host string, page binary, nodes array<struct<path: string, kind: int, digest: long>>")
 
-    return pages.select("url", "html").mapInArrow(run, "host string, path string, kind int, digest long, n long")
+
+def style_nodes(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, digest, n): how many different pages of a host have
+    the node with this style (kind 0) or this text (kind 1), have it at all
+    (kind 2), or with an article in it (kind 3). Copies weigh once."""
+    different = page_nodes(pages).groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    return (different.select("host", F.explode("nodes").alias("node")).groupBy("host", "node.path", "node.kind", "node.digest")
+            .agg(F.count("*").alias("n")))
 
 
 def importances(pages: DataFrame) -> DataFrame:
     """(host, path, pages, presentation, content, holds): relative entropies in
     0..1, and whether an article lies in the node on any page."""
-    counts = style_nodes(pages).groupBy("host", "path", "kind", "digest").agg(F.sum("n").alias("n"))
+    counts = style_nodes(pages)
     # entropy = ln(N) - sum(n ln n) / N, relative to ln(N)
-    per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    relative = F.when(F.col("pages") > 1, 1 - F.col("nlogn") / (F.col("pages") * F.log(F.col("pages")))).otherwise(1.0)
+    per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
+    relative = F.when(F.col("total") > 1, 1 - F.col("nlogn") / (F.col("total") * F.log(F.col("total")))).otherwise(1.0)
     return (per.withColumn("e", relative).groupBy("host", "path")
-            .agg(F.max("pages").alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("e"))).alias("presentation"),
+            .agg(F.max(F.when(F.col("kind") == 2, F.col("total"))).alias("pages"), F.max(F.when(F.col("kind") == 0, F.col("e"))).alias("presentation"),
                  F.max(F.when(F.col("kind") == 1, F.col("e"))).alias("content"),
-                 F.max(F.col("kind") == 2).alias("holds")))
+                 F.max(F.col("kind") == 3).alias("holds")))
 
 
 def noise_table(pages: DataFrame, least: float = LEAST_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:

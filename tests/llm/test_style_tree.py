@@ -69,3 +69,15 @@ def test_articles_in_one_template_stay(spark):
     assert [got[i] for i in range(30)] == [f"Title {i}\nStory {i}" for i in range(30)]
     wrap = "<div class=wrap><article>a</article>b</div>"
     assert S.walk(wrap, frozenset(n[0] for n in S.walk(wrap)[1]))[0] == ["a"]
+
+
+def test_copies_weigh_once(spark):
+    page = "<html><body><div class=q7>Welcome</div><div class=text><p>Story {0} of many</p></div></body></html>"
+    rows = [(i, f"http://h.x/{i}", page.format(i), 0) for i in range(50)]
+    rows += [(100 + i, f"http://h.x/c/{i}", page.format(0), 0) for i in range(950)]
+    rows += [(2000 + i, f"http://same.x/{i}", page.format(0), 0) for i in range(12)]
+    one = "".join(f"<p>{i}</p>" for i in range(20))  # a path that one page has often
+    rows += [(3000 + i, f"http://few.x/{i}", f"<div class=q7>Same</div>{one}", 0) for i in range(3)]
+    got = {r.page_id: r.text for r in S.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert [got[i] for i in range(50)] == [f"Story {i} of many" for i in range(50)] and got[1000] == "Story 0 of many"
+    assert got[2000] == "Welcome\nStory 0 of many" and got[3000].startswith("Same\n0\n1")
