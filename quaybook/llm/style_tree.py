@@ -13,7 +13,9 @@ sequence of its children) and, near the leaves, content.
 * What no repetition can show (a menu that differs from page to page) is told
   by its presentation: elements that HTML or common class names reserve for
   navigation, headers, footers, asides, forms, adverts, notices and comments
-  are removed, and the article element is never noise.
+  are removed. A name counts as a whole; it removes neither the only article
+  of a page nor most of its text, and inside an article only names that can't
+  belong to one count, and a header stays. And the article element is never noise.
 
 The tree is built by aggregation over the different pages of a host: rows with
 the same nodes and text are copies and count as one page, so a group of copies
@@ -30,6 +32,7 @@ result.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import itertools
 import re
@@ -47,7 +50,7 @@ from quaybook.plans.stages import write_stage
 
 MIN_PAGES = 8
 LEAST_IMPORTANCE = 0.3  # of 1: relative entropy below which a node repeats itself
-BY_PATH, BY_NAME = 1, 2  # what makes a node noise: its entropy, its presentation
+BY_PATH, MARKED, DROP = 1, 2, 3  # what makes a node noise: its entropy, its names, its tag
 
 # What HTML and common practice reserve for parts outside the article.
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"))
@@ -58,11 +61,18 @@ BLOCKS = frozenset(("address", "article", "blockquote", "body", "center", "dd",
                     "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section",
                     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption")) | DROPPED
 ENDS_P = BLOCKS - {"body", "html"}
-NOISE_NAMES = re.compile(
-    r"(?i)(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|ads?|advert\w*|"
-    r"banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|"
-    r"comments?|replies|reply|respond|discussion|disqus|share|sharing|social|related|recommended|pagination|pager|toolbar|"
-    r"copyright|legal|disclaimer|skip)(?=$|[\s_-])")
+# A class or id marks noise only if all its hyphenated parts do, or qualify
+# those that do: "site-nav" does, "with-sidebar" and "search-results" don't.
+NOISE_WORDS = frozenset((
+    "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside widget widgets ad ads banner cookie cookies "
+    "consent popup modal overlay newsletter subscribe signup share sharing social pagination pager toolbar skip "
+    "comment comments reply replies respond disqus").split())
+#: These can also name a part of an article, so they mark nothing inside one.
+OUTSIDE_WORDS = frozenset("header notice alert login search discussion related recommended copyright legal disclaimer".split())
+REPLY_WORDS = frozenset("comment comments reply replies respond disqus discussion".split())
+NOISE_START = re.compile(r"(?:advert|sponsor|promo)\w*")
+QUALIFIERS = frozenset("site main top bottom left right primary secondary global area list links link item items slot unit bar box".split())
+MOST, MOST_REPLIES = 0.5, 0.9  # of a page's text: a part above it is no noise by its name
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 NAMES = re.compile(r"""[\s"'](class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.S)
@@ -70,35 +80,74 @@ SPACE = re.compile(r"\s+")
 HOST = re.compile(r"\A[^:]*://([^/?#]*)", re.S)
 
 
+class Mark:
+    """A node that its names mark as noise."""
+    __slots__ = ("at", "replies", "inside", "free", "size", "articles")
+
+    def __init__(self, at: int, replies: bool, inside: bool, free: int, size: int, articles: int):
+        self.at, self.replies, self.inside, self.free = at, replies, inside, free
+        self.size, self.articles = -size, -articles  # of the page so far; the node's own once it is closed
+
+    def void(self, total: int, free: int) -> bool:
+        """Whether the node is the page's article after all: no article lies
+        elsewhere, and it holds one or most of the text."""
+        return free <= self.free and (self.articles and not self.inside
+                                      or self.size > total * (MOST_REPLIES if self.replies else MOST))
+
+
 class Node:
-    __slots__ = ("tag", "path", "noise", "kept", "holds", "children", "parts")
+    __slots__ = ("tag", "path", "noise", "kept", "holds", "children", "parts", "mark", "article", "free")
 
-    def __init__(self, tag: str, path: str, noise: int, kept: bool):
+    def __init__(self, tag: str, path: str, noise: int, kept: bool, mark: Mark | None = None, article: bool = False, free: int = 0):
         self.tag, self.path, self.noise, self.kept = tag, path, noise, kept
         self.holds = False  # an article
         self.children: list[str] = []
         self.parts: list[str] = []
+        # Its own mark; whether it lies in an article element, and in how many unmarked articles.
+        self.mark, self.article, self.free = mark, article, free
 
 
-def _presentation(tag: str, attributes: str) -> tuple[str, bool]:
-    """(tag with class and id, whether these mark noise)."""
+@functools.lru_cache(1 << 14)
+def noise_by_names(names: str, article: bool) -> int:
+    """0: not noise, 1: noise, 2: replies."""
+    for token in names.lower().split():
+        parts = [p for p in re.split(r"[-_]+", token) if p]
+        words = [p for p in parts if p not in QUALIFIERS and not p.isdigit()]
+        if words and all(p in NOISE_WORDS or NOISE_START.fullmatch(p) or not article and p in OUTSIDE_WORDS for p in words):
+            return 2 if any(p in REPLY_WORDS for p in words) else 1
+    return 0
+
+
+def _presentation(tag: str, attributes: str, article: bool = False) -> tuple[str, bool, int]:
+    """(tag with class and id, whether tag or attributes drop it, whether its
+    names mark noise). ``article``: it lies in one."""
+    dropped = tag in DROPPED and not (article and tag == "header")
     if not attributes or attributes == "/":
-        return tag, tag in DROPPED
+        return tag, dropped, 0
     found = {k.lower(): v.strip("\"'") for k, v in NAMES.findall(attributes)}
     names = " ".join(filter(None, (found.get("class"), found.get("id"), found.get("role"))))
-    hidden = "hidden" in found or found.get("aria-hidden") == "true"
-    noise = tag in DROPPED or hidden or bool(names and tag not in ("body", "html", "main") and NOISE_NAMES.search(names))
-    return f"{tag}.{found.get('class', '')}#{re.sub(r'[0-9]+', '0', found.get('id', ''))}", noise
+    dropped = dropped or "hidden" in found or found.get("aria-hidden") == "true"
+    marked = noise_by_names(names, article) if names and tag not in ("body", "html", "main") else 0
+    return f"{tag}.{found.get('class', '')}#{re.sub(r'[0-9]+', '0', found.get('id', ''))}", dropped, marked
 
 
 def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], list[tuple[str, int, int, bool]]]:
     """(text blocks of the article, (path, style digest, text digest, whether
-    it holds an article) of every node that isn't noise by its presentation)."""
+    it holds an article) of every node that isn't noise by its presentation).
+    A page whose names mark its own article is walked again without them."""
+    blocks, nodes, void = _walk(page, noise_paths, frozenset())
+    return _walk(page, noise_paths, void)[:2] if void else (blocks, nodes)
+
+
+def _walk(page: str, noise_paths: frozenset, unmarked: frozenset) -> tuple[list, list, frozenset]:
+    """``walk`` with the names of the nodes that begin at ``unmarked`` marking
+    nothing, and where marks are void."""
     stack = [Node("", "", 0, False)]
     nodes: list[tuple[str, int, int, bool]] = []
     blocks: list[str] = []
     line: list[str] = []
-    at = 0
+    marks: list[Mark] = []
+    at = total = free = articles = 0
 
     def flush() -> None:
         text = SPACE.sub(" ", "".join(line)).strip()
@@ -107,7 +156,10 @@ def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], li
         line.clear()
 
     def text_of(raw: str) -> None:
+        nonlocal total
         top = stack[-1]
+        if raw and top.noise <= MARKED:
+            total += len("".join(raw.split()))
         if raw and not top.noise:
             value = entities.unescape(raw)
             line.append(value)
@@ -115,6 +167,9 @@ def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], li
 
     def close() -> None:
         node = stack.pop()
+        if node.mark:
+            node.mark.size += total
+            node.mark.articles += articles
         if node.tag in BLOCKS:
             flush()
         if not node.noise:
@@ -158,23 +213,33 @@ def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], li
         if tag in VOID:
             top.children.append(tag)
             continue
-        name, noise = _presentation(tag, m[3])
-        kept = top.kept or tag in ("article", "main")
-        if noise and tag in ("article", "main") and not top.kept:
-            noise = False
+        name, drop, marked = _presentation(tag, m[3], top.article)
+        main = tag in ("article", "main")
+        kept = top.kept or main
+        if main and not top.kept:
+            drop, marked = False, 0
+        if m.start() in unmarked:
+            marked = 0
         # Inside an article only presentation removes a node; its own parts differ from page to page.
         path = top.path + "/" + name if not top.kept else top.path
-        if kept and not top.kept and top.noise == BY_PATH:  # entropy stops at the article
-            noise = BY_NAME if noise else 0
-        else:
-            noise = max(top.noise, BY_NAME if noise else BY_PATH if not kept and path in noise_paths else 0)
+        before = 0 if main and not top.kept and top.noise == BY_PATH else top.noise  # entropy stops at the article
+        noise = max(before, DROP if drop else MARKED if marked else BY_PATH if not kept and path in noise_paths else 0)
+        here, mark = top.free, None
+        if main and noise <= MARKED:
+            articles += 1
+            if noise < MARKED:
+                free += 1
+                here += 1
+        if marked and noise == MARKED:
+            mark = Mark(m.start(), marked == 2, top.article, top.free, total, articles)
+            marks.append(mark)
         top.children.append(name)
-        stack.append(Node(tag, path, noise, kept))
+        stack.append(Node(tag, path, noise, kept, mark, top.article or tag == "article", here))
     text_of(page[at:] if at < len(page) else "")
     while len(stack) > 1:
         close()
     flush()
-    return blocks, nodes
+    return blocks, nodes, frozenset(mark.at for mark in marks if mark.void(total, free))
 
 
 def host_of(url: str | None) -> str:

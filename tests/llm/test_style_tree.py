@@ -81,3 +81,17 @@ def test_copies_weigh_once(spark):
     got = {r.page_id: r.text for r in S.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
     assert [got[i] for i in range(50)] == [f"Story {i} of many" for i in range(50)] and got[1000] == "Story 0 of many"
     assert got[2000] == "Welcome\nStory 0 of many" and got[3000].startswith("Same\n0\n1")
+
+
+def test_names_spare_articles():
+    for name in ("with-sidebar", "has-sidebar", "no-comments", "search-results", "legal", "sidebar"):
+        assert text(f"<div class=nav>no</div><div class='{name}'><article><p>yes</p></article></div>") == "yes"
+        assert text(f"<main><div class='{name}'><article><p>yes</p></article></div></main>") == "yes"
+    assert text("<div class=legal><p>most of the text of a page</p></div><p>and more</p>") == "most of the text of a page\nand more"
+    parts = "".join(f"<div class={n}>{n}</div>" for n in ("related", "notice", "discussion", "legal"))
+    assert text(f"<article><header><h1>Title</h1></header>{parts}</article>") == "Title\nrelated\nnotice\ndiscussion\nlegal"
+    # What lies beside an article, and comments inside one, still go.
+    assert text("<article>yes</article><div class=related><article>teaser, long as it is</article></div>") == "yes"
+    assert text("<article>yes</article><div class='comments-area'><p>a lot of talk</p></div><div id=site-nav>no</div>") == "yes"
+    assert text("<article>the article<div class=comments><article>no</article></div></article>") == "the article"
+    assert text("<div class=nav>" * 3000 + "x") == "x"
