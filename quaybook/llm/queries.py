@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaybook.llm import (
+    bisector,
+    box_tree,
     chat_trees,
     decontaminate,
     flat_graph,
     minhash,
     packing,
+    piece_agenda,
     quality_qda,
     style_tree,
     token_counts,
@@ -111,6 +114,25 @@ def op10_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_alias.judge(read_table(spark, sf_dir, "pages")).drop("component")
 
 
+def op11_str_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return box_tree.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = bisector.cluster(read_table(spark, sf_dir, "embeddings"))
+    return bisector.with_inertia(assigned, centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
+def op13_merge_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    encoded = piece_agenda.encode_texts(read_table(spark, sf_dir, "documents"), model)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cost_packing": op1_cost_packing,
     "op2_zip_archive": op2_zip_archive,
@@ -122,8 +144,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_redirect_equivalence": op10_redirect_equivalence,
+    "op11_str_rtree": op11_str_rtree,
+    "op12_bisector_tournament": op12_bisector_tournament,
+    "op13_merge_agenda": op13_merge_agenda,
 }
 
+#: Rounds of the SQL below: every vector meets every centroid.
+_ROUND = """
+d{n} AS (SELECT p.r, c.cluster, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+  FROM p, c{n} AS c),
+a{n} AS (SELECT r, cluster, distance FROM d{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1)"""
+_MEANS = """,
+s{n} AS (SELECT a.cluster, i, sum(p.v[i]) AS s, count(*) AS m
+  FROM a{n} AS a JOIN p USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL),
+m{n} AS (SELECT cluster, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY i) AS v FROM s{n} GROUP BY cluster),
+c{next} AS (SELECT cluster, coalesce(m.v, c.v) AS v FROM c{n} AS c LEFT JOIN m{n} AS m USING (cluster)),"""
+
 ORACLE: dict[str, str] = {
     # Brute force: every window of every document against every item's.
     "op8_winnowing": r"""
@@ -163,6 +199,40 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(12 + 2 * length(role) + long_text) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
+    # Brute force: every anchor's product with every other row.
+    "op11_str_rtree": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM (SELECT DISTINCT vec_id, label, embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r AS a JOIN r AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5""",
+    "op12_bisector_tournament": """
+WITH p AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v
+  FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM p)
+  QUALIFY row_number() OVER (ORDER BY h, v) <= 16),""" + "".join(
+        _ROUND.format(n=n) + _MEANS.format(n=n, next=n + 1) for n in range(3)) + _ROUND.format(n=3) + """
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 JOIN p USING (r) JOIN c3 AS c USING (cluster)""",
     # The pages name no aliases: urls without a rule are allowed.
     "op10_redirect_equivalence": r"""
 WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
