@@ -18,9 +18,10 @@ packed by itself:
 
 Ids come from the ``tokenizers`` library. As a byte-level pre-token never
 spans the place before a space that a non-space follows, a text is the
-concatenation of its space-led segments; each segment is encoded once per
-worker and cache generation. Texts with irregular white space are encoded
-whole, so ids always equal those of the whole text.
+concatenation of its space-led segments; Arrow numbers a batch's segments, a
+worker encodes those that are new to it, many in one call, and texts are
+gathered from a bounded store (``segments``). Texts with irregular white space
+are encoded whole, so ids always equal those of the whole text.
 
 Null or empty texts have one token (``end_id``). Repeated rows are packed as
 rows of their own. Rows keep their ids, null ones included. An empty input
@@ -39,20 +40,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from quaybook.llm.common import pick, prepare
+from quaybook.llm.segments import WordStore, gather, split_at_spaces, sums, text_blocks
 
 SEQ_LEN = 1024
 CELL_TOKENS = 1 << 22
-BLOCK_CHARS = 1 << 20  # texts are split into words this much at a time
-CACHE_SEGMENTS = 400_000  # of each of the two cache generations
-CACHE_LEN = 48  # longer segments aren't kept
+BLOCK_BYTES = 1 << 21  # texts are split into segments this much at a time
+ENCODE_AT_ONCE = 2_000  # segments in one call of the library
+PIECES_AT_ONCE = 4096  # in an Arrow batch
 PARTITION_BITS = 36
+SPACE = "Ġ"  # how the vocabulary writes a space
 
 PIECES = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long, cost double")
 
 
 class SegmentEncoder:
-    """Little-endian 32-bit ids of texts, through a bounded cache of segments."""
+    """Ids of texts through a bounded store of segments. A segment is a text's
+    first word, or a space and a later word."""
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,56 +65,80 @@ class SegmentEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.space_led = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.space_led[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.store = WordStore(self._segments)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, dtype=np.int32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _known(self, segments: set[str]) -> dict[str, bytes]:
-        """Ids of the segments (a space goes before each)."""
-        if len(self.young) > CACHE_SEGMENTS:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        found = {s: young[s] for s in segments & young.keys()}
-        for s in (segments - found.keys()) & old.keys():
-            found[s] = young[s] = old[s]
-        missing = list(segments - found.keys())
-        for s, ids in zip(missing, self._encode([" " + s for s in missing]), strict=True):
-            found[s] = ids
-            if len(s) <= CACHE_LEN:
-                young[s] = ids
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.split(" ") for t in texts]
-        distinct = set().union(*(w[1:] for w in words)) if words else set()
+    def _segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, start and count of each segment). Space-led segments are
+        encoded as one text and cut where an id begins with a space."""
+        led = np.array([s[:1] == " " for s in segments])
+        order, flats, counts = [], [], []
+        spaced = np.flatnonzero(led)
+        for at in range(0, len(spaced), ENCODE_AT_ONCE):
+            some = spaced[at:at + ENCODE_AT_ONCE]
+            ids = self._encode(["".join([segments[i] for i in some])])[0]
+            cuts = np.flatnonzero(self.space_led[ids])
+            if len(cuts) != len(some) or cuts[0]:
+                raise ValueError("a space stands inside a segment")
+            order.append(some)
+            flats.append(ids)
+            counts.append(np.diff(np.append(cuts, len(ids))))
+        order.append(np.flatnonzero(~led))
+        firsts = self._encode([segments[i] for i in order[-1]])
+        counts.append(np.array([len(f) for f in firsts], dtype=np.int64))
+        order, count = np.concatenate(order), np.concatenate(counts)
+        starts, n = np.empty(len(segments), dtype=np.int64), np.empty(len(segments), dtype=np.int64)
+        starts[order], n[order] = np.cumsum(count) - count, count
+        return np.concatenate([*flats, *firsts]) if len(segments) else np.empty(0, dtype=np.int32), starts, n
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each has)."""
+        offsets, codes, words = split_at_spaces(texts)
+        later = np.ones(len(codes), dtype=bool)
+        later[offsets[:-1]] = False
         # Before an empty segment or one that starts with white space, a
-        # pre-token may span the border.
-        odd = {s for s in distinct if not s or s[0].isspace()}
-        known = self._known(distinct - odd).__getitem__
-        whole = [i for i, w in enumerate(words) if odd and not odd.isdisjoint(w[1:])]
-        first = [w[0] for w in words]
-        for i in whole:
-            first[i], words[i] = texts[i], [""]
-        return [a + b"".join(map(known, w[1:])) for a, w in zip(self._encode(first), words, strict=True)]
-
-    def long_text(self, text: str) -> bytes:
+        # pre-token may span the border: such texts are encoded whole.
+        odd = np.array([not w or w[0].isspace() for w in words])
+        whole = sums(odd[codes] & later, offsets) > 0
+        if whole.any():
+            keep = np.repeat(~whole, np.diff(offsets))
+            codes, later = codes[keep], later[keep]
+            offsets = np.concatenate(([0], np.cumsum(np.where(whole, 0, np.diff(offsets)))))
+        n = len(words)
+        place = codes + np.where(later, 0, n)
+        used = np.flatnonzero(np.bincount(place, minlength=2 * n))
+        slots = np.empty(2 * n, dtype=np.int64)
+        slots[used] = self.store.slots([" " + words[i] if i < n else words[i - n] for i in used.tolist()])
+        ids, counts = self.store.numbers(slots[place])
+        counts = sums(counts, offsets)
+        if whole.any():
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i, part in zip(np.flatnonzero(whole), self._encode([texts[int(i)].as_py() for i in np.flatnonzero(whole)]), strict=True):
+                parts[i], counts[i] = part, len(part)
+            ids = np.concatenate(parts)
+        return ids, counts
+
+    def long_text(self, text: str) -> np.ndarray:
         """A text of any length, block by block. A block ends before a space
         that a non-space follows."""
         parts, at = [], 0
+        before = len(self.encode(pa.array(["x"]))[0])
         while at < len(text):
-            end = at + BLOCK_CHARS
+            end = at + BLOCK_BYTES
             while 0 <= (end := text.find(" ", end)) < len(text) - 1 and text[end + 1].isspace():
                 end += 1
             end = len(text) if end < 0 else end
             block = text[at:end]
             # All blocks but the first start with the space of their first segment.
-            parts.append(self.encode([block])[0] if at == 0 else
-                         self.encode(["x" + block])[0][len(self.encode(["x"])[0]):])
+            parts.append(self.encode(pa.array([block if at == 0 else "x" + block]))[0][0 if at == 0 else before:])
             at = end
-        return b"".join(parts)
+        return np.concatenate(parts)
 
 
 def _room_tree(seq_len: int):
@@ -209,39 +237,35 @@ def _encoder(tokenizer_json: str) -> SegmentEncoder:
     return _ENCODERS[key]
 
 
-def _cells(batches: Iterator[pa.RecordBatch], encoder: SegmentEncoder, end: bytes,
-           cell_tokens: int) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids of documents, their tokens) of one cell after the other."""
-    docs, tokens, held, queued, chars = [], [], 0, [], 0
+def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids of texts with ``end_id`` behind each."""
+    out = np.full(len(ids) + len(counts), end_id, dtype="<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    return out
 
-    def flush() -> None:
-        nonlocal held, chars
-        for ids in encoder.encode(queued):
-            tokens.append(ids + end)
-            held += len(tokens[-1]) // 4
-        queued.clear()
-        chars = 0
 
+def _cells(batches: Iterator[pa.RecordBatch], encoder: SegmentEncoder, end_id: int,
+           cell_tokens: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(ids of documents, their tokens, how many each has) of one cell after
+    the other."""
+    docs, tokens, lengths, held = [], [], [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            text = text.as_py() or ""
-            docs.append(doc)
-            if len(text) > BLOCK_CHARS:
-                flush()
-                tokens.append(encoder.long_text(text) + end)
-                held += len(tokens[-1]) // 4
+        for a, b, long in text_blocks(batch.column(1), BLOCK_BYTES):
+            texts = batch.column(1)[a:b]
+            if long:
+                ids = encoder.long_text(texts[0].as_py())
+                counts = np.array([len(ids)])
             else:
-                queued.append(text)
-                chars += len(text)
-            if chars > BLOCK_CHARS:
-                flush()
+                ids, counts = encoder.encode(texts)
+            docs.append(batch.column(0)[a:b])
+            tokens.append(_with_end(ids, counts, end_id))
+            lengths.append(counts + 1)
+            held += len(tokens[-1])
             if held >= cell_tokens:
-                flush()
-                yield docs, tokens
-                docs, tokens, held = [], [], 0
-    flush()
+                yield pa.concat_arrays(docs), np.concatenate(tokens), np.concatenate(lengths)
+                docs, tokens, lengths, held = [], [], [], 0
     if docs:
-        yield docs, tokens
+        yield pa.concat_arrays(docs), np.concatenate(tokens), np.concatenate(lengths)
 
 
 def pack_documents(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN, end_id: int = 0,
@@ -252,33 +276,26 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN,
     tokenizer file (a vocabulary, so of bounded size)."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc_id=id_col, doc_text=text_col)
-    end = np.asarray([end_id], dtype="<u4").tobytes()
     shape = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json)
         first = TaskContext.get().partitionId() << PARTITION_BITS
-        for cell, tokens in _cells(batches, encoder, end, cell_tokens):
-            lengths = [len(t) // 4 for t in tokens]
-            pieces, capacity, cost = pack_lengths(lengths, seq_len, linear, quadratic)
-            doc, start, length, seq, offset = zip(*pieces, strict=True)
-            for at in range(0, len(pieces), 4096):
-                part = slice(at, at + 4096)
-                d, s, n, q = doc[part], start[part], length[part], seq[part]
+        for cell, tokens, lengths in _cells(batches, encoder, end_id, cell_tokens):
+            pieces, capacity, cost = pack_lengths(lengths.tolist(), seq_len, linear, quadratic)
+            pieces, capacity, cost = np.array(pieces, dtype=np.int64), np.array(capacity, dtype=np.int64), np.array(cost)
+            doc_starts = np.cumsum(lengths) - lengths
+            for at in range(0, len(pieces), PIECES_AT_ONCE):
+                doc, start, length, seq, offset = pieces[at:at + PIECES_AT_ONCE].T
+                ends = np.concatenate(([0], 4 * np.cumsum(length))).astype(np.int32)
+                ids = gather(tokens, doc_starts[doc] + start, length)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([cell[i] for i in d], batches_type),
-                    pa.array(s, pa.int64()), pa.array(n, pa.int64()),
-                    pa.array([tokens[i][4 * a:4 * (a + m)] for i, a, m in zip(d, s, n, strict=True)], pa.binary()),
-                    pa.array([lengths[i] for i in d], pa.int64()),
-                    pa.array([first + k for k in q], pa.int64()),
-                    pa.array(offset[part], pa.int64()),
-                    pa.array([capacity[k] for k in q], pa.int64()),
-                    pa.array([cost[k] for k in q], pa.float64())],
+                    cell.take(pa.array(doc)), pa.array(start), pa.array(length),
+                    pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
+                    pa.array(lengths[doc]), pa.array(first + seq), pa.array(offset), pa.array(capacity[seq]),
+                    pa.array(cost[seq])],
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
                            "offset", "sequence_tokens", "cost"])
             first += len(capacity)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    batches_type = to_arrow_type(rows.schema["doc_id"].dataType)
     return rows.mapInArrow(pack, shape)

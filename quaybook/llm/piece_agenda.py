@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quaybook.llm.common import pick, prepare
-from quaybook.llm.segments import WordStore, gather, split_at_spaces, sums
-from quaybook.llm.token_counts import SEPARATOR, check_splittable, pre_tokens
+from quaybook.llm.segments import WordStore, gather, sums, text_blocks
+from quaybook.llm.token_counts import SEPARATOR, check_splittable, coded_pre_tokens
 
-BLOCK_CHARS = 1 << 20  # of texts that are gathered at a time
+BLOCK_BYTES = 1 << 21  # of texts that are gathered at a time
 ROW_CHARS = 40  # longer words get a heap of their own
 ROWS = 4096  # words that are merged together
 SYMBOL_BITS = 22  # pieces and characters without a piece
@@ -264,21 +264,9 @@ class AgendaEncoder:
         return flat, starts, counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of each). Texts whose spaces stand alone
-        between words are split by Arrow, others one by one."""
-        offsets, codes, words = split_at_spaces(texts)
-        plain = np.array([bool(w) and SEPARATOR not in w for w in words])
-        odd = np.flatnonzero(sums(~plain[codes], offsets))
-        if not len(odd):
-            ids, counts = self.store.numbers(self.store.slots(words)[codes])
-            return ids, np.concatenate(([0], np.cumsum(sums(counts, offsets))))
-        runs = [pre_tokens(texts[int(i)].as_py() or "") for i in odd]
-        place = {w: i for i, w in enumerate(dict.fromkeys(chain(words, chain.from_iterable(runs))))}
-        parts = [codes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        for i, run in zip(odd, runs, strict=True):
-            parts[i] = np.array([place[w] for w in run], dtype=np.int64)
-        offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-        ids, counts = self.store.numbers(self.store.slots(list(place))[np.concatenate(parts)])
+        """(ids of all texts, offsets of each)."""
+        offsets, codes, words = coded_pre_tokens(texts)
+        ids, counts = self.store.numbers(self.store.slots(words)[codes])
         return ids, np.concatenate(([0], np.cumsum(sums(counts, offsets))))
 
     def encode_long(self, text: str) -> np.ndarray:
@@ -286,7 +274,7 @@ class AgendaEncoder:
         parts, at = [], 0
         text = text.replace(SEPARATOR, " ")
         while at < len(text):
-            end = at + BLOCK_CHARS
+            end = at + BLOCK_BYTES
             while 0 <= (end := text.find(" ", end)) and text[end - 1] == " ":
                 end += 1
             end = len(text) if end < 0 else end
@@ -300,16 +288,12 @@ class AgendaEncoder:
     def encode_batch(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, offsets) of blocks of a batch; a text longer
         than a block comes alone."""
-        size = np.array([len(t.as_buffer() or b"") if t.is_valid else 0 for t in texts], dtype=np.int64)
-        at = 0
-        while at < len(texts):
-            end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), BLOCK_CHARS, side="right")))
-            if end == at + 1 and size[at] > BLOCK_CHARS:
-                ids = self.encode_long(texts[at].as_py())
-                yield at, end, ids, np.array([0, len(ids)])
+        for a, b, long in text_blocks(texts, BLOCK_BYTES):
+            if long:
+                ids = self.encode_long(texts[a].as_py())
+                yield a, b, ids, np.array([0, len(ids)])
             else:
-                yield at, end, *self.encode(texts[at:end])
-            at = end
+                yield a, b, *self.encode(texts[a:b])
 
 
 _ENCODERS: dict[tuple[int, bool], AgendaEncoder] = {}

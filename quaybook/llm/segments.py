@@ -10,7 +10,7 @@ texts are gathered by array indexing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,17 @@ def split_at_spaces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]
     return (lists.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist())
 
 
+def text_blocks(texts: pa.Array, most: int) -> Iterator[tuple[int, int, bool]]:
+    """(first row, end row, whether it is one text longer than ``most`` bytes)
+    of blocks of at most that many bytes."""
+    ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield at, end, bool(ends[end] - ends[at] > most)
+        at = end
+
+
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of values[offsets[i]:offsets[i + 1]]."""
     total = np.concatenate(([0], np.cumsum(values)))

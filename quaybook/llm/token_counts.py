@@ -3,14 +3,16 @@
 The model's pieces never hold a word separator behind another character, so
 a text falls into pre-tokens (a run of spaces and the non-spaces behind it)
 whose pieces don't depend on each other. Each Arrow batch is cut into blocks
-of bounded text. For a block, its distinct pre-tokens are gathered, the
-pieces of each that is new to the worker are counted once, and the counts
-are joined to the pre-tokens of every document and summed. Ids are never
-materialised, nothing is shuffled and no key is gathered in one place, so
-skewed sources or copies make no difference.
+of bounded text, and a block into rows (document, pre-token, frequency). The
+pieces of each pre-token that is new to the worker are counted once, these
+counts are joined to the block's rows, and count times frequency is summed for
+each document. Ids are never kept, nothing is shuffled and no key is gathered
+in one place, so skewed sources or copies make no difference.
 
-A worker keeps the counts it knows in two generations of bounded size; a
-count that fell out is made anew.
+How often a pre-token is counted: once in each worker that meets it, and once
+more whenever the worker's store of known counts outgrew its bound
+(``segments.MAX_WORDS``) in between. Counting it once in the whole cluster
+would move most of the corpus through a shuffle.
 
 ``check_splittable`` proves the assumption on the vocabulary itself; a model
 that breaks it is refused.
@@ -25,18 +27,18 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quaybook.llm.common import pick, prepare
+from quaybook.llm.segments import WordStore, split_at_spaces, sums, text_blocks
 
 LIMIT = 4096
 SEPARATOR = "▁"  # how the library writes a space inside pieces
-BLOCK_CHARS = 1 << 20
-CACHE_WORDS = 300_000  # of each generation
-CACHE_LEN = 64  # longer pre-tokens aren't kept
+BLOCK_BYTES = 1 << 21
 ENCODE_AT_ONCE = 20_000
 
 _RUNS = re.compile(r" *[^ ]+| +")
@@ -53,6 +55,39 @@ def check_splittable(processor) -> None:
         raise ValueError("the model rewrites white space")
 
 
+def pre_tokens(text: str) -> list[str]:
+    """The pre-tokens of a text, each without its first space: the text's
+    own first one gets its space from the library."""
+    if not text:
+        return []
+    if SEPARATOR in text:  # the library takes it for a space
+        text = text.replace(SEPARATOR, " ")
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [run[1:] if run[0] == " " else run for run in _RUNS.findall(" " + text)]
+
+
+def coded_pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(offsets of the texts' pre-tokens, their codes, the distinct ones).
+    Texts whose spaces stand alone between words are split by Arrow, the
+    others one by one."""
+    offsets, codes, words = split_at_spaces(texts)
+    plain = np.array([bool(w) and SEPARATOR not in w for w in words])
+    odd = np.flatnonzero(sums(~plain[codes], offsets))
+    if not len(odd):
+        return offsets, codes, words
+    runs = [pre_tokens(texts[int(i)].as_py() or "") for i in odd]
+    parts = np.split(codes, offsets[1:-1])
+    place = {words[c]: c for c in np.unique(np.concatenate([codes[:0]] + [parts[i] for i in np.setdiff1d(np.arange(len(parts)), odd)]))}
+    found = {w: i for i, w in enumerate(dict.fromkeys(chain(place, chain.from_iterable(runs))))}
+    moved = np.zeros(len(words), dtype=np.int64)
+    moved[list(place.values())] = [found[w] for w in place]
+    parts = [moved[p] for p in parts]
+    for i, run in zip(odd, runs, strict=True):
+        parts[i] = np.array([found[w] for w in run], dtype=np.int64)
+    return np.concatenate(([0], np.cumsum([len(p) for p in parts]))), np.concatenate(parts), list(found)
+
+
 class PieceCounter:
     """Numbers of pieces of texts, through counts of distinct pre-tokens."""
 
@@ -61,61 +96,44 @@ class PieceCounter:
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         check_splittable(self.processor)
-        self.young: dict[str, int] = {}
-        self.old: dict[str, int] = {}
-
-    def _pieces(self, texts: list[str]) -> list[int]:
-        return [len(x) for x in self.processor.encode(texts, num_threads=1)]
-
-    def counts(self, words: set[str]) -> dict[str, int]:
-        """Pieces of each pre-token, given without its first space (which
-        the library puts before any text). An empty one is a space alone."""
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        found = {w: young[w] for w in words & young.keys()}
-        for w in (words - found.keys()) & old.keys():
-            found[w] = young[w] = old[w]
-        missing = list(words - found.keys())
-        for at in range(0, len(missing), ENCODE_AT_ONCE):
-            some = missing[at:at + ENCODE_AT_ONCE]
-            for w, n in zip(some, self._pieces(some), strict=True):
-                found[w] = n = max(n, 1)  # only the lone space has none
-                if len(w) <= CACHE_LEN:
-                    young[w] = n
-        return found
-
-    def of_texts(self, texts: list[str]) -> list[int]:
-        words = [pre_tokens(t) for t in texts]
-        known = self.counts(set(chain.from_iterable(words))).__getitem__
-        return [sum(map(known, w)) for w in words]
+        self.store = WordStore(self._counted)
+
+    def _counted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of each pre-token, given without its first space (which the
+        library puts before any text). An empty one is a space alone."""
+        n = [max(len(x), 1) for at in range(0, len(words), ENCODE_AT_ONCE)
+             for x in self.processor.encode(words[at:at + ENCODE_AT_ONCE], num_threads=1)]
+        return np.empty(0, dtype=np.int32), np.zeros(len(n), dtype=np.int64), np.array(n, dtype=np.int64)
+
+    def of_texts(self, texts: pa.Array) -> np.ndarray:
+        offsets, codes, words = coded_pre_tokens(texts)
+        slots = self.store.slots(words)
+        counts = self.store.counts[slots]
+        # Rows (document, pre-token, frequency), joined to the counts.
+        rows = np.repeat(np.arange(len(texts)), np.diff(offsets)) * max(len(words), 1) + codes
+        rows, frequency = np.unique(rows, return_counts=True)
+        document, word = np.divmod(rows, max(len(words), 1))
+        return np.bincount(document, weights=counts[word] * frequency, minlength=len(texts)).astype(np.int64)
 
     def of_long_text(self, text: str) -> int:
         """Block by block; a block ends before a run of spaces."""
         total, at = 0, 0
         while at < len(text):
-            end = at + BLOCK_CHARS
+            end = at + BLOCK_BYTES
             while 0 <= (end := text.find(" ", end)) and text[end - 1] in (" ", SEPARATOR):
                 end += 1
             end = len(text) if end < 0 else end
             # The space at a later block's start is the one the library adds;
             # a block that is this space alone counts as one piece.
             block = text[at if at == 0 else at + 1:end]
-            total += self.of_texts([block])[0] if block else 1
+            total += int(self.of_texts(pa.array([block]))[0]) if block else 1
             at = end
         return total
 
-
-def pre_tokens(text: str) -> list[str]:
-    """The pre-tokens of a text, each without its first space: the text's
-    own first one gets its space from the library."""
-    if not text:
-        return []
-    if SEPARATOR in text:  # the library takes it for a space
-        text = text.replace(SEPARATOR, " ")
-    if "  " not in text and text[0] != " " and text[-1] != " ":
-        return text.split(" ")
-    return [run[1:] if run[0] == " " else run for run in _RUNS.findall(" " + text)]
+    def of_batch(self, texts: pa.Array) -> np.ndarray:
+        parts = [np.array([self.of_long_text(texts[a].as_py())]) if long else self.of_texts(texts[a:b])
+                 for a, b, long in text_blocks(texts, BLOCK_BYTES)]
+        return np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
 
 
 _COUNTERS: dict[int, PieceCounter] = {}
@@ -129,25 +147,6 @@ def _counter(model: bytes) -> PieceCounter:
     return _COUNTERS[key]
 
 
-def _batch_counts(texts: pa.Array, counter: PieceCounter) -> list[int]:
-    counts: list[int] = []
-    block: list[str] = []
-    chars = 0
-    for value in texts:
-        text = value.as_py() or ""
-        if len(text) > BLOCK_CHARS:
-            counts += counter.of_texts(block)
-            counts.append(counter.of_long_text(text))
-            block, chars = [], 0
-            continue
-        block.append(text)
-        chars += len(text)
-        if chars > BLOCK_CHARS:
-            counts += counter.of_texts(block)
-            block, chars = [], 0
-    return counts + counter.of_texts(block)
-
-
 def count_tokens(docs: DataFrame, model: bytes, limit: int = LIMIT, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row. ``model`` is the
@@ -162,7 +161,7 @@ def count_tokens(docs: DataFrame, model: bytes, limit: int = LIMIT, id_col: str
         for batch in batches:
             texts = batch.column(1)
             n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            n_tokens = pa.array(_batch_counts(texts, counter), pa.int64())
+            n_tokens = pa.array(counter.of_batch(texts), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow_id), n_bytes, n_tokens, pc.greater(n_tokens, limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])

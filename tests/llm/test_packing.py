@@ -57,12 +57,12 @@ def test_odd_texts(spark, tokenizer):
 
 
 def test_blocks_of_long_texts(monkeypatch, tokenizer):
-    monkeypatch.setattr(packing, "BLOCK_CHARS", 20)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 20)
     encoder = packing.SegmentEncoder(packing_tokenizer())
     rng = random.Random(1)
     for _ in range(200):
         text = "".join(rng.choice(["ab", " ", "  ", "\n", "thing ", "é", "'s ", " \n"]) for _ in range(60))
-        got = np.frombuffer(encoder.long_text(text), dtype="<u4").tolist()
+        got = encoder.long_text(text).tolist()
         assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -88,3 +88,36 @@ def test_lowest_cost_with_room():
         assert all(fill[s] == c for s, c in enumerate(capacity))
     even, _, cost = packing.pack_lengths([32] * 8 + [16] * 16, 64)
     assert max(cost) - min(cost) < 0.5 * max(cost)
+
+
+def plain_greedy(lengths, seq_len, linear=1.0, quadratic=1 / 1024):
+    """The packing rule over lists: descending pieces, each to the cheapest
+    sequence with room, cut to the widest room if none has."""
+    total = sum(lengths)
+    room = [seq_len] * (total // seq_len) + [1 << b for b in range(seq_len.bit_length(), -1, -1) if (total % seq_len) >> b & 1]
+    cost, fill = [0.0] * len(room), [0] * len(room)
+    pieces, queue = [], []
+    for doc, n in enumerate(lengths):
+        queue += [(-min(seq_len, n - at), doc, at) for at in range(0, n, seq_len)]
+    while queue:
+        queue.sort()
+        n, doc, start = queue.pop(0)
+        n = -n
+        fits = [s for s in range(len(room)) if room[s] >= n]
+        take = n if fits else max(room)
+        seq = min((s for s in range(len(room)) if room[s] >= take), key=lambda s: (cost[s], s))
+        if take < n:
+            queue.append((take - n, doc, start + take))
+        pieces.append((doc, start, take, seq, fill[seq]))
+        fill[seq] += take
+        room[seq] -= take
+        cost[seq] += linear * take + quadratic * take * take
+    return pieces
+
+
+def test_greedy_rule():
+    rng = random.Random(7)
+    for _ in range(120):
+        seq_len = rng.choice([8, 16, 64])
+        lengths = [rng.choice([rng.randint(1, 10), rng.randint(1, 3 * seq_len)]) for _ in range(rng.randint(0, 40))]
+        assert sorted(packing.pack_lengths(lengths, seq_len)[0]) == sorted(plain_greedy(lengths, seq_len))

@@ -55,7 +55,7 @@ def test_whole_table(spark, model):
 
 
 def test_long_text_in_blocks(spark, model, library, monkeypatch):
-    monkeypatch.setattr(piece_agenda, "BLOCK_CHARS", 64)
+    monkeypatch.setattr(piece_agenda, "BLOCK_BYTES", 64)
     monkeypatch.setattr(segments, "MAX_WORDS", 10)
     encoder = piece_agenda.AgendaEncoder(model)
     rng = random.Random(3)

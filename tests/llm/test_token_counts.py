@@ -2,10 +2,11 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
-from quaybook.llm import token_counts
+from quaybook.llm import segments, token_counts
 from quaybook.llm.queries import op7_token_counts
 from quaybook.sources.tables import read_table
 
@@ -34,14 +35,14 @@ def test_odd_texts(spark, processor):
 
 
 def test_blocks_and_generations(monkeypatch, processor):
-    monkeypatch.setattr(token_counts, "BLOCK_CHARS", 15)
-    monkeypatch.setattr(token_counts, "CACHE_WORDS", 5)
+    monkeypatch.setattr(token_counts, "BLOCK_BYTES", 15)
+    monkeypatch.setattr(segments, "MAX_WORDS", 5)
     counter = token_counts.PieceCounter(MODEL)
     rng = random.Random(3)
     for _ in range(300):
         text = "".join(rng.choice(["ab", " ", "  ", "\n", "thing ", "é", "▁", ".", "The"]) for _ in range(50))
         assert counter.of_long_text(text) == len(processor.encode(text)), text
-        assert counter.of_texts([text]) == [len(processor.encode(text))], text
+        assert counter.of_texts(pa.array([text, None, text])).tolist() == [n := len(processor.encode(text)), 0, n], text
 
 
 def test_empty_repeated_null_and_extra_columns(spark):
