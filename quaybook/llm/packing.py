@@ -21,7 +21,10 @@ spans the place before a space that a non-space follows, a text is the
 concatenation of its space-led segments; Arrow numbers a batch's segments, a
 worker encodes those that are new to it, many in one call, and texts are
 gathered from a bounded store (``segments``). Texts with irregular white space
-are encoded whole, so ids always equal those of the whole text.
+are encoded whole, so ids always equal those of the whole text. If the
+tokenizer is a plain byte-level BPE whose merges stand in the order of their
+ids, new segments of Latin letters go through ``tiktoken`` with the ranks of
+that same file, which merges alike and several times faster.
 
 Null or empty texts have one token (``end_id``). Repeated rows are packed as
 rows of their own. Rows keep their ids, null ones included. An empty input
@@ -31,7 +34,9 @@ gives no pieces.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,11 +54,38 @@ ENCODE_AT_ONCE = 2_000  # segments in one call of the library
 PIECES_AT_ONCE = 4096  # in an Arrow batch
 PARTITION_BITS = 36
 SPACE = "Ġ"  # how the vocabulary writes a space
+# Fixed value: how byte-level vocabularies cut texts.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LATIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f]*\Z").match  # the libraries class these alike
 
 PIECES = ("doc_id {id}, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long, cost double")
 
 
+def merge_ranks(tokenizer_json: str):
+    """The ``tiktoken`` encoding that merges as the tokenizer does, or None if
+    it is of another kind."""
+    import tiktoken
+
+    given = json.loads(tokenizer_json)
+    model, before = given["model"], given.get("pre_tokenizer") or {}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                           "byte_fallback", "ignore_merges"))
+    if not (plain and model.get("type") == "BPE" and given.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and not before.get("add_prefix_space") and before.get("use_regex")):
+        return None
+    # Byte-level vocabularies write visible bytes as themselves and the others from 256 on.
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    added = {t["content"]: t["id"] for t in given.get("added_tokens", ())}
+    made = [model["vocab"][a + b] for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+    if made != sorted(made) or len(ranks) != 256 + len(made) or any(ranks.get(bytes([b]), made[0]) >= made[0] for b in range(256)):
+        return None
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
 class SegmentEncoder:
     """Ids of texts through a bounded store of segments. A segment is a text's
     first word, or a space and a later word."""
@@ -68,27 +100,33 @@ class SegmentEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.space_led = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.space_led[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.ranks = merge_ranks(tokenizer_json)
         self.store = WordStore(self._segments)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, dtype=np.int32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _by_ranks(self, text: str) -> np.ndarray:
+        return np.asarray(self.ranks.encode(text, allowed_special="all"), dtype=np.int32)
+
     def _segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(all ids, start and count of each segment). Space-led segments are
         encoded as one text and cut where an id begins with a space."""
         led = np.array([s[:1] == " " for s in segments])
+        latin = led & np.array([self.ranks is not None and LATIN(s) is not None for s in segments])
         order, flats, counts = [], [], []
-        spaced = np.flatnonzero(led)
-        for at in range(0, len(spaced), ENCODE_AT_ONCE):
-            some = spaced[at:at + ENCODE_AT_ONCE]
-            ids = self._encode(["".join([segments[i] for i in some])])[0]
-            cuts = np.flatnonzero(self.space_led[ids])
-            if len(cuts) != len(some) or cuts[0]:
-                raise ValueError("a space stands inside a segment")
-            order.append(some)
-            flats.append(ids)
-            counts.append(np.diff(np.append(cuts, len(ids))))
+        for kind, encode in ((latin, self._by_ranks), (led & ~latin, lambda text: self._encode([text])[0])):
+            spaced = np.flatnonzero(kind)
+            for at in range(0, len(spaced), ENCODE_AT_ONCE):
+                some = spaced[at:at + ENCODE_AT_ONCE]
+                ids = encode("".join([segments[i] for i in some]))
+                cuts = np.flatnonzero(self.space_led[ids])
+                if len(cuts) != len(some) or cuts[0]:
+                    raise ValueError("a space stands inside a segment")
+                order.append(some)
+                flats.append(ids)
+                counts.append(np.diff(np.append(cuts, len(ids))))
         order.append(np.flatnonzero(~led))
         firsts = self._encode([segments[i] for i in order[-1]])
         counts.append(np.array([len(f) for f in firsts], dtype=np.int64))

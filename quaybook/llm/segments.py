@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 600_000  # that a store keeps
+MAX_WORDS = 700_000  # that a store keeps
 MAX_CHARS = 1 << 25  # in all of its words
 NO_WORDS = np.empty(0, dtype=np.int64)
 
@@ -57,7 +57,8 @@ def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
 class WordStore:
     """A run of numbers for each known word. ``encode`` gives (all numbers,
     start and count of each word) of new words. A store that has grown beyond
-    its bound forgets everything and goes on with the words of the batch."""
+    its bound forgets the words that came in one batch only, and if need be
+    those of few batches."""
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.encode = encode
@@ -67,15 +68,30 @@ class WordStore:
         self.place: dict[str, int] = {}
         self.chars = 0
         self.flat = np.empty(0, dtype=np.int32)
-        self.starts = self.counts = NO_WORDS
+        self.starts = self.counts = self.uses = NO_WORDS  # uses: in how many batches, halved at each forgetting
+
+    def _forget(self) -> None:
+        words, least = list(self.place), 2
+        kept = np.flatnonzero(self.uses >= least)
+        while len(kept) > MAX_WORDS // 2:
+            least *= 2
+            kept = np.flatnonzero(self.uses >= least)
+        flat, counts = self.numbers(kept)
+        words, uses = [words[i] for i in kept.tolist()], self.uses[kept] // 2
+        self._clear()
+        if sum(map(len, words)) <= MAX_CHARS // 2:
+            self.place = {w: i for i, w in enumerate(words)}
+            self.chars = sum(map(len, words))
+            self.flat, self.starts, self.counts, self.uses = flat, np.cumsum(counts) - counts, counts, uses
 
     def slots(self, words: list[str]) -> np.ndarray:
         """The slot of each of the (distinct) words."""
         if len(self.place) > MAX_WORDS or self.chars > MAX_CHARS:
-            self._clear()
+            self._forget()
         place = self.place
         found = np.array([place.get(w, -1) for w in words], dtype=np.int64)
         new = np.flatnonzero(found < 0)
+        self.uses[found[found >= 0]] += 1
         if len(new):
             missing = [words[i] for i in new]
             flat, starts, counts = self.encode(missing)
@@ -83,6 +99,7 @@ class WordStore:
             self.chars += sum(map(len, missing))
             self.starts = np.concatenate((self.starts, starts + len(self.flat)))
             self.counts = np.concatenate((self.counts, counts))
+            self.uses = np.concatenate((self.uses, np.ones(len(new), dtype=np.int64)))
             self.flat = np.concatenate((self.flat, flat.astype(np.int32, copy=False)))
             place.update(zip(missing, found[new].tolist(), strict=True))
         return found
@@ -90,4 +107,4 @@ class WordStore:
     def numbers(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the numbers of the words in these slots, how many each has)."""
         counts = self.counts[slots]
-        return gather(self.flat, self.starts[slots], counts), counts
+        return gather(self.flat, self.starts[slots], counts) if len(self.flat) else self.flat, counts

@@ -21,9 +21,12 @@ The tree is built by aggregation over the different pages of a host: rows with
 the same nodes and text are copies and count as one page, so a group of copies
 is no template. Each task sends the nodes of its different pages with digests
 of their styles and texts, and counts per digest are summed before entropies.
-Nothing about a host is gathered in one task but its list of noise paths, and
-pages are never moved: the list is joined to the pages' hosts and Spark
-broadcasts it if its size allows.
+Nothing about a host is gathered in one task but its list of noise paths.
+
+Each page is parsed once: its text parts are written with the path of their
+node, and when the noise paths of its host are known (a join that Spark
+broadcasts if its size allows), the parts below them are left out and the
+others joined. Blocks of text are separated by an empty line.
 
 Null and empty html gives an empty text; null urls belong to one host of their
 own. Repeated rows are extracted one by one. An empty input gives an empty
@@ -50,7 +53,7 @@ from quaybook.plans.stages import write_stage
 
 MIN_PAGES = 8
 LEAST_IMPORTANCE = 0.3  # of 1: relative entropy below which a node repeats itself
-BY_PATH, MARKED, DROP = 1, 2, 3  # what makes a node noise: its entropy, its names, its tag
+MARKED, DROP = 1, 2  # what makes a node noise by presentation: its names, its tag
 
 # What HTML and common practice reserve for parts outside the article.
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"))
@@ -131,29 +134,71 @@ def _presentation(tag: str, attributes: str, article: bool = False) -> tuple[str
     return f"{tag}.{found.get('class', '')}#{re.sub(r'[0-9]+', '0', found.get('id', ''))}", dropped, marked
 
 
+Part = tuple[str | None, str]  # the path of its node, None inside an article; the text
+
+
+def parse(page: str) -> tuple[list[list[Part]], list[tuple[str, int, int, bool]]]:
+    """(the parts of every text block outside noise by presentation, (path,
+    style digest, text digest, whether it holds an article) of every node
+    that isn't such noise). A page whose names mark its own article is walked
+    again without them."""
+    blocks, nodes, void = _walk(page, frozenset())
+    return _walk(page, void)[:2] if void else (blocks, nodes)
+
+
+def below(path: str | None, noise_paths: frozenset) -> bool:
+    """Whether a node on the path to the text is noise."""
+    at = 0 if path else -1
+    while at >= 0:
+        at = path.find("/", at + 1)
+        if path[:at if at >= 0 else None] in noise_paths:
+            return True
+    return False
+
+
+def block_texts(blocks: list[list[Part]], noise_paths: frozenset = frozenset()) -> list[str]:
+    """The blocks' texts without the parts below noise paths; none is empty."""
+    out = []
+    for parts in blocks:
+        plain = len(parts) == 1
+        if noise_paths:
+            parts = [p for p in parts if not below(p[0], noise_paths)]
+        text = "".join([p[1] for p in parts])
+        text = (text if plain else SPACE.sub(" ", text)).strip()
+        if text:
+            out.append(text)
+    return out
+
+
 def walk(page: str, noise_paths: frozenset = frozenset()) -> tuple[list[str], list[tuple[str, int, int, bool]]]:
-    """(text blocks of the article, (path, style digest, text digest, whether
-    it holds an article) of every node that isn't noise by its presentation).
-    A page whose names mark its own article is walked again without them."""
-    blocks, nodes, void = _walk(page, noise_paths, frozenset())
-    return _walk(page, noise_paths, void)[:2] if void else (blocks, nodes)
+    """(text blocks of the article, nodes as ``parse`` gives them)."""
+    blocks, nodes = parse(page)
+    return block_texts(blocks, noise_paths), nodes
 
 
-def _walk(page: str, noise_paths: frozenset, unmarked: frozenset) -> tuple[list, list, frozenset]:
-    """``walk`` with the names of the nodes that begin at ``unmarked`` marking
+def _walk(page: str, unmarked: frozenset) -> tuple[list, list, frozenset]:
+    """``parse`` with the names of the nodes that begin at ``unmarked`` marking
     nothing, and where marks are void."""
     stack = [Node("", "", 0, False)]
     nodes: list[tuple[str, int, int, bool]] = []
-    blocks: list[str] = []
+    blocks: list[list[Part]] = []
     line: list[str] = []
+    where: list[str | None] = []
     marks: list[Mark] = []
     at = total = free = articles = 0
 
     def flush() -> None:
-        text = SPACE.sub(" ", "".join(line)).strip()
-        if text:
-            blocks.append(text)
+        if not line:
+            return
+        # White space inside a part is made plain at once, that between parts when they are joined.
+        if where.count(where[0]) == len(where):
+            text = SPACE.sub(" ", "".join(line))
+            if text != " ":
+                blocks.append([(where[0], text)])
+        else:
+            blocks.append(list(zip(where, line, strict=True)))
         line.clear()
+        where.clear()
 
     def text_of(raw: str) -> None:
         nonlocal total
@@ -163,6 +208,7 @@ def _walk(page: str, noise_paths: frozenset, unmarked: frozenset) -> tuple[list,
         if raw and not top.noise:
             value = entities.unescape(raw)
             line.append(value)
+            where.append(None if top.kept else top.path)
             top.parts.append(value)
 
     def close() -> None:
@@ -209,6 +255,7 @@ def _walk(page: str, noise_paths: frozenset, unmarked: frozenset) -> tuple[list,
             flush()
         elif tag == "br":
             line.append(" ")
+            where.append(where[-1] if where else None)
         top = stack[-1]
         if tag in VOID:
             top.children.append(tag)
@@ -222,8 +269,7 @@ def _walk(page: str, noise_paths: frozenset, unmarked: frozenset) -> tuple[list,
             marked = 0
         # Inside an article only presentation removes a node; its own parts differ from page to page.
         path = top.path + "/" + name if not top.kept else top.path
-        before = 0 if main and not top.kept and top.noise == BY_PATH else top.noise  # entropy stops at the article
-        noise = max(before, DROP if drop else MARKED if marked else BY_PATH if not kept and path in noise_paths else 0)
+        noise = max(top.noise, DROP if drop else MARKED if marked else 0)
         here, mark = top.free, None
         if main and noise <= MARKED:
             articles += 1
@@ -247,45 +293,56 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def page_nodes(pages: DataFrame) -> DataFrame:
-    """(host, page, nodes): the nodes of every row's page and a digest of them
-    and of its text, by which copies are known."""
-    node = pa.struct([("path", pa.string()), ("kind", pa.int32()), ("digest", pa.int64())])
+NODES = pa.struct([("path", pa.string()), ("kind", pa.int32()), ("digest", pa.int64())])
+PARTS = pa.struct([("block", pa.int32()), ("path", pa.string()), ("text", pa.string())])
+
+
+def _lists(rows: list[list[tuple]], kind: pa.StructType) -> pa.Array:
+    flat = list(zip(*(x for row in rows for x in row), strict=True)) or [()] * kind.num_fields
+    structs = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, kind, strict=True)], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array([0, *itertools.accumulate(map(len, rows))], pa.int32()), structs)
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, host, page, nodes, parts) of every row: its nodes, a
+    digest of them and of its text by which copies are known, and the parts of
+    its text blocks."""
+    id_type = pages.schema["page_id"].dataType
+    arrow_id = to_arrow_type(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[tuple, list] = {}
-            for url, page in zip(batch.column(0), batch.column(1), strict=True):
-                blocks, nodes = walk(page.as_py() or "")
-                seen = {(n[0], kind, digest) for n in nodes
-                        for kind, digest in ((0, n[1]), (1, n[2]), (2, 0), (3, 0))[:3 + n[3]]}
-                nodes = sorted(seen)
-                key = blake2b(repr((blocks, nodes)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                found[host_of(url.as_py()), key] = nodes
-            flat = list(zip(*(n for nodes in found.values() for n in nodes), strict=True)) or [(), (), ()]
-            structs = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, node, strict=True)], fields=list(node))
-            starts = pa.array([0, *itertools.accumulate(map(len, found.values()))], pa.int32())
+            hosts, keys, all_nodes, all_parts = [], [], [], []
+            for url, page in zip(batch.column(1), batch.column(2), strict=True):
+                blocks, nodes = parse(page.as_py() or "")
+                nodes = sorted({(n[0], kind, digest) for n in nodes
+                                for kind, digest in ((0, n[1]), (1, n[2]), (2, 0), (3, 0))[:3 + n[3]]})
+                hosts.append(host_of(url.as_py()))
+                keys.append(blake2b(repr((block_texts(blocks), nodes)).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                all_nodes.append(nodes)
+                all_parts.append([(i, *part) for i, parts in enumerate(blocks) for part in parts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.binary()),
-                 pa.ListArray.from_arrays(starts, structs)], names=["host", "page", "nodes"])
+                [batch.column(0).cast(arrow_id), batch.column(1), pa.array(hosts, pa.string()), pa.array(keys, pa.binary()),
+                 _lists(all_nodes, NODES), _lists(all_parts, PARTS)], names=["page_id", "url", "host", "page", "nodes", "parts"])
 
-    return pages.select("url", "html").mapInArrow(
-        run, "host string, page binary, nodes array<struct<path: string, kind: int, digest: long>>")
+    return pages.select("page_id", "url", "html").mapInArrow(
+        run, f"page_id {id_type.simpleString()}, url string, host string, page binary, "
+             "nodes array<struct<path: string, kind: int, digest: long>>, parts array<struct<block: int, path: string, text: string>>")
 
 
-def style_nodes(pages: DataFrame) -> DataFrame:
+def style_nodes(parsed: DataFrame) -> DataFrame:
     """(host, path, kind, digest, n): how many different pages of a host have
     the node with this style (kind 0) or this text (kind 1), have it at all
     (kind 2), or with an article in it (kind 3). Copies weigh once."""
-    different = page_nodes(pages).groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    different = parsed.groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
     return (different.select("host", F.explode("nodes").alias("node")).groupBy("host", "node.path", "node.kind", "node.digest")
             .agg(F.count("*").alias("n")))
 
 
-def importances(pages: DataFrame) -> DataFrame:
+def importances(parsed: DataFrame) -> DataFrame:
     """(host, path, pages, presentation, content, holds): relative entropies in
     0..1, and whether an article lies in the node on any page."""
-    counts = style_nodes(pages)
+    counts = style_nodes(parsed)
     # entropy = ln(N) - sum(n ln n) / N, relative to ln(N)
     per = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     relative = F.when(F.col("total") > 1, 1 - F.col("nlogn") / (F.col("total") * F.log(F.col("total")))).otherwise(1.0)
@@ -295,31 +352,33 @@ def importances(pages: DataFrame) -> DataFrame:
                  F.max(F.col("kind") == 3).alias("holds")))
 
 
-def noise_table(pages: DataFrame, least: float = LEAST_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+def noise_table(parsed: DataFrame, least: float = LEAST_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, paths): the branches of each host whose importance is low and
     that hold no article."""
-    low = importances(pages).where((F.col("pages") >= min_pages) & (F.greatest("presentation", "content") < least) & ~F.col("holds"))
+    low = importances(parsed).where((F.col("pages") >= min_pages) & (F.greatest("presentation", "content") < least) & ~F.col("holds"))
     return low.groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
     prepare(pages.sparkSession)
-    rows = pick(pages, page_id=id_col, url=url_col, html=html_col)
-    noise = write_stage(noise_table(rows).withColumnRenamed("host", "noise_host"), "noise")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)\A[^:]*://([^/?#]*)", 1))
-    joined = rows.withColumn("host", host).join(noise, F.col("host") == F.col("noise_host"), "left").select(
-        "page_id", "url", "html", "paths")
-    id_type = rows.schema["page_id"].dataType
-    arrow_id = to_arrow_type(id_type)
+    parsed = write_stage(parsed_pages(pick(pages, page_id=id_col, url=url_col, html=html_col)), "parsed")
+    noise = write_stage(noise_table(parsed).withColumnRenamed("host", "noise_host"), "noise")
+    joined = parsed.join(noise, F.col("host") == F.col("noise_host"), "left").select("page_id", "url", "parts", "paths")
+    id_type = parsed.schema["page_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lists = batch.column(2)
+            offsets = lists.offsets.to_pylist()
+            block, path, text = (c.to_pylist() for c in lists.flatten().flatten())
             texts = []
-            for page, paths in zip(batch.column(2), batch.column(3), strict=True):
-                texts.append("\n".join(walk(page.as_py() or "", frozenset(paths.as_py() or ()))[0]))
+            for row, paths in enumerate(batch.column(3)):
+                at = range(offsets[row] - offsets[0], offsets[row + 1] - offsets[0])
+                blocks = [[(path[i], text[i]) for i in some] for _, some in itertools.groupby(at, block.__getitem__)]
+                texts.append("\n\n".join(block_texts(blocks, frozenset(paths.as_py() or ()))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(arrow_id), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"page_id {id_type.simpleString()}, url string, text string, n_chars long")

@@ -121,3 +121,15 @@ def test_greedy_rule():
         seq_len = rng.choice([8, 16, 64])
         lengths = [rng.choice([rng.randint(1, 10), rng.randint(1, 3 * seq_len)]) for _ in range(rng.randint(0, 40))]
         assert sorted(packing.pack_lengths(lengths, seq_len)[0]) == sorted(plain_greedy(lengths, seq_len))
+
+
+def test_merge_ranks(tokenizer):
+    encoder = packing.SegmentEncoder(packing_tokenizer())
+    rng = random.Random(11)
+    letters = "etaoinshrdlu" * 3 + "ABCXYZ0123456789.,;:!?'\"()-_/\\\n\t\r\u00e9\u00df\u00f1\u0142\u0159\u00ab\u00bb\u00bd\u00b2\u00aa\u4e2d\u6587\u05d0"
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 12))).strip() for _ in range(20_000)} - {""})
+    words += ["<|endoftext|>", "a<|endoftext|>b", "it's", "WE'LL", "'s", "\U0001f600x"]
+    flat, starts, counts = encoder._segments([" " + w for w in words])
+    for w, a, n in zip(words, starts, counts):
+        assert flat[a:a + n].tolist() == tokenizer.encode(" " + w, add_special_tokens=False).ids, w
+    assert packing.merge_ranks(packing_tokenizer().replace('"use_regex":true', '"use_regex":false')) is None or '"use_regex":true' not in packing_tokenizer()

@@ -14,7 +14,7 @@ def reference(page):
     """The tables' pages are simple: the article's blocks by its tags."""
     article = re.search("(?s)<article>(.*)</article>", page)[1]
     parts = re.split(r"</?(?:p|h1)>", article.replace("<br>", " ").replace("<b>", ""))
-    return "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
+    return "\n\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts) if x)
 
 
 def test_whole_table(spark):
@@ -49,7 +49,7 @@ def test_repeated_branches_go(spark):
     got = {}
     for r in S.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect():
         got.setdefault(r.page_id, r.text)
-    assert got[3] == "Story 3 of many\nsame line" and got[101] == "Only here" and got[200] == "t" and got[201] == ""
+    assert got[3] == "Story 3 of many\n\nsame line" and got[101] == "Only here" and got[200] == "t" and got[201] == ""
     assert S.main_text(spark.createDataFrame([], PAGES)).collect() == []
 
 
@@ -66,7 +66,7 @@ def test_articles_in_one_template_stay(spark):
     rows = [(i, f"http://h.x/{i}", page.format(i), 0) for i in range(30)]
     rows += [(100 + i, f"http://h.x/no/{i}", "<html><body><div class=wrap>Nothing here</div></body></html>", 0) for i in range(900)]
     got = {r.page_id: r.text for r in S.main_text(spark.createDataFrame(rows, PAGES)).collect()}
-    assert [got[i] for i in range(30)] == [f"Title {i}\nStory {i}" for i in range(30)]
+    assert [got[i] for i in range(30)] == [f"Title {i}\n\nStory {i}" for i in range(30)]
     wrap = "<div class=wrap><article>a</article>b</div>"
     assert S.walk(wrap, frozenset(n[0] for n in S.walk(wrap)[1]))[0] == ["a"]
 
@@ -80,7 +80,7 @@ def test_copies_weigh_once(spark):
     rows += [(3000 + i, f"http://few.x/{i}", f"<div class=q7>Same</div>{one}", 0) for i in range(3)]
     got = {r.page_id: r.text for r in S.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
     assert [got[i] for i in range(50)] == [f"Story {i} of many" for i in range(50)] and got[1000] == "Story 0 of many"
-    assert got[2000] == "Welcome\nStory 0 of many" and got[3000].startswith("Same\n0\n1")
+    assert got[2000] == "Welcome\n\nStory 0 of many" and got[3000].startswith("Same\n\n0\n\n1")
 
 
 def test_names_spare_articles():
@@ -95,3 +95,28 @@ def test_names_spare_articles():
     assert text("<article>yes</article><div class='comments-area'><p>a lot of talk</p></div><div id=site-nav>no</div>") == "yes"
     assert text("<article>the article<div class=comments><article>no</article></div></article>") == "the article"
     assert text("<div class=nav>" * 3000 + "x") == "x"
+
+
+def test_inline_parts_below_noise():
+    page = "<div class=a>one <b>two</b> <span class=s>three<br> 3</span> four</div><article>five <i>six</i></article>"
+    nodes = {n[0].rsplit("/", 1)[1]: n[0] for n in S.walk(page)[1]}
+    assert S.walk(page)[0] == ["one two three 3 four", "five six"]
+    assert S.walk(page, frozenset([nodes["span.s#"]]))[0] == ["one two four", "five six"]
+    assert S.walk(page, frozenset([nodes["div.a#"]]))[0] == ["five six"]
+    assert not S.below("/div.ab#", frozenset(["/div.a#", "/div"])) and S.below("/div/p/b", frozenset(["/div/p"]))
+
+
+def test_the_tree_alone_finds_the_text(spark):
+    """Pages without article or telling names: only repetition shows what
+    belongs to the site, so without the tree every page keeps all of it."""
+    page = ("<html><body><div class=x1><p>Home</p><p>About us</p></div><div class=x2><h1>Title {0}</h1><p>Body {0} begins</p>"
+            "<p>and ends {0}</p></div><table><tr><td class=x3>Call 555</td></tr></table><div class=x4><p>All rights kept</p></div>"
+            "</body></html>")
+    rows = [(i, f"http://plain.x/{i}", page.format(i), 0) for i in range(60)]
+    rows += [(100 + i, "http://plain.x/copy", page.format(3), 0) for i in range(200)]
+    df = spark.createDataFrame(rows, PAGES).repartition(5)
+    got = {r.page_id: r.text for r in S.main_text(df).collect()}
+    assert all(got[i] == f"Title {i}\n\nBody {i} begins\n\nand ends {i}" for i in range(60)) and got[250] == got[3]
+    assert all("Call 555" in text(r[2]) for r in rows)
+    renamed = df.selectExpr("page_id", "url", "replace(replace(html, 'x2', 'x9'), 'x1', 'x8') AS html", "text")
+    assert {r.page_id: r.text for r in S.main_text(renamed).collect()} == got
