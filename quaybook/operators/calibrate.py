@@ -3,10 +3,17 @@ persistence L4.
 
 K2: for each calibration fold, fit the selected pipeline on the other folds
 and fit an isotonic map score -> label on the held-out fold; the final
-probability is the mean of the per-fold calibrated probabilities. Held-out
-scores are pre-aggregated per distinct score (weight = rows, target = mean
-label) before the isotonic fit, whose final pooling runs on little
-parallelism; ties are pooled exactly as in the unaggregated fit.
+probability is the mean of the per-fold calibrated probabilities.
+
+The isotonic map is pooled in parallel (``isotonic_blocks``): held-out scores
+are aggregated per distinct score and cut into score ranges, every range pools
+its adjacent violators by itself, and the block summaries of neighbouring
+ranges are pooled again level by level. Pooling a part first never changes
+the result, since two scores pooled there are pooled in the whole too. What
+is left has strictly increasing rates; n rows can't make more than about
+n**(2/3) of them (the rates are different fractions whose denominators add up
+to n), and only these blocks reach Spark's own isotonic model, which keeps
+and interpolates them.
 
 Scoring chains the fold models as row-local projections (no join, no
 shuffle): each pipeline and isotonic model adds one probability column.
@@ -17,12 +24,19 @@ from __future__ import annotations
 import json
 import os
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.operators.models import probability_of_one, refit
+from quaybook.plans.prefix import add_bucket, quantile_edges
+from quaybook.plans.stages import write_stage
+
+RANGES = 256  # score ranges that pool by themselves first
+FAN_IN = 32  # neighbouring ranges that are pooled together in a level
+BLOCK = "bucket int, lo double, hi double, rows long, positives long"
 
 
 class CalibratedModel:
@@ -64,14 +78,46 @@ class CalibratedModel:
         return cls(pms, isos)
 
 
-def isotonic_fit(scored: DataFrame, label: str = "label", score: str = "score") -> IsotonicRegressionModel:
-    """Increasing isotonic map score -> P(label = 1) fitted on distinct-score
-    aggregates (weight = number of rows at that score)."""
-    agg = (scored.groupBy(F.col(score).alias("__x"))
-           .agg(F.avg(F.col(label).cast("double")).alias("__y"),
-                F.count(F.lit(1)).cast("double").alias("__w")))
-    return IsotonicRegression(featuresCol="__x", labelCol="__y", weightCol="__w",
-                              isotonic=True).fit(agg)
+def isotonic_blocks(scored: DataFrame, label: str = "label", score: str = "score",
+                    n_buckets: int = RANGES, fan_in: int = FAN_IN) -> DataFrame:
+    """(lo, hi, rows, positives, calibrated) of the blocks of the increasing
+    isotonic fit of a 0/1 label, ordered by their scores. Rows without a score
+    or a label are left out; no rows give no blocks."""
+    def pool(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        """Adjacent violators of one range, pooled until the rates increase."""
+        out: list[list] = []
+        columns = ("lo", "hi", "rows", "positives")
+        for lo, hi, rows, positives in blocks.sort_values("lo")[list(columns)].itertuples(index=False, name=None):
+            # Rates are compared as fractions of whole numbers, so exactly.
+            while out and out[-1][3] * rows >= positives * out[-1][2]:
+                lo, _, n, p = out.pop()
+                rows, positives = rows + n, positives + p
+            out.append([lo, hi, rows, positives])
+        pooled = pd.DataFrame(out, columns=columns)
+        pooled.insert(0, "bucket", key[0])
+        return pooled
+
+    x, y = F.col(score).cast("double"), F.col(label).cast("int")
+    rows = scored.select(x.alias("x"), y.alias("y")).where("x IS NOT NULL AND NOT isnan(x) AND y IS NOT NULL")
+    per = rows.groupBy("x").agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("positives"))
+    edges = quantile_edges(rows, "x", n_buckets)
+    blocks = add_bucket(per, "x", edges).select("bucket", F.col("x").alias("lo"), F.col("x").alias("hi"), "rows", "positives")
+    ranges = len(edges) + 1
+    while True:
+        blocks = write_stage(blocks.groupBy("bucket").applyInPandas(pool, BLOCK), "isotonic")
+        if ranges <= 1:
+            return blocks.select("lo", "hi", "rows", "positives", (F.col("positives") / F.col("rows")).alias("calibrated"))
+        blocks = blocks.withColumn("bucket", F.floor(F.col("bucket") / fan_in).cast("int"))
+        ranges = -(-ranges // fan_in)
+
+
+def isotonic_fit(scored: DataFrame, label: str = "label", score: str = "score",
+                 n_buckets: int = RANGES) -> IsotonicRegressionModel:
+    """Increasing isotonic map score -> P(label = 1): Spark's model over the
+    ends of the pooled blocks, between which it interpolates."""
+    ends = isotonic_blocks(scored, label, score, n_buckets).select(
+        F.explode(F.array_distinct(F.array("lo", "hi"))).alias("__x"), F.col("calibrated").alias("__y"), F.lit(1.0).alias("__w"))
+    return IsotonicRegression(featuresCol="__x", labelCol="__y", weightCol="__w", isotonic=True).fit(ends)
 
 
 def calibrate(train: DataFrame, entry: dict, label: str = "label",

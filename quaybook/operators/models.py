@@ -211,22 +211,35 @@ def cv_results(long_scores: DataFrame, grid: DataFrame) -> DataFrame:
     agg = long_scores.groupBy("candidate_id").agg(
         *[F.max(F.when(F.col("fold") == f, F.col("test_score"))).alias(f"split{i}_test_score")
           for i, f in enumerate(folds)],
-        F.avg("test_score").alias("mean_test_score"),
         F.stddev_pop("test_score").alias("std_test_score"),
         *[F.max(F.when(F.col("fold") == f, F.col("train_score"))).alias(f"split{i}_train_score")
           for i, f in enumerate(folds)],
-        F.avg("train_score").alias("mean_train_score"),
         F.stddev_pop("train_score").alias("std_train_score"),
         F.avg("fit_time").alias("mean_fit_time"),
     )
-    rank = F.rank().over(Window.orderBy(F.desc("mean_test_score")))
+    # Means are taken over the folds in their order, not in the order in which
+    # rows meet in an aggregate: equal scores give equal means, so they tie.
+    def mean(kind: str):
+        splits = F.array_compact(F.array(*[F.col(f"split{i}_{kind}_score") for i in range(len(folds))]))
+        return F.aggregate(splits, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(splits), F.lit(0))
+
+    agg = agg.withColumns({f"mean_{kind}_score": mean(kind) for kind in ("test", "train")})
+    rank = F.rank().over(Window.orderBy(F.desc("mean_test_score")))  # one row per candidate
     return (grid.join(agg, "candidate_id")
             .withColumn("rank_test_score", rank.cast("int")))
 
 
+def best_candidate(cv: DataFrame) -> DataFrame:
+    """K1 as a one-row table: highest mean CV score, the first candidate of
+    equal ones (a bounded top-1, no sort of the whole table)."""
+    return cv.orderBy(F.desc("mean_test_score"), "candidate_id").limit(1)
+
+
 def select_best(cv: DataFrame) -> dict:
-    """K1: highest mean CV score; the first candidate wins ties."""
-    row = cv.orderBy(F.desc("mean_test_score"), "candidate_id").limit(1).first()
+    """K1: the row of ``best_candidate``."""
+    row = best_candidate(cv).first()
+    if row is None:
+        raise ValueError("the CV table has no candidate")
     return row.asDict(recursive=True)
 
 

@@ -11,13 +11,13 @@ documented difference, not an emulation.
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StringIndexer,
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasWeightCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaybook.config import CATEGORICAL_FEATURES, MISSING_CATEGORY, NUMERIC_FEATURES
@@ -36,9 +36,53 @@ def fill_missing_categories(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFra
     return df.fillna(MISSING_CATEGORY, subset=list(cols))
 
 
-def passthrough_features(transformed, all_features=ALL_FEATURES) -> list[str]:
-    """P5: what no stage transforms, in the order of ``all_features``."""
-    return sorted(set(all_features).difference(transformed), key=list(all_features).index)
+# --- P3 -----------------------------------------------------------------------
+def category_dictionary(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:
+    """(feature, category, category_index): the alphabetical index of each
+    category of each feature; NULL counts as 'missing'. One unpivot of all
+    columns and one distinct (a hot category collapses before the shuffle);
+    the ranking windows hold one feature's categories each."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"),
+                               F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias("category")) for c in cols])
+    known = df.select(F.explode(pairs).alias("p")).select("p.feature", "p.category").distinct()
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("category"))
+    return known.withColumn("category_index", (place - 1).cast("int"))
+
+
+def category_indexes(df: DataFrame, dictionary: DataFrame, cols=CATEGORICAL_FEATURES, suffix: str = "__idx") -> DataFrame:
+    """Adds each category's index by the dictionary; one that it lacks gets
+    the number after the last, as in the model's indexer. Each feature's part
+    of the dictionary is joined, broadcast if Spark finds it small enough."""
+    out = df
+    for c in cols:
+        part = dictionary.where(F.col("feature") == c).select(F.struct(F.col("category")).alias("__key"), F.col("category_index").alias("__i"))
+        key = F.struct(F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)).alias("category"))
+        size = part.agg(F.count(F.lit(1)).cast("int")).scalar()
+        out = (out.withColumn("__key", key).join(part, "__key", "left")
+               .withColumn(c + suffix, F.coalesce("__i", size)).drop("__key", "__i"))
+    return out
+
+
+class DictionaryIndexer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """P3 as a pipeline stage: the categories of ``category_dictionary`` in an
+    indexer model for each column, which numbers unseen ones after the last."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "category columns", typeConverter=TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "index columns", typeConverter=TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None, outputCols: list[str] | None = None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        names = self.getOrDefault(self.inputCols)
+        # A model is held by the driver and every task, so its labels are too;
+        # they come sorted, one row per feature.
+        labels = {r.feature: r.labels for r in category_dictionary(dataset, names).groupBy("feature").agg(
+            F.array_sort(F.collect_list("category")).alias("labels")).collect()}
+        return PipelineModel([StringIndexerModel.from_labels(labels.get(c, []), inputCol=c, outputCol=out, handleInvalid="keep")
+                              for c, out in zip(names, self.getOrDefault(self.outputCols))])
 
 
 # --- M6 -----------------------------------------------------------------------
@@ -98,7 +142,6 @@ def class_weight_table(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def _all_rows():
-    from pyspark.sql import Window
     return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -120,9 +163,8 @@ def preprocessor_v1(numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES,
         SQLTransformer(statement=f"SELECT {', '.join(select)} FROM __THIS__"),
         Imputer(strategy="median", inputCols=[f"{c}__num" for c in numeric],
                 outputCols=[f"{c}__imp" for c in numeric]),
-        StringIndexer(inputCols=[f"{c}__cat" for c in categorical],
-                      outputCols=[f"{c}__idx" for c in categorical],
-                      handleInvalid="keep", stringOrderType="alphabetAsc"),
+        DictionaryIndexer(inputCols=[f"{c}__cat" for c in categorical],
+                          outputCols=[f"{c}__idx" for c in categorical]),
         OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                       outputCols=[f"{c}__ohe" for c in categorical], dropLast=True),
         VectorAssembler(inputCols=[f"{c}__ohe" for c in categorical]
@@ -144,12 +186,3 @@ def build_preprocessor(config: dict, **kwargs) -> list:
     if make is None:
         raise ValueError(f"no preprocessor is called {config.get('type')!r}; there are {', '.join(PREPROCESSORS)}")
     return make(**kwargs)
-
-
-def category_index(indexer_model, categorical=CATEGORICAL_FEATURES) -> list[tuple]:
-    """(feature, category, index) rows of a fitted indexer (bounded by the
-    category cardinality)."""
-    out = []
-    for c, labels in zip(categorical, indexer_model.labelsArray):
-        out += [(c, v, i) for i, v in enumerate(labels)]
-    return out

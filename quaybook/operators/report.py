@@ -20,10 +20,10 @@ def latest_finished_run(runs: DataFrame, cv_results: DataFrame,
                         limit: int = MAX_RUNS_TO_CHECK) -> DataFrame:
     """Newest FINISHED run (among the newest ``limit``) that has a CV
     table. Empty when there is none; :func:`require_run` raises then."""
-    recent = (runs.where(F.col("status") == "FINISHED")
-              .orderBy(F.desc("start_time")).limit(limit))
-    with_cv = recent.join(cv_results.select("run_id").distinct(), "run_id", "left_semi")
-    return with_cv.orderBy(F.desc("start_time")).limit(1)
+    newest = (F.desc("start_time"), F.desc("run_id"))  # the id decides between equal times
+    recent = runs.where(F.col("status") == "FINISHED").orderBy(*newest).limit(limit)
+    # The few recent runs are one side of a semi-join, which needs no distinct on the other.
+    return recent.join(cv_results.select("run_id"), "run_id", "left_semi").orderBy(*newest).limit(1)
 
 
 def require_run(latest: DataFrame) -> dict:

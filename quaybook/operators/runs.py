@@ -48,6 +48,12 @@ def best_parameter_map(best: dict) -> dict[str, str]:
     return out
 
 
+def append_cv_results(cv: DataFrame, root: str, run_id: str) -> None:
+    """One run's CV table as a partition of its own."""
+    (cv.withColumn("run_id", F.lit(run_id)).write.mode("append")
+       .partitionBy("run_id").parquet(os.path.join(root, "cv_results")))
+
+
 def record_run(spark: SparkSession, root: str, *, experiment: str, run_name: str,
                best_cv_score: float, params: dict[str, str], metrics: dict[str, float],
                model_path: str, cv: DataFrame, started: dt.datetime | None = None) -> str:
@@ -55,8 +61,7 @@ def record_run(spark: SparkSession, root: str, *, experiment: str, run_name: str
     run_id = uuid.uuid4().hex
     started = started or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    (cv.withColumn("run_id", F.lit(run_id)).write.mode("append")
-       .partitionBy("run_id").parquet(os.path.join(root, "cv_results")))
+    append_cv_results(cv, root, run_id)
     row = [(run_id, run_name, experiment, "FINISHED", started, ended, float(best_cv_score),
             {f"best__{k}": str(v) for k, v in params.items()},
             {k: float(v) for k, v in metrics.items()}, model_path)]
@@ -69,7 +74,18 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_cv_results(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "cv_results"))
+    """All runs' CV tables. Runs differ in their hyperparameter and fold
+    columns, so the schemas of all files are merged; a column that a run lacks
+    is null. A filter on ``run_id`` prunes to that run's partition."""
+    return spark.read.option("mergeSchema", "true").parquet(os.path.join(root, "cv_results"))
+
+
+def cv_results_of_run(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """R2: one run's CV table with the columns of that run alone (none that
+    only other runs have)."""
+    whole = read_cv_results(spark, root).where(F.col("run_id") == run_id)
+    own = spark.read.parquet(os.path.join(root, "cv_results", f"run_id={run_id}")).columns
+    return whole.select(*own, "run_id")
 
 
 def persist_model(model, root: str, name: str = "best_model") -> str:

@@ -5,12 +5,17 @@ function of the row, so the split does not depend on partitioning, task
 order or recomputation after an executor loss (``randomSplit`` and
 ``sampleBy`` do, and ``sampleBy`` is not exact).
 
-Ranks are computed without a class-wide window: the leading hex digits of
-the md5 key cut each class into ``n_buckets`` uniform ranges; per-(class,
-bucket) counts (a table bounded by classes x buckets) give each bucket's
-offset, and the final ``row_number`` runs in a window partitioned by
-(class, bucket). A class holding most rows is therefore still spread over
-``n_buckets`` tasks.
+Ranks are computed without a class-wide window, by radix refinement. The order
+is written as one text of hexadecimal digits (md5 key, then whether there is
+an id, then a hash of the row). Rows are counted by class and the first
+digits; a range with more rows than one rank task may hold is opened: its
+rows are counted again by more digits, from the first digit in which they
+differ. That goes on until no range is too full, which for ids without
+repetition is at once. Ranges never overlap, so the running sum of their
+counts gives each its offset, and the final ``row_number`` runs in a window
+partitioned by (class, range). A class, or an id, that holds most rows is
+therefore spread over many tasks; only rows equal in every column, which no
+order tells apart, share a range of any size.
 """
 
 from __future__ import annotations
@@ -19,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaybook.config import CV_FOLDS, SEED, TEST_SIZE
+from quaybook.plans.stages import write_stage
 
-DEFAULT_KEY_BUCKETS = 4096  # three hex digits
+RADIX_DIGITS = 3  # hexadecimal digits that a range is opened by
 DEFAULT_MAX_BUCKET_ROWS = 2_000_000  # rows one rank task may hold
-DEFAULT_SUB_BITS = 6  # hot id groups are cut into up to 64 sub-buckets
 
 
 def features_and_target(df: DataFrame, target: str = "no_show",
@@ -55,80 +60,75 @@ def class_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
         label, "class_rows", "total_rows", "test_quota")
 
 
-def _prefix_offsets(counts: DataFrame, part: list[str], order: list[str]) -> DataFrame:
-    """Exclusive running sum of ``__n`` in ``order`` within ``part`` (small
-    tables only: bucket, group or sub-bucket counts)."""
-    earlier = Window.partitionBy(*part).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return counts.withColumn("__off", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+def with_order(df: DataFrame, label: str, id_col: str, seed: int = SEED) -> DataFrame:
+    """Adds the order within a class as ``__order`` (hexadecimal digits), the
+    class as ``__label`` (a struct, which compares null-safely) and the first
+    range of each row as ``__range``."""
+    # The last tie-breaker: rows that share an id still get a fixed order, so
+    # a recomputed task ranks them the same way. Its sign bit is turned, so
+    # that the digits sort as the signed hash does.
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).bitwiseXOR(F.lit(-(1 << 63)))
+    return df.withColumns({
+        "__label": F.struct(F.col(label).alias("v")),
+        "__order": F.concat(order_key(id_col, seed), F.col(id_col).isNotNull().cast("int").cast("string"),
+                            F.lower(F.lpad(F.hex(row_hash), 16, "0"))),
+    }).withColumn("__range", F.substring("__order", 1, RADIX_DIGITS))
+
+
+def _digits_in_common(a, b):
+    """How many first characters two texts share."""
+    places = F.sequence(F.lit(1), F.length(a))
+    return F.coalesce(F.array_min(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))) - 1,
+                      F.length(a))
+
+
+def key_ranges(ordered: DataFrame, max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(the rows with their final ``__range``, (__label, __range, __n) of all
+    ranges). Opened ranges are few: at most rows / max_bucket_rows in a round."""
+    done, rows, todo = None, ordered, ordered
+    while True:
+        counts = write_stage(todo.groupBy("__label", "__range").agg(
+            F.count(F.lit(1)).alias("__n"), F.min("__order").alias("__lo"), F.max("__order").alias("__hi")), "ranges")
+        too_full = (F.col("__n") > max_bucket_rows) & (F.col("__lo") != F.col("__hi"))
+        kept = counts.where(~too_full).select("__label", "__range", "__n")
+        done = kept if done is None else done.unionByName(kept)
+        opened = counts.where(too_full)
+        if opened.isEmpty():
+            return rows, done
+        opened = write_stage(opened.select("__label", "__range", (_digits_in_common(
+            F.col("__lo"), F.col("__hi")) + RADIX_DIGITS).alias("__digits")), "opened-ranges")
+        finer = F.when(F.col("__digits").isNull(), F.col("__range")).otherwise(
+            F.expr("substring(__order, 1, __digits)"))
+
+        def narrowed(df: DataFrame, how: str, opened=opened, finer=finer) -> DataFrame:
+            return df.join(opened, ["__label", "__range"], how).withColumn("__range", finer).drop("__digits")
+
+        rows, todo = narrowed(rows, "left"), narrowed(todo, "inner")
 
 
 def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = SEED,
-                  n_buckets: int = DEFAULT_KEY_BUCKETS,
-                  max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS,
-                  sub_bits: int = DEFAULT_SUB_BITS, test_size: float = TEST_SIZE) -> DataFrame:
+                  max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS, test_size: float = TEST_SIZE) -> DataFrame:
     """Adds ``rank_in_class`` (1-based), ``class_rows``, ``total_rows`` and
     ``test_quota``. Rows with a null label are a class of their own, and null
     ids are ranked like any other id, so no row is lost.
 
     Order within a class: md5 key, then id, then a hash of the whole row.
-    Rows are ranked inside (class, key bucket) windows plus the bucket's
-    offset. A bucket holding more than ``max_bucket_rows`` rows can only be
-    hot because many rows share one id (the key is uniform over ids); such
-    buckets are ranked one level further down: per (key, id) group offsets,
-    then ``2**sub_bits`` sub-buckets on the top bits of the row hash (which
-    follow the row-hash order), so one id holding a third of all rows is
-    still spread over many tasks.
     """
-    hex_digits = max(1, (n_buckets - 1).bit_length() // 4)
-    key = order_key(id_col, seed)
-    keyed = df.withColumns({
-        "__key": key,
-        # Structs compare null-safely in joins and windows.
-        "__label": F.struct(F.col(label).alias("v")),
-        "__id": F.struct(F.col(id_col).alias("v")),
-        "__bucket": F.conv(F.substring(key, 1, hex_digits), 16, 10).cast("int"),
-        # Last tie-breaker: rows that share an id still get a fixed order, so a
-        # recomputed task ranks them the same way.
-        "__row_hash": F.xxhash64(*[F.col(c) for c in df.columns]),
-    })
-    label, id_col, out_cols = "__label", "__id", [*df.columns, "class_rows", "total_rows", "test_quota", "rank_in_class"]
-    counts = keyed.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    # A table of at most (number of classes) x n_buckets rows.
-    offsets = (_prefix_offsets(counts, [label], ["__bucket"])
-               .select(label, "__bucket", F.col("__off").alias("__offset"),
-                       (F.col("__n") > max_bucket_rows).alias("__hot"))
-               .join(class_quotas(counts, label, test_size), label))
+    rows, ranges = key_ranges(with_order(df, label, id_col, seed), max_bucket_rows)
+    earlier = Window.partitionBy("__label").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per class and range: at most 4,096 a class unless ranges were opened.
+    offsets = write_stage(ranges.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+                          .join(class_quotas(ranges, "__label", test_size), "__label").drop("__n"), "offsets")
     # Spark broadcasts it if its size allows (many classes may not).
-    rows = keyed.join(offsets, [label, "__bucket"])
-
-    within = Window.partitionBy(label, "__bucket").orderBy("__key", id_col, "__row_hash")
-    normal = (rows.where(~F.col("__hot"))
-              .withColumn("rank_in_class", F.col("__offset") + F.row_number().over(within)))
-
-    # Hot buckets: (key, id) group offsets inside the bucket, then row-hash
-    # sub-bucket offsets inside the group; both tables are small.
-    hot = rows.where(F.col("__hot")).withColumn(
-        "__sub", F.shiftrightunsigned(F.col("__row_hash"), 64 - sub_bits)
-        .bitwiseXOR(F.lit(1 << (sub_bits - 1))))
-    group = [label, "__bucket", "__key", id_col]
-    groups = _prefix_offsets(hot.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")),
-                             [label, "__bucket"], ["__key", id_col])
-    subs = _prefix_offsets(hot.groupBy(*group, "__sub").agg(F.count(F.lit(1)).alias("__n")),
-                           group, ["__sub"])
-    in_sub = Window.partitionBy(*group, "__sub").orderBy("__row_hash")
-    hot_ranked = (hot.join(groups.select(*group, F.col("__off").alias("__goff")), group)
-                  .join(subs.select(*group, "__sub", F.col("__off").alias("__soff")),
-                        [*group, "__sub"])
-                  .withColumn("rank_in_class", F.col("__offset") + F.col("__goff")
-                              + F.col("__soff") + F.row_number().over(in_sub)))
-    return normal.select(*out_cols).unionByName(hot_ranked.select(*out_cols))
+    within = Window.partitionBy("__label", "__range").orderBy("__order")
+    ranked = rows.join(offsets, ["__label", "__range"]).withColumn(
+        "rank_in_class", F.col("__offset") + F.row_number().over(within))
+    return ranked.select(*df.columns, "class_rows", "total_rows", "test_quota", "rank_in_class")
 
 
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking_id",
                      test_size: float = TEST_SIZE, seed: int = SEED,
-                     folds: int = CV_FOLDS, n_buckets: int = DEFAULT_KEY_BUCKETS,
-                     max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
+                     folds: int = CV_FOLDS, max_bucket_rows: int = DEFAULT_MAX_BUCKET_ROWS) -> DataFrame:
     """S2 (+S3): adds ``is_test`` and, for training rows, ``fold``.
 
     Exactly ``ceil(test_size * n)`` rows are test rows, spread over classes by
@@ -137,7 +137,7 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "booking
     that follow are dealt round-robin into ``folds`` folds, so fold sizes
     differ by at most one per class.
     """
-    ranked = rank_in_class(df, label, id_col, seed, n_buckets, max_bucket_rows, test_size=test_size)
+    ranked = rank_in_class(df, label, id_col, seed, max_bucket_rows, test_size)
     r = F.col("rank_in_class")
     return (ranked
             .withColumn("is_test", r <= F.col("test_quota"))
@@ -152,10 +152,9 @@ def train_test(split: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def assign_folds(df: DataFrame, label: str = "label", id_col: str = "booking_id",
-                 folds: int = CV_FOLDS, seed: int = SEED,
-                 n_buckets: int = DEFAULT_KEY_BUCKETS) -> DataFrame:
+                 folds: int = CV_FOLDS, seed: int = SEED) -> DataFrame:
     """S3: stratified, shuffled k-fold ids for the rows given:
     ``(rank_in_class - 1) % folds``."""
-    ranked = rank_in_class(df, label, id_col, seed, n_buckets)
+    ranked = rank_in_class(df, label, id_col, seed)
     return (ranked.withColumn("fold", ((F.col("rank_in_class") - 1) % folds).cast("int"))
             .drop("class_rows", "total_rows", "test_quota"))

@@ -202,6 +202,7 @@ def oracle_queries() -> dict[str, str]:
     }
     q.update(quality_queries())
     q.update(split_metric_queries())
+    q.update(experiment_queries())
     q.update(model_prep_queries())
     q.update(given_table_queries())
     q.update(check_kind_queries())
@@ -473,3 +474,76 @@ def check_kind_queries() -> dict[str, str]:
     return {name: suite_sql("raw", _types(RAW_TYPES), clean_ctes(),
                             [k for k in build_suite() if k.kind in kinds])
             for name, kinds in CHECK_KIND_QUERIES.items()}
+
+
+def _isotonic_sql(ctes: str) -> str:
+    """The min-max formula: at each score the largest, over starts at or
+    before it, of the smallest mean label up to any end at or after it."""
+    return f"""WITH {ctes},
+per AS (SELECT score AS x, sum(label) AS p, count(*) AS n FROM scored WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY score),
+pt AS (SELECT x, p, n, row_number() OVER (ORDER BY x) AS i, sum(p) OVER (ORDER BY x) AS cp, sum(n) OVER (ORDER BY x) AS cn FROM per),
+m AS (SELECT a.i AS j, b.i AS k, CAST(b.cp - a.cp + a.p AS DOUBLE) / (b.cn - a.cn + a.n) AS v FROM pt a JOIN pt b ON b.i >= a.i),
+f AS (SELECT j, k AS i, min(v) OVER (PARTITION BY j ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS v FROM m),
+g AS (SELECT i, round(max(v), 9) AS calibrated FROM f GROUP BY i)
+SELECT min(x) AS lo, max(x) AS hi, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(p) AS BIGINT) AS positives, calibrated
+FROM g JOIN pt USING (i) GROUP BY calibrated"""
+
+
+def _cv_ctes() -> str:
+    splits = ", ".join(f"max(CASE WHEN fold = {i} THEN {kind}_score END) AS split{i}_{kind}_score"
+                       for kind in ("test", "train") for i in range(5))
+    mean = " + ".join(f"max(CASE WHEN fold = {i} THEN {{0}}_score END)" for i in range(5))
+    return f"""
+o AS (SELECT o_orderkey % 24 AS c, o_custkey % 5 AS fold, CAST(floor(o_totalprice) AS BIGINT) AS p FROM orders),
+base AS (SELECT c, fold, avg(p % 1000) / 1000 AS test_score, avg(p % 900) / 900 AS train_score, avg(p % 7) AS fit_time
+         FROM o GROUP BY c, fold),
+long_scores AS (SELECT * FROM base UNION ALL SELECT c + 24, fold, test_score, train_score, fit_time FROM base WHERE c < 3),
+agg AS (SELECT CAST(c AS INTEGER) AS candidate_id, {splits},
+          ({mean.format('test')}) / 5 AS mean_test_score, stddev_pop(test_score) AS std_test_score,
+          ({mean.format('train')}) / 5 AS mean_train_score, stddev_pop(train_score) AS std_train_score, avg(fit_time) AS mean_fit_time
+        FROM long_scores GROUP BY c),
+cv AS (SELECT *, 'candidate_' || candidate_id AS candidate, 'preprocessor_v1' AS preprocessor,
+         CASE candidate_id % 3 WHEN 0 THEN 'RandomForestClassifier' WHEN 1 THEN 'LGBMClassifier' ELSE 'XGBClassifier' END AS model_type,
+         CAST(100 * (1 + candidate_id % 3) AS VARCHAR) AS n_estimators, CAST(candidate_id % 5 AS VARCHAR) AS max_depth,
+         CASE WHEN candidate_id % 3 = 0 THEN NULL WHEN candidate_id % 2 = 0 THEN '0.05' ELSE '0.1' END AS learning_rate,
+         CAST((SELECT count(*) + 1 FROM agg AS b WHERE b.mean_test_score > agg.mean_test_score) AS INTEGER) AS rank_test_score
+       FROM agg),
+lab AS (SELECT *, preprocessor || ' + ' || CASE candidate_id % 3 WHEN 0 THEN 'RandomForest' WHEN 1 THEN 'LightGBM' ELSE 'XGBoost' END
+         || ': ' || CASE WHEN learning_rate IS NULL THEN '' ELSE 'learning_rate=' || learning_rate || ', ' END
+         || 'max_depth=' || max_depth || ', n_estimators=' || n_estimators AS candidate_pipeline FROM cv),
+best AS (SELECT * FROM cv ORDER BY mean_test_score DESC, candidate_id LIMIT 1)"""
+
+
+def experiment_queries() -> dict[str, str]:
+    cv = f"WITH {_cv_ctes()}\n"
+    scores = [f"split{i}_{kind}_score" for kind in ("test", "train") for i in range(5)] + [
+        "mean_test_score", "std_test_score", "mean_train_score", "std_train_score", "mean_fit_time"]
+    rounded = ", ".join(f"round({c}, 9) AS {c}" for c in scores)
+    settings = ("SELECT candidate_id, 'best__preprocess' AS key, preprocessor AS value FROM {t} "
+                "UNION ALL SELECT candidate_id, 'best__model', model_type FROM {t} "
+                "UNION ALL SELECT candidate_id, 'best__model__n_estimators', n_estimators FROM {t} "
+                "UNION ALL SELECT candidate_id, 'best__model__max_depth', max_depth FROM {t} "
+                "UNION ALL SELECT candidate_id, 'best__model__learning_rate', learning_rate FROM {t} WHERE learning_rate IS NOT NULL")
+    return {
+        "k2_isotonic": _isotonic_sql(_scored_ctes()),
+        "k2_isotonic_doc_length": _isotonic_sql(_docs_ctes()),
+        "m8_cv_results": f"{cv}SELECT candidate_id, candidate, preprocessor, model_type, {rounded}, rank_test_score FROM cv",
+        "k1_best": f"{cv}SELECT candidate_id, candidate, round(mean_test_score, 9) AS mean_test_score FROM best",
+        "r1_latest_run": """
+WITH recent AS (SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderkey, CAST(o_orderdate AS DATE) AS d
+  FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 50)
+SELECT run_id, 'FINISHED' AS status, CAST(d AS VARCHAR) AS start_day FROM recent
+WHERE o_orderkey % 3 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem) ORDER BY d DESC, run_id DESC LIMIT 1""",
+        "r2_cv_of_run": f"""{cv}SELECT 'second' AS run_id, candidate_id, rank_test_score, learning_rate AS param_model__learning_rate,
+  max_depth AS param_model__max_depth, n_estimators AS param_model__n_estimators, model_type AS param_model
+FROM cv WHERE candidate_id % 3 <> 0""",
+        "l2_best_parameters": cv + settings.format(t="cv"),
+        "l5_stringify": f"{cv}SELECT candidate_id, 'rank' AS key, CAST(rank_test_score AS VARCHAR) AS value FROM cv "
+                        "UNION ALL SELECT candidate_id, 'id', CAST(candidate_id AS VARCHAR) FROM cv",
+        "r5_candidate_label": f"{cv}SELECT candidate_id, candidate_pipeline FROM lab",
+        "r6_candidate_ranking": f"{cv}SELECT rank_test_score, printf('%.3f', mean_test_score) AS mean_test_score, candidate_pipeline FROM lab",
+        "r7_selected_pipeline": f"""{cv}SELECT 'preprocessor' AS component, 'selected preprocessor' AS detail, preprocessor AS value FROM best
+UNION ALL SELECT 'model', 'selected model', model_type FROM best
+UNION ALL SELECT 'hyperparameter', substr(key, 14), value FROM ({settings.format(t='best')}) WHERE starts_with(key, 'best__model__')""",
+        "r9_cv_bars": f"{cv}SELECT 'Rank ' || rank_test_score AS rank_label, rank_test_score, round(mean_test_score, 9) AS mean_test_score FROM cv",
+    }

@@ -5,20 +5,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaybook.config import DEFAULT
+from quaybook.operators import calibrate as K
 from quaybook.operators import clean as C
 from quaybook.operators import curves as R
 from quaybook.operators import features as FE
 from quaybook.operators import metrics as M
+from quaybook.operators import models as MD
 from quaybook.operators import prep as P
 from quaybook.operators import quality as Q
 from quaybook.operators import report as RP
+from quaybook.operators import runs as L
 from quaybook.operators import split as S
-from quaybook.plans.stages import stage_table
+from quaybook.plans.stages import new_stage_path, stage_table
 from quaybook.sources.bookings import derive_raw_bookings
 from quaybook.sources.tables import read_table, table_path
 
@@ -215,14 +217,8 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(feature, category, index) of the category indexer fitted on the
-    training rows (alphabetical order; NULL category filled as 'missing')."""
-    train = P.fill_missing_categories(train_rows(spark, sf_dir))
-    cats = list(P.CATEGORICAL_FEATURES)
-    model = StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
-                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
-    return spark.createDataFrame(P.category_index(model, cats),
-                                 "feature string, category string, category_index int")
+    """The dictionary that the training rows give ``preprocessor_v1``."""
+    return P.category_dictionary(train_rows(spark, sf_dir))
 
 
 QUERIES.update({
@@ -263,3 +259,101 @@ def _kind_query(kinds):
 
 
 QUERIES.update({name: _kind_query(kinds) for name, kinds in CHECK_KIND_QUERIES.items()})
+
+
+def fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(candidate_id, fold, test_score, train_score, fit_time): stand-in for
+    the search's long score table, one grouped pass over ``orders``. The last
+    three candidates repeat the scores of the first three, so ranks tie."""
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey % 24 AS c", "CAST(o_custkey % 5 AS INT) AS fold", "CAST(floor(o_totalprice) AS BIGINT) AS p")
+    scores = orders.groupBy("c", "fold").agg(
+        (F.avg(F.col("p") % 1000) / 1000).alias("test_score"), (F.avg(F.col("p") % 900) / 900).alias("train_score"),
+        F.avg(F.col("p") % 7).alias("fit_time"))
+    c = F.col("c").cast("int")
+    ids = F.explode(F.when(c < 3, F.array(c, c + 24)).otherwise(F.array(c)))
+    return scores.select(ids.alias("candidate_id"), "fold", "test_score", "train_score", "fit_time")
+
+
+def candidate_settings(scores: DataFrame) -> DataFrame:
+    """(candidate_id, candidate, preprocessor, model_type, params) of the
+    fixture's candidates; one family has no learning rate."""
+    c = F.col("candidate_id")
+    kinds = [f["estimator"]["type"] for f in MD.MODEL_FAMILIES.values()]
+    rate = F.when(c % 3 == 0, F.lit(None)).otherwise(F.when(c % 2 == 0, "0.05").otherwise("0.1"))
+    return scores.select("candidate_id").distinct().select(
+        "candidate_id", F.concat(F.lit("candidate_"), c.cast("string")).alias("candidate"),
+        F.lit("preprocessor_v1").alias("preprocessor"), F.element_at(F.array(*map(F.lit, kinds)), c % 3 + 1).alias("model_type"),
+        F.create_map(F.lit("n_estimators"), (100 * (1 + c % 3)).cast("string"), F.lit("learning_rate"), rate,
+                     F.lit("max_depth"), (c % 5).cast("string")).alias("params"))
+
+
+def cv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 / L1 over the fixture scores, written once per session."""
+    def build() -> DataFrame:
+        scores = fold_scores(spark, sf_dir)
+        return MD.cv_results(scores, candidate_settings(scores))
+    return _stage(spark, "cv_results", sf_dir, build, ("orders",))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(runs, CV rows): stand-in for the run log, one run per order and a CV
+    row per line item of most orders."""
+    runs = read_table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS run_id", "IF(o_orderstatus = 'F', 'FINISHED', 'FAILED') AS status",
+        "CAST(o_orderdate AS TIMESTAMP) AS start_time", "o_orderkey % 9 AS c")
+    cv = read_table(spark, sf_dir, "lineitem").where("l_orderkey % 3 <> 0").selectExpr("CAST(l_orderkey AS STRING) AS run_id")
+    return runs, cv
+
+
+def cv_results_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: two runs with different hyperparameters are stored; one is read back."""
+    root = new_stage_path(spark, "run-log")
+    cv = cv_table(spark, sf_dir)
+    with_rate = F.col("model_type") != "RandomForestClassifier"
+    L.append_cv_results(L.cv_results_table(cv.where(~with_rate).withColumn(
+        "params", F.map_filter("params", lambda k, v: k != "learning_rate"))), root, "first")
+    L.append_cv_results(L.cv_results_table(cv.where(with_rate)), root, "second")
+    return L.cv_results_of_run(spark, root, "second").select(
+        "run_id", "candidate_id", "rank_test_score", "param_model__learning_rate", "param_model__max_depth",
+        "param_model__n_estimators", "param_model")
+
+
+def best_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each candidate's settings as the run log keeps them."""
+    chosen = F.map_concat(F.create_map(F.lit("preprocess"), F.col("preprocessor"), F.lit("model"), F.col("model_type")),
+                          F.transform_keys(F.map_filter("params", lambda k, v: v.isNotNull()), lambda k, v: F.concat(F.lit("model__"), k)))
+    return cv_table(spark, sf_dir).select("candidate_id", L.format_best_parameters(chosen).alias("params"))
+
+
+def _rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _pairs(df: DataFrame, column: str) -> DataFrame:
+    """A map column as rows."""
+    return df.select("candidate_id", F.explode(column).alias("key", "value"))
+
+
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.latest_finished_run(*run_log(spark, sf_dir)).select(
+        "run_id", "status", F.col("start_time").cast("date").cast("string").alias("start_day"))
+
+
+QUERIES.update({
+    "k2_isotonic": lambda s, d: _rounded(K.isotonic_blocks(scored_fixture(s, d))),
+    "k2_isotonic_doc_length": lambda s, d: _rounded(K.isotonic_blocks(doc_length_scores(s, d))),
+    "m8_cv_results": lambda s, d: _rounded(cv_table(s, d).drop("params")),
+    "k1_best": lambda s, d: _rounded(MD.best_candidate(cv_table(s, d)).select("candidate_id", "candidate", "mean_test_score")),
+    "r1_latest_run": latest_run,
+    "r2_cv_of_run": cv_results_of_run,
+    "l2_best_parameters": lambda s, d: _pairs(best_settings(s, d), "params"),
+    "l5_stringify": lambda s, d: _pairs(cv_table(s, d).select("candidate_id", L.stringify_mapping(F.create_map(
+        F.lit("rank"), F.col("rank_test_score"), F.lit("id"), F.col("candidate_id"))).alias("m")), "m"),
+    "r5_candidate_label": lambda s, d: RP.candidate_label(cv_table(s, d)).select("candidate_id", "candidate_pipeline"),
+    "r6_candidate_ranking": lambda s, d: RP.candidate_ranking(cv_table(s, d)),
+    "r7_selected_pipeline": lambda s, d: RP.selected_pipeline(best_settings(s, d).join(
+        MD.best_candidate(cv_table(s, d)).select("candidate_id"), "candidate_id", "left_semi")),
+    "r9_cv_bars": lambda s, d: _rounded(RP.cv_bar_data(cv_table(s, d))),
+})

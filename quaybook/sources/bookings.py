@@ -39,11 +39,9 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-#: Text formats: numbers that C5 parses stay text until then, so that the
-#: checks see what can't be parsed and ``numeric_parse_rejects`` counts it.
-TEXT_SCHEMA = T.StructType([
-    T.StructField(f.name, T.StringType() if f.name in ("arrival_day", "checkout_day", "num_children") else f.dataType)
-    for f in RAW_SCHEMA.fields])
+#: Text formats: every column stays text until C5 parses the numbers, so that
+#: the checks see what can't be parsed and ``numeric_parse_rejects`` counts it.
+TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA.fields])
 
 
 def _month_table(alias: str) -> str:

@@ -95,7 +95,7 @@ def test_folds_golden_and_balanced(spark):
 def test_split_independent_of_partitioning(spark):
     base = labelled(spark, SF01)
     a = S.stratified_split(base).where("is_test").select("booking_id")
-    b = S.stratified_split(base.repartition(13), n_buckets=256).where("is_test").select("booking_id")
+    b = S.stratified_split(base.repartition(13), max_bucket_rows=300).where("is_test").select("booking_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -121,7 +121,7 @@ def test_hot_id_is_spread_and_ranked_exactly(spark):
     # 40 % of the rows share booking_id 7 (copies that differ in another column).
     rows = [(7 if i % 5 < 2 else 1000 + i, i % 2, float(i)) for i in range(3000)]
     df = spark.createDataFrame(rows, "booking_id bigint, label int, v double")
-    got = S.rank_in_class(df, "label", "booking_id", n_buckets=16, max_bucket_rows=50)
+    got = S.rank_in_class(df, "label", "booking_id", max_bucket_rows=50)
     key = S.order_key("booking_id")
     rh = F.xxhash64(*[F.col(c) for c in df.columns])
     brute = df.withColumn("want", F.row_number().over(

@@ -1,3 +1,6 @@
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -28,10 +31,6 @@ def test_config_errors():
         P.build_preprocessor({"type": "nope"})
 
 
-def test_passthrough_keeps_order():
-    assert P.passthrough_features(P.CATEGORICAL_FEATURES) == list(P.NUMERIC_FEATURES)
-
-
 def test_unseen_category_is_all_zero(spark):
     train = spark.createDataFrame([("a", 1.0, 0), ("b", 2.0, 1)], "branch string, arrival_day double, label int")
     test = spark.createDataFrame([("zzz", 1.0, 0), (None, None, 1)], "branch string, arrival_day double, label int")
@@ -75,6 +74,41 @@ def test_search_select_calibrate_save_load(spark, scratch):
     assert a == b
 
 
+def plain_isotonic(pairs):
+    """max over starts at or before, min over ends at or after, of the mean between."""
+    xs = sorted({x for x, _ in pairs})
+    rows = [(sum(y for a, y in pairs if a == x), sum(a == x for a, _ in pairs)) for x in xs]
+    def mean(j, k):
+        return Fraction(sum(p for p, _ in rows[j:k + 1]), sum(n for _, n in rows[j:k + 1]))
+    return {x: max(min(mean(j, k) for k in range(i, len(xs))) for j in range(i + 1)) for i, x in enumerate(xs)}
+
+
+@pytest.mark.parametrize("buckets,fan_in", [(1, 32), (7, 2), (64, 3)])
+def test_isotonic_blocks_by_the_min_max_formula(spark, buckets, fan_in):
+    rng = random.Random(buckets)
+    pairs = [(round(rng.random(), 1 + i % 2), int(rng.random() < 0.2 + 0.5 * i / 120)) for i in range(120)]
+    rows = [(x, y) for x, y in pairs] + [(None, 1), (0.5, None), (float("nan"), 0)]
+    got = K.isotonic_blocks(spark.createDataFrame(rows, "score double, label int"), n_buckets=buckets, fan_in=fan_in).collect()
+    want = plain_isotonic(pairs)
+    assert sum(r.rows for r in got) == 120 and len({r.calibrated for r in got}) == len(got) == len(set(want.values()))
+    for x, v in want.items():
+        assert [Fraction(r.positives, r.rows) for r in got if r.lo <= x <= r.hi] == [v]
+    assert K.isotonic_blocks(spark.createDataFrame([], "score double, label int")).collect() == []
+
+
+def test_category_indexes_match_the_pipeline(spark):
+    train = spark.createDataFrame([("b", "x"), ("a", None), (None, "y"), ("b", "x")], "branch string, room string")
+    rows = spark.createDataFrame([("a", "y"), ("zz", None), (None, "zz")], "branch string, room string")
+    dictionary = P.category_dictionary(train, ["branch", "room"])
+    assert sorted(map(tuple, dictionary.collect())) == [("branch", "a", 0), ("branch", "b", 1), ("branch", "missing", 2),
+                                                        ("room", "missing", 0), ("room", "x", 1), ("room", "y", 2)]
+    got = P.category_indexes(rows, dictionary, ["branch", "room"])
+    assert sorted((r.branch or "", r.branch__idx, r.room__idx) for r in got.collect()) == [("", 2, 3), ("a", 0, 2), ("zz", 3, 0)]
+    model = P.DictionaryIndexer(inputCols=["branch", "room"], outputCols=["i", "j"]).fit(train)
+    filled = P.fill_missing_categories(rows, ["branch", "room"])
+    assert sorted((r.branch, r.i, r.j) for r in model.transform(filled).collect()) == [("a", 0, 2), ("missing", 2, 3), ("zz", 3, 0)]
+
+
 def test_isotonic_pools_ties(spark):
     df = spark.createDataFrame([(.1, 0), (.1, 1), (.4, 1), (.5, 0), (.9, 1)], "score double, label int")
     m = K.isotonic_fit(df)

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from quaybook.operators import runs as L
 from quaybook.plans.queries import raw
-from quaybook.sources.bookings import RAW_SCHEMA, read_raw_bookings
+from quaybook.operators import clean as C
+from quaybook.sources.bookings import RAW_SCHEMA, TEXT_SCHEMA, read_raw_bookings
 from quaybook.sources.tables import spread
 from conftest import SF001
 
@@ -14,11 +15,14 @@ def test_read_raw_with_declared_schema(spark, scratch):
     src.write.parquet(os.path.join(scratch, "p"))
     (src.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).csv(os.path.join(scratch, "c")))
-    for fmt, sub in (("parquet", "p"), ("csv", "c")):
+    for fmt, sub, schema in (("parquet", "p", RAW_SCHEMA), ("csv", "c", TEXT_SCHEMA)):
         back = read_raw_bookings(spark, os.path.join(scratch, sub), fmt)
-        assert back.schema == RAW_SCHEMA
+        assert back.schema == schema
         assert back.count() == 1538
-        assert back.exceptAll(src).count() == 0
+        typed = back.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+        assert typed.exceptAll(src).count() == 0
+    # From text or typed, cleaning ends with the same rows.
+    assert C.clean(back).exceptAll(C.clean(src)).count() == 0
 
 
 def test_spread_only_when_too_few_partitions(spark):
