@@ -14,8 +14,10 @@ every shared span of at least ``window`` words shares a kept fingerprint.
    joined to the item's positions, which gives the diagonals (text, item,
    shift) to look at.
 3. A hit is extended over its whole diagonal: words of text and item are
-   compared, and each run of ``window`` equal words marks its words as hit.
-   Hash collisions end here: only equal words count.
+   compared once each, the places where they differ are listed, and each run of
+   at least ``window`` equal words between them marks its words as hit; the
+   work grows with the diagonal. Hash collisions end here: only equal words
+   count.
 
 An item of fewer than ``window`` words is a window of its own length n: for
 each such n all n-grams are fingerprints (k = n, runs of 1).
@@ -29,7 +31,7 @@ they are; without items nothing is hit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaybook.llm.common import ascii_lower, pick, prepare
@@ -98,8 +100,8 @@ def _spots(items: DataFrame, k: int) -> DataFrame:
 
 
 def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFrame, window: int, k: int) -> DataFrame:
-    """(text_key, item_id, pos) of every word of the texts that lies in an
-    occurrence of a window of one of the items. ``grams``: (text_key, gram)
+    """(text_key, item_id, start, end) of the runs of words of the texts that
+    are occurrences of windows of one of the items. ``grams``: (text_key, gram)
     that both sides kept; each is extended over its diagonal."""
     places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode_outer("grams").alias("pos", "gram"))
               .where("gram IS NOT NULL").join(grams, ["text_key", "gram"], "left_semi"))
@@ -109,17 +111,31 @@ def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFr
     # The part of the item that lies inside the text on this diagonal.
     first = F.greatest(-F.col("shift"), F.lit(0))
     span = F.least(F.col("n_item"), F.size("words") - F.col("shift")) - first
-    same = F.zip_with(F.slice("item_words", F.col("first") + 1, F.col("span")),
-                      F.slice("words", F.col("first") + F.col("shift") + 1, F.col("span")), lambda a, b: a == b)
-    lined = (diagonals.join(items, "item_id").join(texts, "text_key")
-             .withColumns({"first": first, "span": span, "size": size}).where("span >= size")
-             .select("text_key", "item_id", same.alias("same"), "size", (F.col("first") + F.col("shift")).alias("place")))
-    starts = F.filter(F.sequence(F.lit(0), F.size("same") - F.col("size")),
-                      lambda i: F.forall(F.slice("same", i + 1, F.col("size")), lambda x: x))
-    covered = F.flatten(F.transform("starts", lambda i: F.sequence(
-        F.col("place") + i, F.col("place") + i + F.col("size") - 1)))
-    return (lined.withColumn("starts", starts).where(F.size("starts") > 0)
-            .select("text_key", "item_id", F.explode_outer(F.array_distinct(covered)).alias("pos")).where("pos IS NOT NULL"))
+    # Where text and item differ on the diagonal. It is written out: as a plan
+    # it would be put into every expression that looks at it.
+    lined = write_stage(
+        diagonals.join(items, "item_id").join(texts, "text_key")
+        .withColumns({"first": first, "span": span, "size": size}).where("span >= size")
+        .select("text_key", "item_id", "size", "span", (F.col("first") + F.col("shift")).alias("place"),
+                F.filter(F.sequence(F.lit(0), F.col("span") - 1), lambda i: F.get("item_words", F.col("first") + i)
+                         != F.get("words", F.col("first") + F.col("shift") + i)).alias("unequal")), "lined")
+    # Runs of equal words lie between neighbouring differences.
+    runs = F.zip_with(F.concat(F.array(F.lit(-1)), "unequal"), F.concat("unequal", F.array("span")),
+                      lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("n")))
+    long_runs = F.filter(runs, lambda r: r["n"] >= F.col("size"))
+    return (lined.select("text_key", "item_id", "place", F.explode_outer(long_runs).alias("run")).where("run IS NOT NULL")
+            .select("text_key", "item_id", (F.col("place") + F.col("run.start")).alias("start"),
+                    (F.col("place") + F.col("run.start") + F.col("run.n")).alias("end")))
+
+
+def _covered_words(spans: DataFrame) -> DataFrame:
+    """(text_key, n_hit): how many words lie in a span (start to before end)
+    of the text. In the order of their starts, a span adds what lies behind
+    the furthest end so far; no word is listed by itself."""
+    before = Window.partitionBy("text_key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(before), F.lit(0))), F.lit(0))
+    return (spans.select("text_key", "start", "end").distinct().select("text_key", fresh.alias("fresh"))
+            .groupBy("text_key").agg(F.sum("fresh").alias("n_hit")))
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
@@ -155,7 +171,7 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         part = _covered(texts, items, spots, grams, window, k)
         part.write.mode("append").parquet(covered)
     hits = docs.sparkSession.read.schema(part.schema).parquet(covered)
-    counts = hits.groupBy("text_key").agg(F.countDistinct("pos").alias("n_hit"))
+    counts = _covered_words(hits)
     named = hits.select("text_key", "item_id").distinct().groupBy("text_key").agg(
         F.array_sort(F.collect_list("item_id")).alias("items"))
     found = write_stage(counts.join(named, "text_key"), "found")

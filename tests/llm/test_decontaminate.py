@@ -70,3 +70,15 @@ def test_clean_documents_keeps_columns(spark):
     kept = D.clean_documents(d, b)
     assert kept.columns == d.columns
     assert sorted(map(str, kept.collect())) == sorted(map(str, [r for r in d.collect() if r.doc_id != 1]))
+
+
+def test_repeated_words_take_time_in_proportion(spark):
+    """One word 20,000 times against an item that has it 500 times."""
+    import time
+    docs = spark.createDataFrame([(1, "again " * 20_000), (2, "again " * 12), (3, "x " + "again " * 13)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "again " * 500)], "item_id long, text string")
+    D.document_hits(docs.where("doc_id = 2"), items).collect()  # start of the session's workers
+    began = time.time()
+    got = {r.doc_id: r.n_hit for r in D.document_hits(docs, items).collect()}
+    took = time.time() - began
+    assert got == {1: 20_000, 2: 0, 3: 13} and took < 30, (got, took)
