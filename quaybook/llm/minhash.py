@@ -207,8 +207,7 @@ def sketch_documents(rows: DataFrame) -> DataFrame:
 
 
 def _set_rows(rows: DataFrame) -> DataFrame:
-    """(cls, full_set) of rows (cls, text); texts of other classes that share
-    the id (repeated ids) are left out."""
+    """(cls, full_set) of rows (cls, text)."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _blocks(batches):
             sets = [s.view(np.int64).tobytes() for s in shingle_sets(texts)]
@@ -332,18 +331,25 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     # A class is named by the hash of its digest; equal names of different
     # digests would take 2**32 classes to be likely, so the digest is kept.
     classes = made.where("full IS NOT NULL").withColumn("cls", F.xxhash64("full"))
+    # The row that a class's text is taken from: the least named id, or none if
+    # all lack one, and of its texts in the class the least digest.
+    source = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("source")
     info = write_stage(classes.groupBy("cls").agg(
-        F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.min("doc_id").alias("least_id"), source, F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
         F.first("low").alias("low")), "classes")
     groups = info.select("cls", F.posexplode("bands").alias("band", "bucket"))
     shared = groups.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = write_stage(groups.join(shared, ["band", "bucket"]), "band-members")
     popular = members.groupBy("cls").agg(F.sum("size").alias("popular"))
     members = write_stage(members.join(popular, "cls").drop("size"), "members")
-    # One text of each class that shares a band, to make sets from.
-    wanted = members.select("cls").distinct().join(info.select("cls", "least_id"), "cls")
-    sources = (rows.join(wanted.withColumnRenamed("least_id", "wanted_id"), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-               .select("cls", "text"))
+    # One text of each class that shares a band, to make sets from: joined by id
+    # and digest, as many rows may share an id or lack one. Repeated rows are
+    # reduced to one before they leave their task.
+    wanted = members.select("cls").distinct().join(info.select("cls", "source"), "cls").select(
+        "cls", F.col("source.doc_id").alias("wanted_id"), F.col("source.key").alias("wanted_key"))
+    keyed = rows.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    sources = write_stage(keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("key") == F.col("wanted_key")))
+                          .groupBy("cls").agg(F.first("text").alias("text")), "sources")
     links, labels, tried = None, None, None
     for r in range(STAR_ROUNDS + 1):
         left = write_stage(_unresolved(members, labels), "open")
@@ -416,15 +422,27 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one stays."""
     made, info, labels = _labelled(docs, id_col, text_col)
     # By class first: a large group of copies is one row before any shuffle.
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
-    classes = (made.where("full IS NOT NULL").groupBy(F.xxhash64("full").alias("cls")).agg(F.min(order).alias("least"))
-               .withColumn("component", F.col("cls")))
+    classes = info.select("cls", F.col("source").alias("least"), F.col("cls").alias("component"))
     if labels is not None:
         classes = (classes.drop("component").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                    .withColumn("component", F.coalesce("component", "cls")))
-    stays = (classes.groupBy("component").agg(F.min("least").alias("least")).select("least.doc_id", "least.key")
-             .union(made.where("full IS NULL").select("doc_id", "key").distinct()))
-    stays = write_stage(stays.toDF("__id", "__stay"), "stays")
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    kept = keyed.join(stays, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__stay")), "left_semi")
-    return kept.groupBy(id_col, "__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    best = classes.groupBy("component").agg(F.min("least").alias("least"))
+    stays = classes.select("cls", "component").join(best, "component").select("cls", "least.doc_id", "least.key")
+    mine, theirs = F.struct("m.doc_id", "m.key"), F.struct("s.doc_id", "s.key")
+    # Only small rows (id, digest) decide; texts are filtered where they lie
+    # if Spark finds the list small enough to broadcast.
+    goes = write_stage(made.where("full IS NOT NULL").select("doc_id", "key", F.xxhash64("full").alias("cls")).alias("m")
+                       .join(stays.alias("s"), F.col("m.cls") == F.col("s.cls")).where(~mine.eqNullSafe(theirs))
+                       .select("m.doc_id", "m.key").distinct(), "goes")
+    again = write_stage(made.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "key"), "repeated")
+    # Rows travel as one struct, so no column can clash with those added.
+    whole = docs.select(docs[id_col].alias("doc_id"), F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")))).alias("key"),
+                        F.struct("*").alias("row"))
+    same = [F.col("w.doc_id").eqNullSafe(F.col("o.doc_id")), F.col("w.key") == F.col("o.key")]
+    left = whole.alias("w").join(goes.alias("o"), same, "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    once = left.alias("w").join(again.alias("o"), same, "left_anti")
+    more = left.alias("w").join(again.alias("o"), same, "left_semi").groupBy("doc_id", "key").agg(
+        F.min_by("row", F.to_json("row")).alias("row"))
+    return once.select("row.*").unionByName(more.select("row.*"))

@@ -148,3 +148,32 @@ def test_keep_one_tells_texts_apart_by_content(spark):
     want = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (9, texts[5]), (None, ""), (10, None), (11, "")]
     assert kept.columns == ["doc_id", "text", "lang"]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_rows_without_id_are_looked_at_once(spark, monkeypatch):
+    """Many near copies without an id, or with the same one: one text for
+    each class is made into a set, so the work grows with the rows."""
+    texts = [" ".join(f"w{j}" for j in range(100)) + f" end{i}" for i in range(60)]
+    for doc_id in (None, 5):
+        made = []
+        sets = M._set_rows
+
+        def counted(rows, made=made, sets=sets):
+            made.append(rows.count())
+            return sets(rows)
+
+        monkeypatch.setattr(M, "_set_rows", counted)
+        rows = [(doc_id, t) for t in texts] + [(doc_id, texts[0])] * 40 + [(9, "other words of another text altogether")]
+        got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(got) == 101 and {r.component_id for r in got} == {doc_id, 9}
+        assert made and max(made) <= 60
+        monkeypatch.setattr(M, "_set_rows", sets)
+
+
+def test_keep_one_each_with_maps_and_clashing_names(spark):
+    long = " ".join(f"w{j}" for j in range(40))
+    rows = [(1, long, {"a": "1"}, "k"), (2, long + " x", {"b": "2"}, "k"), (3, "short", None, "k"), (3, "short", {"c": "3"}, "k"),
+            (None, "", None, "k"), (None, "", None, "k"), (None, None, None, None)]
+    kept = M.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string, key map<string,string>, row string"))
+    assert kept.columns == ["doc_id", "text", "key", "row"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
