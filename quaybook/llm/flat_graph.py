@@ -29,8 +29,10 @@
 ``audit`` measures the recall of links against brute force for a sample of
 queries, in blocks.
 
-n_links counts vectors, copies included. Repeated ids are vectors of their
-own in counts and share one result row each. Vectors of different lengths
+n_links counts vectors, copies included. Every row has a result of its own:
+rows that share an id are judged by their vectors, and rows without an id link
+like others, only that a component takes its name from the rows that have one
+(null if none has). Vectors of different lengths
 are never compared. An empty input gives an empty result.
 """
 
@@ -59,20 +61,19 @@ QUERY_BLOCK = 512  # queries that walk together
 
 
 def unit_vectors(rows: DataFrame) -> DataFrame:
-    """(vec_id, vec) of the vectors that can link: doubles of length 1."""
+    """(vec_id, vec) of every row: doubles of length 1, null if it can't link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = [], []
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not v or any(x is None for x in v):
-                    continue
-                x = np.asarray(v, dtype=np.float64)
+            out = []
+            for v in batch.column(1).to_pylist():
+                x = np.asarray(v, dtype=np.float64) if v and None not in v else np.zeros(1)
                 top = np.abs(x).max()
                 if np.isfinite(top) and top > 0:
                     x = x / top  # so the squares neither overflow nor vanish
-                    ids.append(i)
                     out.append((x / np.sqrt((x * x).sum())).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "vec"])
+                else:
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
 
     return rows.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "vec_id long, vec binary")
 
@@ -285,30 +286,30 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str
     prepare(spark)
     rows = pick(embeddings, vec_id=id_col, embedding=vec_col)
     units = write_stage(unit_vectors(rows), "units")
-    # Equal vectors are one class, named by its smallest id (of the rows with one).
-    classes = write_stage(units.groupBy("vec").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n"))
-                          .where("cls IS NOT NULL"), "classes")
+    # Equal vectors are one class, named by a hash of the vector; ids only name results.
+    classes = write_stage(units.where("vec IS NOT NULL").groupBy("vec").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("n"))
+                          .withColumn("cls", F.xxhash64("vec")), "classes")
     counts, edges = None, None
     for r in classes.groupBy(F.octet_length("vec").alias("size")).count().collect():  # one row per vector length
         part = _links(classes, r["size"] // 8, r["count"])
         counts = part if counts is None else counts.union(part)
+    alone = classes.select("cls", "least_id", "n")
     if counts is None:
-        found = spark.createDataFrame([], "cls long, own_links long, component_id long")
+        found = alone.withColumns({"own_links": F.lit(0), "component": F.col("cls")})
     else:
         edges = counts.select(F.col("cls").alias("u"), F.col("root").alias("v"))
-        labels = component_labels(edges)
+        labels = component_labels(edges).withColumnRenamed("node", "cls")
         sums = counts.groupBy("cls").agg(F.sum("n_links").alias("own_links"))
-        found = sums.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-            "cls", "own_links", F.coalesce("component", "cls").alias("component_id"))
+        found = alone.join(sums, "cls", "left").join(labels, "cls", "left").withColumn(
+            "component", F.coalesce("component", "cls"))
     found = write_stage(found, "found")
-    per_id = (units.join(classes, "vec").join(found, "cls", "left")
-              .select("vec_id", (F.coalesce("own_links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                      F.coalesce("component_id", "cls").alias("component_id"))
-              .groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")))
-    out = rows.select(F.col("vec_id").cast("long").alias("vec_id")).join(
-        per_id.withColumnRenamed("vec_id", "linked_id"), F.col("vec_id").eqNullSafe(F.col("linked_id")), "left")
+    named = found.groupBy("component").agg(F.min("least_id").alias("least_of_all"))
+    per_class = found.join(named, "component").select(
+        "cls", (F.coalesce("own_links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "least_of_all")
+    # Every row looks its own vector up, so rows that share an id, or lack one, are told apart.
+    out = units.select("vec_id", F.when(F.col("vec").isNotNull(), F.xxhash64("vec")).alias("cls")).join(per_class, "cls", "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component_id", "vec_id").alias("component_id")).withColumn(
+                      F.coalesce("least_of_all", "vec_id").alias("component_id")).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
@@ -344,7 +345,8 @@ def audit(embeddings: DataFrame, result: DataFrame, every: int = 20, id_col: str
           vec_col: str = "embedding") -> DataFrame:
     """(queries, links, found): exact links of the vectors whose id ``every``
     divides, against all vectors block by block, and those in ``result``."""
-    units = unit_vectors(pick(embeddings, vec_id=id_col, embedding=vec_col)).withColumn("size", F.octet_length("vec"))
+    units = unit_vectors(pick(embeddings, vec_id=id_col, embedding=vec_col)).where("vec IS NOT NULL").withColumn(
+        "size", F.octet_length("vec"))
     wanted = units.where(F.col("vec_id") % every == 0)
     step = 1024
     left = wanted.withColumn("a", F.pmod(F.xxhash64("vec_id"), F.lit(8)))

@@ -70,3 +70,13 @@ def test_no_pair_of_clusters_is_left_out(spark, monkeypatch):
     got = {r.vec_id: (r.n_links, r.component_id) for r in G.near_duplicates(
         spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA).repartition(3)).collect()}
     assert got == {i: (1, i - i % 2) for i, _ in rows}
+
+
+def test_rows_without_or_with_repeated_ids(spark):
+    near = [1.0, 0.0, 0.01]
+    rows = [(3, [1.0, 0.0, 0.0]), (None, near), (1, [0.0, 1.0, 0.0]), (1, [0.0, 0.0, 1.0]), (8, [0.0, 0.01, 1.0]),
+            (None, [-1.0, 0.0, 0.0]), (None, [-1.0, 0.0, 0.02]), (None, None), (5, [0.0, 0.0, 0.0]), (9, [1.0, None])]
+    got = G.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == sorted([
+        ("3", 1, "3", True), ("None", 1, "3", False), ("1", 0, "1", True), ("1", 1, "1", True), ("8", 1, "1", False),
+        ("None", 1, "None", True), ("None", 1, "None", True), ("None", 0, "None", True), ("5", 0, "5", True), ("9", 0, "9", True)])
