@@ -5,23 +5,23 @@ measured after C1 and C2, and C7 needs C5's integers.
 
 Scale notes: C1 is the only shuffle (a hash aggregate over all columns with
 map-side partial aggregation, so even a hot duplicate collapses before the
-exchange). C3 needs one statistics pass; it runs as a scalar subquery over
-the same plan, and Spark reuses C1's shuffle output for it instead of
-recomputing. Everything else is a row-local projection fused into one
-code-generated stage.
+exchange). C3's statistics are gathered while its input is written as a stage,
+so they cost no pass of their own. Everything else is a row-local projection
+fused into one code-generated stage.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaybook.config import DEFAULT, BookingConfig
 from quaybook.functions.calendar import days_in_month, month_number_loose
 from quaybook.functions.text import strip_ws, title_case, to_nullable_long
+from quaybook.plans.stages import write_stage
 
 
 # C1 ---------------------------------------------------------------------------
@@ -68,19 +68,19 @@ def drop_rows_with_low_missingness(df: DataFrame,
     """For columns with 0 < missing rate < threshold (both strict), drop
     rows that are NULL in any of them; other columns keep their NULLs.
 
-    The per-column decision comes from a one-row scalar subquery, so nothing
-    is collected to the driver and the plan stays lazy. An empty table gives
-    no qualifying column and an empty result.
+    The input is written as a stage and its NULLs are counted in that writing
+    pass (``observe``), so what led to it, the all-column shuffle of C1 above
+    all, runs once; the kept columns' filters then reach the scan of the
+    stage. The driver sees one row of counts. An empty table gives no
+    qualifying column and an empty result.
     """
-    cols = df.columns
-    stats = _null_stats(df)
-    flags = stats.select(F.array(*[
-        _qualifies(F.col(c), F.col("__rows"), cfg.missing_drop_threshold)
-        for c in cols])).scalar()
-    dropped = reduce(lambda a, b: a | b,
-                     [F.get(flags, i) & F.col(c).isNull() for i, c in enumerate(cols)],
-                     F.lit(False))
-    return df.where(~dropped)
+    seen = Observation()
+    columns = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    staged = write_stage(df.observe(seen, F.count(F.lit(1)).alias("n"), *columns), "before_c3")
+    counts = seen.get
+    n = counts.get("n", 0)
+    low = [c for i, c in enumerate(df.columns) if n and 0 < counts[f"n{i}"] / n < cfg.missing_drop_threshold]
+    return staged.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in low], F.lit(True)))
 
 
 # C4 -----------------------------------------------------------------------------

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.config import CALIBRATION_BINS, GUIDE_RATE
-from quaybook.plans.prefix import count_less_than, exact_quantiles, next_row
+from quaybook.plans.prefix import (DEFAULT_BUCKETS, count_less_than, next_row, order_statistics,
+                                   quantile_edges, running_totals)
+from quaybook.plans.stages import write_stage
 
 INF = float("inf")
 DIGITS = 10
@@ -18,7 +20,7 @@ def roc_points(table: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     at (0, 0, +inf). With ``drop_intermediate`` a point is dropped when it is
     collinear with its neighbours, i.e. when the next score carries the same
     positive and negative counts (first and last points always stay).
-    Neighbours come from an equi-join on the row index, not a global window."""
+    Neighbours come from a window inside each bucket, not a global one."""
     pts = table
     if drop_intermediate:
         pts = next_row(table, ["pos", "neg"])
@@ -70,23 +72,33 @@ def pr_guide_point(points: DataFrame, rate: float = GUIDE_RATE) -> DataFrame:
     return points.agg(best.alias("b")).select("b.recall", "b.precision", "b.threshold")
 
 
-def calibration_edges(scored: DataFrame, score: str = "score",
-                      n_bins: int = CALIBRATION_BINS) -> list[float | None]:
+def calibration_counts(scored: DataFrame, label: str = "label", score: str = "score",
+                       n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """One row per distinct score: ``n`` rows, of them ``labelled`` with
+    ``positive`` in sum, and the running counts ``cum_n`` and ``total_n``.
+    Rows without a score take no part."""
+    rows = scored.select(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("y")).where("score IS NOT NULL")
+    per = rows.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.count("y").alias("labelled"), F.sum("y").alias("positive"))
+    return running_totals(per, "score", ["n"], descending=False, n_buckets=n_buckets,
+                          edges=quantile_edges(rows, "score", n_buckets))
+
+
+def calibration_edges(counts: DataFrame, n_bins: int = CALIBRATION_BINS) -> list[float | None]:
     """The n_bins + 1 quantile edges (exact, linear interpolation)."""
-    return exact_quantiles(scored, score, [i / n_bins for i in range(n_bins + 1)])
+    return order_statistics(counts, "score", [i / n_bins for i in range(n_bins + 1)])
 
 
 def calibration_curve(scored: DataFrame, label: str = "label", score: str = "score",
                       n_bins: int = CALIBRATION_BINS) -> DataFrame:
     """Quantile bins; per non-empty bin the mean predicted probability
     and the observed positive rate. A score equal to an inner edge goes to
-    the lower bin."""
-    edges = calibration_edges(scored, score, n_bins)
-    inner = [e for e in edges[1:-1] if e is not None]
-    s = F.col(score).cast("double")
-    return (scored.where(s.isNotNull())
-            .withColumn("bin", count_less_than(s, inner))
+    the lower bin. The scored rows are read for the counts only; edges and
+    bins come from the written table of distinct scores."""
+    counts = write_stage(calibration_counts(scored, label, score), "calibration")
+    inner = [e for e in calibration_edges(counts, n_bins)[1:-1] if e is not None]
+    s = F.col("score")
+    return (counts.withColumn("bin", count_less_than(s, inner))
             .groupBy("bin")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.round(F.avg(s), DIGITS).alias("mean_predicted"),
-                 F.round(F.avg(F.col(label).cast("double")), DIGITS).alias("observed_rate")))
+            .agg(F.sum("n").alias("n"),
+                 F.round(F.sum(s * F.col("n")) / F.sum("n"), DIGITS).alias("mean_predicted"),
+                 F.round(F.try_divide(F.sum("positive"), F.sum("labelled")), DIGITS).alias("observed_rate")))

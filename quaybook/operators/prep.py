@@ -26,14 +26,20 @@ ALL_FEATURES = tuple(NUMERIC_FEATURES) + tuple(CATEGORICAL_FEATURES)
 FEATURES_COL = "features"
 
 
-def numeric_to_double(df: DataFrame, cols=NUMERIC_FEATURES) -> DataFrame:
-    """Numeric features as double; NULL stays NULL (never NaN)."""
-    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+def prepared_sql(numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, source: str = "__THIS__") -> str:
+    """P1 / P1b / P2 as one projection: ``<c>__cat`` is the category as text
+    with NULL as 'missing', ``<c>__num`` the number as double (NULL stays
+    NULL), ``<c>__missing`` 1.0 where it is NULL."""
+    select = ["*"]
+    select += [f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical]
+    select += [f"CAST(`{c}` AS DOUBLE) AS `{c}__num`" for c in numeric]
+    select += [f"CASE WHEN `{c}` IS NULL THEN 1.0D ELSE 0.0D END AS `{c}__missing`" for c in numeric]
+    return f"SELECT {', '.join(select)} FROM {source}"
 
 
-def fill_missing_categories(df: DataFrame, cols=CATEGORICAL_FEATURES) -> DataFrame:
-    """NULL category -> 'missing'."""
-    return df.fillna(MISSING_CATEGORY, subset=list(cols))
+def prepared_columns(df: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES) -> DataFrame:
+    """The first step of ``preprocessor_v1`` on its own."""
+    return SQLTransformer(statement=prepared_sql(numeric, categorical)).transform(df)
 
 
 # --- P3 -----------------------------------------------------------------------
@@ -155,12 +161,8 @@ def preprocessor_v1(numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES,
     one-hot block then numerics; optional balanced weights (M6)."""
     numeric = list(numeric)
     categorical = list(categorical)
-    select = ["*"]
-    select += [f"coalesce(CAST(`{c}` AS STRING), '{MISSING_CATEGORY}') AS `{c}__cat`" for c in categorical]
-    select += [f"CAST(`{c}` AS DOUBLE) AS `{c}__num`" for c in numeric]
-    select += [f"CASE WHEN `{c}` IS NULL THEN 1.0 ELSE 0.0 END AS `{c}__missing`" for c in numeric]
     stages = [
-        SQLTransformer(statement=f"SELECT {', '.join(select)} FROM __THIS__"),
+        SQLTransformer(statement=prepared_sql(numeric, categorical)),
         Imputer(strategy="median", inputCols=[f"{c}__num" for c in numeric],
                 outputCols=[f"{c}__imp" for c in numeric]),
         DictionaryIndexer(inputCols=[f"{c}__cat" for c in categorical],

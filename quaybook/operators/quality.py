@@ -66,15 +66,6 @@ class Check:
     type_name: str | None = None
     extra: dict = field(default_factory=dict)
 
-    @property
-    def affected_field(self) -> str:
-        """Column, else the comma-joined column list, else 'table'."""
-        if self.column is not None:
-            return self.column
-        if self.column_list is not None:
-            return ", ".join(self.column_list)
-        return "table"
-
 
 def build_suite(columns=BOOKING_COLUMNS) -> list[Check]:
     """The 69-check booking suite, in its original order."""
@@ -231,6 +222,12 @@ def _examples(df: DataFrame, checks: list[Check], types: dict) -> DataFrame:
             .agg(F.array_join(F.array_sort(F.collect_list("value")), "; ").alias("examples")))
 
 
+def _field_sql(check: Check) -> str:
+    """V13 in the report's SQL: what the check is about, 'table' if no column."""
+    names = [check.column] if check.column else list(check.column_list or ())
+    return f"coalesce(nullif(array_join(array({', '.join(map(_lit, names))}), ', '), ''), 'table')"
+
+
 def run_suite(df: DataFrame, checks: list[Check] | None = None,
               with_examples: bool = True) -> DataFrame:
     """One row per check with success, element_count, unexpected_count,
@@ -279,7 +276,7 @@ def run_suite(df: DataFrame, checks: list[Check] | None = None,
         entries.append(
             f"named_struct('check_id', {k.check_id}, "
             f"'expectation_type', {_lit(k.expectation_type)}, "
-            f"'affected_field', {_lit(k.affected_field)}, 'success', {success}, "
+            f"'affected_field', {_field_sql(k)}, 'success', {success}, "
             f"'element_count', CAST({element} AS BIGINT), "
             f"'unexpected_count', CAST({unexpected} AS BIGINT), "
             f"'unexpected_percent', CAST({percent} AS DOUBLE), 'note', {note})")

@@ -228,7 +228,7 @@ def suite_sql(t: str, types: dict, ctes: str, suite=None) -> str:
 
     def row(k, success, element, unexpected, percent, examples):
         return (f"SELECT {k.check_id} AS check_id, {_sql_lit(k.expectation_type)} AS expectation_type, "
-                f"{_sql_lit(k.affected_field)} AS affected_field, {success} AS success, "
+                f"{_sql_lit(k.column or ', '.join(k.column_list or ['table']))} AS affected_field, {success} AS success, "
                 f"CAST({element} AS BIGINT) AS element_count, CAST({unexpected} AS BIGINT) AS unexpected_count, "
                 f"CAST({percent} AS DOUBLE) AS unexpected_percent, {examples} AS examples")
 
@@ -370,10 +370,28 @@ qu AS (SELECT label, CAST(whole + CASE WHEN row_number() OVER (ORDER BY rest DES
 sp AS (SELECT rk.*, qu.quota FROM rk JOIN qu USING (label))"""
 
 
+def _line_ctes() -> str:
+    return """
+scored AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
+                  CAST(l_extendedprice AS DOUBLE) / (CAST(l_extendedprice AS DOUBLE) + CAST(o_totalprice AS DOUBLE)) AS score
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def _calibration_sql(ctes: str) -> str:
+    probs = ", ".join(str(i / 25) for i in range(26))
+    return f"""WITH {ctes},
+edges AS (SELECT quantile_cont(score, [{probs}]) AS e FROM scored),
+inner_edges AS (SELECT unnest(e[2:25]) AS edge FROM edges),
+binned AS (SELECT s.*, (SELECT count(*) FROM inner_edges WHERE edge < s.score) AS bin FROM scored s)
+SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(avg(score), 10) AS mean_predicted,
+       round(avg(CAST(label AS DOUBLE)), 10) AS observed_rate
+FROM binned GROUP BY bin"""
+
+
 def split_metric_queries() -> dict[str, str]:
     sc = _score_table_ctes(_scored_ctes())
     docs = _score_table_ctes(_docs_ctes())
-    cal_probs = ", ".join(str(i / 25) for i in range(26))
+    lines = _score_table_ctes(_line_ctes())
     p = 0.5
     metric_sql = f"""WITH {sc},
 rows_m AS (
@@ -418,26 +436,30 @@ SELECT count(*) FILTER (WHERE score > {p} AND label = 1) AS tp,
         "r12_pr": _pr_sql(sc) + "\nSELECT * FROM pr",
         "r13_pr_guide": _pr_sql(sc) + "\nSELECT recall, precision, threshold FROM pr "
                                       "ORDER BY abs(recall - 0.6), coalesce(threshold, 'inf'::DOUBLE) LIMIT 1",
-        "r14_calibration": f"""WITH {_scored_ctes()},
-edges AS (SELECT quantile_cont(score, [{cal_probs}]) AS e FROM scored),
-inner_edges AS (SELECT unnest(e[2:25]) AS edge FROM edges),
-binned AS (SELECT s.*, (SELECT count(*) FROM inner_edges WHERE edge < s.score) AS bin FROM scored s)
-SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(avg(score), 10) AS mean_predicted,
-       round(avg(CAST(label AS DOUBLE)), 10) AS observed_rate
-FROM binned GROUP BY bin""",
+        "r14_calibration": _calibration_sql(_scored_ctes()),
+        "r14_calibration_line_share": _calibration_sql(_line_ctes()),
+        "e3_auc_line_share": f"WITH {lines}\nSELECT {_AUC} AS roc_auc FROM rt",
+        "r10_roc_line_share": _roc_sql(lines) + "\nSELECT * FROM roc",
         "e3_auc_doc_length_quality": f"WITH {docs}\nSELECT {_AUC} AS roc_auc FROM rt",
         "r10_roc_doc_length_quality": _roc_sql(docs) + "\nSELECT * FROM roc",
     }
 
 
 def model_prep_queries() -> dict[str, str]:
-    from quaybook.config import CATEGORICAL_FEATURES
+    from quaybook.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+    prepared = ", ".join(
+        [f"coalesce(CAST({c} AS VARCHAR), 'missing') AS {c}__cat" for c in CATEGORICAL_FEATURES]
+        + [f"CAST({c} AS DOUBLE) AS {c}__num, CAST({c} IS NULL AS DOUBLE) AS {c}__missing" for c in NUMERIC_FEATURES])
     train = f"WITH {_split_ctes()},\ntr AS (SELECT lab.* FROM lab JOIN sp USING (booking_id) WHERE sp.rank_in_class > sp.quota)"
     cat_parts = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'missing') AS category FROM tr"
         for c in CATEGORICAL_FEATURES)
     feats = with_chain("SELECT * FROM features", features=True)
     return {
+        "s1_features_target": with_chain("SELECT * EXCLUDE (no_show), CAST(no_show AS INTEGER) AS label FROM features", features=True),
+        "p1_p2_prepared": with_chain(f"SELECT booking_id, {prepared} FROM features", features=True),
+        "i5_features_round_trip": feats,
+        "i2_cleaned_round_trip": with_chain("SELECT * FROM c7"),
         "m6_class_weights": f"""{train}
 SELECT label AS class, count(*) AS rows,
        CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight

@@ -37,19 +37,22 @@ def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = Non
     model = K.calibrate(train, entry)
     scored = write_stage(model.predict_proba(test).select(id_col, "label", "score"), "scored")
     metrics = M.evaluate(scored).first().asDict()
+    # What the metrics leave out and how much was searched stays on record.
+    counts = {f"dropped_{k}": v for k, v in M.dropped_scores(scored).first().asDict().items()}
+    counts.update(searched_settings=len(grid), full_grid_settings=len(MD.candidate_grid()))
     model_path = L.persist_model(model, root)
     K.save_manifest(spark, model_path, {"folds": len(model.pipelines), "entry": {
         k: entry[k] for k in ("candidate_id", "candidate", "preprocessing", "estimator", "params")}})
     params = L.best_parameter_map(entry)
     run_id = L.record_run(spark, root, experiment=EXPERIMENT_NAME, run_name=EXPERIMENT_NAME,
                           best_cv_score=best["mean_test_score"], params=params,
-                          metrics=metrics, model_path=model_path,
+                          metrics={**metrics, **counts}, model_path=model_path,
                           cv=L.cv_results_table(cv), started=started)
     summary = L.pipeline_summary(spark, experiment=EXPERIMENT_NAME,
                                  best_cv_score=best["mean_test_score"], best_params=params,
                                  run_id=run_id, model_path=model_path, test_metrics=metrics)
     L.write_json(summary, os.path.join(root, "summary"))
-    return {"run_id": run_id, "model_path": model_path, "metrics": metrics,
+    return {"run_id": run_id, "model_path": model_path, "metrics": metrics, "counts": counts,
             "best": best, "scored": scored, "cv": cv}
 
 

@@ -59,7 +59,7 @@ def running_totals(per_value: DataFrame, order_col: str, sum_cols: list[str],
     grand totals as ``total_<col>``.
 
     Adds ``cum_<col>`` for each column and ``row_index`` (0-based position in
-    the order) so callers can find neighbours with an equi-join.
+    the order).
 
     ``edges`` may come from the rows before grouping (a sketch aggregate with
     no shuffle): row-weighted edges put at most about n / n_buckets rows, and
@@ -96,45 +96,40 @@ def running_totals(per_value: DataFrame, order_col: str, sum_cols: list[str],
 
 
 def next_row(ordered: DataFrame, cols: list[str], index_col: str = "row_index",
-             prefix: str = "next_") -> DataFrame:
-    """Attach the following row's ``cols`` (by ``row_index``) with an
-    equi-join, which Spark plans as a shuffle join instead of a global window."""
-    nxt = ordered.select((F.col(index_col) - 1).alias(index_col),
-                         *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    return ordered.join(nxt, index_col, "left")
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> list[float | None]:
-    """Exact quantiles with linear interpolation between order statistics
-    (the 'linear' rule of the common numeric libraries), computed from
-    distributed running counts. Only the needed order statistics (two per
-    probability) reach the driver."""
-    present = df.where(F.col(col).isNotNull())
-    counts = present.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, col, ["n"], descending=False, n_buckets=n_buckets,
-                            edges=quantile_edges(present, col, n_buckets))
-    total_row = ranked.select(F.max("total_n")).first()
-    n = total_row[0] if total_row is not None else None
-    if not n:
+             prefix: str = "next_", bucket_col: str = "bucket") -> DataFrame:
+    """Attach the following row's ``cols``. Inside a bucket it is the window's
+    ``lead``; a bucket's last row gets the first row of the next bucket from a
+    table with one row per bucket (at most ``n_buckets`` rows, broadcast)."""
+    here = F.struct(*[F.col(c).alias(c) for c in cols])
+    firsts = ordered.groupBy(bucket_col).agg(F.min(index_col).alias("__at"),
+                                             F.min_by(here, F.col(index_col)).alias("__first"))
+    carry = firsts.select(bucket_col, F.lead("__first").over(Window.orderBy("__at")).alias("__carry"))
+    following = F.lead(here).over(Window.partitionBy(bucket_col).orderBy(index_col))
+    return (ordered.join(F.broadcast(carry), bucket_col)
+            .withColumn("__next", F.coalesce(following, F.col("__carry")))
+            .select(*ordered.columns, *[F.col(f"__next.{c}").alias(f"{prefix}{c}") for c in cols]))
+
+
+def order_statistics(ranked: DataFrame, col: str, probs: list[float]) -> list[float | None]:
+    """Quantiles with linear interpolation between order statistics (the
+    'linear' rule of the common numeric libraries) from a running-count table:
+    one row per distinct ``col`` with ``n``, ``cum_n`` and ``total_n``. One
+    pass finds all ranks; two values per probability reach the driver."""
+    if not probs:
+        return []
+    total, wanted = F.col("total_n"), []
+    for i, q in enumerate(probs):
+        low = F.floor((total - 1) * F.lit(float(q)))
+        wanted += [F.struct(F.lit(2 * i).alias("i"), low.alias("rank")),
+                   F.struct(F.lit(2 * i + 1).alias("i"), F.least(low + 1, total - 1).alias("rank"))]
+    inside = F.filter(F.array(*wanted), lambda w: (w["rank"] >= F.col("cum_n") - F.col("n")) & (w["rank"] < F.col("cum_n")))
+    found = ranked.select(F.col(col).cast("double").alias("v"), "total_n", F.explode(inside).alias("w")).select(
+        "v", "total_n", "w.i").collect()
+    if not found:
         return [None for _ in probs]
-    wanted = {}
-    for q in probs:
-        pos = (n - 1) * q
-        lo = int(pos // 1)
-        hi = min(lo + 1, n - 1)
-        wanted[q] = (lo, hi, pos - lo)
-    ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
-    start = F.col("cum_n") - F.col("n")
-    hits = (ranked.select(col, F.explode(F.filter(
-        F.array(*[F.lit(r) for r in ranks]),
-        lambda r: (r >= start) & (r < F.col("cum_n")))).alias("rank"))
-        .collect())
-    value_at = {row["rank"]: float(row[col]) for row in hits}
-    out = []
-    for q in probs:
-        lo, hi, t = wanted[q]
-        a, b = value_at[lo], value_at[hi]
+    value, n, out = {r["i"]: r["v"] for r in found}, found[0]["total_n"], []
+    for i, q in enumerate(probs):
+        a, b, t = value[2 * i], value[2 * i + 1], (n - 1) * q % 1
         out.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
     return out
 

@@ -21,6 +21,7 @@ from quaybook.operators import report as RP
 from quaybook.operators import runs as L
 from quaybook.operators import split as S
 from quaybook.plans.stages import new_stage_path, stage_table
+from quaybook.sources import sinks
 from quaybook.sources.bookings import derive_raw_bookings
 from quaybook.sources.tables import read_table, table_path
 
@@ -38,10 +39,10 @@ CLEAN_STEPS = (
 
 
 def _stage(spark: SparkSession, name: str, sf_dir: str, build,
-           tables: tuple[str, ...] = ("orders", "customer")) -> DataFrame:
+           tables: tuple[str, ...] = ("orders", "customer"), written: bool = False) -> DataFrame:
     """A stage of the given tables, rebuilt when their files change."""
     return stage_table(spark, (name, sf_dir), build,
-                       tuple(table_path(sf_dir, t) for t in tables))
+                       tuple(table_path(sf_dir, t) for t in tables), written)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,14 +62,16 @@ def _steps(df: DataFrame, steps, until: str) -> DataFrame:
 
 
 def after_c3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows left after C1-C3 (the two passes that need the whole table),
-    written once per session; the row-local C4-C7 start from here."""
+    """Rows left after C1-C3: C3's filters on the stage that it writes, once
+    per session; the row-local C4-C7 start from here."""
     return _stage(spark, "after_c3", sf_dir,
-                  lambda: _steps(raw(spark, sf_dir), CLEAN_STEPS, "c3"))
+                  lambda: _steps(raw(spark, sf_dir), CLEAN_STEPS, "c3"), written=True)
 
 
 def cleaned_until(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
     names = [n for n, _ in CLEAN_STEPS]
+    if step == "c3":
+        return after_c3(spark, sf_dir)
     if names.index(step) < names.index(ROW_LOCAL_FROM):
         return _steps(raw(spark, sf_dir), CLEAN_STEPS, step)
     row_local = CLEAN_STEPS[names.index(ROW_LOCAL_FROM):]
@@ -357,3 +360,40 @@ QUERIES.update({
         MD.best_candidate(cv_table(s, d)).select("candidate_id"), "candidate_id", "left_semi")),
     "r9_cv_bars": lambda s, d: _rounded(RP.cv_bar_data(cv_table(s, d))),
 })
+
+
+def round_trip(df: DataFrame, name: str) -> DataFrame:
+    """A table that is written, replaced by a rewrite of what was
+    read from it, and read back."""
+    spark = df.sparkSession
+    path = new_stage_path(spark, name)
+    sinks.write_parquet(df, path)
+    sinks.write_parquet(sinks.read_parquet(spark, path), path)
+    return sinks.read_parquet(spark, path)
+
+
+def continuous_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score that hardly repeats: the share of an order's price in its
+    line's price, against whether the line was returned."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_extendedprice").cast("double").alias("part"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("whole"))
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        "label", (F.col("part") / (F.col("part") + F.col("whole"))).alias("score"))
+
+
+def continuous_score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage(spark, "line_scores", sf_dir, lambda: M.score_rows(continuous_scores(spark, sf_dir)), ("lineitem", "orders"))
+
+
+QUERIES.update({
+    "i2_cleaned_round_trip": lambda s, d: round_trip(cleaned(s, d), "i2"),
+    "i5_features_round_trip": lambda s, d: round_trip(featured(s, d), "i5"),
+    "s1_features_target": lambda s, d: S.features_and_target(featured(s, d)),
+    "p1_p2_prepared": lambda s, d: P.prepared_columns(labelled(s, d)).select(
+        "booking_id", *[f"{c}__{k}" for k, cols in (("cat", P.CATEGORICAL_FEATURES), ("num", P.NUMERIC_FEATURES),
+                                                    ("missing", P.NUMERIC_FEATURES)) for c in cols]),
+    "e3_auc_line_share": lambda s, d: M.roc_auc(continuous_score_table(s, d)),
+    "r10_roc_line_share": lambda s, d: R.roc_points(continuous_score_table(s, d)),
+    "r14_calibration_line_share": lambda s, d: R.calibration_curve(continuous_scores(s, d)),
+})

@@ -103,11 +103,12 @@ def source_state(spark: SparkSession, *paths: str) -> tuple:
     return tuple(state)
 
 
-def stage_table(spark: SparkSession, key: tuple, build, sources: tuple[str, ...] = ()) -> DataFrame:
+def stage_table(spark: SparkSession, key: tuple, build, sources: tuple[str, ...] = (), written: bool = False) -> DataFrame:
     """A stage written once per session and source state, and reused by
     every later query of that session. ``key`` names the stage and its
-    inputs; ``sources`` are the paths whose files decide whether it is fresh."""
+    inputs; ``sources`` are the paths whose files decide whether it is fresh;
+    ``written`` says that ``build`` returns a scan of stages already."""
     full = ((spark.sparkContext.applicationId,) + tuple(key) + source_state(spark, *sources))
     if full not in _STAGES:
-        _STAGES[full] = write_stage(build(), str(key[0]))
+        _STAGES[full] = build() if written else write_stage(build(), str(key[0]))
     return _STAGES[full]

@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Overwrite a whole table (cleaned or feature table)."""
-    df.write.mode("overwrite").parquet(path)
+    """Overwrite a whole table (cleaned or feature table).
+
+    The rows are written aside first and then take the table's place by two
+    renames, so no reader sees a half-written table, a job that fails leaves
+    the old one as it was, and ``df`` may itself read ``path``. A reader that
+    comes between the renames finds no table, as before a first write; a
+    driver lost between them leaves the whole old table in ``<path>.old-*``."""
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:8]
+    top = path.rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, here = hadoop(f"{top}.new-{tag}"), hadoop(f"{top}.old-{tag}"), hadoop(top)
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    df.write.parquet(new.toString())
+    replaced = fs.exists(here)
+    if replaced and not fs.rename(here, old):
+        raise OSError(f"{top} can't be moved aside; the new table is in {new.toString()}")
+    if not fs.rename(new, here):
+        if replaced:
+            fs.rename(old, here)
+        raise OSError(f"the new table can't take its place; it is in {new.toString()}")
+    if replaced:
+        fs.delete(old, True)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quaybook.operators import models as MD
 from quaybook.operators import quality as Q
 from quaybook.operators import report as RP
+from quaybook.operators import runs as L
 from quaybook.plans.experiment import report_data, run_experiment
 from quaybook.plans.queries import cleaned, featured, raw
 from quaybook.sources import sinks
@@ -31,12 +33,26 @@ def test_sink_round_trip(spark, scratch):
     assert spark.read.json(os.path.join(scratch, "results")).count() == 69
 
 
+def test_overwrite_from_itself_and_after_a_failure(spark, scratch):
+    path = os.path.join(scratch, "t")
+    sinks.write_parquet(spark.range(10), path)
+    sinks.write_parquet(sinks.read_parquet(spark, path).where("id < 4"), path)
+    assert sinks.read_parquet(spark, path).count() == 4
+    with pytest.raises(Exception):
+        sinks.write_parquet(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert sinks.read_parquet(spark, path).count() == 4
+    assert not [f for f in os.listdir(scratch) if ".old-" in f]
+
+
 def test_experiment_and_report(spark, scratch):
     feat = featured(spark, SF001)
     out = run_experiment(feat, scratch, grid=_tiny_grid(), parallelism=2)
     m = out["metrics"]
     assert 0.5 < m["test_roc_auc"] <= 1.0
     assert 0.0 <= m["test_brier_score"] <= 1.0
+    logged = L.read_runs(spark, scratch).first().metrics
+    assert (logged["searched_settings"], logged["full_grid_settings"]) == (2, 96)
+    assert (logged["dropped_null_score"], logged["dropped_null_label"]) == (0, 0)
     data = report_data(feat, scratch)
     summary = {r.item: r.value for r in data["dataset_summary"].collect()}
     assert summary == {"rows": "1483", "columns": str(len(feat.columns)), "target column": "no_show"}

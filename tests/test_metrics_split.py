@@ -1,9 +1,11 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from quaybook.operators import curves as R
 from quaybook.operators import metrics as M
 from quaybook.operators import split as S
 from quaybook.plans.queries import labelled, score_table, scored_fixture
+from quaybook.plans.prefix import next_row
 from conftest import SF01
 
 SIX = [(1, .9), (0, .8), (1, .7), (1, .6), (0, .6), (0, .2)]
@@ -140,3 +142,22 @@ def test_split_unchanged_when_nothing_is_hot(spark):
     a = S.stratified_split(base).select("booking_id", "rank_in_class")
     b = S.stratified_split(base, max_bucket_rows=1).select("booking_id", "rank_in_class")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_next_row_crosses_buckets(spark):
+    """Every bucket border, buckets of one row and nulls, against one list."""
+    rows = [(i, b, None if i % 4 == 0 else i * 10) for i, b in enumerate([9, 9, 9, 7, 4, 4, 0, 0, 0, 0])]
+    df = spark.createDataFrame(rows, "row_index long, bucket int, v int")
+    got = {r.row_index: r.next_v for r in next_row(df, ["v"]).collect()}
+    assert got == {i: rows[i + 1][2] if i + 1 < len(rows) else None for i in range(len(rows))}
+    assert next_row(df.limit(0), ["v"]).collect() == []
+
+
+def test_calibration_edges_are_linear_quantiles(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.random(400), np.full(300, 0.25), [0.0, 1.0]])
+    df = spark.createDataFrame([(float(v), i % 2 if i % 5 else None) for i, v in enumerate(values)] + [(None, 1)], "score double, label int")
+    edges = R.calibration_edges(R.calibration_counts(df, n_buckets=7), 25)
+    assert np.allclose(edges, np.quantile(values, [i / 25 for i in range(26)]), rtol=0, atol=1e-12)
+    assert sum(r.n for r in R.calibration_curve(df).collect()) == len(values)
+    assert R.calibration_curve(df.limit(0)).collect() == []

@@ -105,7 +105,7 @@ def test_category_indexes_match_the_pipeline(spark):
     got = P.category_indexes(rows, dictionary, ["branch", "room"])
     assert sorted((r.branch or "", r.branch__idx, r.room__idx) for r in got.collect()) == [("", 2, 3), ("a", 0, 2), ("zz", 3, 0)]
     model = P.DictionaryIndexer(inputCols=["branch", "room"], outputCols=["i", "j"]).fit(train)
-    filled = P.fill_missing_categories(rows, ["branch", "room"])
+    filled = P.prepared_columns(rows, [], ["branch", "room"]).selectExpr("branch__cat AS branch", "room__cat AS room")
     assert sorted((r.branch, r.i, r.j) for r in model.transform(filled).collect()) == [("a", 0, 2), ("missing", 2, 3), ("zz", 3, 0)]
 
 

@@ -1,7 +1,7 @@
 """Plan checks: the physical plans are the ones the design claims."""
 import pytest
 
-from quaybook.operators import metrics, split
+from quaybook.operators import clean, curves, metrics, split
 from quaybook.operators import quality as Q
 from quaybook.plans import stages
 from quaybook.plans.queries import QUERIES, raw
@@ -27,7 +27,7 @@ def test_no_python_in_plans(spark, name, monkeypatch):
         plans.append(_plan(df))
         return written(df, stage)
 
-    for module in (stages, split, metrics):
+    for module in (stages, split, metrics, clean, curves):
         monkeypatch.setattr(module, "write_stage", write)
     plans.append(_plan(QUERIES[name](spark, SF001)))
     assert not [node for plan in plans for node in PYTHON_NODES if node in plan], name
@@ -69,3 +69,32 @@ def test_examples_are_group_limited_on_both_sides_of_the_shuffle(spark):
     plan = ex._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # a partial limit before the exchange and a final one after it
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_c3_shuffles_whole_rows_once(spark, monkeypatch):
+    """In writing its input; the result is a scan with C3's filters."""
+    plans, written = [], clean.write_stage
+
+    def write(df, stage):
+        out = written(df, stage)
+        plans.append(_plan(df))
+        return out
+
+    monkeypatch.setattr(clean, "write_stage", write)
+    out = clean.drop_rows_with_low_missingness(clean.drop_missing_target(clean.drop_duplicate_rows(raw(spark, SF001))))
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in _plan(out) and "PushedFilters: [IsNotNull" in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["r10_roc", "r10_roc_line_share"])
+def test_roc_neighbours_come_without_a_self_join(spark, name):
+    plan = _plan(QUERIES[name](spark, SF001))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 1  # one row a bucket
+
+
+def test_calibration_reads_the_scores_for_counts_only(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(curves, "write_stage", lambda df, name: written.append(name) or stages.write_stage(df, name))
+    out = QUERIES["r14_calibration_line_share"](spark, SF001)
+    assert written == ["calibration"] and _plan(out).count("ReadSchema: ") == 1
