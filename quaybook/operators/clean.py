@@ -5,8 +5,8 @@ measured after C1 and C2, and C7 needs C5's integers.
 
 Scale notes: C1 is the only shuffle (a hash aggregate over all columns with
 map-side partial aggregation, so even a hot duplicate collapses before the
-exchange). C3's statistics are gathered while its input is written as a stage,
-so they cost no pass of their own. Everything else is a row-local projection
+exchange). C3's statistics are one pass over its input written as a stage, with
+a few bytes per task shuffled. Everything else is a row-local projection
 fused into one code-generated stage.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,18 +68,16 @@ def drop_rows_with_low_missingness(df: DataFrame,
     """For columns with 0 < missing rate < threshold (both strict), drop
     rows that are NULL in any of them; other columns keep their NULLs.
 
-    The input is written as a stage and its NULLs are counted in that writing
-    pass (``observe``), so what led to it, the all-column shuffle of C1 above
-    all, runs once; the kept columns' filters then reach the scan of the
-    stage. The driver sees one row of counts. An empty table gives no
-    qualifying column and an empty result.
+    The input is written as a stage and its NULLs are counted from that, so
+    what led to it, the all-column shuffle of C1 above all, runs once; the
+    kept columns' filters then reach the scan of the stage. The driver sees
+    one row of counts. An empty table gives no qualifying column and an empty
+    result. (Counting in the writing pass by ``observe`` would leave a session
+    in which Spark ML models can't be sent to tasks.)
     """
-    seen = Observation()
-    columns = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
-    staged = write_stage(df.observe(seen, F.count(F.lit(1)).alias("n"), *columns), "before_c3")
-    counts = seen.get
-    n = counts.get("n", 0)
-    low = [c for i, c in enumerate(df.columns) if n and 0 < counts[f"n{i}"] / n < cfg.missing_drop_threshold]
+    staged = write_stage(df, "before_c3")
+    n, *nulls = _null_stats(staged).first()
+    low = [c for c, missing in zip(df.columns, nulls, strict=True) if n and 0 < missing / n < cfg.missing_drop_threshold]
     return staged.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in low], F.lit(True)))
 
 
