@@ -1,8 +1,11 @@
 """WARC archives in ZIP packages: writing, and reading without extraction.
 
 A package is a ZIP file with stored members: ``archive/data.warc.gz`` (one
-gzip member per WARC record) and ``indexes/index.cdxj`` (one line per record:
-its id, offset and length in the archive member). It is written front to back
+gzip member per WARC record) and ``indexes/index.cdxj`` (one line per record,
+sorted: url key, date, and as JSON the page and record ids, the payload's
+digest, the record's type, and its offset and length in the archive member).
+``index_rows`` reads only the indexes of packages, and ``read_records`` only
+the records that chosen index rows name. A package is written front to back
 in one pass by the task that has the pages, with ZIP64 fields throughout, so
 neither sizes nor numbers of members are limited.
 
@@ -19,7 +22,7 @@ row per task; payloads themselves never move between tasks unless the table
 of repeated digests is too large for Spark to broadcast.
 
 Files go through ``pyarrow.fs`` by URI to the shared stage folder, so any
-store that it opens will do. A task attempt writes a file of its own and only
+store that it opens will do; packages are named by full URI. A task attempt writes a file of its own and only
 the attempt that Spark keeps reports its name, so a lost executor or a second
 attempt leaves at most a file that nobody reads.
 
@@ -52,11 +55,14 @@ MIN_REVISIT = 100
 PACKAGE_BYTES = 1 << 28  # of payload, before the next package is begun
 READ_AHEAD = 1 << 20  # neighbouring records are fetched together up to this size
 TAIL = 1 << 16
+DATE = "1970-01-01T00:00:00Z"  # of records whose table has no date
 
 # Fixed values of the formats.
 LOCAL, CENTRAL, END = 0x04034B50, 0x02014B50, 0x06054B50
 END64, LOCATOR64 = 0x06064B50, 0x07064B50
 STORED, ZIP64_EXTRA, FULL16, FULL32 = 0, 1, 0xFFFF, 0xFFFFFFFF
+ROWS = ("page_id string, url string, record_type string, refers_to string, payload_bytes long, "
+        "payload_digest string, payload binary")
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
@@ -64,6 +70,11 @@ def open_store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
+def package_uri(folder: str) -> str:
+    """A new package's name below ``folder``, with the folder's scheme."""
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}.wacz"
+
+
 class Member(NamedTuple):
     name: str
     offset: int  # of the local header
@@ -184,8 +195,38 @@ def _clean(value: str) -> str:
     return " ".join(value.split())
 
 
-def warc_record(page_id, url: str, payload: bytes, digest: str, refers_to, kind: str) -> bytes:
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"),
+def record_id(page_id, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+
+def url_key(url: str) -> str:
+    """The host's labels from the last to the first, then the path, so that
+    a host and its subdomains stand together in a sorted index."""
+    _, found, rest = _clean(url).replace(" ", "%20").partition("://")
+    if not found:
+        return "-"
+    host, slash, path = rest.partition("/")
+    return ",".join(reversed(host.lower().split("."))) + ")" + slash + path
+
+
+def index_line(page_id, url: str, digest: str, kind: str, offset: int, length: int, date: str = DATE) -> str:
+    stamp = "".join(c for c in date if c.isdigit())
+    return f"{url_key(url)} {stamp} " + json.dumps({
+        "page": None if page_id is None else str(page_id), "record": record_id(page_id, digest), "digest": f"sha256:{digest}",
+        "type": kind, "offset": offset, "length": length})
+
+
+def parse_index(text: str) -> list[dict]:
+    """The records that an index names, in archive order."""
+    out = []
+    for line in text.splitlines():
+        key, stamp, rest = line.split(" ", 2)
+        out.append({"url_key": key, "stamp": stamp, **json.loads(rest)})
+    return sorted(out, key=lambda x: x["offset"])
+
+
+def warc_record(page_id, url: str, payload: bytes, digest: str, refers_to, kind: str, date: str = DATE) -> bytes:
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", date),
               ("WARC-Target-URI", _clean(url)), ("X-Page-Id", "" if page_id is None else str(page_id)),
               ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(len(payload)))]
     body = b""
@@ -242,14 +283,15 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
             for page_id, url, payload, first_id in zip(*(c for c in batch.columns), strict=True):
                 page_id, first_id, payload = page_id.as_py(), first_id.as_py(), payload.as_py()
                 if package is None:
-                    path = f"{base}/{uuid.uuid4().hex}.wacz"
-                    out = fs.open_output_stream(path)
+                    path = package_uri(folder)
+                    out = fs.open_output_stream(open_store(path)[1])
                     package, lines, held = ZipWriter(out), [], 0
                     package.begin(ARCHIVE)
                 revisit = first_id is not None and page_id != first_id
                 digest = hashlib.sha256(payload).hexdigest()
-                record = warc_record(page_id, url.as_py(), payload, digest, first_id, "revisit" if revisit else "response")
-                lines.append(json.dumps({"offset": package.size, "length": len(record)}))
+                url, kind = url.as_py(), "revisit" if revisit else "response"
+                record = warc_record(page_id, url, payload, digest, first_id, kind)
+                lines.append(index_line(page_id, url, digest, kind, package.size, len(record)))
                 package.data(record)
                 held += len(payload)
                 if held >= package_bytes:
@@ -264,7 +306,7 @@ def write_packages(pages: DataFrame, folder: str | None = None, id_col: str = "p
 def _finish(package: ZipWriter, out, lines: list[str], path: str) -> pa.RecordBatch:
     package.end()
     package.begin(INDEX)
-    package.data(("\n".join(lines) + "\n").encode())
+    package.data(("\n".join(sorted(lines)) + "\n").encode())
     package.end()
     package.close()
     out.close()
@@ -288,7 +330,7 @@ def read_package(file, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """Every record of a package that its index names, by range reads."""
     package = ZipReader(file, size)
     start, _ = package.place(ARCHIVE)
-    lines = [json.loads(x) for x in package.read(INDEX).decode().splitlines()]
+    lines = parse_index(package.read(INDEX).decode())
     for run in _runs(lines, READ_AHEAD):
         first = run[0]["offset"]
         data = package._read(start + first, run[-1]["offset"] + run[-1]["length"] - first)
@@ -297,7 +339,47 @@ def read_package(file, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
             yield parse_record(data[at:at + line["length"]])
 
 
-def read_packages(packages: DataFrame, folder_scheme: str = "file://") -> DataFrame:
+def index_rows(packages: DataFrame) -> DataFrame:
+    """(path, page_id, record_id, url_key, digest, record_type, at, length) of
+    every record, from the indexes alone; ``at`` counts from the file's start."""
+    prepare(packages.sparkSession)
+    names = ["path", "page_id", "record_id", "url_key", "digest", "record_type", "at", "length"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                fs, p = open_store(path)
+                with fs.open_input_file(p) as file:
+                    package = ZipReader(file, file.size())
+                    start, _ = package.place(ARCHIVE)
+                    lines = parse_index(package.read(INDEX).decode())
+                columns = [[path] * len(lines), *([x[k] for x in lines] for k in ("page", "record", "url_key")),
+                           [x["digest"].removeprefix("sha256:") for x in lines], [x["type"] for x in lines],
+                           [start + x["offset"] for x in lines], [x["length"] for x in lines]]
+                kinds = [pa.string()] * 6 + [pa.int64()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return packages.select("path").mapInArrow(read, "path string, page_id string, record_id string, url_key string, "
+                                                    "digest string, record_type string, at long, length long")
+
+
+def read_records(chosen: DataFrame) -> DataFrame:
+    """The records of chosen ``index_rows``, as ``read_packages`` gives them;
+    each is one range read, and nothing else of a package is read."""
+    prepare(chosen.sparkSession)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, at, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fs, p = open_store(path)
+                with fs.open_input_file(p) as file:
+                    file.seek(at)
+                    yield _batch([_row(*parse_record(file.read(length)))])
+
+    return chosen.select("path", "at", "length").mapInArrow(read, ROWS)
+
+
+def read_packages(packages: DataFrame) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest,
     payload) of all records; a revisit's payload is null. A response's length
     and digest are those of the payload read, and must agree with its header."""
@@ -306,7 +388,7 @@ def read_packages(packages: DataFrame, folder_scheme: str = "file://") -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                fs, p = open_store(path if "://" in path else folder_scheme + path)
+                fs, p = open_store(path)
                 rows: list[tuple] = []
                 held = 0
                 with fs.open_input_file(p) as file:
@@ -320,8 +402,7 @@ def read_packages(packages: DataFrame, folder_scheme: str = "file://") -> DataFr
                     yield _batch(rows)
 
     return packages.select("path").repartition(max(1, packages.sparkSession.sparkContext.defaultParallelism)).mapInArrow(
-        read, "page_id string, url string, record_type string, refers_to string, payload_bytes long, "
-              "payload_digest string, payload binary")
+        read, ROWS)
 
 
 def _row(fields: dict[str, str], payload: bytes) -> tuple:

@@ -78,3 +78,24 @@ def test_compressed_members_are_refused():
         z.writestr("a", b"a" * 100)
     with pytest.raises(ValueError):
         W.ZipReader(f, len(f.getvalue()))
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_one_record_by_its_id(spark, scratch, scheme):
+    pages = [(i, f"http://a{i % 3}.example.org/p {i}", "same" * 40 if i % 5 == 0 else f"page {i}") for i in range(40)] + [(None, None, "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    packages = W.write_packages(df, folder=f"{scheme}{scratch}/packages", package_bytes=500)
+    assert all(r.path.startswith(f"{scheme}{scratch}/packages/") for r in packages.collect())
+    index = W.index_rows(packages)
+    assert index.count() == 41 and index.select("record_id").distinct().count() == 41
+    got = W.read_records(index.where("page_id IN ('7', '10')")).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to, r.payload) for r in got) == [
+        ("10", "revisit", "0", None), ("7", "response", None, bytearray(b"page 7"))]
+    assert [r.url_key for r in index.where("page_id = '7'").collect()] == ["org,example,a1)/p%207"]
+    assert [r.url_key for r in index.where("page_id IS NULL").collect()] == ["-"]
+
+
+def test_packages_keep_the_scheme_of_their_folder():
+    assert W.package_uri("s3://bucket/x/").startswith("s3://bucket/x/")
+    lines = [W.index_line(1, "http://b.org/\r\n1", "d", "response", 50, 5), W.index_line(2, "http://a.org", "e", "revisit", 0, 50)]
+    assert [x["page"] for x in W.parse_index("\n".join(sorted(lines)))] == ["2", "1"]
