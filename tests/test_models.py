@@ -11,6 +11,7 @@ from quaybook.operators import models as MD
 from quaybook.operators import prep as P
 from quaybook.operators import split as S
 from quaybook.plans.queries import featured
+from quaybook.plans.stages import write_stage
 from conftest import SF001
 
 
@@ -56,7 +57,7 @@ def _tiny_grid():
 
 def test_search_select_calibrate_save_load(spark, scratch):
     feat = featured(spark, SF001).withColumn("label", F.col("no_show").cast("int"))
-    train, test = S.train_test(S.stratified_split(feat))
+    train, test = S.train_test(write_stage(S.stratified_split(feat), "split"))  # as the chain does
     grid = _tiny_grid()
     cv = MD.grid_search(train, grid, parallelism=2)
     rows = cv.collect()
