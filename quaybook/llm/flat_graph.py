@@ -3,28 +3,31 @@
 1. Vectors are normalised in double precision; equal ones form one class, and
    only classes are indexed. Vectors that are null, zero or hold null or
    non-finite components take no part.
-2. Cluster centres are fitted on a bounded sample (``SAMPLE``, by hash of the
-   id). Every class goes to its nearest cluster. A cluster with more than
-   ``SHARD`` members is cut by hash into parts, so one dense cluster never fills
-   a task. A part is a shard.
-3. In each shard a graph is built: candidates are a vector's nearest in the
-   shard, and robust pruning drops a candidate that lies nearer to a kept
-   neighbour than to the vector (factor ``ALPHA``), up to ``DEGREE``.
-4. Search inside a shard, block of queries by block: from the shard's medoid a
-   beam walks greedily towards each query; once it is in range, the range is
-   expanded: the neighbours of every vector in range are looked at until none
-   is new.
-5. Between shards there are no graph edges: two shards are compared block by
-   block wherever a link is possible. A vector at distance s beyond the plane
-   halfway between its centre and another one is at least asin(s) away from all
-   that other cluster's members, so only clusters with s <= sin(acos(0.9)) for
-   some member can hold a neighbour. No other pair of shards is left out. For
-   vectors without cluster structure the bound spares little, and the work is
-   the square of the table.
-6. Every hit is verified by the cosine in double precision. A pair of vectors
-   meets in one place only, so no pair is emitted: a task returns a count per
+2. Cluster centres are fitted on a bounded sample (``SAMPLE`` vectors and
+   ``SAMPLE_BYTES``, by hash). Clusters overlap: a class belongs to its nearest
+   cluster (its home), to the second nearest, and to every cluster that could be
+   the home of a neighbour. A vector at distance s beyond the plane halfway
+   between two centres is asin(s) away from all members of the other cluster, so
+   s <= sin(acos(0.9)) holds wherever a link is possible at all. A neighbour in
+   no particular direction lies 1 / sqrt(dim) of that beyond the plane (standard
+   deviation), so ``SIGMAS`` / sqrt(dim) of the bound is used, and all of it where
+   that is more than 1.
+3. In each cluster a graph is built on float32 vectors: candidates of its own
+   members, and of those it is second nearest to, are their nearest in the
+   overlapping cluster. Robust pruning drops a candidate that lies nearer to a
+   kept neighbour than to the vector (factor ``ALPHA``), up to ``DEGREE``. A
+   vector's lists of both clusters are united.
+4. Search: the members of a home are the queries of its cluster. A beam walks
+   greedily over the united graph from the medoids (one for each connected part)
+   towards each query; once it is in range, the range is expanded: the neighbours
+   of every vector in range are looked at until none is new.
+5. Every hit is verified by the cosine in double precision. A query meets each
+   vector of its cluster once, so no pair is emitted: a task returns a count per
    vector and, for the components, one edge from each vector to the root of its
    local tree.
+6. A cluster with more than ``NODES`` members is cut by hash, and its queries go
+   to every part; more than ``QUERIES`` queries are cut too. So one dense cluster
+   never fills a task, and its work is the square of its size, in blocks.
 
 ``audit`` measures the recall of links against brute force for a sample of
 queries, in blocks.
@@ -52,12 +55,15 @@ from quaybook.llm.components import component_labels
 from quaybook.plans.stages import write_stage
 
 LINK = 0.9
-SAMPLE = 20_000  # vectors that centres are fitted on
-SHARD = 3_000  # members of a shard, about
+SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20  # vectors that centres are fitted on
+SHARD = 3_000  # members of a home, about
 MAX_CLUSTERS = 2_048  # so the centres' size is bounded; larger clusters are cut into parts
-DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
+SIGMAS = 2.0
+NODES, QUERIES = 16_000, 6_000  # vectors and queries of a task
+DEGREE, CANDIDATES, ALPHA = 16, 48, 1.2
 BEAM, MAX_HOPS = 32, 200
 QUERY_BLOCK = 512  # queries that walk together
+HELD = 1 << 22  # numbers gathered at once
 
 
 def unit_vectors(rows: DataFrame) -> DataFrame:
@@ -78,17 +84,18 @@ def unit_vectors(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "vec_id long, vec binary")
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.float64).reshape(len(column), -1) if len(column) else np.empty((0, 1))
+def _matrix(column, dtype=np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=dtype).reshape(len(column), -1) if len(column) else np.empty((0, 1), dtype=dtype)
 
 
 def fit_centres(classes: DataFrame, n: int, dim: int) -> np.ndarray:
     """Centres of a few rounds of spherical k-means on a bounded sample."""
     k = int(min(MAX_CLUSTERS, max(1, math.ceil(n / SHARD))))
     sample = classes.where(F.octet_length("vec") == 8 * dim)
-    if n > SAMPLE:
-        sample = sample.where(F.pmod(F.xxhash64("cls"), F.lit(10**6)) < int(10**6 * min(1.0, SAMPLE / n)))
-    x = _matrix([r["vec"] for r in sample.select("cls", "vec").orderBy("cls").limit(2 * SAMPLE).collect()])
+    size = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * dim)))
+    if n > size:
+        sample = sample.where(F.pmod(F.xxhash64("cls"), F.lit(10**9)) < math.ceil(10**9 * size / n))
+    x = _matrix([r["vec"] for r in sample.select("cls", "vec").orderBy("cls").limit(2 * size).collect()])
     rng = np.random.default_rng(7)
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)]
     for _ in range(8):
@@ -100,41 +107,55 @@ def fit_centres(classes: DataFrame, n: int, dim: int) -> np.ndarray:
     return centres
 
 
-def assign(classes: DataFrame, centres: np.ndarray, dim: int) -> DataFrame:
-    """(cls, n, vec, cluster): the nearest cluster of each class."""
+def overlap(x: np.ndarray, centres: np.ndarray, sigmas: float, link: float = LINK) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cluster) of the clusters that rows of x belong to: by row, the
+    nearest centre first."""
+    sims = x @ centres.T
+    home = sims.argmax(axis=1)
+    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) if len(centres) <= 64 else np.sqrt(
+        np.maximum((centres**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * centres @ centres.T, 0))
+    share = min(1.0, sigmas / math.sqrt(x.shape[1])) * math.sqrt(1 - link * link)
+    inside = sims[np.arange(len(x)), home][:, None] - sims <= (share + 1e-9) * apart[home] + 1e-12
+    if len(centres) > 1:
+        inside[np.arange(len(x)), np.argpartition(-sims, 1, axis=1)[:, 1]] = True
+    row, cluster = np.nonzero(inside)
+    order = np.lexsort((cluster != home[row], -sims[row, cluster], row))
+    return row[order], cluster[order]
+
+
+def assign(classes: DataFrame, centres: np.ndarray, dim: int, sigmas: float) -> DataFrame:
+    """(cls, n, vec, vec32, clusters) of each class, nearest cluster first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = (_matrix(batch.column(2).to_pylist()) @ centres.T).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(near, pa.int32())],
-                                                 names=["cls", "n", "vec", "cluster"])
+                x = _matrix(batch.column(2).to_pylist())
+                row, cluster = overlap(x, centres, sigmas)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(x))))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(cluster, pa.int32()))
+                small = pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, small, lists], names=["cls", "n", "vec", "vec32", "clusters"])
 
     return (classes.where(F.octet_length("vec") == 8 * dim).select("cls", "n", "vec")
-            .mapInArrow(run, "cls long, n long, vec binary, cluster int"))
-
-
-def reachable(x: np.ndarray, centres: np.ndarray, home: int, link: float = LINK) -> np.ndarray:
-    """The clusters that can hold a neighbour of any row of x, whose nearest
-    centre is ``home``."""
-    apart = np.linalg.norm(centres - centres[home], axis=1)
-    beyond = (x @ centres[home])[:, None] - x @ centres.T
-    return np.flatnonzero((beyond <= (math.sqrt(1 - link * link) + 1e-9) * apart + 1e-12).any(axis=0))
-
-
-def robust_prune(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES, alpha: float = ALPHA) -> list[np.ndarray]:
-    """Neighbours of every row of x (unit vectors): the nearest first, then
-    the nearest that no kept neighbour is ``alpha`` times nearer to."""
-    out = []
-    for at in range(0, len(x), 1024):
-        sims = x[at:at + 1024] @ x.T
-        sims[np.arange(len(sims)), at + np.arange(len(sims))] = -2
-        m = min(candidates, len(x) - 1)
-        if m <= 0:
-            return [np.empty(0, dtype=np.int64) for _ in range(len(x))]
-        near = np.argpartition(-sims, m - 1, axis=1)[:, :m]
+            .mapInArrow(run, "cls long, n long, vec binary, vec32 binary, clusters array<int>"))
+
+
+def robust_prune(x: np.ndarray, owners: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDATES,
+                 alpha: float = ALPHA) -> list[np.ndarray]:
+    """Neighbours among the rows of x (unit vectors) of the rows ``owners``:
+    the nearest first, then the nearest that no kept neighbour is ``alpha``
+    times nearer to."""
+    m = min(candidates, len(x) - 1)
+    if m <= 0:
+        return [np.empty(0, dtype=np.int64) for _ in owners]
+    out, step = [], int(max(1, min(1024, HELD // (m * x.shape[1]))))
+    for at in range(0, len(owners), step):
+        own = owners[at:at + step]
+        sims = x[own] @ x.T
+        sims[np.arange(len(own)), own] = -2
+        near = np.argpartition(sims, len(x) - m, axis=1)[:, len(x) - m:]
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sims, near, axis=1), axis=1, kind="stable"), axis=1)
         far = 1 - np.take_along_axis(sims, near, axis=1)
-        between = 1 - np.einsum("qid,qjd->qij", x[near], x[near])
+        between = 1 - np.matmul(x[near], x[near].transpose(0, 2, 1))
         alive, kept = np.ones(near.shape, dtype=bool), np.zeros(near.shape, dtype=bool)
         for j in range(m):  # by distance: keep, then drop what it dominates
             take = alive[:, j] & (kept.sum(axis=1) < degree)
@@ -146,11 +167,6 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDAT
     return out
 
 
-def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.concatenate(([0], np.cumsum([len(a) for a in lists])))
-    return starts, np.concatenate(lists) if lists else np.empty(0, dtype=np.int64)
-
-
 def _neighbours(starts: np.ndarray, flat: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position in ``nodes``, neighbour) for all neighbours of the nodes."""
     size = starts[nodes + 1] - starts[nodes]
@@ -159,6 +175,12 @@ def _neighbours(starts: np.ndarray, flat: np.ndarray, nodes: np.ndarray) -> tupl
     return owner, flat[starts[nodes][owner] + inner]
 
 
+def _cosines(queries: np.ndarray, x: np.ndarray, rows: np.ndarray, to: np.ndarray) -> np.ndarray:
+    step = max(1, HELD // x.shape[1])
+    parts = [np.einsum("ij,ij->i", queries[rows[i:i + step]], x[to[i:i + step]]) for i in range(0, len(rows), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
 def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoids: np.ndarray, queries: np.ndarray,
                  link: float = LINK) -> tuple[np.ndarray, np.ndarray]:
     """(query, row of x) of the hits with cosine >= link that the walk finds."""
@@ -181,7 +203,7 @@ def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoids: n
         fresh = ~seen[rows, to]
         rows, to = rows[fresh], to[fresh]
         seen[rows, to] = True
-        found = np.einsum("ij,ij->i", queries[rows], x[to])
+        found = _cosines(queries, x, rows, to)
         width = np.bincount(rows, minlength=q).max() if len(rows) else 0
         if width:
             order = np.argsort(rows, kind="stable")
@@ -199,14 +221,15 @@ def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoids: n
     hits = np.zeros((q, n), dtype=bool)
     hits[at, beam[at, column]] = True
     at, to = np.nonzero(hits)
+    seen[:] = hits  # from here on: what was compared in the range
     while len(at):  # expand the range until nothing is new
-        owner, new = _neighbours(starts, flat, to)
-        rows = at[owner]
-        fresh = ~hits[rows, new]
-        pairs = np.unique(rows[fresh] * n + new[fresh])
-        rows, new = pairs // n, pairs % n
-        near = np.concatenate([np.einsum("ij,ij->i", queries[rows[i:i + 65536]], x[new[i:i + 65536]]) >= link
-                               for i in range(0, len(rows), 65536)]) if len(rows) else np.empty(0, dtype=bool)
+        fresh = np.zeros((q, n), dtype=bool)
+        for i in range(0, len(at), 32768):
+            owner, new = _neighbours(starts, flat, to[i:i + 32768])
+            fresh[at[i:i + 32768][owner], new] = True
+        rows, new = np.nonzero(fresh & ~seen)
+        seen[rows, new] = True
+        near = _cosines(queries, x, rows, new) >= link
         at, to = rows[near], new[near]
         hits[at, to] = True
     return np.nonzero(hits)
@@ -225,63 +248,60 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _inside(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Counts and tree edges of the links inside one shard, by its graph."""
+def _entries(x: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The medoid of every connected part of the graph, so that all is reachable."""
+    n = len(x)
+    label = _roots(n, np.repeat(np.arange(n), np.diff(starts)), flat)
+    sums = np.zeros_like(x)
+    np.add.at(sums, label, x)
+    order = np.lexsort((-np.einsum("ij,ij->i", x, sums[label]), label))
+    return order[np.concatenate(([True], np.diff(label[order]) > 0))]
+
+
+def _build(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The lists of neighbours that one cluster gives to its owners."""
     pdf = pdf.sort_values("cls")
-    ids, copies, x = pdf["cls"].to_numpy(), pdf["n"].to_numpy(), _matrix(list(pdf["vec"]))
-    lists = robust_prune(x)
-    owner, place = _flat(lists)
-    source = np.repeat(np.arange(len(ids)), np.diff(owner))
+    ids, owners = pdf["cls"].to_numpy(), np.flatnonzero(pdf["owner"].to_numpy())
+    lists = robust_prune(_matrix(list(pdf["vec32"]), np.float32), owners)
+    return pd.DataFrame({"cls": ids[owners], "near": [ids[a] for a in lists]})
+
+
+def _search(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts and tree edges of the links of the queries of one task."""
+    pdf = pdf.sort_values("cls")
+    ids, copies, vecs = pdf["cls"].to_numpy(), pdf["n"].to_numpy(), _matrix(list(pdf["vec"]))
+    is_query, at_node = pdf["query"].to_numpy(), np.flatnonzero(pdf["node"].to_numpy())
+    node_ids, x = ids[at_node], vecs[at_node]
+    if not len(x) or not is_query.any():
+        return pd.DataFrame({"cls": ids[:0], "n_links": ids[:0], "root": ids[:0]})
+    near = [np.asarray(a, dtype=np.int64) for a in pdf["near"].to_numpy()[at_node]]
+    source, named = np.repeat(np.arange(len(x)), [len(a) for a in near]), np.concatenate(near)
+    place = np.minimum(np.searchsorted(node_ids, named), len(x) - 1)
+    here = node_ids[place] == named
+    source, place = source[here], place[here]
     # Edges lead both ways, so that what is near to a hub is reached from it.
-    both = np.unique(np.concatenate([source * len(ids) + place, place * len(ids) + source]))
-    source, place = both // len(ids), both % len(ids)
-    starts = np.concatenate(([0], np.cumsum(np.bincount(source, minlength=len(ids)))))
+    both = np.unique(np.concatenate([source * len(x) + place, place * len(x) + source]))
+    source, place = both // len(x), both % len(x)
+    starts = np.concatenate(([0], np.cumsum(np.bincount(source, minlength=len(x)))))
     medoids = _entries(x, starts, place)
-    links, tree = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-    for at in range(0, len(ids), QUERY_BLOCK):
-        row, hit = range_search(x, starts, place, medoids, x[at:at + QUERY_BLOCK])
-        row += at
+    links, tree, queries = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids)), np.flatnonzero(is_query)
+    for at in range(0, len(queries), QUERY_BLOCK):
+        block = queries[at:at + QUERY_BLOCK]
+        row, hit = range_search(x, starts, place, medoids, vecs[block])
+        row, hit = block[row], at_node[hit]
         other = row != hit
         row, hit = row[other], hit[other]
-        links += np.bincount(row, weights=copies[hit], minlength=len(ids)).astype(np.int64)
-        tree = _roots(len(ids), np.concatenate([row, np.arange(len(ids))]), np.concatenate([hit, tree]))
-    return pd.DataFrame({"cls": ids, "n_links": links, "root": ids[tree]})
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and tree edges of the links between two shards."""
-    for batch in batches:
-        for pair in batch.to_pylist():
-            ids, copies = (np.concatenate([np.frombuffer(pair[k + side], dtype=np.int64) for side in "ab"]) for k in ("cls_", "n_"))
-            n = len(pair["cls_a"]) // 8
-            x = np.frombuffer(pair["vec_a"], dtype=np.float64).reshape(n, -1)
-            y = np.frombuffer(pair["vec_b"], dtype=np.float64).reshape(len(ids) - n, -1)
-            links, tree = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-            for at in range(0, n, QUERY_BLOCK):
-                row, hit = np.nonzero(x[at:at + QUERY_BLOCK] @ y.T >= LINK)
-                if len(row):
-                    row, hit = row + at, hit + n
-                    links += np.bincount(row, weights=copies[hit], minlength=len(ids)).astype(np.int64)
-                    links += np.bincount(hit, weights=copies[row], minlength=len(ids)).astype(np.int64)
-                    tree = _roots(len(ids), np.concatenate([row, np.arange(len(ids))]), np.concatenate([hit, tree]))
-            some = links > 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[tree[some]])],
-                                             names=["cls", "n_links", "root"])
-
-
-def _entries(x: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """The medoid of every component of the graph, so that all is reachable."""
-    n = len(x)
-    label = _roots(n, np.repeat(np.arange(n), np.diff(starts)), flat)
-    found = []
-    order = np.argsort(label, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
-        found.append(group[(x[group] @ x[group].mean(axis=0)).argmax()])
-    return np.array(found, dtype=np.int64)
+        if len(row):
+            links += np.bincount(row, weights=copies[hit], minlength=len(ids)).astype(np.int64)
+            tree = _roots(len(ids), np.concatenate([row, np.arange(len(ids))]), np.concatenate([hit, tree]))
+    some = (links > 0) | (tree != np.arange(len(ids)))
+    return pd.DataFrame({"cls": ids[some], "n_links": links[some], "root": ids[tree[some]]})
 
 
-def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
+def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                    sigmas: float | None = None) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row. ``sigmas`` says how
+    far clusters overlap (``SIGMAS``; more finds more and costs more)."""
     spark = embeddings.sparkSession
     prepare(spark)
     rows = pick(embeddings, vec_id=id_col, embedding=vec_col)
@@ -291,7 +311,7 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str
                           .withColumn("cls", F.xxhash64("vec")), "classes")
     counts, edges = None, None
     for r in classes.groupBy(F.octet_length("vec").alias("size")).count().collect():  # one row per vector length
-        part = _links(classes, r["size"] // 8, r["count"])
+        part = _links(classes, r["size"] // 8, r["count"], SIGMAS if sigmas is None else sigmas)
         counts = part if counts is None else counts.union(part)
     alone = classes.select("cls", "least_id", "n")
     if counts is None:
@@ -313,56 +333,56 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(classes: DataFrame, dim: int, n: int) -> DataFrame:
-    """(cls, n_links, root) of the classes of one vector length, from all shards."""
+def _links(classes: DataFrame, dim: int, n: int, sigmas: float) -> DataFrame:
+    """(cls, n_links, root) of the classes of one vector length, from all clusters."""
     centres = fit_centres(classes, n, dim)
-    members = write_stage(assign(classes, centres, dim), "members")
-    sizes = members.groupBy("cluster").count().select(
-        "cluster", F.ceil(F.col("count") / F.lit(SHARD)).cast("int").alias("parts"))  # one row per cluster
-    members = write_stage(members.join(F.broadcast(sizes), "cluster").withColumn(
-        "part", F.pmod(F.xxhash64("cls", "cluster"), F.col("parts")).cast("int")), "indexed")
-
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        reached = reachable(_matrix(list(pdf["vec"])), centres, int(key[0])).tolist()
-        return pd.DataFrame({"cluster": [key[0]], "shard": [int(key[0]) << 32 | int(key[1])], "reached": [reached],
-                             "cls": [pdf["cls"].to_numpy().tobytes()], "n": [pdf["n"].to_numpy().tobytes()],
-                             "vec": [b"".join(pdf["vec"])]})
-
-    grouped = members.select("cluster", "part", "cls", "n", "vec").groupBy("cluster", "part")
-    inside = write_stage(grouped.applyInPandas(_inside, "cls long, n_links long, root long"), "inside")
-    shards = write_stage(grouped.applyInPandas(
-        pack, "cluster int, shard long, reached array<int>, cls binary, n binary, vec binary"), "shards")
-    # Pairs of shards, one row each; either end of a link reaches the other's cluster.
-    pairs = (shards.select(F.col("shard").alias("a"), F.explode("reached").alias("cluster"))
-             .join(shards.select("cluster", F.col("shard").alias("b")), "cluster").where("a < b").select("a", "b"))
-    for side in "ab":
-        pairs = pairs.join(shards.select(F.col("shard").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", "vec")]), side)
-    across = pairs.drop("a", "b").mapInArrow(_across, "cls long, n_links long, root long")
-    return inside.unionByName(write_stage(across, "across"))
+    placed = write_stage(assign(classes, centres, dim, sigmas), "placed")
+    homes, nodes = F.count_if(F.col("rank") == 0), F.count("*")
+    sizes = write_stage(placed.select(F.posexplode("clusters").alias("rank", "cluster")).groupBy("cluster").agg(
+        F.ceil(nodes / F.lit(NODES)).cast("int").alias("parts"),
+        F.greatest(F.lit(1), F.ceil(homes / F.lit(QUERIES))).cast("int").alias("query_parts")), "sizes")  # one row per cluster
+    part = F.pmod(F.xxhash64("cls", F.lit(1)), "parts").cast("int")
+    build = (placed.select("cls", "vec32", F.posexplode("clusters").alias("rank", "cluster")).join(F.broadcast(sizes), "cluster")
+             .select("cluster", part.alias("part"), "cls", "vec32", (F.col("rank") < 2).alias("owner")))
+    graph = write_stage(build.groupBy("cluster", "part").applyInPandas(_build, "cls long, near array<long>")
+                        .groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+    # A row goes to its part once for each part of the queries, and as a query to all other parts.
+    rows = (placed.join(graph, "cls").select("cls", "n", "vec", "near", F.posexplode("clusters").alias("rank", "cluster"))
+            .join(F.broadcast(sizes), "cluster").withColumns({
+                "home": F.col("rank") == 0, "part": part, "query_part": F.pmod(F.xxhash64("cls", F.lit(2)), "query_parts").cast("int")}))
+    cells = F.expr("""concat(
+        transform(sequence(0, query_parts - 1), q -> struct(q AS a, part AS b, true AS node, home AND q = query_part AS query)),
+        transform(filter(sequence(0, parts - 1), p -> home AND p != part), p -> struct(query_part AS a, p AS b, false AS node, true AS query)))""")
+    found = rows.select("cluster", "cls", "n", "vec", "near", F.explode(cells).alias("cell")).select(
+        "cluster", "cell.*", "cls", "n", "vec", "near")
+    return write_stage(found.groupBy("cluster", "a", "b").applyInPandas(_search, "cls long, n_links long, root long"), "links")
 
 
 def audit(embeddings: DataFrame, result: DataFrame, every: int = 20, id_col: str = "vec_id",
           vec_col: str = "embedding") -> DataFrame:
     """(queries, links, found): exact links of the vectors whose id ``every``
     divides, against all vectors block by block, and those in ``result``."""
-    units = unit_vectors(pick(embeddings, vec_id=id_col, embedding=vec_col)).where("vec IS NOT NULL").withColumn(
-        "size", F.octet_length("vec"))
-    wanted = units.where(F.col("vec_id") % every == 0)
-    step = 1024
-    left = wanted.withColumn("a", F.pmod(F.xxhash64("vec_id"), F.lit(8)))
-    right = units.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(8)))
-    left = left.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    right = right.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    units = write_stage(unit_vectors(pick(embeddings, vec_id=id_col, embedding=vec_col)).where("vec IS NOT NULL"), "units")
+    blocks = max(1, math.ceil(units.count() / NODES))
+    slices = F.sequence(F.lit(0), F.lit(blocks - 1))
+    place = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    size = F.octet_length("vec")
+    # Every block of queries meets every block of vectors; the sides share no column names.
+    left = units.where(F.col("vec_id") % every == 0).select(
+        "vec_id", "vec", size.alias("size"), place.alias("a"), F.explode(slices).alias("b"))
+    right = units.select(F.col("vec_id").alias("other_id"), F.col("vec").alias("other"), size.alias("width"),
+                         place.alias("d"), F.explode(slices).alias("c"))
 
     def exact(key, queries: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        x, y = _matrix(list(queries["vec"])), _matrix(list(others["vec"]))
-        n = np.zeros(len(x), dtype=np.int64)
-        for at in range(0, len(y), step) if len(x) else ():
-            same = queries["vec_id"].to_numpy()[:, None] == others["vec_id"].to_numpy()[at:at + step]
-            n += ((x @ y[at:at + step].T >= LINK) & ~same).sum(axis=1)
+        n = np.zeros(len(queries), dtype=np.int64)
+        if len(queries) and len(others):
+            x, y = _matrix(list(queries["vec"])), _matrix(list(others["other"]))
+            for at in range(0, len(y), 1024):
+                same = queries["vec_id"].to_numpy()[:, None] == others["other_id"].to_numpy()[at:at + 1024]
+                n += ((x @ y[at:at + 1024].T >= LINK) & ~same).sum(axis=1)
         return pd.DataFrame({"vec_id": queries["vec_id"], "links": n})
 
-    links = (left.groupBy("a", "b", "size").cogroup(right.groupBy("a", "b", "size")).applyInPandas(exact, "vec_id long, links long")
+    links = (left.groupBy("a", "b", "size").cogroup(right.groupBy("c", "d", "width")).applyInPandas(exact, "vec_id long, links long")
              .groupBy("vec_id").agg(F.sum("links").alias("links")))
     return links.join(result.select("vec_id", "n_links"), "vec_id").agg(
         F.count("*").alias("queries"), F.sum("links").alias("links"), F.sum(F.least("links", "n_links")).alias("found"))

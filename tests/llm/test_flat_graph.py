@@ -47,6 +47,7 @@ def test_groups_parts_and_odd_vectors(spark, monkeypatch):
     assert np.mean([got[i].component_id == c for i, (_, c) in want.items()]) > 0.98
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     audit = G.audit(df, G.near_duplicates(df)).first()
+    assert audit.links == sum(n for i, (n, _) in want.items() if i % 20 == 0)
     assert audit.found >= 0.9 * audit.links
 
 
@@ -56,20 +57,57 @@ def test_empty_and_lonely(spark):
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in rows] == [(4, 0, 4, True)]
 
 
-def test_no_pair_of_clusters_is_left_out(spark, monkeypatch):
+def _spread_pairs(n):
     """Links just above the threshold between vectors spread over many clusters."""
-    monkeypatch.setattr(G, "SHARD", 40)
     rng = np.random.default_rng(11)
     rows = []
-    for i in range(700):
+    for i in range(n):
         x, y = rng.normal(0, 1, (2, 64))
         x /= np.linalg.norm(x)
         y -= (x @ y) * x
         rows += [(2 * i, x.tolist()), (2 * i + 1, (0.905 * x + (1 - 0.905**2) ** 0.5 * y / np.linalg.norm(y)).tolist())]
-    rows = [(i, [float(np.float32(a)) for a in v]) for i, v in rows]
+    return [(i, [float(np.float32(a)) for a in v]) for i, v in rows]
+
+
+def test_pairs_spread_over_many_clusters(spark, monkeypatch):
+    """Recall of links just above the threshold, with the production overlap."""
+    monkeypatch.setattr(G, "SHARD", 40)
+    rows = _spread_pairs(700)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in G.near_duplicates(
+        spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA).repartition(3)).collect()}
+    want = {i: (1, i - i % 2) for i, _ in rows}
+    assert all(got[i][0] <= 1 and got[i][1] in (i, i - i % 2) for i in want)
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+
+
+def test_the_whole_bound_leaves_no_cluster_out():
+    """With all of the bound, both ends of a link share the home of either."""
+    x = np.array([v for _, v in _spread_pairs(700)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centres = x[:70]
+    row, cluster = G.overlap(x, centres, sigmas=8.0)  # 8 / sqrt(64) = 1
+    home = (x @ centres.T).argmax(axis=1)
+    assert (cluster[np.flatnonzero(np.diff(row, prepend=-1))] == home).all()
+    inside = set(zip(row.tolist(), cluster.tolist(), strict=True))
+    assert all((i, home[i ^ 1]) in inside for i in range(len(x)))
+    part, _ = G.overlap(x, centres, sigmas=G.SIGMAS)
+    assert len(part) < len(row)
+
+
+def test_dense_cluster_is_cut(spark, monkeypatch):
+    """A third of all rows in one group, over many parts and query blocks."""
+    monkeypatch.setattr(G, "SHARD", 100)
+    monkeypatch.setattr(G, "NODES", 60)
+    monkeypatch.setattr(G, "QUERIES", 50)
+    rng = np.random.default_rng(3)
+    base = rng.normal(0, 1, 16)
+    rows = [(i, (base + 0.02 * rng.normal(0, 1, 16)).tolist()) for i in range(200)]
+    rows += [(200 + i, rng.normal(0, 1, 16).tolist()) for i in range(400)]
+    want = brute(rows)
     got = {r.vec_id: (r.n_links, r.component_id) for r in G.near_duplicates(
         spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA).repartition(3)).collect()}
-    assert got == {i: (1, i - i % 2) for i, _ in rows}
+    assert all(got[i] == want[i] for i in range(200))
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
 
 
 def test_rows_without_or_with_repeated_ids(spark):
