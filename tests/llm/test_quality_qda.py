@@ -26,6 +26,34 @@ def test_scores_are_log_density_differences():
     assert np.allclose(m.scores(x[0]), 1 / (1 + np.exp(logs[0] - logs[1])))
 
 
+def test_every_score_against_plain_numpy(spark):
+    """Covariances, both shrinkages and densities worked out from the rows
+    themselves, without the operator's moments or factors."""
+    sf = "/root/testdata/sf0.001"
+    quality = {r.doc_id: r.quality for r in read_table(spark, sf, "labels").collect()}
+    x = {r.doc_id: np.array(Q.statistics(r.text or "")) for r in read_table(spark, sf, "documents").collect()}
+    train = [d for d in x if zlib.crc32(str(d).encode()) % 5 and quality.get(d) is not None]
+    seen = np.array([x[d] for d in train])
+    middle, spread = seen.mean(axis=0), seen.std(axis=0)
+    assert spread.min() > 1e-3  # so the floor under the scales plays no part
+    own = [np.array([(x[d] - middle) / spread for d in train if quality[d] == c]) for c in (0, 1)]
+    share = [len(a) / len(train) for a in own]
+    covs = [np.cov(a, rowvar=False, bias=True) for a in own]
+    both = share[0] * covs[0] + share[1] * covs[1]
+    shrunk = []
+    for cov in covs:
+        mixed = 0.8 * cov + 0.2 * both
+        shrunk.append(0.95 * mixed + 0.05 * np.trace(mixed) / len(mixed) * np.eye(len(mixed)))
+    got = {r.doc_id: r.score for r in op3_quadratic_discriminant(spark, sf).collect()}
+    assert set(got) == set(x)
+    for d, v in x.items():
+        logs = []
+        for a, cov, prior in zip(own, shrunk, share, strict=True):
+            away = (v - middle) / spread - a.mean(axis=0)
+            logs.append(np.log(prior) - 0.5 * (away @ np.linalg.inv(cov) @ away + np.linalg.slogdet(cov)[1]))
+        assert got[d] == pytest.approx(1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500))), abs=1e-8)
+
+
 def test_held_out_accuracy(spark):
     rows = {r.doc_id: r for r in op3_quadratic_discriminant(spark, SF01).collect()}
     assert len(rows) == 1000
