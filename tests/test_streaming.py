@@ -1,4 +1,5 @@
 import os
+import shutil
 
 from quaybook.plans.queries import featured, raw
 from quaybook.streaming import bookings as ST
@@ -29,3 +30,22 @@ def test_stream_quality_per_batch(spark, scratch):
     res = spark.read.parquet(os.path.join(scratch, "q"))
     assert res.count() == 69
     assert res.where("check_id = 2").first().unexpected_count == 0  # C1 ran first
+
+
+def test_a_batch_that_runs_again_counts_once(spark, scratch):
+    src, out, ck = (os.path.join(scratch, x) for x in ("in", "q", "ck"))
+    halves = raw(spark, SF001).randomSplit([0.5, 0.5], seed=3)
+    for half in halves:  # a batch for each file
+        half.coalesce(1).write.mode("append").parquet(src)
+
+    def run(checkpoint):
+        stream = ST.read_booking_stream(spark, src, max_files_per_trigger=1)
+        ST.start_quality_sink(stream, out, checkpoint, available_now=True).awaitTermination(300)
+        return {(r.batch_id, r.check_id): r.element_count for r in spark.read.parquet(out).collect()}, spark.read.parquet(out).count()
+
+    first, n = run(ck)
+    assert n == len(first) == 2 * 69
+    # Lost after the write and before the second batch was marked as done.
+    again = os.path.join(scratch, "ck2")
+    shutil.copytree(ck, again, ignore=lambda d, names: [x for x in names if x in ("1", ".1.crc")] if d.endswith("commits") else [])
+    assert run(again) == (first, n)
