@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaybook.config import EXPERIMENT_NAME, TEST_SIZE
+from quaybook.config import DEFAULT, EXPERIMENT_NAME, BookingConfig
 from quaybook.operators import calibrate as K
 from quaybook.operators import curves as R
 from quaybook.operators import metrics as M
@@ -21,14 +21,17 @@ from quaybook.plans.stages import write_stage
 
 
 def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = None,
-                   target: str = "no_show", id_col: str = "booking_id",
-                   parallelism: int = 1, test_size: float = TEST_SIZE) -> dict:
+                   parallelism: int = 1, cfg: BookingConfig = DEFAULT) -> dict:
     """Runs the whole experiment on a feature table and returns its summary.
-    ``grid`` defaults to the full 96-setting grid (a cluster-sized job)."""
+    ``grid`` defaults to the full 96-setting grid (a cluster-sized job). The
+    id, target, seed, holdout share and folds are those of ``cfg``; they are
+    written beside the model, so that the report cuts the same holdout again."""
     spark = features.sparkSession
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    labelled = features.withColumn("label", F.col(target).cast("int"))
-    split = write_stage(S.stratified_split(labelled, id_col=id_col, test_size=test_size), "split")
+    id_col = cfg.id_col
+    cut = {"id_col": id_col, "seed": cfg.seed, "test_size": cfg.test_size, "folds": cfg.cv_folds}
+    labelled = features.withColumn("label", F.col(cfg.target_col).cast("int"))
+    split = write_stage(S.stratified_split(labelled, **cut), "split")
     train, test = S.train_test(split)
     grid = grid if grid is not None else MD.candidate_grid()
     cv = MD.grid_search(train, grid, parallelism=parallelism)
@@ -41,7 +44,7 @@ def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = Non
     counts = {f"dropped_{k}": v for k, v in M.dropped_scores(scored).first().asDict().items()}
     counts.update(searched_settings=len(grid), full_grid_settings=len(MD.candidate_grid()))
     model_path = L.persist_model(model, root)
-    K.save_manifest(spark, model_path, {"folds": len(model.pipelines), "entry": {
+    K.save_manifest(spark, model_path, {"folds": len(model.pipelines), "split": {**cut, "target": cfg.target_col}, "entry": {
         k: entry[k] for k in ("candidate_id", "candidate", "preprocessing", "estimator", "params")}})
     params = L.best_parameter_map(entry)
     run_id = L.record_run(spark, root, experiment=EXPERIMENT_NAME, run_name=EXPERIMENT_NAME,
@@ -56,19 +59,26 @@ def run_experiment(features: DataFrame, root: str, grid: list[dict] | None = Non
             "best": best, "scored": scored, "cv": cv}
 
 
-def report_data(features: DataFrame, root: str, target: str = "no_show",
-                id_col: str = "booking_id") -> dict[str, DataFrame]:
+#: Report data with up to one row per distinct score; the rest is a few rows.
+LARGE_REPORTS = frozenset({"roc", "pr"})
+
+
+def report_data(features: DataFrame, root: str) -> dict[str, DataFrame]:
     """R1-R15 from the persisted run: latest run, its CV table, the redone
-    split scored by the reloaded model, and every chart's data."""
+    split (by the settings of that run) scored by the reloaded model, and
+    every chart's data."""
     spark = features.sparkSession
     runs, cvs = L.read_runs(spark, root), L.read_cv_results(spark, root)
     run = RP.require_run(RP.latest_finished_run(runs, cvs))
     cv = RP.cv_results_of(cvs, run["run_id"])
     manifest = K.load_manifest(spark, run["model_path"])
     model = K.CalibratedModel.load(run["model_path"], manifest["folds"])
+    cut = dict(manifest["split"])
+    target = cut.pop("target")
     labelled = features.withColumn("label", F.col(target).cast("int"))
-    split = S.stratified_split(labelled, id_col=id_col)
-    scored = RP.score_holdout(model, split).select(id_col, "label", "score")
+    split = S.stratified_split(labelled, **cut)
+    # The curves read the scores several times; the model runs once.
+    scored = write_stage(RP.score_holdout(model, split).select(cut["id_col"], "label", "score"), "report_scores")
     table = M.score_table(scored)
     roc = R.roc_points(table)
     pr = R.pr_points(table)

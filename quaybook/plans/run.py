@@ -47,12 +47,12 @@ def run_chain(spark: SparkSession, out: str, raw_path: str | None = None,
     sinks.write_parquet(features, os.path.join(out, "features"))
     outputs = {"cleaned": os.path.join(out, "cleaned"), "features": os.path.join(out, "features")}
     if with_model:
-        from quaybook.plans.experiment import report_data, run_experiment
+        from quaybook.plans.experiment import LARGE_REPORTS, report_data, run_experiment
         feats = sinks.read_parquet(spark, os.path.join(out, "features"))
         result = run_experiment(feats, os.path.join(out, "experiment"), grid=grid,
                                 parallelism=parallelism)
         for name, df in report_data(feats, os.path.join(out, "experiment")).items():
-            sinks.write_json(df, os.path.join(out, "report", name))
+            sinks.write_json(df, os.path.join(out, "report", name), one_file=name not in LARGE_REPORTS)
         outputs.update(run_id=result["run_id"], metrics=result["metrics"])
     return outputs
 

@@ -38,10 +38,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """JSON sink for small result frames (validation results, metrics,
-    summary); one file since the frames are a handful of rows."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """JSON sink; one file for frames of a handful of rows (validation
+    results, metrics, summary), ``one_file=False`` for any that grow with the
+    data (curves), which every task then writes by itself."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

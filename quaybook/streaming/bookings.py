@@ -19,13 +19,16 @@ from quaybook.config import DEFAULT, BookingConfig
 from quaybook.operators import clean as C
 from quaybook.operators import features as FE
 from quaybook.operators import quality as Q
-from quaybook.sources.bookings import RAW_SCHEMA
+from quaybook.sources.bookings import RAW_SCHEMA, TEXT_SCHEMA
 
 
 def read_booking_stream(spark: SparkSession, folder: str, fmt: str = "parquet",
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """New raw booking files in ``folder`` as a stream (declared schema)."""
-    reader = spark.readStream.schema(RAW_SCHEMA).format(fmt)
+    """New raw booking files in ``folder`` as a stream (declared schema; csv
+    columns stay text until C5, as in the batch reader)."""
+    reader = spark.readStream.schema(TEXT_SCHEMA if fmt == "csv" else RAW_SCHEMA).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(folder)

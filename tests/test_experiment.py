@@ -1,8 +1,10 @@
+import dataclasses
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from quaybook.config import DEFAULT
 from quaybook.operators import models as MD
 from quaybook.operators import quality as Q
 from quaybook.operators import report as RP
@@ -46,7 +48,9 @@ def test_overwrite_from_itself_and_after_a_failure(spark, scratch):
 
 def test_experiment_and_report(spark, scratch):
     feat = featured(spark, SF001)
-    out = run_experiment(feat, scratch, grid=_tiny_grid(), parallelism=2)
+    cfg = dataclasses.replace(DEFAULT, seed=7, test_size=0.3, cv_folds=3)
+    out = run_experiment(feat, scratch, grid=_tiny_grid(), parallelism=2, cfg=cfg)
+    assert out["scored"].count() == 445  # ceil(0.3 * 1483)
     m = out["metrics"]
     assert 0.5 < m["test_roc_auc"] <= 1.0
     assert 0.0 <= m["test_brier_score"] <= 1.0
@@ -54,6 +58,9 @@ def test_experiment_and_report(spark, scratch):
     assert (logged["searched_settings"], logged["full_grid_settings"]) == (2, 96)
     assert (logged["dropped_null_score"], logged["dropped_null_label"]) == (0, 0)
     data = report_data(feat, scratch)
+    # The report cuts the run's own holdout again, not the default one.
+    again = data["metrics"].first().asDict()
+    assert all(again[k] == pytest.approx(v, abs=1e-9) for k, v in m.items() if k in again)
     summary = {r.item: r.value for r in data["dataset_summary"].collect()}
     assert summary == {"rows": "1483", "columns": str(len(feat.columns)), "target column": "no_show"}
     rank = data["candidate_ranking"].collect()

@@ -2,6 +2,7 @@ import os
 import shutil
 
 from quaybook.plans.queries import featured, raw
+from quaybook.sources.bookings import RAW_SCHEMA
 from quaybook.streaming import bookings as ST
 from conftest import SF001
 
@@ -49,3 +50,15 @@ def test_a_batch_that_runs_again_counts_once(spark, scratch):
     again = os.path.join(scratch, "ck2")
     shutil.copytree(ck, again, ignore=lambda d, names: [x for x in names if x in ("1", ".1.crc")] if d.endswith("commits") else [])
     assert run(again) == (first, n)
+
+
+def test_csv_stream_keeps_text(spark, scratch):
+    src = os.path.join(scratch, "in")
+    rows = raw(spark, SF001).limit(5).selectExpr("* EXCEPT (arrival_day)", "'abc' AS arrival_day").select(RAW_SCHEMA.names)
+    rows.write.option("header", True).csv(src)
+    stream = ST.read_booking_stream(spark, src, "csv")
+    q = stream.writeStream.format("parquet").option("path", os.path.join(scratch, "out")).option(
+        "checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    back = spark.read.parquet(os.path.join(scratch, "out"))
+    assert back.count() == 5 and {r.arrival_day for r in back.collect()} == {"abc"}
