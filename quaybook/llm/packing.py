@@ -19,7 +19,7 @@ packed by itself:
 Ids come from the ``tokenizers`` library. As a byte-level pre-token never
 spans the place before a space that a non-space follows, a text is the
 concatenation of its space-led segments; Arrow numbers a batch's segments, a
-worker encodes those that are new to it, many in one call, and texts are
+task encodes those that are new to it, many in one call, and texts are
 gathered from a bounded store (``segments``). Texts with irregular white space
 are encoded whole, so ids always equal those of the whole text. If the
 tokenizer is a plain byte-level BPE whose merges stand in the order of their
@@ -44,14 +44,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quaybook.llm.common import pick, prepare
+from quaybook.llm.common import pick, prepare, release_memory
 from quaybook.llm.segments import WordStore, gather, split_at_spaces, sums, text_blocks
 
 SEQ_LEN = 1024
 CELL_TOKENS = 1 << 22
 BLOCK_BYTES = 1 << 21  # texts are split into segments this much at a time
 ENCODE_AT_ONCE = 2_000  # segments in one call of the library
-PIECES_AT_ONCE = 4096  # in an Arrow batch
+PIECES_AT_ONCE = 512  # in an Arrow batch: at most 2 MB of ids with sequences of 1024
 PARTITION_BITS = 36
 SPACE = "Ġ"  # how the vocabulary writes a space
 # Fixed value: how byte-level vocabularies cut texts.
@@ -157,8 +157,9 @@ class SegmentEncoder:
         counts = sums(counts, offsets)
         if whole.any():
             parts = np.split(ids, np.cumsum(counts)[:-1])
-            for i, part in zip(np.flatnonzero(whole), self._encode([texts[int(i)].as_py() for i in np.flatnonzero(whole)]), strict=True):
-                parts[i], counts[i] = part, len(part)
+            for i in np.flatnonzero(whole).tolist():  # the library's own result of a text is large
+                parts[i] = self._encode([texts[i].as_py()])[0]
+                counts[i] = len(parts[i])
             ids = np.concatenate(parts)
         return ids, counts
 
@@ -268,7 +269,8 @@ _ENCODERS: dict[int, SegmentEncoder] = {}
 
 
 def _encoder(tokenizer_json: str) -> SegmentEncoder:
-    """One per worker process, kept from task to task."""
+    """One per worker process, kept from task to task; its store is emptied
+    when a task ends."""
     key = hash(tokenizer_json)
     if key not in _ENCODERS:
         _ENCODERS[key] = SegmentEncoder(tokenizer_json)
@@ -300,8 +302,10 @@ def _cells(batches: Iterator[pa.RecordBatch], encoder: SegmentEncoder, end_id: i
             lengths.append(counts + 1)
             held += len(tokens[-1])
             if held >= cell_tokens:
-                yield pa.concat_arrays(docs), np.concatenate(tokens), np.concatenate(lengths)
-                docs, tokens, lengths, held = [], [], [], 0
+                cell = pa.concat_arrays(docs), np.concatenate(tokens), np.concatenate(lengths)
+                docs, tokens, lengths, held = [], [], [], 0  # before the cell is packed, so it is held once
+                yield cell
+                del cell
     if docs:
         yield pa.concat_arrays(docs), np.concatenate(tokens), np.concatenate(lengths)
 
@@ -318,6 +322,14 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN,
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json)
+        try:
+            yield from packed(batches, encoder)
+        finally:
+            # The worker stays for stages that don't pack.
+            encoder.store.clear()
+            release_memory()
+
+    def packed(batches: Iterator[pa.RecordBatch], encoder: SegmentEncoder) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << PARTITION_BITS
         for cell, tokens, lengths in _cells(batches, encoder, end_id, cell_tokens):
             pieces, capacity, cost = pack_lengths(lengths.tolist(), seq_len, linear, quadratic)
@@ -335,5 +347,6 @@ def pack_documents(docs: DataFrame, tokenizer_json: str, seq_len: int = SEQ_LEN,
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
                            "offset", "sequence_tokens", "cost"])
             first += len(capacity)
+            release_memory()
 
     return rows.mapInArrow(pack, shape)

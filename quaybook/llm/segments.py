@@ -62,9 +62,10 @@ class WordStore:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.encode = encode
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all words."""
         self.place: dict[str, int] = {}
         self.chars = 0
         self.flat = np.empty(0, dtype=np.int32)
@@ -78,7 +79,7 @@ class WordStore:
             kept = np.flatnonzero(self.uses >= least)
         flat, counts = self.numbers(kept)
         words, uses = [words[i] for i in kept.tolist()], self.uses[kept] // 2
-        self._clear()
+        self.clear()
         if sum(map(len, words)) <= MAX_CHARS // 2:
             self.place = {w: i for i, w in enumerate(words)}
             self.chars = sum(map(len, words))

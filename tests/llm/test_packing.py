@@ -133,3 +133,26 @@ def test_merge_ranks(tokenizer):
     for w, a, n in zip(words, starts, counts):
         assert flat[a:a + n].tolist() == tokenizer.encode(" " + w, add_special_tokens=False).ids, w
     assert packing.merge_ranks(packing_tokenizer().replace('"use_regex":true', '"use_regex":false')) is None or '"use_regex":true' not in packing_tokenizer()
+
+
+def test_workers_forget_words_after_their_task(spark):
+    """Workers stay for later stages: what packing has learned is gone by then."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(500))) for i in range(40)], "doc_id long, text string")
+    assert packing.pack_documents(docs, packing_tokenizer()).count()
+
+    def held(batches):
+        import os
+        import time
+
+        import pyarrow as pa
+
+        from quaybook.llm import packing as own
+        for _ in batches:
+            pass
+        time.sleep(0.2)  # so that every idle worker gets a task
+        for e in own._ENCODERS.values():
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "words": [len(e.store.place)]})
+
+    n = spark.sparkContext.defaultParallelism
+    found = spark.range(0, 4 * n, 1, 4 * n).mapInArrow(held, "pid long, words long").collect()
+    assert found and not any(r.words for r in found)
