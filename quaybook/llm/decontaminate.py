@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaybook.llm.common import ascii_lower, pick, prepare
+from quaybook.llm.sieve import parted
 from quaybook.plans.stages import new_stage_path, write_stage
 
 WINDOW = 13
@@ -99,12 +100,15 @@ def _spots(items: DataFrame, k: int) -> DataFrame:
             .select("item_id", F.posexplode_outer("grams").alias("at", "gram")).where("gram IS NOT NULL"))
 
 
-def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, grams: DataFrame, window: int, k: int) -> DataFrame:
+def _covered(texts: DataFrame, items: DataFrame, spots: DataFrame, marks: DataFrame, grams: DataFrame,
+             window: int, k: int) -> DataFrame:
     """(text_key, item_id, start, end) of the runs of words of the texts that
     are occurrences of windows of one of the items. ``grams``: (text_key, gram)
-    that both sides kept; each is extended over its diagonal."""
+    that both sides kept, of those in ``marks``; each is extended over its
+    diagonal. Of the texts' many k-grams, the few that are marked at all are
+    found first, so that only these travel."""
     places = (with_grams(texts, "words", k, "grams").select("text_key", F.posexplode_outer("grams").alias("pos", "gram"))
-              .where("gram IS NOT NULL").join(grams, ["text_key", "gram"], "left_semi"))
+              .where("gram IS NOT NULL").join(marks, "gram", "left_semi").join(grams, ["text_key", "gram"], "left_semi"))
     diagonals = write_stage(places.join(spots, "gram").select(
         "text_key", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "diagonals")
     size = F.least(F.col("n_item"), F.lit(window))
@@ -165,10 +169,10 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         grams = write_stage(marked.select("text_key", F.explode(f"kept{i}").alias("gram"))
                             .join(marks, "gram", "left_semi").distinct(), "hit-grams")
         keys = write_stage(grams.select("text_key").distinct(), "hit-keys")
-        texts = write_stage(rows.join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
+        texts = write_stage(parted(rows, ["text_key"], keys)[1].join(keys, "text_key", "left_semi").dropDuplicates(["text_key"])
                             .select("text_key", words_of(F.col("text")).alias("words")), "hit-texts")
         spots = write_stage(_spots(chosen, k).join(marks, "gram", "left_semi"), "spots")
-        part = _covered(texts, items, spots, grams, window, k)
+        part = _covered(texts, items, spots, marks, grams, window, k)
         part.write.mode("append").parquet(covered)
     hits = docs.sparkSession.read.schema(part.schema).parquet(covered)
     counts = _covered_words(hits)
@@ -184,6 +188,8 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all their columns, whose texts aren't contaminated."""
     found = document_hits(docs, benchmark, text_col=text_col, **options)
-    bad = write_stage(found.where("contaminated").select(F.col("text_key").alias("__key")).distinct(), "contaminated")
-    key = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
-    return docs.join(bad, key == bad["__key"], "left_anti")
+    bad = write_stage(found.where("contaminated").select("text_key").distinct(), "contaminated")
+    # Rows travel as one struct, so no column can clash with those added.
+    whole = docs.select(F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)).alias("text_key"), F.struct("*").alias("row"))
+    clear, rest = parted(whole, ["text_key"], bad)
+    return clear.union(rest.join(bad, "text_key", "left_anti")).select("row.*")

@@ -51,7 +51,8 @@ from pyspark.sql import functions as F
 
 from quaybook.llm.common import pick, prepare
 from quaybook.llm.components import component_labels
-from quaybook.plans.stages import write_stage
+from quaybook.llm.sieve import parted
+from quaybook.plans.stages import drop_stage, write_stage
 
 SHINGLE = 5
 LINK = (100, 85)  # linked: 100 * intersection >= 85 * union
@@ -255,7 +256,10 @@ def _verified(pairs: DataFrame, sources: DataFrame) -> DataFrame:
 
     full = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("full_set").alias("fb")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("full_set").alias("fa")), "a"))
-    return write_stage(full.select("a", "b", "fa", "fb").mapInArrow(linked, "a long, b long"), "links")
+    links = write_stage(full.select("a", "b", "fa", "fb").mapInArrow(linked, "a long, b long"), "links")
+    for done in (pairs, taking, sets):
+        drop_stage(done)
+    return links
 
 
 def _block_links(big: DataFrame, info: DataFrame, sources: DataFrame) -> DataFrame:
@@ -270,7 +274,9 @@ def _block_links(big: DataFrame, info: DataFrame, sources: DataFrame) -> DataFra
             .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
     columns = ("band", "bucket", "i", "j", "part", "cls", "comp", "n_shingles", "low", "bands", "full_set")
     found = rows.select(*columns).groupBy("band", "bucket", "i", "j").applyInPandas(_compare_blocks, "a long, b long")
-    return write_stage(found, "links")
+    links = write_stage(found, "links")
+    drop_stage(sets)
+    return links
 
 
 def _compare_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -343,13 +349,16 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     popular = members.groupBy("cls").agg(F.sum("size").alias("popular"))
     members = write_stage(members.join(popular, "cls").drop("size"), "members")
     # One text of each class that shares a band, to make sets from: joined by id
-    # and digest, as many rows may share an id or lack one. Repeated rows are
-    # reduced to one before they leave their task.
-    wanted = members.select("cls").distinct().join(info.select("cls", "source"), "cls").select(
-        "cls", F.col("source.doc_id").alias("wanted_id"), F.col("source.key").alias("wanted_key"))
+    # and digest, as many rows may share an id or lack one (a struct of both is
+    # equal where both ids are null). Other texts stay where they lie, and
+    # repeated rows are reduced to one before they leave their task.
+    name = F.struct("doc_id", "key").alias("name")
+    wanted = write_stage(members.select("cls").distinct().join(info.select("cls", "source"), "cls")
+                         .select("cls", "source.doc_id", "source.key"), "wanted")
     keyed = rows.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    sources = write_stage(keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("key") == F.col("wanted_key")))
-                          .groupBy("cls").agg(F.first("text").alias("text")), "sources")
+    _, near = parted(keyed, ["doc_id", "key"], wanted)
+    sources = write_stage(near.groupBy(name).agg(F.first("text").alias("text"))
+                          .join(wanted.select(name, "cls"), "name").select("cls", "text"), "sources")
     links, labels, tried = None, None, None
     for r in range(STAR_ROUNDS + 1):
         left = write_stage(_unresolved(members, labels), "open")
@@ -378,6 +387,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
             links = found if links is None else links.union(found)
         if new:
             labels = write_stage(component_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    drop_stage(sources)
     return made, info, labels
 
 
@@ -429,8 +439,8 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = classes.groupBy("component").agg(F.min("least").alias("least"))
     stays = classes.select("cls", "component").join(best, "component").select("cls", "least.doc_id", "least.key")
     mine, theirs = F.struct("m.doc_id", "m.key"), F.struct("s.doc_id", "s.key")
-    # Only small rows (id, digest) decide; texts are filtered where they lie
-    # if Spark finds the list small enough to broadcast.
+    # Only small rows (id, digest) decide; texts that neither go nor are
+    # repeated stay where they lie, however long the list.
     goes = write_stage(made.where("full IS NOT NULL").select("doc_id", "key", F.xxhash64("full").alias("cls")).alias("m")
                        .join(stays.alias("s"), F.col("m.cls") == F.col("s.cls")).where(~mine.eqNullSafe(theirs))
                        .select("m.doc_id", "m.key").distinct(), "goes")
@@ -439,10 +449,11 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     whole = docs.select(docs[id_col].alias("doc_id"), F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")))).alias("key"),
                         F.struct("*").alias("row"))
     same = [F.col("w.doc_id").eqNullSafe(F.col("o.doc_id")), F.col("w.key") == F.col("o.key")]
-    left = whole.alias("w").join(goes.alias("o"), same, "left_anti")
+    clear, rest = parted(whole, ["doc_id", "key"], goes.union(again))
+    left = rest.alias("w").join(goes.alias("o"), same, "left_anti")
     if again.isEmpty():
-        return left.select("row.*")
+        return clear.union(left).select("row.*")
     once = left.alias("w").join(again.alias("o"), same, "left_anti")
     more = left.alias("w").join(again.alias("o"), same, "left_semi").groupBy("doc_id", "key").agg(
         F.min_by("row", F.to_json("row")).alias("row"))
-    return once.select("row.*").unionByName(more.select("row.*"))
+    return clear.union(once).union(more).select("row.*")
