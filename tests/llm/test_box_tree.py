@@ -95,3 +95,64 @@ def test_far_boxes_are_not_scored():
     search = box_tree.AnchorSearch(tree, points[0], 0, 0)
     assert len(search.best(5, True)) == 5
     assert len(search.scored) < (len(tree.bounds) - 1) / 4
+
+
+def test_parts_of_anchors_and_groups_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(box_tree, "HELD_BYTES", 2000)
+    monkeypatch.setattr(box_tree, "PACK", 5)
+    monkeypatch.setattr(box_tree, "TILE_ROWS", 60)
+    rows = table(500, 4, 4, 3, 1)
+    assert found(spark, rows, 5, shard_bytes=8 * 4 * 40, block=6) == brute(rows, lambda i: i % 5 == 0)
+
+
+def test_no_copies_of_anchors_are_broadcast(spark, monkeypatch):
+    """A join of anchors with shards was planned by the size of the anchors'
+    files, and broadcast a copy of them for each shard."""
+    plans = []
+    write = box_tree.write_stage
+
+    def planned(df, *_):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(box_tree, "write_stage", lambda df, name: (planned(df), write(df, name))[1])
+    rows = table(200, 3, 3, 1, 1)
+    planned(box_tree.mine(frame(spark, rows), F.col("vec_id") % 10 == 0, shard_bytes=300))
+    assert len(plans) == 5 and not any("Broadcast" in p for p in plans)
+    assert "Join" not in plans[-1]
+
+
+def test_trees_of_several_kinds(spark):
+    """Scores below 2**24, 2**53 and beyond meet in one list."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.integers(1, 40, 3) * [1.0, 300.0, 1e5][i % 3 if i > 60 else 0]).tolist(), int(rng.integers(3)))
+            for i in range(240)]
+    want = brute(rows, lambda i: i % 10 == 0)
+    assert max(s for *_, s, _ in want) > 2**53 > min(s for *_, s, _ in want)
+    assert found(spark, rows, shard_bytes=8 * 3 * 12, block=4) == want == found(spark, rows)
+
+
+def test_floats_stay_floats(spark):
+    rows = [(i, np.float32(v).astype(float).tolist(), label) for i, v, label in table(300, 6, 4, 9)]
+    df = frame(spark, rows).withColumn("embedding", F.col("embedding").cast("array<float>"))
+    assert sorted(tuple(r) for r in box_tree.mine(df, F.col("vec_id") % 10 == 0, shard_bytes=3000).collect()) == brute(
+        rows, lambda i: i % 10 == 0)
+
+
+@pytest.mark.parametrize("labels", [1, 4, 900])
+def test_a_block_finds_what_its_anchors_find(labels):
+    rng = np.random.default_rng(labels)
+    points = np.floor(rng.standard_normal((900, 6)) * 9)
+    ids, label = np.arange(900) // 2, rng.permutation(900) % labels
+    tree = box_tree.BoxTree.packed(ids, label, points, 16)
+    at = rng.permutation(900)[:40]
+    low, high = np.tile([[-np.inf, 20.0, 60.0]], (40, 1)), np.tile([[np.inf, 90.0, 61.0]], (40, 1))
+    for same in (True, False):
+        best = box_tree.Best(4, low, high)
+        box_tree.AnchorSearch(tree, points[at], ids[at], label[at]).look(best, same)
+        for a, row in enumerate(at):
+            scores = points @ points[row]
+            for w in range(3):
+                fits = ((label == label[row]) == same) & (ids != ids[row]) & (scores >= low[a, w]) & (scores <= high[a, w])
+                want = sorted((-scores[i], ids[i]) for i in np.flatnonzero(fits))[:4]
+                got = [(-s, i) for s, i in zip(best.scores[a, w], best.ids[a, w]) if s > -np.inf]
+                assert got == want
